@@ -65,3 +65,69 @@ WITH p AS (SELECT {FLIGHT_ID} AS mcap_id, ts AS log_time, -value AS z FROM event
 SELECT mcap_id, round(max(-z), 1) AS max_alt_m, min(log_time) AS started,
        {fmt_duration('max(log_time) - min(log_time)')} AS duration
 FROM p GROUP BY mcap_id"""
+
+LOG_CATALOG = """
+    SELECT 'L-' || CAST(o_orderkey AS VARCHAR) AS log_id, CAST(o_orderdate AS DATE) AS log_date,
+           o_orderpriority AS mav_type, o_orderstatus AS rating,
+           CASE WHEN o_custkey % 50 = 0 THEN NULL ELSE 'veh-' || CAST(o_custkey AS VARCHAR) END AS vehicle_uuid,
+           'vehicle-' || CAST(o_custkey AS VARCHAR) AS vehicle_name,
+           'airframe-' || substr(o_orderpriority, 1, 1) AS airframe_name,
+           CASE WHEN o_totalprice > 200000 THEN 'quad' ELSE 'fixed_wing' END AS airframe_type,
+           CASE WHEN o_orderstatus = 'P' THEN NULL WHEN starts_with(o_orderpriority, '1') THEN 'CI' ELSE 'webui' END AS source,
+           'v' || CAST(year(o_orderdate) AS VARCHAR) AS ver_sw, o_orderkey AS ordinal
+    FROM orders"""
+CATALOG_COLS = ("log_id, log_date, mav_type, rating, vehicle_uuid, vehicle_name, airframe_name, airframe_type, "
+                "source, ver_sw, ordinal")
+
+ORACLE_SQL["latest_per_vehicle"] = f"""
+WITH c AS ({LOG_CATALOG})
+SELECT {CATALOG_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY vehicle_uuid ORDER BY log_date DESC, ordinal) AS rn
+    FROM c WHERE vehicle_uuid IS NOT NULL) WHERE rn = 1"""
+
+_SELECT_CHAIN = f"""
+WITH c AS ({LOG_CATALOG}),
+f1 AS (SELECT * FROM c WHERE lower(mav_type) IN ('1-urgent', '2-high', '3-medium') AND lower(rating) IN ('f', 'o')
+       AND airframe_type = 'quad'),
+w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vehicle_uuid ORDER BY log_date DESC, ordinal) AS rn
+                     FROM f1 WHERE vehicle_uuid IS NOT NULL) WHERE rn = 1),
+f2 AS (SELECT * FROM w WHERE source = 'webui')
+SELECT {CATALOG_COLS} FROM f2 ORDER BY log_date DESC, ordinal"""
+
+ORACLE_SQL["catalog_select"] = _SELECT_CHAIN + " LIMIT 25"
+ORACLE_SQL["catalog_matches"] = _SELECT_CHAIN
+
+
+def sql_file_stem(path: str) -> str:
+    return f"regexp_replace(regexp_extract({path}, '[^/]*$'), '\\.[^.]*$', '')"
+
+
+def sql_log_id_from_stem(stem: str) -> str:
+    return (f"CASE WHEN regexp_matches({stem}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-.') "
+            f"THEN regexp_extract({stem}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-(.+)', 1) ELSE {stem} END")
+
+
+_HELD = f"""
+held_files AS (SELECT '/data/raw/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-L-' || CAST(o_orderkey AS VARCHAR)
+                      || '.ulg' AS path FROM orders WHERE o_orderstatus = 'F'),
+held AS (SELECT DISTINCT {sql_log_id_from_stem(sql_file_stem('path'))} AS log_id FROM held_files)"""
+
+_NEW_SEL = f"""
+WITH c AS ({LOG_CATALOG}),
+sel AS (SELECT * FROM c WHERE lower(mav_type) IN ('1-urgent', '2-high') ORDER BY log_date DESC, ordinal LIMIT 500),
+{_HELD}"""
+
+ORACLE_SQL["catalog_new_only"] = _NEW_SEL + f"""
+SELECT {CATALOG_COLS} FROM sel WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.log_id = sel.log_id)"""
+
+ORACLE_SQL["catalog_outcomes"] = _NEW_SEL + """
+SELECT CASE WHEN h.log_id IS NOT NULL THEN 'skipped' ELSE 'selected' END AS outcome, count(*) AS n
+FROM sel LEFT JOIN held h ON h.log_id = sel.log_id GROUP BY 1"""
+
+ORACLE_SQL["skip_existing"] = """
+WITH src AS (SELECT 'raw/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-L-' || CAST(o_orderkey AS VARCHAR)
+                    || '.ulg' AS key FROM orders),
+done AS (SELECT 'raw/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-L-' || CAST(o_orderkey AS VARCHAR)
+                || '.mcap' AS dest_key FROM orders WHERE o_orderpriority = '1-URGENT'),
+p AS (SELECT key, substr(key, 1, length(key) - 4) || '.mcap' AS dest_key FROM src)
+SELECT key, dest_key FROM p WHERE dest_key NOT IN (SELECT dest_key FROM done)"""

@@ -42,3 +42,50 @@ def battery_ranges(spark, root):
 @query("max_altitude")
 def max_altitude(spark, root):
     return curated.max_altitude(S.local_position(spark, root))
+
+
+# ---------------------------------------------------------------- log catalog selection
+from ..operators import catalog as C  # noqa: E402
+
+CATALOG_SELECT = C.CatalogQuery(mav_type=["1-URGENT", "2-high", "3-Medium"], rating=["f", "O"],
+                                airframe_type="quad", latest_per_vehicle=True, source="webui", max_num=25)
+CATALOG_ALL = C.CatalogQuery(mav_type=["1-URGENT", "2-high", "3-Medium"], rating=["f", "O"],
+                             airframe_type="quad", latest_per_vehicle=True, source="webui", max_num=0)
+CATALOG_NEW = C.CatalogQuery(mav_type=["1-urgent", "2-HIGH"], max_num=500)
+
+
+@query("latest_per_vehicle")
+def latest_per_vehicle(spark, root):
+    return C.latest_per_vehicle(S.log_catalog(spark, root))
+
+
+@query("catalog_select")
+def catalog_select(spark, root):
+    """Full filter chain, newest first, top 25."""
+    return C.select_logs(S.log_catalog(spark, root), CATALOG_SELECT)
+
+
+@query("catalog_matches")
+def catalog_matches(spark, root):
+    """Full filter chain without a limit (every matching log)."""
+    return C.select_logs(S.log_catalog(spark, root), CATALOG_ALL)
+
+
+@query("catalog_new_only")
+def catalog_new_only(spark, root):
+    """Top 500 by date, minus ids of already held raw logs (limit before anti-join)."""
+    sel = C.select_logs(S.log_catalog(spark, root), CATALOG_NEW)
+    held = C.held_ids_from_files(S.held_log_files(spark, root))
+    return C.new_logs(sel, held, CATALOG_NEW)
+
+
+@query("catalog_outcomes")
+def catalog_outcomes(spark, root):
+    sel = C.select_logs(S.log_catalog(spark, root), CATALOG_NEW)
+    held = C.held_ids_from_files(S.held_log_files(spark, root))
+    return C.selection_outcomes(sel, held, CATALOG_NEW)
+
+
+@query("skip_existing")
+def skip_existing(spark, root):
+    return C.pending_conversions(S.raw_log_keys(spark, root), S.converted_keys(spark, root))

@@ -68,3 +68,45 @@ def local_position(spark, root) -> DataFrame:
     ev = _t(spark, root, "events")
     return ev.select(flight_id().alias("mcap_id"), F.col("ts").alias("log_time"),
                      F.lit(0).alias("multi_id"), (-F.col("value")).alias("z"))
+
+
+def log_catalog(spark, root) -> DataFrame:
+    """Log catalog rows (all strings but the date) with an input-order ``ordinal``."""
+    o = _t(spark, root, "orders")
+    key = F.col("o_orderkey").cast("string")
+    return o.select(
+        F.concat(F.lit("L-"), key).alias("log_id"),
+        F.col("o_orderdate").cast("date").alias("log_date"),
+        F.col("o_orderpriority").alias("mav_type"),
+        F.col("o_orderstatus").alias("rating"),
+        F.when(F.col("o_custkey") % 50 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("veh-"), F.col("o_custkey").cast("string"))).alias("vehicle_uuid"),
+        F.concat(F.lit("vehicle-"), F.col("o_custkey").cast("string")).alias("vehicle_name"),
+        F.concat(F.lit("airframe-"), F.substring("o_orderpriority", 1, 1)).alias("airframe_name"),
+        F.when(F.col("o_totalprice") > 200000, F.lit("quad")).otherwise(F.lit("fixed_wing")).alias("airframe_type"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("string"))
+         .when(F.col("o_orderpriority").startswith("1"), F.lit("CI"))
+         .otherwise(F.lit("webui")).alias("source"),
+        F.concat(F.lit("v"), F.year("o_orderdate").cast("string")).alias("ver_sw"),
+        F.col("o_orderkey").alias("ordinal"))
+
+
+def held_log_files(spark, root) -> DataFrame:
+    """Paths of raw logs already held: ``{log_date}-{log_id}.ulg`` for orders with status F."""
+    o = _t(spark, root, "orders").where(F.col("o_orderstatus") == "F")
+    return o.select(F.concat(F.lit("/data/raw/"), F.col("o_orderdate").cast("date").cast("string"), F.lit("-L-"),
+                             F.col("o_orderkey").cast("string"), F.lit(".ulg")).alias("path"))
+
+
+def raw_log_keys(spark, root) -> DataFrame:
+    """Object keys of every raw log."""
+    o = _t(spark, root, "orders")
+    return o.select(F.concat(F.lit("raw/"), F.col("o_orderdate").cast("date").cast("string"), F.lit("-L-"),
+                             F.col("o_orderkey").cast("string"), F.lit(".ulg")).alias("key"))
+
+
+def converted_keys(spark, root) -> DataFrame:
+    """Object keys of message files already converted (urgent orders)."""
+    o = _t(spark, root, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return o.select(F.concat(F.lit("raw/"), F.col("o_orderdate").cast("date").cast("string"), F.lit("-L-"),
+                             F.col("o_orderkey").cast("string"), F.lit(".mcap")).alias("dest_key"))

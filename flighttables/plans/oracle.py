@@ -131,3 +131,98 @@ done AS (SELECT 'raw/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-L-' ||
                 || '.mcap' AS dest_key FROM orders WHERE o_orderpriority = '1-URGENT'),
 p AS (SELECT key, substr(key, 1, length(key) - 4) || '.mcap' AS dest_key FROM src)
 SELECT key, dest_key FROM p WHERE dest_key NOT IN (SELECT dest_key FROM done)"""
+
+
+def sql_topic_base(t: str) -> str:
+    m = sql_multi_id_or_null(t)
+    return f"CASE WHEN {m} IS NOT NULL THEN regexp_extract({t}, '^(.*)_(\\+?[0-9]+)$', 1) ELSE {t} END"
+
+
+def sql_multi_id_or_null(t: str) -> str:
+    v = f"TRY_CAST(regexp_extract({t}, '^(.*)_(\\+?[0-9]+)$', 2) AS INTEGER)"
+    return f"(CASE WHEN regexp_matches({t}, '^(.*)_(\\+?[0-9]+)$') AND {v} BETWEEN 0 AND 255 THEN {v} END)"
+
+
+def sql_multi_id(t: str) -> str:
+    return f"COALESCE({sql_multi_id_or_null(t)}, 0)"
+
+
+TOPIC_NAMES = """
+    SELECT event_id AS ordinal,
+           CASE WHEN event_type IN ('click', 'purchase') THEN event_type || '_' || CAST(user_id AS VARCHAR)
+                WHEN event_type = 'error' THEN 'sensor_' || event_type || '_' || CAST(event_id AS VARCHAR)
+                WHEN event_type = 'view' THEN event_type || '_messages'
+                ELSE '_' || CAST(user_id AS VARCHAR) END AS topic
+    FROM events"""
+
+ORACLE_SQL["topic_split"] = f"""
+WITH t AS ({TOPIC_NAMES})
+SELECT ordinal, topic, {sql_topic_base('topic')} AS base_topic, {sql_multi_id('topic')} AS multi_id FROM t"""
+
+ORACLE_SQL["topic_compose"] = f"""
+WITH t AS (SELECT event_id AS ordinal, event_type || '_' || CAST(CAST(user_id AS INTEGER) AS VARCHAR) AS topic FROM events)
+SELECT ordinal, topic, {sql_topic_base('topic')} AS base_topic, {sql_multi_id('topic')} AS multi_id FROM t"""
+
+_PATHS = """
+    SELECT o_orderkey AS ordinal,
+           's3://mcap/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-L-' || CAST(o_orderkey AS VARCHAR)
+           || CASE WHEN o_orderstatus = 'O' THEN '.mcap.mcap' ELSE '.mcap' END AS path
+    FROM orders"""
+_MCAP_ID = "regexp_replace(regexp_extract(path, '[^/]*$'), '(\\.mcap)+$', '')"
+
+ORACLE_SQL["names_from_paths"] = f"""
+WITH p AS ({_PATHS})
+SELECT ordinal, {_MCAP_ID} AS mcap_id, {sql_log_id_from_stem(_MCAP_ID)} AS log_id,
+       CAST(strptime(substr(regexp_extract(path, '[^/]*$'), 1, 10), '%Y-%m-%d') AS DATE) AS log_date,
+       CAST(CAST(strptime(substr(regexp_extract(path, '[^/]*$'), 1, 10), '%Y-%m-%d') AS DATE) - DATE '1970-01-01' AS INTEGER) AS log_day
+FROM p"""
+
+ORACLE_SQL["log_id_from_name"] = f"""
+WITH s AS (SELECT o_orderkey AS ordinal,
+                  CASE WHEN o_orderstatus = 'P' THEN 'L-' || CAST(o_orderkey AS VARCHAR)
+                       ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-L-' || CAST(o_orderkey AS VARCHAR) END AS stem
+           FROM orders)
+SELECT ordinal, stem, {sql_log_id_from_stem('stem')} AS log_id FROM s"""
+
+ORACLE_SQL["standard_columns"] = f"""
+WITH m AS (
+    SELECT {FLIGHT_ID} AS mcap_id, CAST(ts AS DATE) AS log_date, event_type || '_0' AS topic,
+           date_diff('microsecond', CAST(CAST(ts AS DATE) AS TIMESTAMP), ts) * 1000 + 999 AS ns,
+           event_id AS ordinal, value
+    FROM events)
+SELECT CAST(log_date AS TIMESTAMP) + to_microseconds(ns // 1000) AS log_time,
+       CAST(log_date AS TIMESTAMP) + to_microseconds(ns // 1000) AS publish_time,
+       CAST(0 AS BIGINT) AS sequence, mcap_id, {sql_multi_id('topic')} AS multi_id,
+       ns // 1000 AS offset_us, log_date, 'log_date' AS time_source,
+       {sql_topic_base('topic')} AS base_topic, ordinal, value
+FROM m"""
+
+ORACLE_SQL["sec_nsec"] = """
+WITH s AS (SELECT event_id AS ordinal, date_diff('microsecond', TIMESTAMP '2024-01-15 00:00:00', ts) AS ts_us FROM events)
+SELECT ordinal, ts_us, (ts_us - ((ts_us % 1000000 + 1000000) % 1000000)) // 1000000 AS sec,
+       ((ts_us % 1000000 + 1000000) % 1000000) * 1000 AS nsec, ts_us * 1000 AS ts_ns
+FROM s"""
+
+_LEVEL_CASE = """CASE source_level WHEN 'EMERGENCY' THEN 'FATAL' WHEN 'ALERT' THEN 'FATAL' WHEN 'CRITICAL' THEN 'FATAL'
+    WHEN 'ERROR' THEN 'ERROR' WHEN 'WARNING' THEN 'WARNING' WHEN 'NOTICE' THEN 'INFO' WHEN 'INFO' THEN 'INFO'
+    WHEN 'DEBUG' THEN 'DEBUG' ELSE 'UNKNOWN' END"""
+_RANK_CASE = """CASE level WHEN 'UNKNOWN' THEN 0 WHEN 'DEBUG' THEN 1 WHEN 'INFO' THEN 2 WHEN 'WARNING' THEN 3
+    WHEN 'ERROR' THEN 4 WHEN 'FATAL' THEN 5 ELSE 0 END"""
+
+ORACLE_SQL["level_remap"] = f"""
+WITH s AS (SELECT event_id AS ordinal,
+                  (['EMERGENCY','ALERT','CRITICAL','ERROR','WARNING','NOTICE','INFO','DEBUG','WEIRD'])[event_id % 9 + 1]
+                  AS source_level FROM events),
+l AS (SELECT ordinal, source_level, {_LEVEL_CASE} AS level FROM s)
+SELECT ordinal, source_level, level, {_RANK_CASE} AS level_rank, ({_RANK_CASE}) >= 1 AS shown FROM l"""
+
+ORACLE_SQL["enum_label"] = f"""
+WITH vs AS ({VEHICLE_STATUS})
+SELECT ordinal, nav_state,
+       CASE nav_state WHEN 0 THEN 'MANUAL' WHEN 1 THEN 'ALTCTL' WHEN 2 THEN 'POSCTL' WHEN 3 THEN 'AUTO_MISSION'
+                      WHEN 4 THEN 'AUTO_LOITER' WHEN 5 THEN 'AUTO_RTL'
+                      ELSE 'UNKNOWN_' || CAST(nav_state AS VARCHAR) END AS nav_state_label
+FROM vs"""
+
+ORACLE_SQL["format_duration_cases"] = f"""
+SELECT event_id AS ordinal, {fmt_duration("ts - CAST(CAST(ts AS DATE) AS TIMESTAMP)")} AS duration FROM events"""

@@ -89,3 +89,82 @@ def catalog_outcomes(spark, root):
 @query("skip_existing")
 def skip_existing(spark, root):
     return C.pending_conversions(S.raw_log_keys(spark, root), S.converted_keys(spark, root))
+
+
+# ---------------------------------------------------------------- names, times, levels
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import levels as L, names as N, time as TM  # noqa: E402
+from ..operators import messages as M  # noqa: E402
+
+# Navigation state labels of the dashboard's state panel.
+NAV_STATE_LABELS = {0: "MANUAL", 1: "ALTCTL", 2: "POSCTL", 3: "AUTO_MISSION", 4: "AUTO_LOITER", 5: "AUTO_RTL"}
+
+
+@query("topic_split")
+def topic_split(spark, root):
+    t = S.topic_names(spark, root)
+    return t.select("ordinal", "topic", N.topic_base("topic").alias("base_topic"),
+                    N.topic_multi_id("topic").alias("multi_id"))
+
+
+@query("topic_compose")
+def topic_compose(spark, root):
+    """Compose ``{name}_{multi_id}`` then parse it back."""
+    ev = S._t(spark, root, "events")
+    composed = ev.select(F.col("event_id").alias("ordinal"), F.col("event_type").alias("name"),
+                         F.col("user_id").cast("int").alias("instance"))
+    composed = composed.withColumn("topic", N.compose_topic("name", "instance"))
+    return composed.select("ordinal", "topic", N.topic_base("topic").alias("base_topic"),
+                           N.topic_multi_id("topic").alias("multi_id"))
+
+
+@query("names_from_paths")
+def names_from_paths(spark, root):
+    """Flight id, log id, log date and epoch day from message-file paths."""
+    p = S.message_file_paths(spark, root)
+    return p.select("ordinal", N.mcap_id_from_path("path").alias("mcap_id"),
+                    N.log_id_from_stem(N.mcap_id_from_path("path")).alias("log_id"),
+                    N.log_date_from_name(N.file_name("path")).alias("log_date"),
+                    TM.days_since_epoch(N.log_date_from_name(N.file_name("path"))).alias("log_day"))
+
+
+@query("log_id_from_name")
+def log_id_from_name(spark, root):
+    s = S.log_file_stems(spark, root)
+    return s.select("ordinal", "stem", N.log_id_from_stem("stem").alias("log_id"))
+
+
+@query("standard_columns")
+def standard_columns(spark, root):
+    m = S.message_envelopes(spark, root)
+    return M.sort_for_write(M.standard_columns(m, payload_cols=["ordinal", "value"]))
+
+
+@query("sec_nsec")
+def sec_nsec(spark, root):
+    s = S.sample_micros(spark, root)
+    return s.select("ordinal", "ts_us", TM.micros_to_sec_nsec("ts_us").alias("t"),
+                    TM.micros_to_nanos("ts_us").alias("ts_ns")) \
+            .select("ordinal", "ts_us", F.col("t.sec").alias("sec"), F.col("t.nsec").alias("nsec"), "ts_ns")
+
+
+@query("level_remap")
+def level_remap(spark, root):
+    lv = S.source_log_levels(spark, root).withColumn("level", L.remap_level("source_level"))
+    return lv.select("ordinal", "source_level", "level", L.level_rank("level").alias("level_rank"),
+                     L.at_least_level("level").alias("shown"))
+
+
+@query("enum_label")
+def enum_label(spark, root):
+    vs = S.vehicle_status(spark, root)
+    return vs.select("ordinal", "nav_state", L.enum_label("nav_state", NAV_STATE_LABELS).alias("nav_state_label"))
+
+
+@query("format_duration_cases")
+def format_duration_cases(spark, root):
+    """Time of day of every event as an interval, formatted."""
+    ev = S._t(spark, root, "events")
+    d = F.col("ts") - F.col("ts").cast("date").cast("timestamp_ntz")
+    return ev.select(F.col("event_id").alias("ordinal"), TM.format_duration(d).alias("duration"))

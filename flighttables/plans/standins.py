@@ -110,3 +110,65 @@ def converted_keys(spark, root) -> DataFrame:
     o = _t(spark, root, "orders").where(F.col("o_orderpriority") == "1-URGENT")
     return o.select(F.concat(F.lit("raw/"), F.col("o_orderdate").cast("date").cast("string"), F.lit("-L-"),
                              F.col("o_orderkey").cast("string"), F.lit(".mcap")).alias("dest_key"))
+
+
+def topic_names(spark, root) -> DataFrame:
+    """Channel names of all shapes: u8 suffixes, suffixes above 255, no suffix, empty base."""
+    ev = _t(spark, root, "events")
+    et, uid, eid = F.col("event_type"), F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    topic = (F.when(et.isin("click", "purchase"), F.concat(et, F.lit("_"), uid))
+             .when(et == "error", F.concat(F.lit("sensor_"), et, F.lit("_"), eid))
+             .when(et == "view", F.concat(et, F.lit("_messages")))
+             .otherwise(F.concat(F.lit("_"), uid)))
+    return ev.select(F.col("event_id").alias("ordinal"), topic.alias("topic"))
+
+
+def message_file_paths(spark, root) -> DataFrame:
+    """Message-file paths ``bucket/{log_date}-{log_id}.mcap`` (some with a doubled suffix)."""
+    o = _t(spark, root, "orders")
+    name = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("-L-"), F.col("o_orderkey").cast("string"))
+    suffix = F.when(F.col("o_orderstatus") == "O", F.lit(".mcap.mcap")).otherwise(F.lit(".mcap"))
+    return o.select(F.col("o_orderkey").alias("ordinal"), F.concat(F.lit("s3://mcap/"), name, suffix).alias("path"))
+
+
+def log_file_stems(spark, root) -> DataFrame:
+    """Raw-log file stems, with and without the date prefix."""
+    o = _t(spark, root, "orders")
+    key = F.concat(F.lit("L-"), F.col("o_orderkey").cast("string"))
+    stem = F.when(F.col("o_orderstatus") == "P", key).otherwise(
+        F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("-"), key))
+    return o.select(F.col("o_orderkey").alias("ordinal"), stem.alias("stem"))
+
+
+def message_envelopes(spark, root) -> DataFrame:
+    """Message envelopes: times in ns relative to the log's midnight, one channel per type."""
+    ev = _t(spark, root, "events")
+    day = F.col("ts").cast("date")
+    rel_us = F.timestamp_diff("MICROSECOND", day.cast("timestamp_ntz"), F.col("ts"))
+    return ev.select(
+        flight_id().alias("mcap_id"), day.alias("log_date"),
+        F.concat(F.col("event_type"), F.lit("_0")).alias("topic"),
+        (rel_us * 1000 + 999).alias("log_time_ns"),
+        (rel_us * 1000 + 999).alias("publish_time_ns"),
+        F.lit(0).cast("bigint").alias("sequence"),
+        F.col("event_id").alias("ordinal"),
+        F.col("value"))
+
+
+def sample_micros(spark, root) -> DataFrame:
+    """Sample times in µs around an epoch so that negative values occur."""
+    ev = _t(spark, root, "events")
+    us = F.timestamp_diff("MICROSECOND", F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    return ev.select(F.col("event_id").alias("ordinal"), us.alias("ts_us"))
+
+
+# The eight source log level names plus one unknown name.
+SOURCE_LEVEL_NAMES = ["EMERGENCY", "ALERT", "CRITICAL", "ERROR", "WARNING", "NOTICE", "INFO", "DEBUG", "WEIRD"]
+
+
+def source_log_levels(spark, root) -> DataFrame:
+    """Source log records with a level name taken round-robin from the names above."""
+    ev = _t(spark, root, "events")
+    names = F.array(*[F.lit(n) for n in SOURCE_LEVEL_NAMES])
+    return ev.select(F.col("event_id").alias("ordinal"),
+                     F.element_at(names, (F.col("event_id") % len(SOURCE_LEVEL_NAMES) + 1).cast("int")).alias("source_level"))

@@ -226,3 +226,41 @@ FROM vs"""
 
 ORACLE_SQL["format_duration_cases"] = f"""
 SELECT event_id AS ordinal, {fmt_duration("ts - CAST(CAST(ts AS DATE) AS TIMESTAMP)")} AS duration FROM events"""
+
+_CONV_LOGS = """
+    SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS mcap_id, CAST(floor(turn / 2) * 1000000 AS BIGINT) AS ts_us,
+           turn AS ordinal, CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 ELSE 2 END AS tag, text AS message,
+           CASE role WHEN 'system' THEN 'NOTICE' WHEN 'user' THEN 'INFO' ELSE 'WARNING' END AS source_level
+    FROM conversations"""
+
+ORACLE_SQL["log_messages"] = f"""
+WITH l AS ({_CONV_LOGS}),
+f AS (SELECT mcap_id, tag, min(ordinal) AS tag_first FROM l GROUP BY 1, 2)
+SELECT mcap_id, ts_us, ordinal, message, {_LEVEL_CASE} AS level, CAST(tag AS VARCHAR) AS name, '' AS file,
+       CAST(0 AS BIGINT) AS line, ts_us // 1000000 AS ts_sec, (ts_us % 1000000) * 1000 AS ts_nsec,
+       row_number() OVER (PARTITION BY mcap_id ORDER BY ts_us, tag_first, ordinal) AS seq
+FROM l JOIN f USING (mcap_id, tag)"""
+
+ORACLE_SQL["parameter_split"] = """
+WITH p AS (
+    SELECT p_brand AS mcap_id, p_partkey AS timestamp, 'P_SIZE' AS name, CAST(p_size AS VARCHAR) AS value FROM part
+    UNION ALL
+    SELECT p_brand, p_partkey, 'P_PRICE', CAST(p_retailprice AS VARCHAR) FROM part)
+SELECT mcap_id, timestamp, name,
+       CASE WHEN regexp_matches(value, '^[+-]?[0-9]+$') THEN CAST(value AS BIGINT) END AS int_value,
+       CASE WHEN NOT regexp_matches(value, '^[+-]?[0-9]+$') THEN CAST(value AS DOUBLE) END AS float_value
+FROM p"""
+
+ORACLE_SQL["payload_decode"] = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"""
+
+ORACLE_SQL["metadata_map"] = """
+WITH kv AS (
+    SELECT p_partkey AS mcap_id, 'name' AS key, p_name AS value FROM part
+    UNION ALL SELECT p_partkey, 'brand', p_brand FROM part
+    UNION ALL SELECT p_partkey, 'size', CAST(p_size AS VARCHAR) FROM part
+    UNION ALL SELECT p_partkey, 'retailprice', CAST(p_retailprice AS VARCHAR) FROM part
+    UNION ALL SELECT p_partkey, 'ver_sw', p_type FROM part WHERE p_size > 25)
+SELECT mcap_id, COALESCE(max(CASE WHEN key = 'ver_sw' THEN value END) OVER (PARTITION BY mcap_id), 'unknown') AS ver_sw,
+       key, value
+FROM kv"""

@@ -168,3 +168,32 @@ def format_duration_cases(spark, root):
     ev = S._t(spark, root, "events")
     d = F.col("ts") - F.col("ts").cast("date").cast("timestamp_ntz")
     return ev.select(F.col("event_id").alias("ordinal"), TM.format_duration(d).alias("duration"))
+
+
+# ---------------------------------------------------------------- logs, parameters, payloads
+from ..operators import logs as LG  # noqa: E402
+from ..sources import messages as MS  # noqa: E402
+
+
+@query("log_messages")
+def log_messages(spark, root):
+    """Tagged log records merged per flight by time, tag order, input order."""
+    return LG.merge_tagged(S.conversation_logs(spark, root))
+
+
+@query("parameter_split")
+def parameter_split(spark, root):
+    return LG.parameter_changes(S.parameter_rows(spark, root))
+
+
+@query("payload_decode")
+def payload_decode(spark, root):
+    ev = S._t(spark, root, "events").select("event_id", "props")
+    return MS.decode_payload(ev, "k BIGINT", payload_col="props")
+
+
+@query("metadata_map")
+def metadata_map(spark, root):
+    """Metadata map per log, looked up with a default, emitted as (log, key, value) rows."""
+    maps = LG.metadata_lookup(LG.metadata_maps(S.metadata_rows(spark, root)), "ver_sw", "unknown", "ver_sw")
+    return maps.select("mcap_id", "ver_sw", F.explode("metadata").alias("key", "value"))

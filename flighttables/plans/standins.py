@@ -172,3 +172,38 @@ def source_log_levels(spark, root) -> DataFrame:
     names = F.array(*[F.lit(n) for n in SOURCE_LEVEL_NAMES])
     return ev.select(F.col("event_id").alias("ordinal"),
                      F.element_at(names, (F.col("event_id") % len(SOURCE_LEVEL_NAMES) + 1).cast("int")).alias("source_level"))
+
+
+def conversation_logs(spark, root) -> DataFrame:
+    """Tagged log rows: conversation = flight, turn = input order, role = tag."""
+    c = _t(spark, root, "conversations")
+    role = F.col("role")
+    return c.select(
+        F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("mcap_id"),
+        (F.floor(F.col("turn") / 2) * 1000000).cast("bigint").alias("ts_us"),
+        F.col("turn").alias("ordinal"),
+        F.when(role == "system", 0).when(role == "user", 1).otherwise(2).alias("tag"),
+        F.col("text").alias("message"),
+        F.when(role == "system", "NOTICE").when(role == "user", "INFO").otherwise("WARNING").alias("level_name"))
+
+
+def parameter_rows(spark, root) -> DataFrame:
+    """Parameter changes with textual values: part size (integer) and retail price (real)."""
+    p = _t(spark, root, "part")
+    return p.select(F.col("p_brand").alias("mcap_id"), F.col("p_partkey").alias("timestamp"),
+                    F.inline(F.array(
+                        F.struct(F.lit("P_SIZE").alias("name"), F.col("p_size").cast("string").alias("value")),
+                        F.struct(F.lit("P_PRICE").alias("name"), F.col("p_retailprice").cast("string").alias("value")))))
+
+
+def metadata_rows(spark, root) -> DataFrame:
+    """Per-log metadata key/value rows (a ``ver_sw`` key only where the part size exceeds 25)."""
+    p = _t(spark, root, "part")
+    kv = p.select("p_partkey", F.inline(F.array(
+        F.struct(F.lit("name").alias("key"), F.col("p_name").alias("value")),
+        F.struct(F.lit("brand").alias("key"), F.col("p_brand").alias("value")),
+        F.struct(F.lit("size").alias("key"), F.col("p_size").cast("string").alias("value")),
+        F.struct(F.lit("retailprice").alias("key"), F.col("p_retailprice").cast("string").alias("value")),
+        F.struct(F.lit("ver_sw").alias("key"),
+                 F.when(F.col("p_size") > 25, F.col("p_type")).alias("value")))))
+    return kv.where(F.col("value").isNotNull()).withColumnRenamed("p_partkey", "mcap_id")

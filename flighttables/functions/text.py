@@ -12,7 +12,7 @@ from ._util import as_col
 
 
 def _to_raw(arr: Column) -> Column:
-    return F.transform(arr, lambda b: F.bitwise_and(b.cast("int"), F.lit(255)))
+    return F.transform(arr, lambda b: b.cast("int").bitwiseAND(F.lit(255)))
 
 
 def char_array_to_text(arr) -> Column:

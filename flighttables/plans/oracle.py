@@ -264,3 +264,120 @@ WITH kv AS (
 SELECT mcap_id, COALESCE(max(CASE WHEN key = 'ver_sw' THEN value END) OVER (PARTITION BY mcap_id), 'unknown') AS ver_sw,
        key, value
 FROM kv"""
+
+ORACLE_SQL["samples_to_rows"] = """
+WITH z AS (SELECT label, vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+SELECT 'embedding_' || CAST(label AS VARCHAR) AS topic, vec_id * 1000 + i AS timestamp,
+       v AS "control[0]", -v AS "control[1]"
+FROM z"""
+
+_SOURCE_TYPES = "['int8_t','int16_t','int32_t','int64_t','uint8_t','uint16_t','uint32_t','uint64_t','float','double','bool']"
+
+FIELD_ROWS = f"""
+    SELECT topic, ordinal, field, type FROM (
+        SELECT 'order_' || CAST(l_orderkey AS VARCHAR) AS topic, l_linenumber, CAST(l_linenumber - 1 AS VARCHAR) AS ln,
+               l_returnflag AS rf, l_linestatus AS ls, l_partkey, l_suppkey FROM lineitem) b,
+    LATERAL (
+        SELECT CAST((l_linenumber - 1) * 10 + 0 AS BIGINT) AS ordinal, 'esc[' || ln || '].rpm' AS field,
+               {_SOURCE_TYPES}[l_partkey % 11 + 1] AS type
+        UNION ALL
+        SELECT (l_linenumber - 1) * 10 + 1, CASE WHEN rf = 'R' THEN 'name[' || ln || ']' ELSE 'control[' || ln || ']' END,
+               CASE WHEN rf = 'R' THEN 'char' ELSE 'float' END
+        UNION ALL
+        SELECT (l_linenumber - 1) * 10 + 2,
+               CASE WHEN ls = 'O' THEN 'esc[' || ln || '].label[' || CAST(l_suppkey % 3 AS VARCHAR) || ']'
+                    WHEN rf = 'A' THEN 'esc[' || ln || '].current[0]'
+                    WHEN rf = 'N' THEN 'esc[' || ln || ']._padding0[1]'
+                    ELSE 'outer[' || ln || '].inner.x' END,
+               CASE WHEN ls = 'O' THEN 'char' WHEN rf = 'A' THEN 'float' WHEN rf = 'N' THEN 'uint8_t' ELSE 'int16_t' END
+        UNION ALL
+        SELECT (l_linenumber - 1) * 10 + 3, CASE WHEN l_linenumber = 1 THEN 'timestamp' ELSE 'gps.fix[' || ln || ']' END,
+               CASE WHEN l_linenumber = 1 THEN 'uint64_t' ELSE 'int8_t' END
+    ) f"""
+
+ORACLE_SQL["topic_fields"] = f"""
+WITH f AS ({FIELD_ROWS})
+SELECT topic, string_agg(field || ':' || type, ',' ORDER BY ordinal, field, type) AS fields FROM f GROUP BY topic"""
+
+ORACLE_SQL["schema_registry"] = """
+WITH c AS (SELECT event_type || '_' || CAST(user_id AS VARCHAR) AS topic, event_type AS type_name, event_id AS ordinal
+           FROM events)
+SELECT type_name, arg_min(topic, ordinal) AS first_topic, min(ordinal) AS first_ordinal,
+       count(DISTINCT topic) AS n_instances
+FROM c GROUP BY type_name"""
+
+_SR = "'^(.+?)\\[([0-9]+)\\]\\.(.+)$'"
+_AR = "'^(.*)\\[([0-9]+)\\]$'"
+CLASSIFIED = f"""
+    SELECT topic, ordinal, field, type, is_struct, is_flat,
+           CASE WHEN is_struct THEN s_base WHEN is_flat THEN f_base ELSE field END AS base,
+           CASE WHEN is_struct THEN CASE WHEN leaf_is_array THEN leaf_base ELSE s_leaf END END AS leaf,
+           CASE WHEN is_struct AND leaf_is_array THEN 'text_array' WHEN is_struct THEN 'array'
+                WHEN is_flat AND type = 'char' THEN 'text' WHEN is_flat THEN 'array' ELSE 'scalar' END AS row_kind,
+           CASE WHEN is_struct THEN s_idx + 1 WHEN is_flat AND type <> 'char' THEN f_idx + 1 END AS outer_cand,
+           CASE WHEN is_struct AND leaf_is_array THEN leaf_idx + 1 WHEN is_flat AND type = 'char' THEN f_idx + 1 END
+               AS inner_cand,
+           CASE WHEN is_struct AND contains(s_leaf, '.') THEN 'nested_deeper'
+                WHEN is_struct AND leaf_is_array AND type <> 'char' THEN 'numeric_array_in_struct' END AS drop_reason,
+           CASE WHEN is_struct AND contains(s_leaf, '.') THEN true
+                WHEN is_struct AND leaf_is_array AND type <> 'char' THEN NOT contains(s_leaf, 'padding') END AS warn
+    FROM (
+        SELECT *, regexp_matches(s_leaf, {_AR}) AS leaf_is_array,
+               regexp_extract(s_leaf, {_AR}, 1) AS leaf_base,
+               TRY_CAST(regexp_extract(s_leaf, {_AR}, 2) AS INTEGER) AS leaf_idx
+        FROM (
+            SELECT *, regexp_matches(field, {_SR}) AS is_struct,
+                   regexp_extract(field, {_SR}, 1) AS s_base,
+                   TRY_CAST(regexp_extract(field, {_SR}, 2) AS INTEGER) AS s_idx,
+                   regexp_extract(field, {_SR}, 3) AS s_leaf,
+                   NOT regexp_matches(field, {_SR}) AND regexp_matches(field, {_AR}) AS is_flat,
+                   regexp_extract(field, {_AR}, 1) AS f_base,
+                   TRY_CAST(regexp_extract(field, {_AR}, 2) AS INTEGER) AS f_idx
+            FROM fr))"""
+
+_WIRE = """CASE t WHEN 'int8_t' THEN 'int32' WHEN 'int16_t' THEN 'int32' WHEN 'int32_t' THEN 'int32'
+    WHEN 'int64_t' THEN 'int64' WHEN 'uint8_t' THEN 'uint32' WHEN 'uint16_t' THEN 'uint32' WHEN 'uint32_t' THEN 'uint32'
+    WHEN 'uint64_t' THEN 'uint64' WHEN 'float' THEN 'float' WHEN 'double' THEN 'double' WHEN 'bool' THEN 'bool'
+    WHEN 'char' THEN 'string' END"""
+_TABLE = """CASE w WHEN 'int32' THEN 'bigint' WHEN 'int64' THEN 'bigint' WHEN 'uint32' THEN 'bigint'
+    WHEN 'uint64' THEN 'bigint' WHEN 'float' THEN 'double' WHEN 'double' THEN 'double' WHEN 'bool' THEN 'boolean'
+    WHEN 'string' THEN 'string' END"""
+
+ORACLE_SQL["field_classify"] = f"""
+WITH fr AS ({FIELD_ROWS}), c AS ({CLASSIFIED}),
+g AS (
+    SELECT topic, base, leaf, min(ordinal) AS position, first(row_kind ORDER BY ordinal, field, type) AS kind,
+           first(type ORDER BY ordinal, field, type) AS source_type,
+           COALESCE(max(outer_cand), 1) AS outer_len, COALESCE(max(inner_cand), 1) AS inner_len
+    FROM c WHERE drop_reason IS NULL GROUP BY topic, base, leaf),
+w AS (SELECT *, CASE WHEN kind IN ('text', 'text_array') THEN 'string' ELSE {_WIRE.replace('CASE t', 'CASE source_type')} END
+              AS wire_type FROM g)
+SELECT topic, position, replace(CASE WHEN leaf IS NULL THEN base ELSE base || '__' || leaf END, '.', '_') AS column_name,
+       base, leaf, kind, source_type, wire_type,
+       CASE WHEN kind IN ('array', 'text_array') THEN 'array<' || {_TABLE.replace('CASE w', 'CASE wire_type')} || '>'
+            ELSE {_TABLE.replace('CASE w', 'CASE wire_type')} END AS table_type,
+       outer_len, inner_len
+FROM w"""
+
+ORACLE_SQL["field_drops"] = f"""
+WITH fr AS ({FIELD_ROWS}), c AS ({CLASSIFIED})
+SELECT topic, ordinal, field, type, drop_reason, warn FROM c WHERE drop_reason IS NOT NULL"""
+
+ORACLE_SQL["pack_arrays"] = """
+WITH z AS (SELECT l_orderkey, l_linenumber, l_returnflag || l_linestatus AS flag,
+                  [l_quantity, l_extendedprice, l_discount, l_tax] AS m FROM lineitem)
+SELECT l_orderkey, l_linenumber, flag, CAST(generate_subscripts(m, 1) - 1 AS INTEGER) AS pos, unnest(m) AS m FROM z"""
+
+ORACLE_SQL["struct_array_transpose"] = """
+WITH z AS (SELECT l_orderkey, l_linenumber, [l_quantity, CAST(l_linenumber AS DOUBLE)] AS esc__rpm,
+                  [l_tax, l_discount] AS esc__temp, [l_partkey, l_suppkey] AS motors__id,
+                  [l_suppkey, l_partkey] AS motors__sid FROM lineitem)
+SELECT l_orderkey, l_linenumber, CAST(generate_subscripts(esc__rpm, 1) - 1 AS INTEGER) AS pos,
+       unnest(esc__rpm) AS esc__rpm, unnest(esc__temp) AS esc__temp, unnest(motors__id) AS motors__id,
+       unnest(motors__sid) AS motors__sid
+FROM z"""
+
+ORACLE_SQL["char_text"] = "SELECT conv_id, turn, text FROM conversations"
+
+ORACLE_SQL["char_text_array"] = """
+SELECT conv_id, turn, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lines, text FROM conversations"""

@@ -197,3 +197,60 @@ def metadata_map(spark, root):
     """Metadata map per log, looked up with a default, emitted as (log, key, value) rows."""
     maps = LG.metadata_lookup(LG.metadata_maps(S.metadata_rows(spark, root)), "ver_sw", "unknown", "ver_sw")
     return maps.select("mcap_id", "ver_sw", F.explode("metadata").alias("key", "value"))
+
+
+# ---------------------------------------------------------------- unflattening
+from ..functions import text as TX  # noqa: E402
+from ..operators import unflatten as U  # noqa: E402
+
+
+@query("samples_to_rows")
+def samples_to_rows(spark, root):
+    return U.samples_to_rows(S.embedding_datasets(spark, root), ["control[0]", "control[1]"])
+
+
+@query("topic_fields")
+def topic_fields(spark, root):
+    tf = U.topic_fields(S.field_rows(spark, root))
+    return tf.select("topic", F.array_join(F.transform("fields", lambda x: F.concat(x["field"], F.lit(":"), x["type"])),
+                                           ",").alias("fields"))
+
+
+@query("schema_registry")
+def schema_registry(spark, root):
+    return U.schema_registry(S.channels(spark, root))
+
+
+@query("field_classify")
+def field_classify(spark, root):
+    return U.classify_fields(S.field_rows(spark, root))
+
+
+@query("field_drops")
+def field_drops(spark, root):
+    return U.dropped_fields(S.field_rows(spark, root))
+
+
+@query("pack_arrays")
+def pack_arrays(spark, root):
+    packed = U.pack_flat_columns(S.flat_samples(spark, root), text_bases=("flag",))
+    return packed.select("l_orderkey", "l_linenumber", "flag", F.posexplode("m").alias("pos", "m"))
+
+
+@query("struct_array_transpose")
+def struct_array_transpose(spark, root):
+    packed = U.transpose_struct_array(U.pack_struct_array_columns(S.struct_array_samples(spark, root)), "motors")
+    z = F.arrays_zip("esc__rpm", "esc__temp", "motors__id", "motors__sid")
+    return packed.select("l_orderkey", "l_linenumber", F.posexplode(z).alias("pos", "z")).select(
+        "l_orderkey", "l_linenumber", "pos", "z.*")
+
+
+@query("char_text")
+def char_text(spark, root):
+    return S.char_samples(spark, root).select("conv_id", "turn", TX.char_array_to_text("chars").alias("text"))
+
+
+@query("char_text_array")
+def char_text_array(spark, root):
+    t = S.char_array_samples(spark, root).select("conv_id", "turn", TX.char_arrays_to_texts("chars").alias("texts"))
+    return t.select("conv_id", "turn", F.size("texts").alias("n_lines"), F.array_join("texts", "\n").alias("text"))

@@ -207,3 +207,89 @@ def metadata_rows(spark, root) -> DataFrame:
         F.struct(F.lit("ver_sw").alias("key"),
                  F.when(F.col("p_size") > 25, F.col("p_type")).alias("value")))))
     return kv.where(F.col("value").isNotNull()).withColumnRenamed("p_partkey", "mcap_id")
+
+
+def embedding_datasets(spark, root) -> DataFrame:
+    """Columnar topic datasets: per vector, a timestamp array and two field arrays."""
+    e = _t(spark, root, "embeddings")
+    return e.select(
+        F.lit("embedding").alias("topic_name"), F.col("label").alias("multi_id"),
+        F.transform("embedding", lambda x, i: F.col("vec_id") * 1000 + i).alias("timestamp"),
+        F.col("embedding").alias("control[0]"),
+        F.transform("embedding", lambda x: -x).alias("control[1]"))
+
+
+# The twelve source field type names, in their usual order.
+SOURCE_TYPES = ["int8_t", "int16_t", "int32_t", "int64_t", "uint8_t", "uint16_t", "uint32_t", "uint64_t",
+                "float", "double", "bool", "char"]
+
+
+def field_rows(spark, root) -> DataFrame:
+    """Flat field lists ``(topic, ordinal, field, type)``: one topic per order, fields per line."""
+    li = _t(spark, root, "lineitem")
+    ln = (F.col("l_linenumber") - 1).cast("string")
+    types = F.array(*[F.lit(t) for t in SOURCE_TYPES[:11]])
+    rpm_type = F.element_at(types, (F.col("l_partkey") % 11 + 1).cast("int"))
+    rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
+    f1 = F.when(rf == "R", F.struct(F.concat(F.lit("name["), ln, F.lit("]")).alias("field"), F.lit("char").alias("type"))) \
+          .otherwise(F.struct(F.concat(F.lit("control["), ln, F.lit("]")).alias("field"), F.lit("float").alias("type")))
+    f2 = (F.when(ls == "O", F.struct(F.concat(F.lit("esc["), ln, F.lit("].label["), (F.col("l_suppkey") % 3).cast("string"),
+                                             F.lit("]")).alias("field"), F.lit("char").alias("type")))
+          .when(rf == "A", F.struct(F.concat(F.lit("esc["), ln, F.lit("].current[0]")).alias("field"),
+                                    F.lit("float").alias("type")))
+          .when(rf == "N", F.struct(F.concat(F.lit("esc["), ln, F.lit("]._padding0[1]")).alias("field"),
+                                    F.lit("uint8_t").alias("type")))
+          .otherwise(F.struct(F.concat(F.lit("outer["), ln, F.lit("].inner.x")).alias("field"),
+                              F.lit("int16_t").alias("type"))))
+    f3 = F.when(F.col("l_linenumber") == 1, F.struct(F.lit("timestamp").alias("field"), F.lit("uint64_t").alias("type"))) \
+          .otherwise(F.struct(F.concat(F.lit("gps.fix["), ln, F.lit("]")).alias("field"), F.lit("int8_t").alias("type")))
+    f0 = F.struct(F.concat(F.lit("esc["), ln, F.lit("].rpm")).alias("field"), rpm_type.alias("type"))
+    rows = li.select(F.concat(F.lit("order_"), F.col("l_orderkey").cast("string")).alias("topic"),
+                     "l_linenumber", F.posexplode(F.array(f0, f1, f2, f3)).alias("k", "f"))
+    return rows.select("topic", ((F.col("l_linenumber") - 1) * 10 + F.col("k")).cast("bigint").alias("ordinal"),
+                       F.col("f.field").alias("field"), F.col("f.type").alias("type"))
+
+
+def channels(spark, root) -> DataFrame:
+    """Channels ``{type}_{instance}`` with their type name and first-seen ordinal."""
+    ev = _t(spark, root, "events")
+    return ev.select(F.concat(F.col("event_type"), F.lit("_"), F.col("user_id").cast("string")).alias("topic"),
+                     F.col("event_type").alias("type_name"), F.col("event_id").alias("ordinal"))
+
+
+def flat_samples(spark, root) -> DataFrame:
+    """Wide samples with flat array columns ``m[0..3]`` and a char array ``flag[0..2]``."""
+    li = _t(spark, root, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     F.col("l_quantity").alias("m[0]"), F.col("l_extendedprice").alias("m[1]"),
+                     F.col("l_discount").alias("m[2]"), F.col("l_tax").alias("m[3]"),
+                     F.ascii("l_returnflag").alias("flag[0]"), F.ascii("l_linestatus").alias("flag[1]"),
+                     F.lit(0).alias("flag[2]"))
+
+
+def struct_array_samples(spark, root) -> DataFrame:
+    """Samples with flat struct-array leaves ``esc[i].rpm / esc[i].temp`` and an array<struct>."""
+    li = _t(spark, root, "lineitem")
+    motors = F.array(F.struct(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("sid")),
+                     F.struct(F.col("l_suppkey").alias("id"), F.col("l_partkey").alias("sid")))
+    return li.select("l_orderkey", "l_linenumber",
+                     F.col("l_quantity").alias("esc[0].rpm"), F.col("l_linenumber").cast("double").alias("esc[1].rpm"),
+                     F.col("l_tax").alias("esc[0].temp"), F.col("l_discount").alias("esc[1].temp"),
+                     motors.alias("motors"))
+
+
+def char_samples(spark, root) -> DataFrame:
+    """Whole texts as signed byte arrays followed by a NUL and junk bytes."""
+    from ..functions.text import text_to_signed_bytes
+    c = _t(spark, root, "conversations")
+    junk = F.array(F.lit(0), F.lit(-120), F.lit(99))
+    return c.select("conv_id", "turn", F.concat(text_to_signed_bytes(F.col("text")), junk).alias("chars"))
+
+
+def char_array_samples(spark, root) -> DataFrame:
+    """Texts split into lines; each line a NUL-terminated signed byte array."""
+    from ..functions.text import text_to_signed_bytes
+    c = _t(spark, root, "conversations")
+    lines = F.split(F.col("text"), "\n", -1)
+    return c.select("conv_id", "turn", F.transform(
+        lines, lambda l: F.concat(text_to_signed_bytes(l), F.array(F.lit(0), F.lit(-61)))).alias("chars"))

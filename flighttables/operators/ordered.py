@@ -12,7 +12,9 @@ only the first and last group of each partition can cross, so that table holds a
 Requirements: ``order_cols`` must order the rows of a group totally (end with a unique
 ordinal); then results are deterministic, also when tasks are re-executed.  The range
 shuffle uses an explicit partition count, which AQE never coalesces, so the partition
-index seen by the pandas step equals the range-partition index.
+index seen by the pandas step equals the range-partition index.  Both consumers of the
+pandas step read one (reused) range shuffle; with exchange reuse switched off the sorted
+input is first pinned by a reliable checkpoint in the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -134,15 +136,17 @@ def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     local = base.mapInPandas(_local_scan(group_cols, lag_cols, lead_cols), T.StructType(fields))
 
     # Border table: per (partition, group) its size, first and last row; partition-crossing
-    # groups only.  The same range shuffle is reused (identical sub-plan).
-    order_key = F.struct(*[F.col(c) for c in order_cols])
-    aggs = [F.count(F.lit(1)).alias(_N)]
+    # groups only.  It is derived from the pandas step's output, which consumes every input
+    # column, so its range shuffle is the identical sub-plan and is reused (one sampling,
+    # one set of range bounds).  Deriving it from a pruned projection would plan a second,
+    # independently sampled range shuffle whose partition borders differ.
+    loc = F.col(_LOC)
+    aggs = [F.max(loc).alias(_N)]
     if lead_cols:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in lead_cols]), order_key).alias("_first"))
+        aggs.append(F.min_by(F.struct(*[F.col(c) for c in lead_cols]), loc).alias("_first"))
     if lag_cols:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in lag_cols]), order_key).alias("_last"))
-    per_part = (base.withColumn(_P, F.spark_partition_id())
-                .groupBy(_P, *group_cols).agg(*aggs))
+        aggs.append(F.max_by(F.struct(*[F.col(c) for c in lag_cols]), loc).alias("_last"))
+    per_part = local.groupBy(_P, *group_cols).agg(*aggs)
     w = Window.partitionBy(*group_cols).orderBy(_P)
     border = per_part.select(
         _P, *group_cols, _N,

@@ -381,3 +381,42 @@ ORACLE_SQL["char_text"] = "SELECT conv_id, turn, text FROM conversations"
 
 ORACLE_SQL["char_text_array"] = """
 SELECT conv_id, turn, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lines, text FROM conversations"""
+
+POSITION_SAMPLES = """
+    SELECT 'flight-' || CAST(label AS VARCHAR) AS mcap_id, CASE WHEN vec_id % 5 = 4 THEN 1 ELSE 0 END AS multi_id,
+           vec_id * 1000 AS timestamp, vec_id AS ordinal,
+           CASE WHEN vec_id % 7 = 0 THEN 'NaN'::DOUBLE ELSE CAST(embedding[1] AS DOUBLE) END AS x,
+           CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z
+    FROM embeddings"""
+_VALID = "multi_id = 0 AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL AND NOT isnan(x) AND NOT isnan(y) AND NOT isnan(z)"
+
+ORACLE_SQL["trajectory_points"] = f"""
+WITH s AS ({POSITION_SAMPLES})
+SELECT mcap_id, row_number() OVER (PARTITION BY mcap_id ORDER BY timestamp, ordinal) AS point_idx, timestamp,
+       y AS x, x AS y, -z AS z
+FROM s WHERE {_VALID}"""
+
+ORACLE_SQL["trajectory_first_ts"] = f"""
+WITH s AS ({POSITION_SAMPLES})
+SELECT mcap_id, arg_min(timestamp, timestamp) AS first_ts, count(*) AS n_points,
+       'trajectory' AS entity_id, 'local_origin' AS frame_id, 'LINE_STRIP' AS line_type, 2.0::DOUBLE AS thickness,
+       true AS scale_invariant, 1.0::DOUBLE AS color_r, 0.55::DOUBLE AS color_g, 0.0::DOUBLE AS color_b,
+       1.0::DOUBLE AS color_a, 0 AS lifetime_sec, 0 AS lifetime_nsec, 0.0::DOUBLE AS pose_x, 0.0::DOUBLE AS pose_y,
+       0.0::DOUBLE AS pose_z, 0.0::DOUBLE AS orient_x, 0.0::DOUBLE AS orient_y, 0.0::DOUBLE AS orient_z,
+       1.0::DOUBLE AS orient_w
+FROM s WHERE {_VALID} GROUP BY mcap_id"""
+
+ORACLE_SQL["merge_streams"] = """
+WITH u AS (
+    SELECT 'f' || CAST(user_id AS VARCHAR) AS mcap_id, event_type || '_0' AS topic,
+           date_diff('microsecond', TIMESTAMP '1970-01-01 00:00:00', ts) AS ts_us, 0 AS stream,
+           CAST(0 AS BIGINT) AS sub_ord, event_id AS row_ord, props AS payload FROM events
+    UNION ALL
+    SELECT 'f' || CAST(conv_id AS VARCHAR), 'logged_messages', turn * 1000000, 1, 0, turn, text FROM conversations
+    UNION ALL
+    SELECT 'f' || CAST(o_custkey AS VARCHAR), 'parameter_changes',
+           date_diff('microsecond', TIMESTAMP '1970-01-01 00:00:00', o_orderdate), 2, 0, o_orderkey, o_orderpriority
+    FROM orders)
+SELECT mcap_id, row_number() OVER (PARTITION BY mcap_id ORDER BY ts_us, stream, sub_ord, row_ord) AS seq,
+       ts_us, topic, stream, sub_ord, row_ord, payload, ts_us * 1000 AS log_time_ns, ts_us * 1000 AS publish_time_ns
+FROM u"""

@@ -254,3 +254,22 @@ def char_text(spark, root):
 def char_text_array(spark, root):
     t = S.char_array_samples(spark, root).select("conv_id", "turn", TX.char_arrays_to_texts("chars").alias("texts"))
     return t.select("conv_id", "turn", F.size("texts").alias("n_lines"), F.array_join("texts", "\n").alias("text"))
+
+
+# ---------------------------------------------------------------- trajectory, merge
+from ..operators import merge as MG, trajectory as TJ  # noqa: E402
+
+
+@query("trajectory_points")
+def trajectory_points(spark, root):
+    return TJ.trajectory_points(S.position_samples(spark, root))
+
+
+@query("trajectory_first_ts")
+def trajectory_first_ts(spark, root):
+    return TJ.trajectory_summary(S.position_samples(spark, root))
+
+
+@query("merge_streams")
+def merge_streams(spark, root):
+    return MG.merge_streams(S.merge_inputs(spark, root))

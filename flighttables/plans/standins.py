@@ -293,3 +293,37 @@ def char_array_samples(spark, root) -> DataFrame:
     lines = F.split(F.col("text"), "\n", -1)
     return c.select("conv_id", "turn", F.transform(
         lines, lambda l: F.concat(text_to_signed_bytes(l), F.array(F.lit(0), F.lit(-61)))).alias("chars"))
+
+
+def position_samples(spark, root) -> DataFrame:
+    """Local-position samples from embedding components; some NaN coordinates, some instance 1."""
+    e = _t(spark, root, "embeddings")
+    nan = F.lit(float("nan"))
+    x = F.when(F.col("vec_id") % 7 == 0, nan).otherwise(F.col("embedding")[0].cast("double"))
+    return e.select(F.concat(F.lit("flight-"), F.col("label").cast("string")).alias("mcap_id"),
+                    F.when(F.col("vec_id") % 5 == 4, 1).otherwise(0).alias("multi_id"),
+                    (F.col("vec_id") * 1000).alias("timestamp"), F.col("vec_id").alias("ordinal"),
+                    x.alias("x"), F.col("embedding")[1].cast("double").alias("y"),
+                    F.col("embedding")[2].cast("double").alias("z"))
+
+
+def merge_inputs(spark, root) -> list[DataFrame]:
+    """Streams of each flight: topic samples (events), tagged logs (conversations),
+    parameter changes (orders)."""
+    ev = _t(spark, root, "events")
+    topics = ev.select(F.concat(F.lit("f"), F.col("user_id").cast("string")).alias("mcap_id"),
+                       F.concat(F.col("event_type"), F.lit("_0")).alias("topic"),
+                       F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                        F.col("ts")).alias("ts_us"),
+                       F.col("event_id").alias("row_ord"), F.col("props").alias("payload"))
+    cv = _t(spark, root, "conversations")
+    logs = cv.select(F.concat(F.lit("f"), F.col("conv_id").cast("string")).alias("mcap_id"),
+                     F.lit("logged_messages").alias("topic"), (F.col("turn") * 1000000).alias("ts_us"),
+                     F.col("turn").alias("row_ord"), F.col("text").alias("payload"))
+    od = _t(spark, root, "orders")
+    params = od.select(F.concat(F.lit("f"), F.col("o_custkey").cast("string")).alias("mcap_id"),
+                       F.lit("parameter_changes").alias("topic"),
+                       F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                        F.col("o_orderdate")).alias("ts_us"),
+                       F.col("o_orderkey").alias("row_ord"), F.col("o_orderpriority").alias("payload"))
+    return [topics, logs, params]

@@ -420,3 +420,39 @@ WITH u AS (
 SELECT mcap_id, row_number() OVER (PARTITION BY mcap_id ORDER BY ts_us, stream, sub_ord, row_ord) AS seq,
        ts_us, topic, stream, sub_ord, row_ord, payload, ts_us * 1000 AS log_time_ns, ts_us * 1000 AS publish_time_ns
 FROM u"""
+
+_EARLY = "ts < TIMESTAMP '2024-01-16 00:00:00'"
+_LATE = "ts >= TIMESTAMP '2024-01-16 00:00:00'"
+
+ORACLE_SQL["union_missing"] = f"""
+SELECT {FLIGHT_ID} AS mcap_id, ts AS log_time, event_id AS ordinal, value, CAST(NULL AS BIGINT) AS k
+FROM events WHERE {_EARLY}
+UNION ALL
+SELECT {FLIGHT_ID}, ts, event_id, value, CAST(json_extract_string(props, '$.k') AS BIGINT) FROM events WHERE {_LATE}"""
+
+ORACLE_SQL["type_conflict_sibling"] = f"""
+SELECT {FLIGHT_ID} AS mcap_id, ts AS log_time, event_id AS ordinal,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, value,
+       CAST(NULL AS VARCHAR) AS k__as_str, CAST(NULL AS BIGINT) AS extra
+FROM events WHERE {_EARLY}
+UNION ALL
+SELECT {FLIGHT_ID}, ts, event_id, NULL, CAST(CAST(value AS FLOAT) AS DOUBLE), json_extract_string(props, '$.k'),
+       CAST(user_id AS BIGINT)
+FROM events WHERE {_LATE}"""
+
+ORACLE_SQL["supported_fields"] = "SELECT event_id, value, event_type AS tag, 3 AS n_columns FROM events"
+
+ORACLE_SQL["descriptor_check"] = f"""
+WITH c AS (SELECT {FLIGHT_ID} AS mcap_id, event_type || '_' || CAST(user_id AS VARCHAR) AS topic,
+                  event_type AS schema_name FROM events)
+SELECT mcap_id, {sql_topic_base('topic')} AS base_topic, count(*) AS n_messages,
+       count(DISTINCT schema_name) AS n_descriptors, min(schema_name) AS schema_name,
+       count(DISTINCT schema_name) = 1 AS ok
+FROM c GROUP BY 1, 2"""
+
+ORACLE_SQL["topic_counts"] = """
+SELECT event_type || '_' || CAST(user_id AS VARCHAR) AS topic, count(*) AS n_messages FROM events GROUP BY 1"""
+
+ORACLE_SQL["partitioned_append"] = ORACLE_SQL["standard_columns"]
+
+ORACLE_SQL["catalog_json"] = f"WITH c AS ({LOG_CATALOG}) SELECT {CATALOG_COLS} FROM c"

@@ -273,3 +273,87 @@ def trajectory_first_ts(spark, root):
 @query("merge_streams")
 def merge_streams(spark, root):
     return MG.merge_streams(S.merge_inputs(spark, root))
+
+
+# ---------------------------------------------------------------- schema evolution, sink, catalog
+from ..operators import schema as SC  # noqa: E402
+from ..session import new_output_dir  # noqa: E402
+from ..sinks import lake as LK  # noqa: E402
+from ..sources import files as FS, tables as TB  # noqa: E402
+
+_KEYS = ["mcap_id", "log_time", "ordinal"]
+
+
+@query("union_missing")
+def union_missing(spark, root):
+    return SC.evolve_union(spark, "events", S.schema_batches(spark, root, conflict=False), keep=_KEYS)
+
+
+@query("type_conflict_sibling")
+def type_conflict_sibling(spark, root):
+    return SC.evolve_union(spark, "events", S.schema_batches(spark, root, conflict=True), keep=_KEYS)
+
+
+@query("supported_fields")
+def supported_fields(spark, root):
+    kept = SC.supported_columns(S.nested_payloads(spark, root))
+    return kept.select("event_id", "value", F.element_at("tags", 1).alias("tag"),
+                       F.lit(len(kept.columns)).alias("n_columns"))
+
+
+@query("descriptor_check")
+def descriptor_check(spark, root):
+    return M.descriptor_check(S.channel_messages(spark, root))
+
+
+@query("topic_counts")
+def topic_counts(spark, root):
+    return M.topic_counts(S.channel_messages(spark, root))
+
+
+def _write_sample_lake(spark, root, name):
+    """Standard-column messages appended to a fresh lake folder in two batches (by day)."""
+    msgs = M.standard_columns(S.message_envelopes(spark, root), payload_cols=["ordinal", "value"])
+    lake = new_output_dir(spark, name)
+    switch = F.lit(S.FIRMWARE_SWITCH[:10]).cast("date")
+    LK.write_lake(spark, msgs.where(F.col("log_date") < switch), lake, mode="append")
+    LK.write_lake(spark, msgs.where(F.col("log_date") >= switch), lake, mode="append")
+    return lake
+
+
+@query("partitioned_append")
+def partitioned_append(spark, root):
+    """Write topic tables (two appends), read the whole lake back."""
+    lake = _write_sample_lake(spark, root, "partitioned_append")
+    return spark.read.parquet(lake)
+
+
+@query("file_manifest")
+def file_manifest(spark, root):
+    """Files of a written lake: path, size, topic and day parsed from the path."""
+    lake = _write_sample_lake(spark, root, "file_manifest")
+    files = FS.list_files(spark, lake, ".parquet")
+    return files.select("path", "length",
+                        F.regexp_extract("path", r"base_topic=([^/]+)", 1).alias("base_topic"),
+                        F.to_date(F.regexp_extract("path", r"log_date=([0-9-]+)", 1)).alias("log_date"))
+
+
+@query("catalog_tables")
+def catalog_tables(spark, root):
+    """Register the driver tables and the curated views; list them with row counts."""
+    from ..operators import curated as CU
+    TB.register_tables(spark, root)
+    S.vehicle_status(spark, root).createOrReplaceTempView("vehicle_status")
+    S.logged_messages(spark, root).createOrReplaceTempView("logged_messages")
+    S.battery_status(spark, root).createOrReplaceTempView("battery_status")
+    CU.register_curated_views(spark)
+    return TB.catalog_tables(spark)
+
+
+@query("catalog_json")
+def catalog_json(spark, root):
+    """Catalog records written as JSON and read back (dates parsed, nulls omitted)."""
+    path = new_output_dir(spark, "catalog_json")
+    MS.write_log_catalog(S.log_catalog(spark, root), path)
+    cat = MS.read_log_catalog(spark, path, multi_line=False)
+    return cat.select(*C.CATALOG_COLUMNS, "ordinal")

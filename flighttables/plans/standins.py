@@ -327,3 +327,46 @@ def merge_inputs(spark, root) -> list[DataFrame]:
                                         F.col("o_orderdate")).alias("ts_us"),
                        F.col("o_orderkey").alias("row_ord"), F.col("o_orderpriority").alias("payload"))
     return [topics, logs, params]
+
+
+FIRMWARE_SWITCH = "2024-01-16 00:00:00"   # stand-in: payload schema changes from this time on
+
+
+def schema_batches(spark, root, conflict: bool) -> list[tuple[str, DataFrame]]:
+    """Two payload schema versions of one topic, split at a firmware switch time.
+
+    Without ``conflict`` the later version only adds a field ``k``; with it, ``k`` changes
+    from an integer to text, ``value`` narrows to float and an int field ``extra`` appears.
+    """
+    ev = _t(spark, root, "events")
+    switch = F.lit(FIRMWARE_SWITCH).cast("timestamp_ntz")
+    base = [flight_id().alias("mcap_id"), F.col("ts").alias("log_time"), F.col("event_id").alias("ordinal")]
+    k_text = F.get_json_object("props", "$.k")
+    early = ev.where(F.col("ts") < switch)
+    late = ev.where(F.col("ts") >= switch)
+    if not conflict:
+        a = early.select(*base, F.col("value"))
+        b = late.select(*base, F.col("value"), k_text.cast("bigint").alias("k"))
+    else:
+        a = early.select(*base, k_text.cast("bigint").alias("k"), F.col("value"))
+        b = late.select(*base, F.col("value").cast("float").alias("value"), k_text.alias("k"),
+                        F.col("user_id").cast("int").alias("extra"))
+    return [("2024-01-01-fw1.mcap", a), ("2024-01-16-fw2.mcap", b)]
+
+
+def nested_payloads(spark, root) -> DataFrame:
+    """Payload rows with map, struct and array-of-struct fields next to supported ones."""
+    ev = _t(spark, root, "events")
+    return ev.select("event_id", "value",
+                     F.from_json("props", "map<string,bigint>").alias("props_map"),
+                     F.struct("value", "user_id").alias("point"),
+                     F.array(F.col("event_type")).alias("tags"),
+                     F.array(F.struct("value")).alias("points"))
+
+
+def channel_messages(spark, root) -> DataFrame:
+    """Messages with channel names ``{type}_{user}`` and their descriptor name."""
+    ev = _t(spark, root, "events")
+    return ev.select(flight_id().alias("mcap_id"),
+                     F.concat(F.col("event_type"), F.lit("_"), F.col("user_id").cast("string")).alias("topic"),
+                     F.col("event_type").alias("schema_name"))

@@ -18,9 +18,14 @@ def decode_payload(messages: DataFrame, schema: T.StructType | str, payload_col:
     return messages.select(*keep, parsed.alias("_payload")).select(*keep, "_payload.*")
 
 
-def read_log_catalog(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Log catalog: a JSON array of records (multi-line JSON), ``log_date`` as DATE."""
-    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
+def read_log_catalog(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                     multi_line: bool = True) -> DataFrame:
+    """Log catalog records, ``log_date`` as DATE.
+
+    ``multi_line=True`` reads the service format (each file one JSON array of records);
+    ``False`` reads JSON lines as written by ``write_log_catalog``.
+    """
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.json(path)

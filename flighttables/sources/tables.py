@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -28,12 +28,18 @@ def register_lake(spark: SparkSession, lake_dir: str, topics: list[str]) -> None
 
 
 def catalog_tables(spark: SparkSession) -> DataFrame:
-    """``SHOW ALL TABLES``: registered tables and views with their column counts."""
-    rows = []
+    """``SHOW ALL TABLES``: registered tables and views with column and row counts.
+
+    The listing is catalog metadata; the row counts are one distributed count per table.
+    """
+    out = None
     for t in spark.catalog.listTables():
-        ncols = len(spark.table(t.name).columns)
-        rows.append((t.name, t.tableType, bool(t.isTemporary), ncols))
-    return spark.createDataFrame(rows, "name string, table_type string, is_temporary boolean, n_columns int")
+        tbl = spark.table(t.name)
+        part = tbl.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(t.name).alias("name"), F.lit(t.tableType).alias("table_type"),
+            F.lit(bool(t.isTemporary)).alias("is_temporary"), F.lit(len(tbl.columns)).alias("n_columns"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def describe(spark: SparkSession, name: str) -> DataFrame:

@@ -456,3 +456,86 @@ SELECT event_type || '_' || CAST(user_id AS VARCHAR) AS topic, count(*) AS n_mes
 ORACLE_SQL["partitioned_append"] = ORACLE_SQL["standard_columns"]
 
 ORACLE_SQL["catalog_json"] = f"WITH c AS ({LOG_CATALOG}) SELECT {CATALOG_COLS} FROM c"
+
+ORACLE_SQL["state_transitions"] = f"""
+WITH vs AS ({VEHICLE_STATUS}),
+r AS (
+    SELECT mcap_id, multi_id, log_time, ordinal, 'nav_state' AS state, CAST(nav_state AS VARCHAR) AS value,
+           CASE nav_state WHEN 0 THEN 'MANUAL' WHEN 1 THEN 'ALTCTL' WHEN 2 THEN 'POSCTL' WHEN 3 THEN 'AUTO_MISSION'
+                WHEN 4 THEN 'AUTO_LOITER' WHEN 5 THEN 'AUTO_RTL' ELSE 'UNKNOWN_' || CAST(nav_state AS VARCHAR) END AS label
+    FROM vs
+    UNION ALL
+    SELECT mcap_id, multi_id, log_time, ordinal, 'arming_state', CAST(arming_state AS VARCHAR),
+           CASE arming_state WHEN 1 THEN 'Disarmed' WHEN 2 THEN 'Armed' ELSE 'UNKNOWN_' || CAST(arming_state AS VARCHAR) END
+    FROM vs
+    UNION ALL
+    SELECT mcap_id, multi_id, log_time, ordinal, 'failsafe', lower(CAST(failsafe AS VARCHAR)),
+           CASE WHEN failsafe THEN 'True' ELSE 'False' END
+    FROM vs),
+p AS (SELECT *, row_number() OVER w AS sample_seq, lag(value) OVER w AS prev_value FROM r
+      WINDOW w AS (PARTITION BY mcap_id, multi_id, state ORDER BY log_time, ordinal)),
+c AS (SELECT * FROM p WHERE sample_seq = 1 OR value IS DISTINCT FROM prev_value),
+s AS (SELECT *, row_number() OVER w2 AS segment, lead(log_time) OVER w2 AS end_time FROM c
+      WINDOW w2 AS (PARTITION BY mcap_id, multi_id, state ORDER BY log_time, ordinal)),
+t0 AS (SELECT mcap_id, multi_id, min(log_time) AS t0 FROM vs GROUP BY 1, 2)
+SELECT mcap_id, multi_id, state, segment, value, label, log_time AS start_time, end_time,
+       date_diff('microsecond', t0, log_time) AS rel_start_us
+FROM s JOIN t0 USING (mcap_id, multi_id)"""
+
+POSITION_FULL = """
+    SELECT 'flight-' || CAST(label AS VARCHAR) AS mcap_id, CASE WHEN vec_id % 5 = 4 THEN 1 ELSE 0 END AS multi_id,
+           TIMESTAMP '2024-01-01 00:00:00' + to_seconds(vec_id) AS log_time,
+           CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z,
+           CAST(embedding[4] AS DOUBLE) AS vx, CAST(embedding[5] AS DOUBLE) AS vy, CAST(embedding[6] AS DOUBLE) AS vz
+    FROM embeddings"""
+
+ORACLE_SQL["series_xy_height"] = f"""
+WITH p AS ({POSITION_FULL}) SELECT mcap_id, log_time, x, y, -z AS height FROM p WHERE multi_id = 0"""
+
+ORACLE_SQL["series_velocity"] = f"""
+WITH p AS ({POSITION_FULL}) SELECT mcap_id, log_time, -vz AS z, y, vx AS x FROM p WHERE multi_id = 0"""
+
+ORACLE_SQL["series_battery"] = """
+SELECT 'order-' || CAST(l_orderkey AS VARCHAR) AS mcap_id, l_shipdate AS log_time, l_extendedprice / 1000 AS voltage_v,
+       l_discount AS remaining, l_quantity AS current_a,
+       CAST(round(l_tax * 100) AS BIGINT) * CAST(3.3 AS DOUBLE) AS low_voltage_v
+FROM lineitem WHERE l_linenumber - 1 = 0"""
+
+RUN_LOG = """
+    SELECT l_returnflag AS batch, CASE WHEN l_linestatus = 'O' THEN 'skipped' ELSE 'converted' END AS outcome,
+           CAST(round(l_extendedprice * 100) AS BIGINT) AS in_bytes, CAST(round(l_quantity * 1000) AS BIGINT) AS out_bytes,
+           l_tax AS read_seconds, l_discount AS transform_seconds, l_tax AS write_seconds
+    FROM lineitem"""
+
+
+def _rate(mb: str, sec: str) -> str:
+    return f"CASE WHEN {sec} > 0 THEN {mb} / {sec} ELSE 0.0 END"
+
+
+ORACLE_SQL["run_stats"] = f"""
+WITH r AS ({RUN_LOG}),
+g AS (SELECT batch, count(*) AS n_files, CAST(sum(in_bytes) AS BIGINT) AS in_bytes,
+             CAST(sum(out_bytes) AS BIGINT) AS out_bytes, sum(read_seconds) AS rs, sum(transform_seconds) AS ts,
+             sum(write_seconds) AS ws FROM r GROUP BY batch)
+SELECT batch, n_files, in_bytes, out_bytes,
+       round({_rate('in_bytes / 1048576.0', 'ts')}, 6) AS transform_mb_s,
+       round({_rate('in_bytes / 1048576.0', 'rs')}, 6) AS read_mb_s,
+       round({_rate('out_bytes / 1048576.0', 'ws')}, 6) AS write_mb_s,
+       round(CASE WHEN in_bytes <> 0 THEN out_bytes / in_bytes END, 6) AS ratio,
+       round(rs + ts + ws, 6) AS wall_seconds
+FROM g"""
+
+ORACLE_SQL["convert_stats"] = f"""
+WITH r AS ({RUN_LOG}),
+g AS (SELECT batch, count(*) FILTER (WHERE outcome = 'skipped') AS n_skipped,
+             count(*) FILTER (WHERE outcome <> 'skipped') AS n_converted,
+             CAST(sum(CASE WHEN outcome <> 'skipped' THEN in_bytes END) AS BIGINT) AS in_bytes,
+             CAST(sum(CASE WHEN outcome <> 'skipped' THEN out_bytes END) AS BIGINT) AS out_bytes,
+             sum(CASE WHEN outcome <> 'skipped' THEN transform_seconds END) AS ts
+      FROM r GROUP BY batch)
+SELECT batch, n_skipped, n_converted, in_bytes, out_bytes,
+       round({_rate('in_bytes / 1048576.0', 'ts')}, 6) AS transform_mb_s,
+       round(CASE WHEN in_bytes <> 0 THEN out_bytes / in_bytes END, 6) AS ratio
+FROM g"""
+
+ORACLE_SQL["run_outcomes"] = f"WITH r AS ({RUN_LOG}) SELECT outcome, count(*) AS n FROM r GROUP BY outcome"

@@ -357,3 +357,49 @@ def catalog_json(spark, root):
     MS.write_log_catalog(S.log_catalog(spark, root), path)
     cat = MS.read_log_catalog(spark, path, multi_line=False)
     return cat.select(*C.CATALOG_COLUMNS, "ordinal")
+
+
+# ---------------------------------------------------------------- dashboard series, states, run stats
+from ..operators import series as SE, stats as ST  # noqa: E402
+
+
+@query("state_transitions")
+def state_transitions(spark, root):
+    return SE.state_transitions(S.vehicle_status(spark, root))
+
+
+@query("series_xy_height")
+def series_xy_height(spark, root):
+    pos = S.position_full(spark, root)
+    return SE.xy_series(pos).join(SE.height_series(pos), on=["mcap_id", "log_time"], how="inner")
+
+
+@query("series_velocity")
+def series_velocity(spark, root):
+    return SE.velocity_series(S.position_full(spark, root))
+
+
+@query("series_battery")
+def series_battery(spark, root):
+    return SE.battery_series(S.battery_samples(spark, root))
+
+
+def _rounded(df, cols, digits=6):
+    return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@query("run_stats")
+def run_stats(spark, root):
+    st = ST.ingest_stats(S.run_log(spark, root), by=["batch"])
+    return _rounded(st, ["transform_mb_s", "read_mb_s", "write_mb_s", "ratio", "wall_seconds"])
+
+
+@query("convert_stats")
+def convert_stats(spark, root):
+    st = ST.conversion_stats(S.run_log(spark, root), by=["batch"])
+    return _rounded(st, ["transform_mb_s", "ratio"])
+
+
+@query("run_outcomes")
+def run_outcomes(spark, root):
+    return ST.outcome_counts(S.run_log(spark, root))

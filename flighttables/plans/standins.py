@@ -370,3 +370,36 @@ def channel_messages(spark, root) -> DataFrame:
     return ev.select(flight_id().alias("mcap_id"),
                      F.concat(F.col("event_type"), F.lit("_"), F.col("user_id").cast("string")).alias("topic"),
                      F.col("event_type").alias("schema_name"))
+
+
+def position_full(spark, root) -> DataFrame:
+    """Local position with velocities from embedding components (instance 1 on some rows)."""
+    e = _t(spark, root, "embeddings")
+    comp = lambda i: F.col("embedding")[i].cast("double")
+    return e.select(F.concat(F.lit("flight-"), F.col("label").cast("string")).alias("mcap_id"),
+                    F.when(F.col("vec_id") % 5 == 4, 1).otherwise(0).alias("multi_id"),
+                    F.timestamp_add("SECOND", F.col("vec_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+                    .alias("log_time"),
+                    comp(0).alias("x"), comp(1).alias("y"), comp(2).alias("z"),
+                    comp(3).alias("vx"), comp(4).alias("vy"), comp(5).alias("vz"))
+
+
+def battery_samples(spark, root) -> DataFrame:
+    """Battery samples per order (instance = line number - 1) at the ship date."""
+    li = _t(spark, root, "lineitem")
+    return li.select(F.concat(F.lit("order-"), F.col("l_orderkey").cast("string")).alias("mcap_id"),
+                     (F.col("l_linenumber") - 1).alias("multi_id"), F.col("l_shipdate").alias("log_time"),
+                     (F.col("l_extendedprice") / 1000).alias("voltage_v"), F.col("l_discount").alias("remaining"),
+                     F.col("l_quantity").alias("current_a"),
+                     F.round(F.col("l_tax") * 100).cast("bigint").alias("cell_count"))
+
+
+def run_log(spark, root) -> DataFrame:
+    """Per-file run-log rows: byte counts and phase seconds (zero seconds occur)."""
+    li = _t(spark, root, "lineitem")
+    return li.select(F.col("l_returnflag").alias("batch"),
+                     F.when(F.col("l_linestatus") == "O", "skipped").otherwise("converted").alias("outcome"),
+                     F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("in_bytes"),
+                     F.round(F.col("l_quantity") * 1000).cast("bigint").alias("out_bytes"),
+                     F.col("l_tax").alias("read_seconds"), F.col("l_discount").alias("transform_seconds"),
+                     F.col("l_tax").alias("write_seconds"))

@@ -16,12 +16,17 @@ def _to_raw(arr: Column) -> Column:
 
 
 def char_array_to_text(arr) -> Column:
-    """array<signed byte as int> -> string: mask, cut at first NUL, UTF-8 with replacement."""
+    """array<signed byte as int> -> string: mask, cut at first NUL, UTF-8 with replacement.
+
+    Bytes become Latin-1 characters (code point = byte value), are joined and encoded back
+    as Latin-1, which yields exactly the raw bytes; those are read as UTF-8.  Linear in the
+    array length.
+    """
     raw = _to_raw(as_col(arr))
     nul = F.array_position(raw, 0)
     cut = F.when(nul == 0, raw).otherwise(F.slice(raw, F.lit(1), (nul - 1).cast("int")))
-    hexed = F.array_join(F.transform(cut, lambda b: F.lpad(F.hex(b), 2, "0")), "")
-    return F.make_valid_utf8(F.unhex(hexed).cast("string"))
+    latin = F.array_join(F.transform(cut, lambda b: F.chr(b)), "")
+    return F.make_valid_utf8(F.encode(latin, "ISO-8859-1").cast("string"))
 
 
 def char_arrays_to_texts(arrs) -> Column:
@@ -30,9 +35,11 @@ def char_arrays_to_texts(arrs) -> Column:
 
 
 def text_to_signed_bytes(text) -> Column:
-    """UTF-8 bytes of a string as signed ints (the form raw logs store ``char`` in)."""
-    h = F.hex(F.encode(as_col(text), "UTF-8"))
-    idx = F.sequence(F.lit(0), (F.length(h) / 2 - 1).cast("int"))
-    unsigned = F.transform(F.when(F.length(h) > 0, idx).otherwise(F.array().cast("array<int>")),
-                           lambda i: F.conv(F.substring(h, i * 2 + 1, 2), 16, 10).cast("int"))
-    return F.transform(unsigned, lambda b: F.when(b > 127, b - 256).otherwise(b))
+    """UTF-8 bytes of a string as signed ints (the form raw logs store ``char`` in).
+
+    The UTF-8 bytes are read as Latin-1 so each byte becomes one character whose code point
+    is the byte value; splitting into characters is linear in the text length.
+    """
+    latin = F.decode(F.encode(as_col(text), "UTF-8"), "ISO-8859-1")
+    chars = F.when(F.length(latin) > 0, F.split(latin, "")).otherwise(F.array().cast("array<string>"))
+    return F.transform(chars, lambda c: F.when(F.ascii(c) > 127, F.ascii(c) - 256).otherwise(F.ascii(c)))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.names import column_name, compose_topic
 from ..functions.text import char_array_to_text
-from ..functions.types import table_type, wire_type
+from ..functions.types import SOURCE_TO_WIRE, table_type, wire_type
 
 # Flat field name patterns.
 ARRAY_RE = r"^(.*)\[([0-9]+)\]$"                     # base[idx]
@@ -103,28 +103,51 @@ def _classified_rows(fields: DataFrame) -> DataFrame:
                          drop.alias("drop_reason"), warn.alias("warn"))
 
 
+KINDS = ["scalar", "array", "text", "text_array"]
+_TYPE_CODES = list(SOURCE_TO_WIRE)          # source type names in their fixed order
+_UNKNOWN_TYPE = 31
+
+
+def _code(values: list[str], c, unknown: int):
+    m = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(v), F.lit(i))])
+    return F.coalesce(F.try_element_at(m, c), F.lit(unknown)).cast("bigint")
+
+
+def _decode(values: list[str], code):
+    return F.try_element_at(F.array(*[F.lit(v) for v in values]), (code + 1).cast("int"))
+
+
 def classify_fields(fields: DataFrame) -> DataFrame:
     """Table columns of each topic from its flat field list ``(topic, ordinal, field, type)``.
 
-    The first field of a column in ``(ordinal, field, type)`` order decides its kind and type.
+    The first field of a column decides its kind and type (equal ordinals break by type,
+    then kind).  The choice is packed into one bigint — ``ordinal * 256 + type * 8 + kind``
+    — so the whole roll-up is a hash aggregate with a fixed-width buffer.
     Output per column: ``topic, position`` (first field ordinal, i.e. column order),
     ``column_name, base, leaf, kind`` (scalar / array / text / text_array),
     ``source_type, wire_type, table_type, outer_len, inner_len``.
     """
-    rows = _classified_rows(fields).where(F.col("drop_reason").isNull())
-    first = F.struct("ordinal", "field", "type", "row_kind")
+    # Dropped rows stay in the scan and are masked inside the aggregates: filtering first
+    # would be pushed below the classifying projection and evaluate every pattern twice.
+    rows = _classified_rows(fields)
+    kept = F.col("drop_reason").isNull()
+    packed = (F.col("ordinal").cast("bigint") * 256 + _code(_TYPE_CODES, F.col("type"), _UNKNOWN_TYPE) * 8
+              + _code(KINDS, F.col("row_kind"), 7))
     g = (rows.groupBy("topic", "base", "leaf")
-         .agg(F.min(first).alias("_first"),
-              F.coalesce(F.max("outer_cand"), F.lit(1)).alias("outer_len"),
-              F.coalesce(F.max("inner_cand"), F.lit(1)).alias("inner_len")))
-    kind = F.col("_first.row_kind")
-    wire = F.when(kind.isin("text", "text_array"), F.lit("string")).otherwise(wire_type(F.col("_first.type")))
+         .agg(F.min(F.when(kept, packed)).alias("_first"),
+              F.coalesce(F.max(F.when(kept, F.col("outer_cand"))), F.lit(1)).alias("outer_len"),
+              F.coalesce(F.max(F.when(kept, F.col("inner_cand"))), F.lit(1)).alias("inner_len"))
+         .where(F.col("_first").isNotNull()))
+    first = F.col("_first")
+    kind = _decode(KINDS, first % 8)
+    source_type = _decode(_TYPE_CODES, F.floor(first / 8) % 32)
+    wire = F.when(kind.isin("text", "text_array"), F.lit("string")).otherwise(wire_type(source_type))
     scalar_table = table_type(wire)
     table = F.when(kind.isin("array", "text_array"), F.concat(F.lit("array<"), scalar_table, F.lit(">"))) \
              .otherwise(scalar_table)
-    return g.select("topic", F.col("_first.ordinal").alias("position"),
+    return g.select("topic", F.floor(first / 256).cast("bigint").alias("position"),
                     column_name(F.col("base"), F.col("leaf")).alias("column_name"),
-                    "base", "leaf", kind.alias("kind"), F.col("_first.type").alias("source_type"),
+                    "base", "leaf", kind.alias("kind"), source_type.alias("source_type"),
                     wire.alias("wire_type"), table.alias("table_type"), "outer_len", "inner_len")
 
 

@@ -271,6 +271,8 @@ SELECT 'embedding_' || CAST(label AS VARCHAR) AS topic, vec_id * 1000 + i AS tim
        v AS "control[0]", -v AS "control[1]"
 FROM z"""
 
+_SOURCE_TYPES_ALL = ("['int8_t','int16_t','int32_t','int64_t','uint8_t','uint16_t','uint32_t','uint64_t','float',"
+                     "'double','bool','char']")
 _SOURCE_TYPES = "['int8_t','int16_t','int32_t','int64_t','uint8_t','uint16_t','uint32_t','uint64_t','float','double','bool']"
 
 FIELD_ROWS = f"""
@@ -346,8 +348,11 @@ _TABLE = """CASE w WHEN 'int32' THEN 'bigint' WHEN 'int64' THEN 'bigint' WHEN 'u
 ORACLE_SQL["field_classify"] = f"""
 WITH fr AS ({FIELD_ROWS}), c AS ({CLASSIFIED}),
 g AS (
-    SELECT topic, base, leaf, min(ordinal) AS position, first(row_kind ORDER BY ordinal, field, type) AS kind,
-           first(type ORDER BY ordinal, field, type) AS source_type,
+    SELECT topic, base, leaf, min(ordinal) AS position,
+           first(row_kind ORDER BY ordinal, list_position({_SOURCE_TYPES_ALL}, type),
+                 list_position(['scalar', 'array', 'text', 'text_array'], row_kind)) AS kind,
+           first(type ORDER BY ordinal, list_position({_SOURCE_TYPES_ALL}, type),
+                 list_position(['scalar', 'array', 'text', 'text_array'], row_kind)) AS source_type,
            COALESCE(max(outer_cand), 1) AS outer_len, COALESCE(max(inner_cand), 1) AS inner_len
     FROM c WHERE drop_reason IS NULL GROUP BY topic, base, leaf),
 w AS (SELECT *, CASE WHEN kind IN ('text', 'text_array') THEN 'string' ELSE {_WIRE.replace('CASE t', 'CASE source_type')} END

@@ -141,4 +141,5 @@ def pending_conversions(sources: DataFrame, existing: DataFrame, overwrite: bool
                              dest_key(F.col(key_col)).alias("dest_key"))
     if overwrite:
         return pending
-    return pending.join(existing.select(F.col("dest_key")).distinct(), on="dest_key", how="left_anti")
+    return (pending.join(existing.select(F.col("dest_key")).distinct(), on="dest_key", how="left_anti")
+            .select("key", "dest_key"))

@@ -544,3 +544,5 @@ SELECT batch, n_skipped, n_converted, in_bytes, out_bytes,
 FROM g"""
 
 ORACLE_SQL["run_outcomes"] = f"WITH r AS ({RUN_LOG}) SELECT outcome, count(*) AS n FROM r GROUP BY outcome"
+
+ORACLE_SQL["flights_sample"] = f"SELECT * FROM ({ORACLE_SQL['flights_overview']}) ORDER BY start_time, mcap_id LIMIT 5"

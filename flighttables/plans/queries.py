@@ -403,3 +403,10 @@ def convert_stats(spark, root):
 @query("run_outcomes")
 def run_outcomes(spark, root):
     return ST.outcome_counts(S.run_log(spark, root))
+
+
+@query("flights_sample")
+def flights_sample(spark, root):
+    """``SELECT * FROM flights LIMIT 5`` with a total order (earliest starts first)."""
+    return curated.flights(S.vehicle_status(spark, root), S.logged_messages(spark, root)) \
+        .orderBy("start_time", "mcap_id").limit(5)

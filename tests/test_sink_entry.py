@@ -52,3 +52,16 @@ def test_entry_and_registry(spark):
     assert df.count() > 0
     assert df.columns == ["mcap_id", "flight_date", "start_time", "duration", "armed_duration", "error_count"]
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_ingest_stream_available_now(spark):
+    from flighttables.streaming.ingest import ingest_stream
+    src = new_output_dir(spark, "test-envelopes")
+    env = spark.createDataFrame([("2024-01-01-a", dt.date(2024, 1, 1), "gps", 1000, 1000, 0, 1.0),
+                                 ("2024-01-01-a", dt.date(2024, 1, 1), "baro_1", 2000, 2000, 0, 2.0)], ENV)
+    env.write.parquet(src)
+    lake = new_output_dir(spark, "test-stream-lake")
+    q = ingest_stream(spark, src, env.schema, lake, name=f"t{abs(hash(lake)) % 10**8}", payload_cols=["v"])
+    q.awaitTermination(120)
+    assert q.exception() is None
+    assert spark.read.parquet(lake).count() == 2

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-_P, _LOC, _N = "_op_part", "_op_local", "_op_n"
+_P, _LOC, _N, _EDGE = "_op_part", "_op_local", "_op_n", "_op_edge"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -63,13 +63,24 @@ def _nullable(s: pd.Series) -> pd.Series:
     return s
 
 
+def _keys_equal(a: tuple, b: tuple) -> bool:
+    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+
+
 def _local_scan(group_cols, lag_cols, lead_cols):
-    """Per partition: local 1-based sequence, previous and next values inside the group."""
+    """Per partition: local 1-based sequence, previous and next values inside the group.
+
+    Also marks the three *edge* rows that the border table needs: the partition's first
+    row, the last row of the partition's first group, and the partition's last row.  A
+    group crossing a border is the last group of the earlier partition and the first
+    group of the later one, so these rows carry every count and value the fix-up uses.
+    """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
         carry_key, carry_n, carry_last = None, 0, {}
         pending = None
+        first_group_open = True          # still inside the partition's first group
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -77,9 +88,8 @@ def _local_scan(group_cols, lag_cols, lead_cols):
             for c in [*lag_cols, *lead_cols]:
                 pdf[c] = _nullable(pdf[c])
             same_prev = _same_as_previous(pdf, group_cols)
-            first_key = tuple(pdf.loc[0, c] for c in group_cols)
-            continues = carry_key is not None and all(
-                (a == b) or (pd.isna(a) and pd.isna(b)) for a, b in zip(first_key, carry_key))
+            batch_key = tuple(pdf.loc[0, c] for c in group_cols)
+            continues = carry_key is not None and _keys_equal(batch_key, carry_key)
             gid = (~same_prev).cumsum()
             local = pdf.groupby(gid).cumcount() + 1
             if continues:
@@ -94,19 +104,29 @@ def _local_scan(group_cols, lag_cols, lead_cols):
             same_next = same_prev.shift(-1, fill_value=False)
             for c in lead_cols:
                 pdf[f"_next_{c}"] = pdf[c].shift(-1).where(same_next)
-            # The previous batch's last row may continue into this batch's first row.
+            edge = pd.Series(False, index=pdf.index)
+            if carry_key is None:
+                edge.iloc[0] = True                          # partition's first row
             if pending is not None:
                 if continues:
+                    # The previous batch's last row continues into this batch's first row.
                     for c in lead_cols:
                         pending.loc[len(pending) - 1, f"_next_{c}"] = pdf.loc[0, c]
+                elif first_group_open:
+                    pending.loc[len(pending) - 1, _EDGE] = True   # first group ended there
+                    first_group_open = False
                 yield pending
+            if first_group_open and (gid > 1).any():
+                edge.iloc[int((gid == 1).sum()) - 1] = True       # first group ends here
+                first_group_open = False
+            pdf[_EDGE] = edge
             last = len(pdf) - 1
-            last_key = tuple(pdf.loc[last, c] for c in group_cols)
+            carry_key = tuple(pdf.loc[last, c] for c in group_cols)
             carry_n = int(pdf.loc[last, _LOC])
-            carry_key = last_key
             carry_last = {c: pdf.loc[last, c] for c in lag_cols}
             pending = pdf
         if pending is not None:
+            pending.loc[len(pending) - 1, _EDGE] = True           # partition's last row
             yield pending
 
     return scan
@@ -129,7 +149,8 @@ def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
         base = base.checkpoint(eager=True)
 
     fields = list(base.schema.fields) + [T.StructField(_P, T.IntegerType(), False),
-                                          T.StructField(_LOC, T.LongType(), False)]
+                                          T.StructField(_LOC, T.LongType(), False),
+                                          T.StructField(_EDGE, T.BooleanType(), False)]
     types = {f.name: f.dataType for f in base.schema.fields}
     fields += [T.StructField(f"_prev_{c}", types[c], True) for c in lag_cols]
     fields += [T.StructField(f"_next_{c}", types[c], True) for c in lead_cols]
@@ -146,7 +167,7 @@ def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in lead_cols]), loc).alias("_first"))
     if lag_cols:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in lag_cols]), loc).alias("_last"))
-    per_part = local.groupBy(_P, *group_cols).agg(*aggs)
+    per_part = local.where(F.col(_EDGE)).groupBy(_P, *group_cols).agg(*aggs)
     w = Window.partitionBy(*group_cols).orderBy(_P)
     border = per_part.select(
         _P, *group_cols, _N,

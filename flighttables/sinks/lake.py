@@ -1,90 +1,96 @@
 """Topic-table sink (K1-K4, K7, O3, §2.13.16 re-ingest policy).
 
-Every base topic is one Parquet table folder ``<lake>/<base_topic>/log_date=YYYY-MM-DD/``
-with zstd files whose rows are sorted by ``publish_time``.  The write is one pass over
-the messages: a ``rebalance`` on ``(base_topic, log_date)`` lets AQE split a hot
-(topic, day) across several tasks and merge small ones, then each task sorts its rows by
-publish time.  Topics whose payload schemas differ are written one table per topic.
+Every base topic is one Parquet table folder ``<lake>/base_topic=<t>/log_date=YYYY-MM-DD/``
+with zstd files whose rows are sorted by ``publish_time``.  The write is one pass over the
+messages: a ``rebalance`` on ``(base_topic, log_date)`` lets AQE split a hot (topic, day)
+across several tasks and merge small ones, then each task sorts its rows by publish time.
+
+Which flights a table or lake holds is kept in a small manifest ``<root>/_ingested``
+(hidden from partition discovery by its leading underscore), so the re-ingest check and the
+returned topic list never scan the data itself.  The manifest is appended after the data
+commit; a crash in between leaves those flights unlisted, and they are ingested again.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.messages import sort_for_write
 
 COMPRESSION = "zstd"
 ZSTD_LEVEL = "3"
+MANIFEST = "_ingested"
+POLICIES = ("error", "skip", "append")
 
 
-def _writer(df: DataFrame, mode: str):
-    return (df.write.mode(mode).partitionBy("log_date")
-            .option("compression", COMPRESSION)
-            .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL))
-
-
-def existing_flights(spark: SparkSession, table_dir: str) -> DataFrame | None:
-    """Distinct flight ids already in a topic table folder, or ``None`` if it does not exist."""
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(table_dir).select("mcap_id").distinct()
+        return spark.read.parquet(path)
     except Exception as e:  # noqa: BLE001 - a missing folder is the only expected case
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
 
 
-def apply_reingest_policy(spark: SparkSession, batch: DataFrame, table_dir: str, on_existing: str) -> DataFrame:
-    """``error``: fail if a flight of the batch is already in the table; ``skip``: drop those flights."""
-    done = existing_flights(spark, table_dir)
-    if done is None or on_existing == "append":
-        return batch
-    if on_existing == "skip":
-        return batch.join(done, on="mcap_id", how="left_anti")
-    if on_existing == "error":
-        dup = batch.select("mcap_id").distinct().join(done, on="mcap_id", how="left_semi").limit(1).collect()
-        if dup:
-            raise ValueError(f"flight {dup[0]['mcap_id']} is already ingested into {table_dir}")
-        return batch
-    raise ValueError(f"unknown on_existing policy {on_existing!r}")
+def _stage_and_check(spark: SparkSession, messages: DataFrame, root: str, keys: list[str], mode: str,
+                     on_existing: str) -> tuple[DataFrame, DataFrame, str]:
+    """Stage the batch's manifest rows and apply the re-ingest policy.
+
+    ``error``: fail if a flight of the batch is already listed; ``skip``: drop those flights
+    from the batch; ``append``: no check.  Returns (messages, batch manifest, manifest dir).
+    """
+    if on_existing not in POLICIES:
+        raise ValueError(f"unknown on_existing policy {on_existing!r}")
+    manifest_dir = f"{root.rstrip('/')}/{MANIFEST}"
+    staged_dir = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    # One pass over a few pruned columns; the result is written, never collected.
+    messages.select(*keys).distinct().write.parquet(staged_dir)
+    batch = spark.read.parquet(staged_dir)
+    if mode == "append" and on_existing != "append":
+        done = _read_or_none(spark, manifest_dir)
+        if done is not None:
+            already = (batch.select("mcap_id").distinct()
+                       .join(done.select("mcap_id").distinct(), on="mcap_id", how="left_semi"))
+            if on_existing == "skip":
+                messages = messages.join(already, on="mcap_id", how="left_anti")
+                batch = batch.join(already, on="mcap_id", how="left_anti")
+            else:
+                dup = already.limit(1).collect()
+                if dup:
+                    raise ValueError(f"flight {dup[0]['mcap_id']} is already ingested into {root}")
+    return messages, batch, manifest_dir
+
+
+def _parquet(df: DataFrame, mode: str, partition_cols: list[str]):
+    return (df.write.mode(mode).partitionBy(*partition_cols)
+            .option("compression", COMPRESSION)
+            .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL))
 
 
 def write_topic_table(spark: SparkSession, rows: DataFrame, table_dir: str, mode: str = "append",
                       on_existing: str = "error") -> None:
     """Append (or overwrite) one topic's rows, partitioned by ``log_date``, sorted by publish time."""
-    if mode == "append":
-        rows = apply_reingest_policy(spark, rows, table_dir, on_existing)
-    out = sort_for_write(rows.hint("rebalance", "log_date"))
-    _writer(out, mode).parquet(table_dir)
+    rows, batch, manifest_dir = _stage_and_check(spark, rows, table_dir, ["mcap_id", "log_date"], mode, on_existing)
+    _parquet(sort_for_write(rows.hint("rebalance", "log_date")), mode, ["log_date"]).parquet(table_dir)
+    batch.write.mode(mode).parquet(manifest_dir)
 
 
 def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: str = "append",
                on_existing: str = "error") -> list[str]:
     """Fan out standard-column messages (with ``base_topic``) to one table per base topic.
 
-    Single pass: ``partitionBy("base_topic", "log_date")`` writes every topic's folder at once
-    (``<lake>/base_topic=<t>/log_date=<d>``); returns the topics written.  ``mode="overwrite"``
-    resets the lake folder first (K7) and is only ever applied to the caller's folder.
+    Single pass: ``partitionBy("base_topic", "log_date")`` writes every topic's folder at once.
+    ``mode="overwrite"`` resets the lake and its manifest (K7); it is only ever applied to the
+    caller's folder.  Returns the lake's topics (from the manifest).
     """
-    if mode == "append" and on_existing != "append":
-        done = None
-        try:
-            done = spark.read.parquet(lake_dir).select("mcap_id").distinct()
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-                raise
-        if done is not None:
-            if on_existing == "skip":
-                messages = messages.join(done, on="mcap_id", how="left_anti")
-            else:
-                dup = messages.select("mcap_id").distinct().join(done, on="mcap_id", how="left_semi").limit(1).collect()
-                if dup:
-                    raise ValueError(f"flight {dup[0]['mcap_id']} is already ingested into {lake_dir}")
+    messages, batch, manifest_dir = _stage_and_check(spark, messages, lake_dir,
+                                                     ["mcap_id", "base_topic", "log_date"], mode, on_existing)
     out = sort_for_write(messages.hint("rebalance", "base_topic", "log_date"))
-    (out.write.mode(mode).partitionBy("base_topic", "log_date")
-     .option("compression", COMPRESSION)
-     .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL)
-     .parquet(lake_dir))
-    return [r["base_topic"] for r in spark.read.parquet(lake_dir).select("base_topic").distinct().collect()]
+    _parquet(out, mode, ["base_topic", "log_date"]).parquet(lake_dir)
+    batch.write.mode(mode).parquet(manifest_dir)
+    return sorted(r["base_topic"] for r in spark.read.parquet(manifest_dir).select("base_topic").distinct().collect())
 
 
 def read_topic(spark: SparkSession, lake_dir: str, base_topic: str) -> DataFrame:

@@ -65,3 +65,13 @@ def test_ingest_stream_available_now(spark):
     q.awaitTermination(120)
     assert q.exception() is None
     assert spark.read.parquet(lake).count() == 2
+
+
+def test_write_topic_table_policy(spark):
+    table = new_output_dir(spark, "test-topic-table")
+    m = msgs(spark, "2024-01-03-c", 3).where(F.col("base_topic") == "gps")
+    LK.write_topic_table(spark, m, table)
+    with pytest.raises(ValueError, match="already ingested"):
+        LK.write_topic_table(spark, m, table)
+    LK.write_topic_table(spark, m, table, on_existing="skip")
+    assert spark.read.parquet(table).count() == 1

@@ -57,9 +57,13 @@ def descriptor_check(messages: DataFrame, schema_col: str = "schema_name") -> Da
     with ``assert_true`` so a mismatch fails the job (fail fast), like the grouping step.
     """
     m = messages if "base_topic" in messages.columns else with_topic_parts(messages)
-    g = (m.groupBy("mcap_id", "base_topic")
-         .agg(F.count(F.lit(1)).alias("n_messages"),
-              F.count_distinct(F.col(schema_col)).alias("n_descriptors"),
-              F.min(F.col(schema_col)).alias("schema_name")))
+    # Hash pre-aggregate over all messages (fixed-width buffer), then a small final step
+    # over one row per (flight, topic, descriptor).
+    per_desc = m.groupBy("mcap_id", "base_topic", F.col(schema_col).alias("_desc")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    g = (per_desc.groupBy("mcap_id", "base_topic")
+         .agg(F.sum("_n").alias("n_messages"),
+              F.count(F.col("_desc")).alias("n_descriptors"),
+              F.min(F.col("_desc")).alias("schema_name")))
     return g.withColumn("ok", F.col("n_descriptors") == 1) \
             .where(F.assert_true(F.col("ok"), F.lit("topic base has mismatched descriptors across instances")).isNull())

@@ -57,7 +57,6 @@ def trajectory_points(samples: DataFrame) -> DataFrame:
 def trajectory_summary(samples: DataFrame) -> DataFrame:
     """One row per flight with valid points: first valid sample time, count, scene constants."""
     pts = valid_points(samples)
-    g = pts.groupBy("mcap_id").agg(
-        F.min_by(F.col("timestamp"), F.struct("timestamp", "ordinal")).alias("first_ts"),
-        F.count(F.lit(1)).alias("n_points"))
+    # Sample order is (timestamp, ordinal), so the first valid sample's time is min(timestamp).
+    g = pts.groupBy("mcap_id").agg(F.min("timestamp").alias("first_ts"), F.count(F.lit(1)).alias("n_points"))
     return g.select("mcap_id", "first_ts", "n_points", *[F.lit(v).alias(k) for k, v in SCENE.items()])

@@ -62,11 +62,16 @@ def topic_fields(fields: DataFrame) -> DataFrame:
 
 
 def schema_registry(channels: DataFrame, type_col: str = "type_name", topic_col: str = "topic") -> DataFrame:
-    """One schema per type shared by all its instances: first channel by ordinal, instance count."""
-    return (channels.groupBy(type_col)
-            .agg(F.min_by(F.col(topic_col), F.col("ordinal")).alias("first_topic"),
-                 F.min("ordinal").alias("first_ordinal"),
-                 F.count_distinct(F.col(topic_col)).alias("n_instances")))
+    """One schema per type shared by all its instances: first channel by ordinal, instance count.
+
+    A hash pre-aggregate per (type, channel) runs over all rows; the final step sees one
+    row per channel.
+    """
+    per_channel = channels.groupBy(type_col, topic_col).agg(F.min("ordinal").alias("_first"))
+    return (per_channel.groupBy(type_col)
+            .agg(F.min_by(F.col(topic_col), F.col("_first")).alias("first_topic"),
+                 F.min("_first").alias("first_ordinal"),
+                 F.count(F.lit(1)).alias("n_instances")))
 
 
 # ------------------------------------------------------------------ field classification

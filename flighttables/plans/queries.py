@@ -410,3 +410,15 @@ def flights_sample(spark, root):
     """``SELECT * FROM flights LIMIT 5`` with a total order (earliest starts first)."""
     return curated.flights(S.vehicle_status(spark, root), S.logged_messages(spark, root)) \
         .orderBy("start_time", "mcap_id").limit(5)
+
+
+@query("lake_flights")
+def lake_flights(spark, root):
+    """End to end: envelopes -> topic tables -> registered tables -> curated ``flights`` SQL view."""
+    from ..operators import curated as CU
+    from ..operators.ingest import ingest_envelopes
+    lake = new_output_dir(spark, "lake_flights")
+    topics = ingest_envelopes(spark, S.telemetry_envelopes(spark, root), S.TELEMETRY_SCHEMAS, lake)
+    TB.register_lake(spark, lake, topics)
+    CU.register_curated_views(spark, views=("error_counts", "flights"))
+    return spark.sql("SELECT * FROM flights")

@@ -403,3 +403,30 @@ def run_log(spark, root) -> DataFrame:
                      F.round(F.col("l_quantity") * 1000).cast("bigint").alias("out_bytes"),
                      F.col("l_tax").alias("read_seconds"), F.col("l_discount").alias("transform_seconds"),
                      F.col("l_tax").alias("write_seconds"))
+
+
+# Payload schemas of the two stand-in topics (a message definition each).
+TELEMETRY_SCHEMAS = {
+    "vehicle_status": "arming_state int, nav_state int, failsafe boolean",
+    "logged_messages": "level string, message string",
+}
+
+
+def telemetry_envelopes(spark, root) -> DataFrame:
+    """Message envelopes with JSON payloads: vehicle status from click/purchase/signup events,
+    log messages from error/view events; times in ns after the log's midnight."""
+    ev = _t(spark, root, "events")
+    day = F.col("ts").cast("date")
+    ns = F.timestamp_diff("MICROSECOND", day.cast("timestamp_ntz"), F.col("ts")) * 1000
+    status = F.col("event_type").isin("click", "purchase", "signup")
+    payload = F.when(status, F.to_json(F.struct(
+        F.when(F.col("event_type") == "purchase", 2).otherwise(1).alias("arming_state"),
+        (F.floor(F.col("value")) % 7).cast("int").alias("nav_state"),
+        (F.col("event_type") == "signup").alias("failsafe")))).otherwise(F.to_json(F.struct(
+            F.when(F.col("event_type") == "error", "ERROR").otherwise("INFO").alias("level"),
+            F.col("props").alias("message"))))
+    return ev.select(flight_id().alias("mcap_id"), day.alias("log_date"),
+                     F.when(status, F.lit("vehicle_status_0")).otherwise(F.lit("logged_messages")).alias("topic"),
+                     ns.alias("log_time_ns"), ns.alias("publish_time_ns"), F.lit(0).cast("bigint").alias("sequence"),
+                     F.when(status, F.lit("vehicle_status")).otherwise(F.lit("Log")).alias("schema_name"),
+                     payload.alias("payload"))

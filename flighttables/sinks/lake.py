@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.messages import sort_for_write
 
@@ -78,21 +78,38 @@ def write_topic_table(spark: SparkSession, rows: DataFrame, table_dir: str, mode
 
 
 def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: str = "append",
-               on_existing: str = "error") -> list[str]:
+               on_existing: str = "error", metrics: dict | None = None) -> list[str]:
     """Fan out standard-column messages (with ``base_topic``) to one table per base topic.
 
     Single pass: ``partitionBy("base_topic", "log_date")`` writes every topic's folder at once.
     ``mode="overwrite"`` resets the lake and its manifest (K7); it is only ever applied to the
-    caller's folder.  Returns the lake's topics (from the manifest).
+    caller's folder.  Returns the lake's topics (from the manifest).  When ``metrics`` is a
+    dict it receives the rows and flights written, counted by an ``Observation`` during the
+    write itself (no extra pass).
     """
     messages, batch, manifest_dir = _stage_and_check(spark, messages, lake_dir,
                                                      ["mcap_id", "base_topic", "log_date"], mode, on_existing)
+    obs = Observation("lake_write")
+    messages = messages.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     out = sort_for_write(messages.hint("rebalance", "base_topic", "log_date"))
     _parquet(out, mode, ["base_topic", "log_date"]).parquet(lake_dir)
     batch.write.mode(mode).parquet(manifest_dir)
+    if metrics is not None:
+        metrics.update(obs.get)
+        metrics["flights_written"] = batch.select("mcap_id").distinct().count()
     return sorted(r["base_topic"] for r in spark.read.parquet(manifest_dir).select("base_topic").distinct().collect())
 
 
+def register_topic_table(spark: SparkSession, name: str, table_dir: str) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` over a topic table folder, partitioned by ``log_date``.
+
+    Partition folders written later are picked up with ``ALTER TABLE … RECOVER PARTITIONS``.
+    """
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{table_dir}'")
+    if "log_date" in spark.table(name).columns:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
 def read_topic(spark: SparkSession, lake_dir: str, base_topic: str) -> DataFrame:
     """One topic table of a lake written by ``write_lake`` (partition pruning on the topic)."""
     return spark.read.parquet(lake_dir).where(F.col("base_topic") == base_topic)

@@ -37,3 +37,8 @@ def read_log_catalog(spark: SparkSession, path: str, schema: T.StructType | str
 def write_log_catalog(df: DataFrame, path: str) -> None:
     """Write catalog records as JSON lines (one record per line, keys in column order)."""
     df.write.mode("errorifexists").json(path)
+
+
+def catalog_as_json(df: DataFrame, out: str = "json") -> DataFrame:
+    """Each catalog record as one JSON object with its keys in sorted order (``--print`` view)."""
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)])).alias(out))

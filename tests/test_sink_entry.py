@@ -75,3 +75,20 @@ def test_write_topic_table_policy(spark):
         LK.write_topic_table(spark, m, table)
     LK.write_topic_table(spark, m, table, on_existing="skip")
     assert spark.read.parquet(table).count() == 1
+
+
+def test_lake_metrics_and_table_registration(spark):
+    lake = new_output_dir(spark, "test-lake-metrics")
+    m = {}
+    LK.write_lake(spark, msgs(spark, "2024-01-04-d", 4), lake, metrics=m)
+    assert m["rows_written"] == 3 and m["flights_written"] == 1
+    table = new_output_dir(spark, "test-registered")
+    LK.write_topic_table(spark, msgs(spark, "2024-01-05-e", 5).where(F.col("base_topic") == "gps"), table)
+    LK.register_topic_table(spark, "gps_registered", table)
+    assert spark.table("gps_registered").count() == 1
+
+
+def test_catalog_as_json(spark):
+    from flighttables.sources.messages import catalog_as_json
+    df = spark.createDataFrame([("b", "a")], "z string, a string")
+    assert catalog_as_json(df).first()["json"] == '{"a":"a","z":"b"}'

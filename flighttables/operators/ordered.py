@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 _P, _LOC, _N, _EDGE = "_op_part", "_op_local", "_op_n", "_op_edge"
 
 
@@ -142,6 +144,7 @@ def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     lag_cols, lead_cols = list(lag_cols), list(lead_cols)
+    ship_package(df.sparkSession)          # the pandas scan runs library code on the workers
     base = range_sorted(df, group_cols, order_cols, num_partitions)
     if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         # Both branches below must see one range partitioning; without exchange reuse,

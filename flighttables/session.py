@@ -77,3 +77,37 @@ def new_output_dir(spark: SparkSession, name: str) -> str:
         root = root[len("file:"):]
     path = os.path.join(root, "flighttables", f"{name}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``flighttables`` importable on the executors' Python workers (like ``--py-files``).
+
+    Needed wherever a task runs library Python code (the pandas scan of ``ordered_within``).
+    The package is zipped once per application under the shared folder and added with
+    ``addPyFile``; Spark distributes it to every executor.
+    """
+    import hashlib
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
+    digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
+    root = shared_dir(spark)
+    if root.startswith("file:"):
+        root = root[len("file:"):]
+    target = os.path.join(root, "flighttables", f"flighttables-{digest}.zip")
+    if not os.path.exists(target):
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        tmp = f"{target}.{uuid.uuid4().hex}.part"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in files:
+                z.write(f, os.path.relpath(f, os.path.dirname(pkg)))
+        os.replace(tmp, target)
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -89,12 +89,14 @@ def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: st
     """
     messages, batch, manifest_dir = _stage_and_check(spark, messages, lake_dir,
                                                      ["mcap_id", "base_topic", "log_date"], mode, on_existing)
-    obs = Observation("lake_write")
-    messages = messages.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+    obs = None
+    if metrics is not None:
+        obs = Observation("lake_write")
+        messages = messages.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     out = sort_for_write(messages.hint("rebalance", "base_topic", "log_date"))
     _parquet(out, mode, ["base_topic", "log_date"]).parquet(lake_dir)
     batch.write.mode(mode).parquet(manifest_dir)
-    if metrics is not None:
+    if obs is not None:
         metrics.update(obs.get)
         metrics["flights_written"] = batch.select("mcap_id").distinct().count()
     return sorted(r["base_topic"] for r in spark.read.parquet(manifest_dir).select("base_topic").distinct().collect())

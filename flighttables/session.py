@@ -55,7 +55,11 @@ def shared_dir(spark: SparkSession) -> str:
     session names none (unit tests, a bare local session) a fresh local folder is created
     and registered, so ``DataFrame.checkpoint()`` and our written tables share one root.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a session without a local context (Spark Connect)
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        return root or tempfile.mkdtemp(prefix="flighttables-ckpt-")
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         current = sc.getCheckpointDir()
@@ -92,8 +96,12 @@ def ship_package(spark: SparkSession) -> None:
     import hashlib
     import zipfile
 
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: ship as a session artifact instead
+        sc, app = None, f"connect-{id(spark)}"
+    if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     files = sorted(os.path.join(d, f) for d, _, fs in os.walk(pkg) for f in fs if f.endswith(".py"))
@@ -109,5 +117,8 @@ def ship_package(spark: SparkSession) -> None:
             for f in files:
                 z.write(f, os.path.relpath(f, os.path.dirname(pkg)))
         os.replace(tmp, target)
-    sc.addPyFile(target)
-    _SHIPPED.add(sc.applicationId)
+    if sc is not None:
+        sc.addPyFile(target)
+    else:
+        spark.addArtifacts(target, pyfile=True)
+    _SHIPPED.add(app)

@@ -40,9 +40,14 @@ def standard_columns(messages: DataFrame, payload_cols: list[str] | None = None)
     return m.select(*std, "base_topic", *payload)
 
 
-def sort_for_write(df: DataFrame) -> DataFrame:
-    """Rows ordered by ``publish_time`` (nulls last) inside each output partition (O3, K2)."""
-    return df.sortWithinPartitions(F.col("publish_time").asc_nulls_last())
+def sort_for_write(df: DataFrame, partition_cols: list[str] | None = None) -> DataFrame:
+    """Rows ordered by ``publish_time`` (nulls last) inside each output partition (O3, K2).
+
+    With ``partition_cols`` the sort leads with them, which is the order a partitioned file
+    writer requires; it then adds no sort of its own and the files keep publish-time order.
+    """
+    keys = [F.col(c) for c in (partition_cols or [])] + [F.col("publish_time").asc_nulls_last()]
+    return df.sortWithinPartitions(*keys)
 
 
 def topic_counts(messages: DataFrame, topic_col: str = "topic") -> DataFrame:

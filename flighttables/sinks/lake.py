@@ -73,7 +73,7 @@ def write_topic_table(spark: SparkSession, rows: DataFrame, table_dir: str, mode
                       on_existing: str = "error") -> None:
     """Append (or overwrite) one topic's rows, partitioned by ``log_date``, sorted by publish time."""
     rows, batch, manifest_dir = _stage_and_check(spark, rows, table_dir, ["mcap_id", "log_date"], mode, on_existing)
-    _parquet(sort_for_write(rows.hint("rebalance", "log_date")), mode, ["log_date"]).parquet(table_dir)
+    _parquet(sort_for_write(rows.hint("rebalance", "log_date"), ["log_date"]), mode, ["log_date"]).parquet(table_dir)
     batch.write.mode(mode).parquet(manifest_dir)
 
 
@@ -93,7 +93,7 @@ def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: st
     if metrics is not None:
         obs = Observation("lake_write")
         messages = messages.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-    out = sort_for_write(messages.hint("rebalance", "base_topic", "log_date"))
+    out = sort_for_write(messages.hint("rebalance", "base_topic", "log_date"), ["base_topic", "log_date"])
     _parquet(out, mode, ["base_topic", "log_date"]).parquet(lake_dir)
     batch.write.mode(mode).parquet(manifest_dir)
     if obs is not None:

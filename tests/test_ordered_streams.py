@@ -57,3 +57,16 @@ def test_state_transitions(spark):
     arm = rows(SE.state_transitions(vs).where("state = 'arming_state'").orderBy("segment"), "label", "end_time")
     assert arm == [("Disarmed", base + dt.timedelta(seconds=2)), ("Armed", base + dt.timedelta(seconds=4)),
                    ("Disarmed", None)]
+
+
+def test_ordered_within_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        data = [("hot" if i % 5 else "x", i % 7, i) for i in range(120)]
+        df = spark.createDataFrame(data, "g string, t int, ord long")
+        got = ordered_within(df, ["g"], ["t", "ord"], lag_cols=["t"], num_partitions=5)
+        w = Window.partitionBy("g").orderBy("t", "ord")
+        exp = df.select("*", F.row_number().over(w).cast("bigint").alias("seq"), F.lag("t").over(w).alias("prev_t"))
+        assert sorted(rows(got.select(exp.columns)), key=str) == sorted(rows(exp), key=str)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")

@@ -4,16 +4,17 @@
 a flight holding a third of all rows would be sorted and scanned by a single task.  Here
 the rows are range-partitioned on ``(group, order)`` instead, which splits a hot group
 across many partitions by its order keys.  Each partition is sorted and scanned once by a
-vectorised pandas step that computes the partition-local sequence, previous and next
-values.  Groups that cross a partition border are then fixed with a small border table:
-only the first and last group of each partition can cross, so that table holds at most
-``2 * num_partitions`` rows and is broadcast with a proven size bound.
+vectorised Arrow step that computes the partition-local sequence, previous and next
+values; only the key, lag and lead columns are inspected, every other column passes
+through the step untouched.  Groups that cross a partition border are then fixed with a
+small border table: only the first and last group of each partition can cross, so that
+table holds at most ``2 * num_partitions`` rows and is broadcast with a proven size bound.
 
 Requirements: ``order_cols`` must order the rows of a group totally (end with a unique
 ordinal); then results are deterministic, also when tasks are re-executed.  The range
 shuffle uses an explicit partition count, which AQE never coalesces, so the partition
-index seen by the pandas step equals the range-partition index.  Both consumers of the
-pandas step read one (reused) range shuffle; with exchange reuse switched off the sorted
+index seen by the Arrow step equals the range-partition index.  Both consumers of the
+Arrow step read one (reused) range shuffle; with exchange reuse switched off the sorted
 input is first pinned by a reliable checkpoint in the shared checkpoint folder.
 """
 
@@ -21,7 +22,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
@@ -45,28 +48,22 @@ def range_sorted(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
-def _same_as_previous(pdf: pd.DataFrame, cols: Sequence[str]) -> pd.Series:
-    """Row-wise: group key equals the previous row's (nulls equal nulls)."""
-    same = pd.Series(True, index=pdf.index)
-    for c in cols:
-        cur, prev = pdf[c], pdf[c].shift(1)
-        same &= (cur == prev) | (cur.isna() & prev.isna())
-    if len(same):
-        same.iloc[0] = False
+def _same_as_previous(batch: pa.RecordBatch, cols: Sequence[str]) -> np.ndarray:
+    """Row-wise: the group key equals the previous row's (nulls equal nulls); row 0 is False."""
+    n = batch.num_rows
+    same = np.ones(n, dtype=bool)
+    same[0] = False
+    if n > 1:
+        for c in cols:
+            a = batch.column(c)
+            cur, prev = a.slice(1), a.slice(0, n - 1)
+            eq = pc.or_(pc.fill_null(pc.equal(cur, prev), False), pc.and_(pc.is_null(cur), pc.is_null(prev)))
+            same[1:] &= eq.to_numpy(zero_copy_only=False)
     return same
 
 
-def _nullable(s: pd.Series) -> pd.Series:
-    """Use pandas nullable dtypes so shifting keeps 64-bit ints exact."""
-    if pd.api.types.is_bool_dtype(s):
-        return s.astype("boolean")
-    if pd.api.types.is_integer_dtype(s):
-        return s.astype("Int64")
-    return s
-
-
-def _keys_equal(a: tuple, b: tuple) -> bool:
-    return all((x == y) or (pd.isna(x) and pd.isna(y)) for x, y in zip(a, b))
+def _key(batch: pa.RecordBatch, cols: Sequence[str], i: int) -> tuple:
+    return tuple(batch.column(c)[i].as_py() for c in cols)
 
 
 def _local_scan(group_cols, lag_cols, lead_cols):
@@ -74,62 +71,68 @@ def _local_scan(group_cols, lag_cols, lead_cols):
 
     Also marks the three *edge* rows that the border table needs: the partition's first
     row, the last row of the partition's first group, and the partition's last row.  A
-    group crossing a border is the last group of the earlier partition and the first
-    group of the later one, so these rows carry every count and value the fix-up uses.
+    group crossing a border is the last group of the earlier partition and the first group
+    of the later one, so these rows carry every count and value the fix-up uses.
     """
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def emit(pending) -> pa.RecordBatch:
+        batch, extra, edge, nexts = pending
+        arrays = list(batch.columns) + extra + [pa.array(edge)] + [nexts[c] for c in lead_cols]
+        names = (list(batch.schema.names) + [_P, _LOC] + [f"_prev_{c}" for c in lag_cols] + [_EDGE]
+                 + [f"_next_{c}" for c in lead_cols])
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         carry_key, carry_n, carry_last = None, 0, {}
         pending = None
         first_group_open = True          # still inside the partition's first group
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            pdf = pdf.reset_index(drop=True)
-            for c in [*lag_cols, *lead_cols]:
-                pdf[c] = _nullable(pdf[c])
-            same_prev = _same_as_previous(pdf, group_cols)
-            batch_key = tuple(pdf.loc[0, c] for c in group_cols)
-            continues = carry_key is not None and _keys_equal(batch_key, carry_key)
-            gid = (~same_prev).cumsum()
-            local = pdf.groupby(gid).cumcount() + 1
+            same_prev = _same_as_previous(batch, group_cols)
+            continues = carry_key is not None and _key(batch, group_cols, 0) == carry_key
+            gid = np.cumsum(~same_prev)
+            starts = np.flatnonzero(~same_prev)
+            local = np.arange(n) - starts[gid - 1] + 1
             if continues:
-                local = local.where(gid != 1, local + carry_n)
-            pdf[_P] = part
-            pdf[_LOC] = local.astype("int64")
+                local[gid == 1] += carry_n
+            idx = np.arange(n)
+            extra = [pa.array(np.full(n, part, dtype=np.int32)), pa.array(local.astype(np.int64))]
+            valid_prev = same_prev.copy()
+            valid_prev[0] = continues
             for c in lag_cols:
-                prev = pdf[c].shift(1).where(same_prev)
-                if continues:
-                    prev.iloc[0] = carry_last[c]
-                pdf[f"_prev_{c}"] = prev
-            same_next = same_prev.shift(-1, fill_value=False)
-            for c in lead_cols:
-                pdf[f"_next_{c}"] = pdf[c].shift(-1).where(same_next)
-            edge = pd.Series(False, index=pdf.index)
+                a = batch.column(c)
+                src = pa.concat_arrays([pa.array([carry_last.get(c)], type=a.type), a])
+                extra.append(pc.take(src, pa.array(idx, mask=~valid_prev)))
+            same_next = np.append(same_prev[1:], False)
+            nexts = {c: pc.take(batch.column(c), pa.array(np.minimum(idx + 1, n - 1), mask=~same_next))
+                     for c in lead_cols}
+            edge = np.zeros(n, dtype=bool)
             if carry_key is None:
-                edge.iloc[0] = True                          # partition's first row
+                edge[0] = True                                   # partition's first row
             if pending is not None:
                 if continues:
                     # The previous batch's last row continues into this batch's first row.
+                    pnexts = pending[3]
                     for c in lead_cols:
-                        pending.loc[len(pending) - 1, f"_next_{c}"] = pdf.loc[0, c]
+                        arr = pnexts[c]
+                        pnexts[c] = pa.concat_arrays([arr.slice(0, len(arr) - 1), batch.column(c).slice(0, 1)])
                 elif first_group_open:
-                    pending.loc[len(pending) - 1, _EDGE] = True   # first group ended there
+                    pending[2][-1] = True                        # first group ended there
                     first_group_open = False
-                yield pending
-            if first_group_open and (gid > 1).any():
-                edge.iloc[int((gid == 1).sum()) - 1] = True       # first group ends here
+                yield emit(pending)
+            if first_group_open and gid[-1] > 1:
+                edge[int(np.sum(gid == 1)) - 1] = True            # first group ends here
                 first_group_open = False
-            pdf[_EDGE] = edge
-            last = len(pdf) - 1
-            carry_key = tuple(pdf.loc[last, c] for c in group_cols)
-            carry_n = int(pdf.loc[last, _LOC])
-            carry_last = {c: pdf.loc[last, c] for c in lag_cols}
-            pending = pdf
+            carry_key = _key(batch, group_cols, n - 1)
+            carry_n = int(local[-1])
+            carry_last = {c: batch.column(c)[n - 1].as_py() for c in lag_cols}
+            pending = (batch, extra, edge, nexts)
         if pending is not None:
-            pending.loc[len(pending) - 1, _EDGE] = True           # partition's last row
-            yield pending
+            pending[2][-1] = True                                # partition's last row
+            yield emit(pending)
 
     return scan
 
@@ -144,23 +147,23 @@ def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     lag_cols, lead_cols = list(lag_cols), list(lead_cols)
-    ship_package(df.sparkSession)          # the pandas scan runs library code on the workers
+    ship_package(df.sparkSession)          # the Arrow scan runs library code on the workers
     base = range_sorted(df, group_cols, order_cols, num_partitions)
     if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         # Both branches below must see one range partitioning; without exchange reuse,
         # pin it with a reliable checkpoint in the shared checkpoint folder.
         base = base.checkpoint(eager=True)
 
-    fields = list(base.schema.fields) + [T.StructField(_P, T.IntegerType(), False),
-                                          T.StructField(_LOC, T.LongType(), False),
-                                          T.StructField(_EDGE, T.BooleanType(), False)]
     types = {f.name: f.dataType for f in base.schema.fields}
+    fields = list(base.schema.fields) + [T.StructField(_P, T.IntegerType(), False),
+                                          T.StructField(_LOC, T.LongType(), False)]
     fields += [T.StructField(f"_prev_{c}", types[c], True) for c in lag_cols]
+    fields += [T.StructField(_EDGE, T.BooleanType(), False)]
     fields += [T.StructField(f"_next_{c}", types[c], True) for c in lead_cols]
-    local = base.mapInPandas(_local_scan(group_cols, lag_cols, lead_cols), T.StructType(fields))
+    local = base.mapInArrow(_local_scan(group_cols, lag_cols, lead_cols), T.StructType(fields))
 
     # Border table: per (partition, group) its size, first and last row; partition-crossing
-    # groups only.  It is derived from the pandas step's output, which consumes every input
+    # groups only.  It is derived from the Arrow step's output, which consumes every input
     # column, so its range shuffle is the identical sub-plan and is reused (one sampling,
     # one set of range bounds).  Deriving it from a pruned projection would plan a second,
     # independently sampled range shuffle whose partition borders differ.

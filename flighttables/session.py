@@ -89,7 +89,7 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``flighttables`` importable on the executors' Python workers (like ``--py-files``).
 
-    Needed wherever a task runs library Python code (the pandas scan of ``ordered_within``).
+    Needed wherever a task runs library Python code (the Arrow scan of ``ordered_within``).
     The package is zipped once per application under the shared folder and added with
     ``addPyFile``; Spark distributes it to every executor.
     """

@@ -39,18 +39,18 @@ def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict[st
                      lake_dir: str, on_existing: str = "error") -> list[str]:
     """Write every base topic of ``envelopes`` to ``<lake_dir>/<base_topic>``; returns the topics."""
     env = with_topic_parts(envelopes.select(*ENVELOPE_COLS))
-    descriptor_check(env).write.format("noop").mode("overwrite").save()   # fail fast, no data kept
+    # One job: the descriptor check (fails fast) and the batch's topic list (one row per topic).
+    topics = sorted(r["base_topic"] for r in
+                    descriptor_check(env).select("base_topic").distinct().collect())
+    missing = [t for t in topics if t not in schemas]
+    if missing:
+        raise ValueError(f"no payload schema for topics {missing}")
     staged = new_output_dir(spark, "ingest-staging")
     env.write.partitionBy("base_topic").parquet(staged)
     written = []
-    for topic, schema in schemas.items():
-        part = os.path.join(staged, f"base_topic={topic}")
-        try:
-            rows = spark.read.parquet(part).withColumn("base_topic", F.lit(topic))
-        except Exception as e:  # noqa: BLE001 - a topic absent from this batch
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                continue
-            raise
+    for topic in topics:
+        schema = schemas[topic]
+        rows = spark.read.parquet(os.path.join(staged, f"base_topic={topic}")).withColumn("base_topic", F.lit(topic))
         st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
         decoded = decode_payload(rows, st, payload_col="payload",
                                  keep=["mcap_id", "log_date", "topic", "base_topic", "multi_id", "log_time_ns",

@@ -92,3 +92,20 @@ def test_catalog_as_json(spark):
     from flighttables.sources.messages import catalog_as_json
     df = spark.createDataFrame([("b", "a")], "z string, a string")
     assert catalog_as_json(df).first()["json"] == '{"a":"a","z":"b"}'
+
+
+def test_ingest_envelopes(spark):
+    from flighttables.operators.ingest import ingest_envelopes
+    d = dt.date(2024, 1, 6)
+    env = spark.createDataFrame(
+        [("2024-01-06-f", d, "battery_status_0", 2000, 2000, 0, "battery_status", '{"voltage_v": 11.5, "cells": 3}'),
+         ("2024-01-06-f", d, "battery_status_1", 1000, 1000, 0, "battery_status", '{"voltage_v": 12.5, "cells": 4}')],
+        "mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+        "schema_name string, payload string")
+    lake = new_output_dir(spark, "test-ingest")
+    assert ingest_envelopes(spark, env, {"battery_status": "voltage_v float, cells int"}, lake) == ["battery_status"]
+    t = spark.read.parquet(f"{lake}/battery_status")
+    assert dict(t.dtypes)["cells"] == "bigint" and dict(t.dtypes)["voltage_v"] == "double"
+    assert sorted(rows(t, "multi_id", "cells")) == [(0, 3), (1, 4)]
+    with pytest.raises(ValueError, match="no payload schema"):
+        ingest_envelopes(spark, env, {"gps": "lat double"}, new_output_dir(spark, "test-ingest2"))

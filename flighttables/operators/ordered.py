@@ -66,17 +66,25 @@ def _key(batch: pa.RecordBatch, cols: Sequence[str], i: int) -> tuple:
     return tuple(batch.column(c)[i].as_py() for c in cols)
 
 
-def _local_scan(group_cols, lag_cols, lead_cols):
+def _local_scan(group_cols, lag_cols, lead_cols, edges_only: bool = False):
     """Per partition: local 1-based sequence, previous and next values inside the group.
 
     Also marks the three *edge* rows that the border table needs: the partition's first
     row, the last row of the partition's first group, and the partition's last row.  A
     group crossing a border is the last group of the earlier partition and the first group
     of the later one, so these rows carry every count and value the fix-up uses.
+    With ``edges_only`` the scan returns just those rows and the columns the border table
+    reads: ``_P, <group>, _LOC, <lag>, <lead>``.
     """
+    value_cols = list(dict.fromkeys([*lag_cols, *lead_cols]))
 
     def emit(pending) -> pa.RecordBatch:
         batch, extra, edge, nexts = pending
+        if edges_only:
+            keep = pa.array(np.flatnonzero(edge))
+            arrays = [extra[0], *[batch.column(c) for c in group_cols], extra[1], *[batch.column(c) for c in value_cols]]
+            names = [_P, *group_cols, _LOC, *value_cols]
+            return pa.RecordBatch.from_arrays([pc.take(a, keep) for a in arrays], names=names)
         arrays = list(batch.columns) + extra + [pa.array(edge)] + [nexts[c] for c in lead_cols]
         names = (list(batch.schema.names) + [_P, _LOC] + [f"_prev_{c}" for c in lag_cols] + [_EDGE]
                  + [f"_next_{c}" for c in lead_cols])
@@ -102,24 +110,26 @@ def _local_scan(group_cols, lag_cols, lead_cols):
             extra = [pa.array(np.full(n, part, dtype=np.int32)), pa.array(local.astype(np.int64))]
             valid_prev = same_prev.copy()
             valid_prev[0] = continues
-            for c in lag_cols:
-                a = batch.column(c)
-                src = pa.concat_arrays([pa.array([carry_last.get(c)], type=a.type), a])
-                extra.append(pc.take(src, pa.array(idx, mask=~valid_prev)))
-            same_next = np.append(same_prev[1:], False)
-            nexts = {c: pc.take(batch.column(c), pa.array(np.minimum(idx + 1, n - 1), mask=~same_next))
-                     for c in lead_cols}
+            nexts = {}
+            if not edges_only:
+                for c in lag_cols:
+                    a = batch.column(c)
+                    src = pa.concat_arrays([pa.array([carry_last.get(c)], type=a.type), a])
+                    extra.append(pc.take(src, pa.array(idx, mask=~valid_prev)))
+                same_next = np.append(same_prev[1:], False)
+                nexts = {c: pc.take(batch.column(c), pa.array(np.minimum(idx + 1, n - 1), mask=~same_next))
+                         for c in lead_cols}
             edge = np.zeros(n, dtype=bool)
             if carry_key is None:
                 edge[0] = True                                   # partition's first row
             if pending is not None:
-                if continues:
+                if continues and not edges_only:
                     # The previous batch's last row continues into this batch's first row.
                     pnexts = pending[3]
                     for c in lead_cols:
                         arr = pnexts[c]
                         pnexts[c] = pa.concat_arrays([arr.slice(0, len(arr) - 1), batch.column(c).slice(0, 1)])
-                elif first_group_open:
+                elif not continues and first_group_open:
                     pending[2][-1] = True                        # first group ended there
                     first_group_open = False
                 yield emit(pending)
@@ -163,17 +173,22 @@ def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     local = base.mapInArrow(_local_scan(group_cols, lag_cols, lead_cols), T.StructType(fields))
 
     # Border table: per (partition, group) its size, first and last row; partition-crossing
-    # groups only.  It is derived from the Arrow step's output, which consumes every input
-    # column, so its range shuffle is the identical sub-plan and is reused (one sampling,
-    # one set of range bounds).  Deriving it from a pruned projection would plan a second,
-    # independently sampled range shuffle whose partition borders differ.
+    # groups only.  Its edge rows come from the same scan over ``base``: an Arrow step
+    # consumes every input column, so this branch's range shuffle is the identical sub-plan
+    # and is reused (one sampling, one set of range bounds).  Deriving it from a pruned
+    # projection would plan a second, independently sampled range shuffle whose partition
+    # borders differ.  The scan returns only the <= 3 edge rows per partition.
+    value_cols = list(dict.fromkeys([*lag_cols, *lead_cols]))
+    edge_fields = [T.StructField(_P, T.IntegerType(), False), *[base.schema[g] for g in group_cols],
+                   T.StructField(_LOC, T.LongType(), False), *[base.schema[c] for c in value_cols]]
+    edges = base.mapInArrow(_local_scan(group_cols, lag_cols, lead_cols, edges_only=True), T.StructType(edge_fields))
     loc = F.col(_LOC)
     aggs = [F.max(loc).alias(_N)]
     if lead_cols:
         aggs.append(F.min_by(F.struct(*[F.col(c) for c in lead_cols]), loc).alias("_first"))
     if lag_cols:
         aggs.append(F.max_by(F.struct(*[F.col(c) for c in lag_cols]), loc).alias("_last"))
-    per_part = local.where(F.col(_EDGE)).groupBy(_P, *group_cols).agg(*aggs)
+    per_part = edges.groupBy(_P, *group_cols).agg(*aggs)
     w = Window.partitionBy(*group_cols).orderBy(_P)
     border = per_part.select(
         _P, *group_cols, _N,

@@ -1,4 +1,4 @@
-"""Message envelopes -> topic tables (S3, A8, P1, K1-K4): the ingest job.
+"""Message envelopes -> topic tables (S3, A8, P1, W2, U2, K1-K4): the ingest job.
 
 Input envelope rows: ``mcap_id, log_date, topic, log_time_ns, publish_time_ns, sequence,
 schema_name, payload`` (payload = JSON text).  Steps:
@@ -7,8 +7,11 @@ schema_name, payload`` (payload = JSON text).  Steps:
 2. stage the envelopes once, partitioned by base topic (one pass, a written table in the
    shared folder), so each topic's job reads only its own folder (partition pruning);
 3. per base topic: decode the payload with that topic's schema (FAILFAST), widen ints and
-   floats, keep supported columns, add the standard columns, and append to the topic
-   table (``log_date`` partitions, rows sorted by publish time).
+   floats, keep supported columns, evolve the table's payload schema (first writer wins;
+   a field arriving with another type goes to ``<name>__as_<suffix>``; new fields append),
+   add the standard columns, and append to the topic table (``log_date`` partitions, rows
+   sorted by publish time).  Tables are read back with ``mergeSchema``: older files simply
+   lack the newer columns, which read as NULL.
 
 The loop in step 3 runs over the topic list (metadata); each iteration is a distributed
 job over that topic's rows only.
@@ -21,18 +24,27 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import is_supported, table_type_of, widen
+from ..functions.types import evolved_name, is_supported, table_type_of, widen
 from ..session import new_output_dir
-from ..sinks.lake import write_topic_table
+from ..sinks.lake import read_table_schema, write_table_schema, write_topic_table
 from ..sources.messages import decode_payload
 from .messages import descriptor_check, standard_columns, with_topic_parts
 
 ENVELOPE_COLS = ["mcap_id", "log_date", "topic", "log_time_ns", "publish_time_ns", "sequence", "schema_name", "payload"]
 
 
-def _payload_columns(schema: T.StructType) -> list:
-    return [widen(F.col(f"`{f.name}`"), f.dataType).cast(table_type_of(f.dataType)).alias(f.name)
-            for f in schema.fields if is_supported(f.dataType)]
+def _evolve(existing: T.StructType | None, payload: T.StructType) -> tuple[T.StructType, list]:
+    """Evolved payload schema of a table and the batch's column expressions (renamed, widened)."""
+    cols = {f.name: f.dataType for f in (existing.fields if existing else [])}
+    out = []
+    for f in payload.fields:
+        if not is_supported(f.dataType):
+            continue
+        t = table_type_of(f.dataType)
+        name = evolved_name(f.name, t, cols)
+        cols.setdefault(name, t)
+        out.append(widen(F.col(f"`{f.name}`"), f.dataType).cast(t).alias(name))
+    return T.StructType([T.StructField(n, t, True) for n, t in cols.items()]), out
 
 
 def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict[str, T.StructType | str],
@@ -55,9 +67,13 @@ def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict[st
         decoded = decode_payload(rows, st, payload_col="payload",
                                  keep=["mcap_id", "log_date", "topic", "base_topic", "multi_id", "log_time_ns",
                                        "publish_time_ns", "sequence"])
+        table_dir = os.path.join(lake_dir, topic)
+        evolved, payload_cols = _evolve(read_table_schema(spark, table_dir), st)
         typed = decoded.select("mcap_id", "log_date", "base_topic", "multi_id", "log_time_ns", "publish_time_ns",
-                               "sequence", *_payload_columns(st))
-        table = standard_columns(typed, payload_cols=[f.name for f in st.fields if is_supported(f.dataType)])
-        write_topic_table(spark, table.drop("base_topic"), os.path.join(lake_dir, topic), on_existing=on_existing)
+                               "sequence", *payload_cols)
+        table = standard_columns(typed, payload_cols=[c for c in typed.columns if c not in (
+            "mcap_id", "log_date", "base_topic", "multi_id", "log_time_ns", "publish_time_ns", "sequence")])
+        write_topic_table(spark, table.drop("base_topic"), table_dir, on_existing=on_existing)
+        write_table_schema(spark, table_dir, evolved)
         written.append(topic)
     return written

@@ -13,15 +13,18 @@ commit; a crash in between leaves those flights unlisted, and they are ingested
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from ..operators.messages import sort_for_write
 
 COMPRESSION = "zstd"
 ZSTD_LEVEL = "3"
 MANIFEST = "_ingested"
+TABLE_SCHEMA = "_table_schema"
 POLICIES = ("error", "skip", "append")
 
 
@@ -112,6 +115,20 @@ def register_topic_table(spark: SparkSession, name: str, table_dir: str) -> None
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def read_table_schema(spark: SparkSession, table_dir: str) -> T.StructType | None:
+    """The evolved payload schema recorded for a topic table, or ``None`` for a new table."""
+    rec = _read_or_none(spark, f"{table_dir.rstrip('/')}/{TABLE_SCHEMA}")
+    if rec is None:
+        return None
+    return T.StructType.fromJson(json.loads(rec.first()["schema"]))
+
+
+def write_table_schema(spark: SparkSession, table_dir: str, schema: T.StructType) -> None:
+    """Record a topic table's evolved payload schema (one small row, replaced on each ingest)."""
+    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1) \
+        .write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{TABLE_SCHEMA}")
+
+
 def read_topic(spark: SparkSession, lake_dir: str, base_topic: str) -> DataFrame:
     """One topic table of a lake written by ``write_lake`` (partition pruning on the topic)."""
     return spark.read.parquet(lake_dir).where(F.col("base_topic") == base_topic)

@@ -22,9 +22,13 @@ def register_tables(spark: SparkSession, root: str, names=DRIVER_TABLES) -> list
 
 
 def register_lake(spark: SparkSession, lake_dir: str, topics: list[str]) -> None:
-    """Register written topic tables (one folder per base topic) as temp views."""
+    """Register written topic tables (one folder per base topic) as temp views.
+
+    ``mergeSchema`` unions the file schemas of an evolved table: files written before a
+    column was added read it as NULL.
+    """
     for t in topics:
-        spark.read.parquet(f"{lake_dir.rstrip('/')}/{t}").createOrReplaceTempView(t)
+        spark.read.option("mergeSchema", "true").parquet(f"{lake_dir.rstrip('/')}/{t}").createOrReplaceTempView(t)
 
 
 def catalog_tables(spark: SparkSession) -> DataFrame:

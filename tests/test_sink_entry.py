@@ -109,3 +109,24 @@ def test_ingest_envelopes(spark):
     assert sorted(rows(t, "multi_id", "cells")) == [(0, 3), (1, 4)]
     with pytest.raises(ValueError, match="no payload schema"):
         ingest_envelopes(spark, env, {"gps": "lat double"}, new_output_dir(spark, "test-ingest2"))
+
+
+def test_ingest_evolves_table_schema(spark):
+    from flighttables.operators.ingest import ingest_envelopes
+    from flighttables.sources.tables import register_lake
+    schema = ("mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+              "schema_name string, payload string")
+    d1, d2 = dt.date(2024, 1, 7), dt.date(2024, 1, 8)
+    lake = new_output_dir(spark, "test-evolve")
+    b1 = spark.createDataFrame([("2024-01-07-a", d1, "battery_status_0", 1, 1, 0, "b", '{"vbatt": 11}')], schema)
+    ingest_envelopes(spark, b1, {"battery_status": "vbatt int"}, lake)
+    b2 = spark.createDataFrame([("2024-01-08-b", d2, "battery_status_0", 1, 1, 0, "b", '{"vbatt": 11.5, "rpm": 7}')],
+                               schema)
+    ingest_envelopes(spark, b2, {"battery_status": "vbatt double, rpm int"}, lake)
+    b3 = spark.createDataFrame([("2024-01-09-c", d2, "battery_status_0", 1, 1, 0, "b", '{"vbatt": 12}')], schema)
+    ingest_envelopes(spark, b3, {"battery_status": "vbatt long"}, lake)
+    register_lake(spark, lake, ["battery_status"])
+    t = spark.table("battery_status")
+    assert [c for c in t.columns if c in ("vbatt", "vbatt__as_f64", "rpm")] == ["vbatt", "vbatt__as_f64", "rpm"]
+    got = sorted(rows(t, "mcap_id", "vbatt", "vbatt__as_f64", "rpm"))
+    assert got == [("2024-01-07-a", 11, None, None), ("2024-01-08-b", None, 11.5, 7), ("2024-01-09-c", 12, None, None)]

@@ -20,6 +20,7 @@ job over that topic's rows only.
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -48,8 +49,12 @@ def _evolve(existing: T.StructType | None, payload: T.StructType) -> tuple[T.Str
 
 
 def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict[str, T.StructType | str],
-                     lake_dir: str, on_existing: str = "error") -> list[str]:
-    """Write every base topic of ``envelopes`` to ``<lake_dir>/<base_topic>``; returns the topics."""
+                     lake_dir: str, on_existing: str = "error", parallel_topics: int = 4) -> list[str]:
+    """Write every base topic of ``envelopes`` to ``<lake_dir>/<base_topic>``; returns the topics.
+
+    Topic jobs are independent (own table, manifest and schema record) and are submitted
+    from ``parallel_topics`` driver threads, so many small topics keep the cluster busy.
+    """
     env = with_topic_parts(envelopes.select(*ENVELOPE_COLS))
     # One job: the descriptor check (fails fast) and the batch's topic list (one row per topic).
     topics = sorted(r["base_topic"] for r in
@@ -59,8 +64,8 @@ def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict[st
         raise ValueError(f"no payload schema for topics {missing}")
     staged = new_output_dir(spark, "ingest-staging")
     env.write.partitionBy("base_topic").parquet(staged)
-    written = []
-    for topic in topics:
+
+    def one(topic: str) -> str:
         schema = schemas[topic]
         rows = spark.read.parquet(os.path.join(staged, f"base_topic={topic}")).withColumn("base_topic", F.lit(topic))
         st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
@@ -75,5 +80,7 @@ def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict[st
             "mcap_id", "log_date", "base_topic", "multi_id", "log_time_ns", "publish_time_ns", "sequence")])
         write_topic_table(spark, table.drop("base_topic"), table_dir, on_existing=on_existing)
         write_table_schema(spark, table_dir, evolved)
-        written.append(topic)
-    return written
+        return topic
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_topics)) as pool:
+        return list(pool.map(one, topics))

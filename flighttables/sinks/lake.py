@@ -14,12 +14,12 @@ commit; a crash in between leaves those flights unlisted, and they are ingested
 from __future__ import annotations
 
 import json
-import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..operators.messages import sort_for_write
+from ..session import new_output_dir
 
 COMPRESSION = "zstd"
 ZSTD_LEVEL = "3"
@@ -47,7 +47,8 @@ def _stage_and_check(spark: SparkSession, messages: DataFrame, root: str, keys:
     if on_existing not in POLICIES:
         raise ValueError(f"unknown on_existing policy {on_existing!r}")
     manifest_dir = f"{root.rstrip('/')}/{MANIFEST}"
-    staged_dir = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    # Staged outside the table: an overwrite write clears the table folder.
+    staged_dir = new_output_dir(spark, "ingest-batch")
     # One pass over a few pruned columns; the result is written, never collected.
     messages.select(*keys).distinct().write.parquet(staged_dir)
     batch = spark.read.parquet(staged_dir)

@@ -130,3 +130,13 @@ def test_ingest_evolves_table_schema(spark):
     assert [c for c in t.columns if c in ("vbatt", "vbatt__as_f64", "rpm")] == ["vbatt", "vbatt__as_f64", "rpm"]
     got = sorted(rows(t, "mcap_id", "vbatt", "vbatt__as_f64", "rpm"))
     assert got == [("2024-01-07-a", 11, None, None), ("2024-01-08-b", None, 11.5, 7), ("2024-01-09-c", 12, None, None)]
+
+
+def test_lake_reset_with_overwrite(spark):
+    lake = new_output_dir(spark, "test-reset")
+    LK.write_lake(spark, msgs(spark, "2024-01-10-r", 10), lake)
+    LK.write_lake(spark, msgs(spark, "2024-01-11-s", 11), lake)
+    assert spark.read.parquet(lake).select("mcap_id").distinct().count() == 2
+    LK.write_lake(spark, msgs(spark, "2024-01-10-r", 10), lake, mode="overwrite")   # reset, then re-ingest
+    assert rows(spark.read.parquet(lake).select("mcap_id").distinct()) == [("2024-01-10-r",)]
+    assert rows(spark.read.parquet(f"{lake}/_ingested").select("mcap_id").distinct()) == [("2024-01-10-r",)]

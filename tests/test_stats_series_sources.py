@@ -58,3 +58,30 @@ def test_register_and_catalog_tables(spark):
     cat = {r["name"]: r for r in TB.catalog_tables(spark).collect()}
     assert cat["region"]["n_rows"] == 5 and cat["nation"]["n_columns"] == 3
     assert [r["col_name"] for r in TB.describe(spark, "region").collect()][:2] == ["r_regionkey", "r_name"]
+
+
+def test_read_log_catalog_json_array(spark):
+    import json
+    import os
+    from flighttables.sources.messages import read_log_catalog
+    d = new_output_dir(spark, "test-catalog-json")
+    os.makedirs(d, exist_ok=True)
+    recs = [{"log_id": "a-1", "log_date": "2024-01-02", "mav_type": "Quadrotor", "vehicle_uuid": "u1"},
+            {"log_id": "b-2", "log_date": "2024-01-03", "mav_type": "Fixed Wing"}]
+    with open(os.path.join(d, "db_info.json"), "w") as f:
+        json.dump(recs, f, indent=4)
+    cat = read_log_catalog(spark, d)
+    got = sorted(rows(cat, "log_id", "log_date", "vehicle_uuid"))
+    assert got == [("a-1", dt.date(2024, 1, 2), "u1"), ("b-2", dt.date(2024, 1, 3), None)]
+
+
+def test_message_file_manifest(spark):
+    import os
+    d = new_output_dir(spark, "test-mcap-files")
+    os.makedirs(os.path.join(d, "sub"), exist_ok=True)
+    for name in ["2024-01-01-abc.mcap", "sub/2024-02-03-def.mcap.mcap", "notes.txt"]:
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(b"\x89MCAP0\r\n")
+    files = FS.list_files(spark, d, ".mcap")
+    got = sorted(rows(FS.message_file_manifest(files), "mcap_id", "log_date", "length"))
+    assert got == [("2024-01-01-abc", dt.date(2024, 1, 1), 8), ("2024-02-03-def", dt.date(2024, 2, 3), 8)]

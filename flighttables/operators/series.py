@@ -69,10 +69,9 @@ def state_transitions(vehicle_status: DataFrame) -> DataFrame:
     changes = with_prev.where((F.col("sample_seq") == 1) | ~F.col("value").eqNullSafe(F.col("prev_value")))
     seg = ordered_within(changes.drop("prev_value"), keys, ["log_time", "ordinal"], seq_col="segment",
                          lead_cols=["log_time"])
-    # Every state's first sample is a change row, so the flight's first sample time comes
-    # from those rows (no second scan of the samples).
-    starts = (changes.where(F.col("sample_seq") == 1)
-              .groupBy("mcap_id", "multi_id").agg(F.min("log_time").alias("_t0")))
+    # A plain partial aggregate over the samples; deriving it from ``changes`` instead would
+    # make Spark recompute the first ordered pass for this second consumer.
+    starts = vehicle_status.groupBy("mcap_id", "multi_id").agg(F.min("log_time").alias("_t0"))
     return (seg.join(starts, on=["mcap_id", "multi_id"], how="inner")
             .select(*keys, "segment", "value", "label", F.col("log_time").alias("start_time"),
                     F.col("next_log_time").alias("end_time"),

@@ -87,7 +87,9 @@ def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: st
 
     Single pass: ``partitionBy("base_topic", "log_date")`` writes every topic's folder at once.
     ``mode="overwrite"`` resets the lake and its manifest (K7); it is only ever applied to the
-    caller's folder.  Returns the lake's topics (from the manifest).  When ``metrics`` is a
+    caller's folder.  Returns the lake's topics (from the manifest).  ``messages`` is read
+    twice (its flight list for the re-ingest check, then the rows), so pass a written or cheap
+    DataFrame rather than a long computation (the ingest job stages its input).  When ``metrics`` is a
     dict it receives the rows and flights written, counted by an ``Observation`` during the
     write itself (no extra pass).
     """

@@ -4,7 +4,7 @@ import random
 from pyspark.sql import Window, functions as F
 
 from flighttables.operators import merge as MG, series as SE, trajectory as TJ
-from flighttables.operators.ordered import ordered_within
+from flighttables.operators.ordered import ordered_within, range_sorted
 from tests.conftest import rows
 
 
@@ -70,3 +70,17 @@ def test_ordered_within_without_exchange_reuse(spark):
         assert sorted(rows(got.select(exp.columns)), key=str) == sorted(rows(exp), key=str)
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_hot_group_is_split_across_partitions(spark):
+    # 95% of the rows belong to one flight; a flight-keyed window would put them in one task.
+    n = 4000
+    df = spark.range(n).select(F.when(F.col("id") % 20 == 0, F.concat(F.lit("f"), F.col("id").cast("string")))
+                               .otherwise(F.lit("hot")).alias("g"), F.col("id").alias("o"))
+    sizes = [r["n"] for r in range_sorted(df, ["g"], ["o"], 8).groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) >= 6 and max(sizes) < 0.35 * n
+    got = ordered_within(df, ["g"], ["o"], num_partitions=8).where("g = 'hot'")
+    assert rows(got.agg(F.min("seq"), F.max("seq"), F.count(F.lit(1)))) == [(1, 3800, 3800)]
+    seqs = sorted(r[0] for r in rows(got.select("seq")))
+    assert seqs == list(range(1, 3801))

@@ -156,3 +156,16 @@ def is_supported(dt: T.DataType) -> bool:
     if isinstance(dt, T.ArrayType):
         return is_supported(dt.elementType)
     return not isinstance(dt, (T.MapType, T.StructType))
+
+
+def zero_value(dt: T.DataType) -> Column:
+    """The value a field reads as when it is in the writer's schema but not on the wire."""
+    if isinstance(dt, T.ArrayType):
+        return F.array().cast(dt)
+    if isinstance(dt, T.BinaryType):
+        return F.lit(bytearray()).cast(dt)
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BooleanType):
+        return F.lit(False)
+    return F.lit(0).cast(dt)

@@ -7,7 +7,8 @@ schema_name, payload`` (payload = JSON text).  Steps:
 2. stage the envelopes once, partitioned by base topic (one pass, a written table in the
    shared folder), so each topic's job reads only its own folder (partition pruning);
 3. per base topic: decode the payload with that topic's schema (FAILFAST), widen ints and
-   floats, keep supported columns, evolve the table's payload schema (first writer wins;
+   floats, keep supported columns, read fields missing from a payload as their type's zero
+   value (they are in the writer's schema, just not on the wire), evolve the table's payload schema (first writer wins;
    a field arriving with another type goes to ``<name>__as_<suffix>``; new fields append),
    add the standard columns, and append to the topic table (``log_date`` partitions, rows
    sorted by publish time).  Tables are read back with ``mergeSchema``: older files simply
@@ -25,7 +26,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import evolved_name, is_supported, table_type_of, widen
+from ..functions.types import evolved_name, is_supported, table_type_of, widen, zero_value
 from ..session import new_output_dir
 from ..sinks.lake import read_table_schema, write_table_schema, write_topic_table
 from ..sources.messages import decode_payload
@@ -44,7 +45,8 @@ def _evolve(existing: T.StructType | None, payload: T.StructType) -> tuple[T.Str
         t = table_type_of(f.dataType)
         name = evolved_name(f.name, t, cols)
         cols.setdefault(name, t)
-        out.append(widen(F.col(f"`{f.name}`"), f.dataType).cast(t).alias(name))
+        value = widen(F.col(f"`{f.name}`"), f.dataType).cast(t)
+        out.append(F.coalesce(value, zero_value(t)).alias(name))
     return T.StructType([T.StructField(n, t, True) for n, t in cols.items()]), out
 
 

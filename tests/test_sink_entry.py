@@ -140,3 +140,16 @@ def test_lake_reset_with_overwrite(spark):
     LK.write_lake(spark, msgs(spark, "2024-01-10-r", 10), lake, mode="overwrite")   # reset, then re-ingest
     assert rows(spark.read.parquet(lake).select("mcap_id").distinct()) == [("2024-01-10-r",)]
     assert rows(spark.read.parquet(f"{lake}/_ingested").select("mcap_id").distinct()) == [("2024-01-10-r",)]
+
+
+def test_ingest_missing_fields_read_as_zero_values(spark):
+    from flighttables.operators.ingest import ingest_envelopes
+    schema = ("mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+              "schema_name string, payload string")
+    env = spark.createDataFrame([("2024-01-12-z", dt.date(2024, 1, 12), "param_0", 1, 1, 0, "P",
+                                  '{"name": "MC_PITCH_P", "int_value": 42}')], schema)
+    lake = new_output_dir(spark, "test-zero")
+    ingest_envelopes(spark, env, {"param": "name string, int_value long, float_value double, flags array<int>, "
+                                           "ok boolean"}, lake)
+    r = spark.read.parquet(f"{lake}/param").first()
+    assert (r["name"], r["int_value"], r["float_value"], r["flags"], r["ok"]) == ("MC_PITCH_P", 42, 0.0, [], False)

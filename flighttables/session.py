@@ -122,3 +122,48 @@ def ship_package(spark: SparkSession) -> None:
     else:
         spark.addArtifacts(target, pyfile=True)
     _SHIPPED.add(app)
+
+
+# Target bytes per task: large enough to amortise task overhead, small enough that a
+# partition's sort / hash buffers fit an executor core's share of memory without heavy spill.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 200_000
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (a distributed listing; no file is read)."""
+    from pyspark.sql import functions as F
+    total = 0
+    for p in paths:
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
+                   .select("length"))
+        total += listing.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return int(total)
+
+
+def scale_conf(total_input_bytes: int, target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict:
+    """Partition sizing for a job reading ``total_input_bytes``.
+
+    Scan splits and shuffle partitions are sized to ``target_partition_bytes`` (shuffle
+    partitions from the input size, which bounds what most jobs here shuffle); AQE then
+    coalesces small shuffle partitions towards its advisory size and splits skewed ones
+    above five times the median.  ``ordered_within`` takes its range partition count from
+    ``spark.sql.shuffle.partitions``, so it follows the same sizing.
+    """
+    n = max(1, min(MAX_SHUFFLE_PARTITIONS, -(-int(total_input_bytes) // int(target_partition_bytes))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, paths: list[str],
+                     target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict:
+    """Measure the inputs and set the sizing of :func:`scale_conf` on the session."""
+    conf = scale_conf(input_bytes(spark, paths), target_partition_bytes)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

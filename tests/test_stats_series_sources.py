@@ -85,3 +85,12 @@ def test_message_file_manifest(spark):
     files = FS.list_files(spark, d, ".mcap")
     got = sorted(rows(FS.message_file_manifest(files), "mcap_id", "log_date", "length"))
     assert got == [("2024-01-01-abc", dt.date(2024, 1, 1), 8), ("2024-02-03-def", dt.date(2024, 2, 3), 8)]
+
+
+def test_scale_conf(spark):
+    from flighttables.session import input_bytes, scale_conf
+    c = scale_conf(100 * 1024 ** 4)                        # 100 TB
+    assert c["spark.sql.shuffle.partitions"] == "200000"      # capped; AQE coalesces further
+    assert scale_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "40"   # 10 GB / 256 MB
+    assert scale_conf(1)["spark.sql.shuffle.partitions"] == "1"
+    assert input_bytes(spark, ["/root/testdata/sf0.001"]) > 0

@@ -17,16 +17,16 @@ from .ordered import ordered_within
 INT_TEXT_RE = r"^[+-]?[0-9]+$"
 
 
-def log_records(logs: DataFrame, tagged: bool = False) -> DataFrame:
+def log_records(logs: DataFrame, tagged: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Shape raw log rows ``(mcap_id, ts_us, level_name, message[, tag], ordinal)`` into log records.
 
-    Output: ``mcap_id, ts_us, ordinal, message, level, name, file, line, ts_sec, ts_nsec``;
-    ``file`` and ``line`` default to ``''`` and ``0``.
+    Output: ``mcap_id, ts_us, ordinal, <keep>, message, level, name, file, line, ts_sec,
+    ts_nsec``; ``file`` and ``line`` default to ``''`` and ``0``.
     """
     name = F.coalesce(F.col("tag").cast("string"), F.lit("")) if tagged else F.lit("")
     t = micros_to_sec_nsec(F.col("ts_us"))
     return logs.select(
-        "mcap_id", "ts_us", "ordinal",
+        "mcap_id", "ts_us", "ordinal", *keep,
         F.col("message").cast("string").alias("message"),
         remap_level(F.col("level_name")).alias("level"),
         name.alias("name"),
@@ -42,16 +42,10 @@ def tag_first_seen(logs: DataFrame) -> DataFrame:
 
 def merge_tagged(logs: DataFrame) -> DataFrame:
     """Tagged records of each flight in merge order, with ``seq`` (1-based) per flight."""
-    firsts = tag_first_seen(logs)
-    keyed = logs.join(firsts, on=["mcap_id", "tag"], how="inner")
-    name = F.coalesce(F.col("tag").cast("string"), F.lit(""))
-    t = micros_to_sec_nsec(F.col("ts_us"))
-    recs = keyed.select(
-        "mcap_id", "ts_us", "ordinal", "tag_first",
-        F.col("message").cast("string").alias("message"),
-        remap_level(F.col("level_name")).alias("level"),
-        name.alias("name"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("line"),
-        t["sec"].alias("ts_sec"), t["nsec"].alias("ts_nsec"))
+    firsts = tag_first_seen(logs).alias("f")
+    cond = (F.col("l.mcap_id") == F.col("f.mcap_id")) & F.col("l.tag").eqNullSafe(F.col("f.tag"))
+    keyed = logs.alias("l").join(firsts, on=cond, how="inner").select("l.*", "f.tag_first")
+    recs = log_records(keyed, tagged=True, keep=("tag_first",))
     return ordered_within(recs, ["mcap_id"], ["ts_us", "tag_first", "ordinal"], seq_col="seq").drop("tag_first")
 
 

@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 
 from ..functions.types import STANDARD_COLUMNS, is_supported, table_type_of, type_suffix_col, widen
 
@@ -105,16 +104,3 @@ def evolve_union(spark: SparkSession, topic: str, batches: list[tuple[str, DataF
         part = df.select(*cols)
         out = part if out is None else out.unionByName(part)
     return out
-
-
-def evolve_schema_map(existing: dict[str, T.DataType], incoming: list[T.StructField]) -> "OrderedDict[str, T.DataType]":
-    """Driver-side helper: the evolved column set after one more writer (names in order)."""
-    from ..functions.types import evolved_name
-    cols: OrderedDict[str, T.DataType] = OrderedDict(existing)
-    for f in incoming:
-        if not is_supported(f.dataType):
-            continue
-        t = table_type_of(f.dataType)
-        name = evolved_name(f.name, t, cols)
-        cols.setdefault(name, t)
-    return cols

@@ -80,3 +80,9 @@ def test_metadata_maps(spark):
                                "mcap_id string, key string, value string")
     m = LG.metadata_lookup(LG.metadata_maps(kv), "ver_sw", "unknown", "ver")
     assert dict(rows(m, "mcap_id", "ver")) == {"f": "abc", "g": "unknown"}
+
+
+def test_tagged_merge_keeps_null_tags(spark):
+    logs = spark.createDataFrame([("f", 1, 0, None, "INFO", "x"), ("f", 1, 1, 5, "INFO", "y")],
+                                 "mcap_id string, ts_us long, ordinal long, tag int, level_name string, message string")
+    assert rows(LG.merge_tagged(logs).orderBy("seq"), "message", "name") == [("x", ""), ("y", "5")]

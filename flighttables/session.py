@@ -90,8 +90,10 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``flighttables`` importable on the executors' Python workers (like ``--py-files``).
 
     Needed wherever a task runs library Python code (the Arrow scan of ``ordered_within``).
-    The package is zipped once per application under the shared folder and added with
-    ``addPyFile``; Spark distributes it to every executor.
+    The package is zipped once per application and added with ``addPyFile``; Spark's file
+    server distributes it to every executor.  The zip is built under the shared folder when
+    that is a local path, otherwise in a driver-side folder (an artifact the driver ships,
+    like ``--py-files``; no data goes there).
     """
     import hashlib
     import zipfile
@@ -109,6 +111,8 @@ def ship_package(spark: SparkSession) -> None:
     root = shared_dir(spark)
     if root.startswith("file:"):
         root = root[len("file:"):]
+    if "://" in root:
+        root = tempfile.gettempdir()
     target = os.path.join(root, "flighttables", f"flighttables-{digest}.zip")
     if not os.path.exists(target):
         os.makedirs(os.path.dirname(target), exist_ok=True)

@@ -31,16 +31,19 @@ def flights_overview(spark, root):
 
 @query("error_counts")
 def error_counts(spark, root):
+    """ERROR log rows per flight."""
     return curated.error_counts(S.logged_messages(spark, root))
 
 
 @query("battery_ranges")
 def battery_ranges(spark, root):
+    """Min / max of the battery measures per (flight, instance, cell count)."""
     return curated.battery(S.battery_status(spark, root))
 
 
 @query("max_altitude")
 def max_altitude(spark, root):
+    """Highest point, start and formatted duration per flight."""
     return curated.max_altitude(S.local_position(spark, root))
 
 
@@ -56,6 +59,7 @@ CATALOG_NEW = C.CatalogQuery(mav_type=["1-urgent", "2-HIGH"], max_num=500)
 
 @query("latest_per_vehicle")
 def latest_per_vehicle(spark, root):
+    """Latest log per vehicle (ties to the first in input order; no-uuid rows dropped)."""
     return C.latest_per_vehicle(S.log_catalog(spark, root))
 
 
@@ -81,6 +85,7 @@ def catalog_new_only(spark, root):
 
 @query("catalog_outcomes")
 def catalog_outcomes(spark, root):
+    """Selected vs already-held counts for the top-500 selection."""
     sel = C.select_logs(S.log_catalog(spark, root), CATALOG_NEW)
     held = C.held_ids_from_files(S.held_log_files(spark, root))
     return C.selection_outcomes(sel, held, CATALOG_NEW)
@@ -88,6 +93,7 @@ def catalog_outcomes(spark, root):
 
 @query("skip_existing")
 def skip_existing(spark, root):
+    """Raw-log keys whose converted output does not exist yet."""
     return C.pending_conversions(S.raw_log_keys(spark, root), S.converted_keys(spark, root))
 
 
@@ -103,6 +109,7 @@ NAV_STATE_LABELS = {0: "MANUAL", 1: "ALTCTL", 2: "POSCTL", 3: "AUTO_MISSION", 4:
 
 @query("topic_split")
 def topic_split(spark, root):
+    """Base topic and u8 instance id of every channel name."""
     t = S.topic_names(spark, root)
     return t.select("ordinal", "topic", N.topic_base("topic").alias("base_topic"),
                     N.topic_multi_id("topic").alias("multi_id"))
@@ -131,18 +138,21 @@ def names_from_paths(spark, root):
 
 @query("log_id_from_name")
 def log_id_from_name(spark, root):
+    """Log id of every raw-log stem (date prefix stripped when present)."""
     s = S.log_file_stems(spark, root)
     return s.select("ordinal", "stem", N.log_id_from_stem("stem").alias("log_id"))
 
 
 @query("standard_columns")
 def standard_columns(spark, root):
+    """Standard columns of message envelopes, sorted by publish time for writing."""
     m = S.message_envelopes(spark, root)
     return M.sort_for_write(M.standard_columns(m, payload_cols=["ordinal", "value"]))
 
 
 @query("sec_nsec")
 def sec_nsec(spark, root):
+    """Sample times split into seconds and nanoseconds, and scaled to nanoseconds."""
     s = S.sample_micros(spark, root)
     return s.select("ordinal", "ts_us", TM.micros_to_sec_nsec("ts_us").alias("t"),
                     TM.micros_to_nanos("ts_us").alias("ts_ns")) \
@@ -151,6 +161,7 @@ def sec_nsec(spark, root):
 
 @query("level_remap")
 def level_remap(spark, root):
+    """Source log levels mapped to lake levels, their rank and the panel filter."""
     lv = S.source_log_levels(spark, root).withColumn("level", L.remap_level("source_level"))
     return lv.select("ordinal", "source_level", "level", L.level_rank("level").alias("level_rank"),
                      L.at_least_level("level").alias("shown"))
@@ -158,6 +169,7 @@ def level_remap(spark, root):
 
 @query("enum_label")
 def enum_label(spark, root):
+    """Navigation state numbers labelled (UNKNOWN_<n> for unlisted numbers)."""
     vs = S.vehicle_status(spark, root)
     return vs.select("ordinal", "nav_state", L.enum_label("nav_state", NAV_STATE_LABELS).alias("nav_state_label"))
 
@@ -183,11 +195,13 @@ def log_messages(spark, root):
 
 @query("parameter_split")
 def parameter_split(spark, root):
+    """Parameter values split into an integer or a real branch."""
     return LG.parameter_changes(S.parameter_rows(spark, root))
 
 
 @query("payload_decode")
 def payload_decode(spark, root):
+    """JSON payloads decoded against their schema (fail fast)."""
     ev = S._t(spark, root, "events").select("event_id", "props")
     return MS.decode_payload(ev, "k BIGINT", payload_col="props")
 
@@ -206,11 +220,13 @@ from ..operators import unflatten as U  # noqa: E402
 
 @query("samples_to_rows")
 def samples_to_rows(spark, root):
+    """Columnar topic datasets turned into one row per sample."""
     return U.samples_to_rows(S.embedding_datasets(spark, root), ["control[0]", "control[1]"])
 
 
 @query("topic_fields")
 def topic_fields(spark, root):
+    """Each topic's field list in declaration order, as text."""
     tf = U.topic_fields(S.field_rows(spark, root))
     return tf.select("topic", F.array_join(F.transform("fields", lambda x: F.concat(x["field"], F.lit(":"), x["type"])),
                                            ",").alias("fields"))
@@ -218,27 +234,32 @@ def topic_fields(spark, root):
 
 @query("schema_registry")
 def schema_registry(spark, root):
+    """One schema per type: first channel and instance count."""
     return U.schema_registry(S.channels(spark, root))
 
 
 @query("field_classify")
 def field_classify(spark, root):
+    """Table columns derived from flat field lists."""
     return U.classify_fields(S.field_rows(spark, root))
 
 
 @query("field_drops")
 def field_drops(spark, root):
+    """Flat fields that get no column, with reason and warning flag."""
     return U.dropped_fields(S.field_rows(spark, root))
 
 
 @query("pack_arrays")
 def pack_arrays(spark, root):
+    """Flat array columns packed into an array (exploded) and a char array into text."""
     packed = U.pack_flat_columns(S.flat_samples(spark, root), text_bases=("flag",))
     return packed.select("l_orderkey", "l_linenumber", "flag", F.posexplode("m").alias("pos", "m"))
 
 
 @query("struct_array_transpose")
 def struct_array_transpose(spark, root):
+    """Struct-array leaves packed and transposed into per-leaf arrays (exploded)."""
     packed = U.transpose_struct_array(U.pack_struct_array_columns(S.struct_array_samples(spark, root)), "motors")
     z = F.arrays_zip("esc__rpm", "esc__temp", "motors__id", "motors__sid")
     return packed.select("l_orderkey", "l_linenumber", F.posexplode(z).alias("pos", "z")).select(
@@ -247,11 +268,13 @@ def struct_array_transpose(spark, root):
 
 @query("char_text")
 def char_text(spark, root):
+    """Whole texts stored as signed char arrays decoded back to text."""
     return S.char_samples(spark, root).select("conv_id", "turn", TX.char_array_to_text("chars").alias("text"))
 
 
 @query("char_text_array")
 def char_text_array(spark, root):
+    """Arrays of char arrays decoded to arrays of text (joined per row)."""
     t = S.char_array_samples(spark, root).select("conv_id", "turn", TX.char_arrays_to_texts("chars").alias("texts"))
     return t.select("conv_id", "turn", F.size("texts").alias("n_lines"), F.array_join("texts", "\n").alias("text"))
 
@@ -262,16 +285,19 @@ from ..operators import merge as MG, trajectory as TJ  # noqa: E402
 
 @query("trajectory_points")
 def trajectory_points(spark, root):
+    """Instance-0 trajectory points in ENU with their index in sample order."""
     return TJ.trajectory_points(S.position_samples(spark, root))
 
 
 @query("trajectory_first_ts")
 def trajectory_first_ts(spark, root):
+    """Per flight: first valid sample time, point count and scene constants."""
     return TJ.trajectory_summary(S.position_samples(spark, root))
 
 
 @query("merge_streams")
 def merge_streams(spark, root):
+    """Topic samples, tagged logs and parameter changes merged per flight in time order."""
     return MG.merge_streams(S.merge_inputs(spark, root))
 
 
@@ -286,16 +312,19 @@ _KEYS = ["mcap_id", "log_time", "ordinal"]
 
 @query("union_missing")
 def union_missing(spark, root):
+    """Two payload schema versions unioned; fields absent from a version read as NULL."""
     return SC.evolve_union(spark, "events", S.schema_batches(spark, root, conflict=False), keep=_KEYS)
 
 
 @query("type_conflict_sibling")
 def type_conflict_sibling(spark, root):
+    """Two payload schema versions with a type change; the later type goes to a sibling column."""
     return SC.evolve_union(spark, "events", S.schema_batches(spark, root, conflict=True), keep=_KEYS)
 
 
 @query("supported_fields")
 def supported_fields(spark, root):
+    """Payload rows with map and struct fields dropped."""
     kept = SC.supported_columns(S.nested_payloads(spark, root))
     return kept.select("event_id", "value", F.element_at("tags", 1).alias("tag"),
                        F.lit(len(kept.columns)).alias("n_columns"))
@@ -303,11 +332,13 @@ def supported_fields(spark, root):
 
 @query("descriptor_check")
 def descriptor_check(spark, root):
+    """Per (flight, base topic): message and descriptor counts, failing on a mismatch."""
     return M.descriptor_check(S.channel_messages(spark, root))
 
 
 @query("topic_counts")
 def topic_counts(spark, root):
+    """Messages per channel."""
     return M.topic_counts(S.channel_messages(spark, root))
 
 
@@ -365,22 +396,26 @@ from ..operators import series as SE, stats as ST  # noqa: E402
 
 @query("state_transitions")
 def state_transitions(spark, root):
+    """State segments of navigation, arming and failsafe state per flight."""
     return SE.state_transitions(S.vehicle_status(spark, root))
 
 
 @query("series_xy_height")
 def series_xy_height(spark, root):
+    """X-Y position and height series of instance 0."""
     pos = S.position_full(spark, root)
     return SE.xy_series(pos).join(SE.height_series(pos), on=["mcap_id", "log_time"], how="inner")
 
 
 @query("series_velocity")
 def series_velocity(spark, root):
+    """Directional velocity series of instance 0 (as the dashboard defines them)."""
     return SE.velocity_series(S.position_full(spark, root))
 
 
 @query("series_battery")
 def series_battery(spark, root):
+    """Battery voltage, remaining, current and low-voltage line of instance 0."""
     return SE.battery_series(S.battery_samples(spark, root))
 
 
@@ -390,18 +425,21 @@ def _rounded(df, cols, digits=6):
 
 @query("run_stats")
 def run_stats(spark, root):
+    """Ingest run statistics per batch: counts, sums, MB/s rates, size ratio."""
     st = ST.ingest_stats(S.run_log(spark, root), by=["batch"])
     return _rounded(st, ["transform_mb_s", "read_mb_s", "write_mb_s", "ratio", "wall_seconds"])
 
 
 @query("convert_stats")
 def convert_stats(spark, root):
+    """Conversion statistics per batch over converted files only."""
     st = ST.conversion_stats(S.run_log(spark, root), by=["batch"])
     return _rounded(st, ["transform_mb_s", "ratio"])
 
 
 @query("run_outcomes")
 def run_outcomes(spark, root):
+    """Files per outcome."""
     return ST.outcome_counts(S.run_log(spark, root))
 
 

@@ -49,3 +49,25 @@ def catalog_tables(spark: SparkSession) -> DataFrame:
 def describe(spark: SparkSession, name: str) -> DataFrame:
     """``DESCRIBE <table>``: column name and type rows."""
     return spark.sql(f"DESCRIBE TABLE {name}")
+
+
+def open_lake(spark: SparkSession, lake_dir: str) -> list[str]:
+    """Attach a lake written by the ingest job: every topic table becomes a view, plus the
+    ``format_duration`` SQL function and the curated views whose inputs exist.
+
+    Topics are found from the tables' ingest manifests (a distributed listing, no data read).
+    Returns the registered topic names.
+    """
+    from ..operators.curated import register_curated_views
+    from ..functions.time import register_sql_functions
+    root = lake_dir.rstrip("/")
+    listing = spark.read.format("binaryFile").load(f"{root}/*/_ingested/*.parquet").select("path")
+    topics = sorted(r["t"] for r in listing.select(
+        F.regexp_extract("path", r"/([^/]+)/_ingested/[^/]+$", 1).alias("t")).distinct().collect())
+    register_lake(spark, root, topics)
+    register_sql_functions(spark)
+    views = [v for v, needs in (("error_counts", {"logged_messages"}),
+                                ("flights", {"vehicle_status", "logged_messages"}),
+                                ("battery", {"battery_status"})) if needs <= set(topics)]
+    register_curated_views(spark, views=tuple(views))
+    return topics

@@ -153,3 +153,39 @@ def test_ingest_missing_fields_read_as_zero_values(spark):
                                            "ok boolean"}, lake)
     r = spark.read.parquet(f"{lake}/param").first()
     assert (r["name"], r["int_value"], r["float_value"], r["flags"], r["ok"]) == ("MC_PITCH_P", 42, 0.0, [], False)
+
+
+def test_open_lake_runs_the_sample_queries(spark):
+    from flighttables.operators.ingest import ingest_envelopes
+    from flighttables.sources.tables import open_lake
+    schema = ("mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+              "schema_name string, payload string")
+    f, d = "2026-06-24-abc", dt.date(2026, 6, 24)
+    s = 10 ** 9
+    env = spark.createDataFrame([
+        (f, d, "vehicle_status_0", 1 * s, 1 * s, 0, "vs", '{"arming_state": 1}'),
+        (f, d, "vehicle_status_0", 2 * s, 2 * s, 0, "vs", '{"arming_state": 2}'),
+        (f, d, "vehicle_status_0", 70 * s, 70 * s, 0, "vs", '{"arming_state": 2}'),
+        (f, d, "logged_messages", 3 * s, 3 * s, 0, "Log", '{"level": "ERROR", "message": "x"}'),
+        (f, d, "vehicle_local_position_0", 5 * s, 5 * s, 0, "lp", '{"z": -12.34}'),
+        (f, d, "vehicle_local_position_0", 9 * s, 9 * s, 0, "lp", '{"z": -3.0}'),
+        (f, d, "battery_status_0", 4 * s, 4 * s, 0, "bs",
+         '{"cell_count": 4, "voltage_v": 15.2, "current_a": 1.0, "remaining": 0.9, "temperature": 30.0}'),
+    ], schema)
+    lake = new_output_dir(spark, "test-open-lake")
+    ingest_envelopes(spark, env, {
+        "vehicle_status": "arming_state int", "logged_messages": "level string, message string",
+        "vehicle_local_position": "z float",
+        "battery_status": "cell_count int, voltage_v float, current_a float, remaining float, temperature float"},
+        lake)
+    assert open_lake(spark, lake) == ["battery_status", "logged_messages", "vehicle_local_position", "vehicle_status"]
+    fl = spark.sql("SELECT * FROM flights").collect()
+    assert [(r["mcap_id"], r["duration"], r["armed_duration"], r["error_count"]) for r in fl] == [(f, "1m9s", "1m8s", 1)]
+    alt = spark.sql("""SELECT mcap_id, ROUND(MAX(-z), 1) AS max_alt_m, MIN(log_time) AS started,
+                              format_duration(MAX(log_time) - MIN(log_time)) AS duration
+                       FROM vehicle_local_position GROUP BY mcap_id""").first()
+    assert (alt["max_alt_m"], alt["duration"]) == (12.3, "4s")
+    assert spark.sql("SELECT * FROM battery").first()["max_voltage"] == pytest.approx(15.2, rel=1e-6)
+    assert spark.sql("SELECT * FROM logged_messages LIMIT 10").count() == 1
+    assert "vehicle_status" in [t.name for t in spark.catalog.listTables()]
+    assert "arming_state" in [r["col_name"] for r in spark.sql("DESCRIBE vehicle_status").collect()]

@@ -550,3 +550,5 @@ ORACLE_SQL["flights_sample"] = f"SELECT * FROM ({ORACLE_SQL['flights_overview']}
 # The ingest job re-anchors the envelope times to the original timestamps, so the curated
 # view over the written lake equals the flight overview computed from the source rows.
 ORACLE_SQL["lake_flights"] = ORACLE_SQL["flights_overview"]
+
+ORACLE_SQL["stream_lake_flights"] = ORACLE_SQL["flights_overview"]

@@ -6,6 +6,7 @@ library operator on it.  Columns are aliased to the names used by ``oracle.ORACL
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -453,10 +454,23 @@ def flights_sample(spark, root):
 @query("lake_flights")
 def lake_flights(spark, root):
     """End to end: envelopes -> topic tables -> registered tables -> curated ``flights`` SQL view."""
-    from ..operators import curated as CU
     from ..operators.ingest import ingest_envelopes
     lake = new_output_dir(spark, "lake_flights")
-    topics = ingest_envelopes(spark, S.telemetry_envelopes(spark, root), S.TELEMETRY_SCHEMAS, lake)
-    TB.register_lake(spark, lake, topics)
-    CU.register_curated_views(spark, views=("error_counts", "flights"))
+    ingest_envelopes(spark, S.telemetry_envelopes(spark, root), S.TELEMETRY_SCHEMAS, lake)
+    TB.open_lake(spark, lake)
+    return spark.sql("SELECT * FROM flights")
+
+
+@query("stream_lake_flights")
+def stream_lake_flights(spark, root):
+    """Envelope files ingested by a Structured Streaming query (foreachBatch), then ``flights``."""
+    from ..streaming.ingest import ingest_stream
+    env_dir, lake = new_output_dir(spark, "stream_envelopes"), new_output_dir(spark, "stream_lake")
+    S.telemetry_envelopes(spark, root).write.parquet(env_dir)
+    q = ingest_stream(spark, env_dir, spark.read.parquet(env_dir).schema, lake, S.TELEMETRY_SCHEMAS,
+                      name=os.path.basename(lake))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"ingest stream failed: {q.exception()}")
+    TB.open_lake(spark, lake)
     return spark.sql("SELECT * FROM flights")

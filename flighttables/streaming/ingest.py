@@ -1,11 +1,12 @@
 """Incremental ingest with Structured Streaming.
 
-The batch pipeline is the source of truth; this only runs the same steps on each new set
-of envelope files: ``readStream`` over a folder of message envelopes, standard columns,
-then the topic-table sink inside ``foreachBatch``.  The streaming checkpoint (offsets and
-commits) lives under the shared checkpoint folder, so a restarted query resumes where it
-stopped, and the sink's re-ingest policy (``skip`` by default here) keeps a replayed
-micro-batch from duplicating flights.
+The batch ingest job is the source of truth; this only runs it on each new set of envelope
+files: ``readStream`` over a folder of Parquet envelope files, then ``ingest_envelopes``
+inside ``foreachBatch`` (payload decode, schema evolution, topic tables, manifests).  The
+streaming checkpoint (offsets and commits) lives under the shared checkpoint folder, so a
+restarted query resumes where it stopped; the ``skip`` re-ingest policy makes a replayed
+micro-batch a no-op for flights it already wrote.  Files are never split across
+micro-batches, so a flight written as one file is ingested whole.
 """
 
 from __future__ import annotations
@@ -16,32 +17,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.messages import standard_columns
+from ..operators.ingest import ENVELOPE_COLS, ingest_envelopes
 from ..session import shared_dir
-from ..sinks.lake import write_lake
 
 
 def ingest_stream(spark: SparkSession, envelope_dir: str, envelope_schema: T.StructType | str, lake_dir: str,
-                  name: str = "flighttables_ingest", payload_cols: list[str] | None = None,
+                  schemas: dict[str, T.StructType | str], name: str = "flighttables_ingest",
                   available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start a stream that appends new envelope files (Parquet) to the topic tables.
+    """Start a stream that ingests new envelope files into the lake's topic tables.
 
-    ``available_now=True`` processes everything present and stops (batch-like catch-up);
+    ``available_now=True`` processes everything present and stops (catch-up);
     ``False`` keeps running and picks up files as they land.
     """
     reader = spark.readStream.schema(envelope_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    source = reader.parquet(envelope_dir)
-    messages = standard_columns(source, payload_cols=payload_cols)
+    source = reader.parquet(envelope_dir).select(*ENVELOPE_COLS)
 
     def commit(batch: DataFrame, epoch_id: int) -> None:
-        write_lake(batch.sparkSession, batch, lake_dir, mode="append", on_existing="skip")
+        ingest_envelopes(batch.sparkSession, batch, schemas, lake_dir, on_existing="skip")
 
     root = shared_dir(spark)
     if root.startswith("file:"):
         root = root[len("file:"):]
     checkpoint = os.path.join(root, "flighttables", "streams", name)
-    writer = messages.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).queryName(name)
+    writer = source.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

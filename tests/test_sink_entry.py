@@ -57,14 +57,18 @@ def test_entry_and_registry(spark):
 def test_ingest_stream_available_now(spark):
     from flighttables.streaming.ingest import ingest_stream
     src = new_output_dir(spark, "test-envelopes")
-    env = spark.createDataFrame([("2024-01-01-a", dt.date(2024, 1, 1), "gps", 1000, 1000, 0, 1.0),
-                                 ("2024-01-01-a", dt.date(2024, 1, 1), "baro_1", 2000, 2000, 0, 2.0)], ENV)
+    env = spark.createDataFrame(
+        [("2024-01-01-a", dt.date(2024, 1, 1), "gps", 1000, 1000, 0, "gps", '{"lat": 1.5}'),
+         ("2024-01-01-a", dt.date(2024, 1, 1), "baro_1", 2000, 2000, 0, "baro", '{"p": 1013}')],
+        "mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+        "schema_name string, payload string")
     env.write.parquet(src)
     lake = new_output_dir(spark, "test-stream-lake")
-    q = ingest_stream(spark, src, env.schema, lake, name=f"t{abs(hash(lake)) % 10**8}", payload_cols=["v"])
+    q = ingest_stream(spark, src, env.schema, lake, {"gps": "lat double", "baro": "p int"},
+                      name=f"t{abs(hash(lake)) % 10**8}")
     q.awaitTermination(120)
     assert q.exception() is None
-    assert spark.read.parquet(lake).count() == 2
+    assert spark.read.parquet(f"{lake}/gps").count() == 1 and spark.read.parquet(f"{lake}/baro").first()["p"] == 1013
 
 
 def test_write_topic_table_policy(spark):

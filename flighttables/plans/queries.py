@@ -469,7 +469,9 @@ def stream_lake_flights(spark, root):
     S.telemetry_envelopes(spark, root).write.parquet(env_dir)
     q = ingest_stream(spark, env_dir, spark.read.parquet(env_dir).schema, lake, S.TELEMETRY_SCHEMAS,
                       name=os.path.basename(lake))
-    q.awaitTermination()
+    if not q.awaitTermination(1800):
+        q.stop()
+        raise TimeoutError("ingest stream did not finish within 30 minutes")
     if q.exception() is not None:
         raise RuntimeError(f"ingest stream failed: {q.exception()}")
     TB.open_lake(spark, lake)

@@ -23,6 +23,8 @@ from ..functions.names import dest_key, file_stem, log_id_from_stem, require_suf
 
 CATALOG_COLUMNS = ["log_id", "log_date", "mav_type", "rating", "vehicle_uuid", "vehicle_name",
                    "airframe_name", "airframe_type", "source", "ver_sw"]
+# Catalog records as JSON text (dates as YYYY-MM-DD strings): read with this schema, no inference pass.
+CATALOG_JSON_SCHEMA = ", ".join(f"{c} string" for c in CATALOG_COLUMNS)
 
 
 @dataclass

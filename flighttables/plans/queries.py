@@ -387,7 +387,7 @@ def catalog_json(spark, root):
     """Catalog records written as JSON and read back (dates parsed, nulls omitted)."""
     path = new_output_dir(spark, "catalog_json")
     MS.write_log_catalog(S.log_catalog(spark, root), path)
-    cat = MS.read_log_catalog(spark, path, multi_line=False)
+    cat = MS.read_log_catalog(spark, path, schema=C.CATALOG_JSON_SCHEMA + ", ordinal bigint", multi_line=False)
     return cat.select(*C.CATALOG_COLUMNS, "ordinal")
 
 

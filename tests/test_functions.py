@@ -113,3 +113,11 @@ def test_char_arrays_to_texts_and_round_trip(spark):
     assert rows(df.select(TX.char_arrays_to_texts("a"))) == [(["a", "bc"],)]
     t = spark.createDataFrame([("héllo ü",), ("",)], "t string")
     assert rows(t.select(TX.char_array_to_text(TX.text_to_signed_bytes("t")))) == [("héllo ü",), ("",)]
+
+
+@pytest.mark.parametrize("raw", [[0xE2, 0x82], [0xFF], [0x61, 0xC3], [0xE2, 0x28, 0xA1], [0xF0, 0x9F, 0x98],
+                                 [0xED, 0xA0, 0x80], [0xC0, 0xAF], [0xF4, 0x90, 0x80, 0x80], [0x61, 0x80, 0x80, 0x62]])
+def test_invalid_utf8_is_replaced_like_python(spark, raw):
+    signed = [b - 256 if b > 127 else b for b in raw]
+    df = spark.createDataFrame([(signed,)], "a array<int>")
+    assert rows(df.select(TX.char_array_to_text("a"))) == [(bytes(raw).decode("utf-8", errors="replace"),)]

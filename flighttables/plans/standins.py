@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.tables import read_table
 
 
-def _t(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return read_table(spark, root, name)
+def _t(spark: SparkSession, root: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, root, name, spread_to_cores=spread)
 
 
 def flight_id() -> F.Column:
@@ -226,7 +226,7 @@ SOURCE_TYPES = ["int8_t", "int16_t", "int32_t", "int64_t", "uint8_t", "uint16_t"
 
 def field_rows(spark, root) -> DataFrame:
     """Flat field lists ``(topic, ordinal, field, type)``: one topic per order, fields per line."""
-    li = _t(spark, root, "lineitem")
+    li = _t(spark, root, "lineitem", spread=True)     # pattern matching per field row follows
     ln = (F.col("l_linenumber") - 1).cast("string")
     types = F.array(*[F.lit(t) for t in SOURCE_TYPES[:11]])
     rpm_type = F.element_at(types, (F.col("l_partkey") % 11 + 1).cast("int"))
@@ -281,7 +281,7 @@ def struct_array_samples(spark, root) -> DataFrame:
 def char_samples(spark, root) -> DataFrame:
     """Whole texts as signed byte arrays followed by a NUL and junk bytes."""
     from ..functions.text import text_to_signed_bytes
-    c = _t(spark, root, "conversations")
+    c = _t(spark, root, "conversations", spread=True)  # per-byte work on whole texts follows
     junk = F.array(F.lit(0), F.lit(-120), F.lit(99))
     return c.select("conv_id", "turn", F.concat(text_to_signed_bytes(F.col("text")), junk).alias("chars"))
 
@@ -289,7 +289,7 @@ def char_samples(spark, root) -> DataFrame:
 def char_array_samples(spark, root) -> DataFrame:
     """Texts split into lines; each line a NUL-terminated signed byte array."""
     from ..functions.text import text_to_signed_bytes
-    c = _t(spark, root, "conversations")
+    c = _t(spark, root, "conversations", spread=True)  # per-byte work on whole texts follows
     lines = F.split(F.col("text"), "\n", -1)
     return c.select("conv_id", "turn", F.transform(
         lines, lambda l: F.concat(text_to_signed_bytes(l), F.array(F.lit(0), F.lit(-61)))).alias("chars"))

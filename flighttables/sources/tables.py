@@ -9,9 +9,30 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations"]
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Parquet table ``<root>/<name>.parquet`` (or a partitioned folder of that name)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster when it yields fewer input partitions than cores.
+
+    A small file with one row group is read by one task, and every narrow step after it
+    (explode, pattern matching, byte text) would run in that task too.  Such scans are
+    round-robin repartitioned to the default parallelism; scans that already have enough
+    input splits — any large input — are returned unchanged, without a shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access keep the scan as is
+        return df
+    return df.repartition(target) if n < target else df
+
+
+def read_table(spark: SparkSession, root: str, name: str, spread_to_cores: bool = False) -> DataFrame:
+    """Parquet table ``<root>/<name>.parquet`` (or a partitioned folder of that name).
+
+    ``spread_to_cores`` applies :func:`spread` — worth it only when heavy per-row work
+    follows the scan; an aggregation right after it is better served by its partial phase.
+    """
+    df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_to_cores else df
 
 
 def register_tables(spark: SparkSession, root: str, names=DRIVER_TABLES) -> list[str]:

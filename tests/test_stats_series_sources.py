@@ -94,3 +94,12 @@ def test_scale_conf(spark):
     assert scale_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "40"   # 10 GB / 256 MB
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "1"
     assert input_bytes(spark, ["/root/testdata/sf0.001"]) > 0
+
+
+def test_spread_only_small_scans(spark):
+    small = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    assert small.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    assert TB.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
+    assert TB.spread(wide) is wide                       # enough splits: unchanged, no shuffle
+    assert TB.spread(small).count() == small.count()

@@ -11,8 +11,8 @@ schema_name, payload`` (payload = JSON text).  Steps:
    value (they are in the writer's schema, just not on the wire), evolve the table's payload schema (first writer wins;
    a field arriving with another type goes to ``<name>__as_<suffix>``; new fields append),
    add the standard columns, and append to the topic table (``log_date`` partitions, rows
-   sorted by publish time).  Tables are read back with ``mergeSchema``: older files simply
-   lack the newer columns, which read as NULL.
+   sorted by publish time).  Readers use the recorded schema (``read_topic_table``): older
+   files simply lack the newer columns, which read as NULL.
 
 The loop in step 3 runs over the topic list (metadata); each iteration is a distributed
 job over that topic's rows only.

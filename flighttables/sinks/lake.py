@@ -132,6 +132,26 @@ def write_table_schema(spark: SparkSession, table_dir: str, schema: T.StructType
         .write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{TABLE_SCHEMA}")
 
 
+def topic_table_schema(spark: SparkSession, table_dir: str) -> T.StructType | None:
+    """Full read schema of a topic table (standard columns, evolved payload, ``log_date``),
+    from its schema record; ``None`` when the table has no record."""
+    from ..functions.types import STANDARD_COLUMNS
+    payload = read_table_schema(spark, table_dir)
+    if payload is None:
+        return None
+    std = T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in STANDARD_COLUMNS if n != "log_date"))
+    return T.StructType(list(std.fields) + list(payload.fields) + [T.StructField("log_date", T.DateType(), True)])
+
+
+def read_topic_table(spark: SparkSession, table_dir: str) -> DataFrame:
+    """A topic table written by the ingest job.  With a schema record the read schema is
+    given explicitly (no footer scan of every file; files that predate a column read it as
+    NULL); without one the file schemas are merged."""
+    schema = topic_table_schema(spark, table_dir)
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+    return reader.parquet(table_dir)
+
+
 def read_topic(spark: SparkSession, lake_dir: str, base_topic: str) -> DataFrame:
     """One topic table of a lake written by ``write_lake`` (partition pruning on the topic)."""
     return spark.read.parquet(lake_dir).where(F.col("base_topic") == base_topic)

@@ -45,11 +45,12 @@ def register_tables(spark: SparkSession, root: str, names=DRIVER_TABLES) -> list
 def register_lake(spark: SparkSession, lake_dir: str, topics: list[str]) -> None:
     """Register written topic tables (one folder per base topic) as temp views.
 
-    ``mergeSchema`` unions the file schemas of an evolved table: files written before a
-    column was added read it as NULL.
+    Each table is read with its recorded evolved schema (files written before a column was
+    added read it as NULL), or with merged file schemas when it has no record.
     """
+    from ..sinks.lake import read_topic_table
     for t in topics:
-        spark.read.option("mergeSchema", "true").parquet(f"{lake_dir.rstrip('/')}/{t}").createOrReplaceTempView(t)
+        read_topic_table(spark, f"{lake_dir.rstrip('/')}/{t}").createOrReplaceTempView(t)
 
 
 def catalog_tables(spark: SparkSession) -> DataFrame:

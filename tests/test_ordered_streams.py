@@ -84,3 +84,11 @@ def test_hot_group_is_split_across_partitions(spark):
     assert rows(got.agg(F.min("seq"), F.max("seq"), F.count(F.lit(1)))) == [(1, 3800, 3800)]
     seqs = sorted(r[0] for r in rows(got.select("seq")))
     assert seqs == list(range(1, 3801))
+
+
+def test_ordered_within_empty_and_single_row(spark):
+    empty = spark.createDataFrame([], "g string, o long, v long")
+    assert ordered_within(empty, ["g"], ["o"], lag_cols=["v"], lead_cols=["v"], num_partitions=4).count() == 0
+    one = spark.createDataFrame([("a", 1, 7)], "g string, o long, v long")
+    assert rows(ordered_within(one, ["g"], ["o"], lag_cols=["v"], lead_cols=["v"], num_partitions=4)) == \
+        [("a", 1, 7, 1, None, None)]

@@ -15,7 +15,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A small file with one row group is read by one task, and every narrow step after it
     (explode, pattern matching, byte text) would run in that task too.  Such scans are
     round-robin repartitioned to the default parallelism; scans that already have enough
-    input splits — any large input — are returned unchanged, without a shuffle.
+    input splits — any large input — are returned unchanged, without a shuffle.  Apply it to
+    a scan: counting the partitions of a plan with shuffles would make AQE run them.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from flighttables.operators import unflatten as U
 from tests.conftest import rows

@@ -193,3 +193,23 @@ def test_open_lake_runs_the_sample_queries(spark):
     assert spark.sql("SELECT * FROM logged_messages LIMIT 10").count() == 1
     assert "vehicle_status" in [t.name for t in spark.catalog.listTables()]
     assert "arming_state" in [r["col_name"] for r in spark.sql("DESCRIBE vehicle_status").collect()]
+
+
+def test_topic_tables_prune_partitions_and_push_filters(spark):
+    import contextlib
+    import io
+    from flighttables.operators.ingest import ingest_envelopes
+    schema = ("mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+              "schema_name string, payload string")
+    env = spark.createDataFrame([(f"2024-01-{d:02d}-x", dt.date(2024, 1, d), "gps_0", 5, 5, 0, "g", '{"lat": 1.0}')
+                                 for d in (1, 2, 3)], schema)
+    lake = new_output_dir(spark, "test-prune")
+    ingest_envelopes(spark, env, {"gps": "lat double"}, lake)
+    q = LK.read_topic_table(spark, f"{lake}/gps").where(
+        (F.col("log_date") == F.lit("2024-01-02").cast("date")) & (F.col("publish_time") > F.lit("2024-01-01").cast("timestamp_ntz")))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain("formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(log_date" in plan and "PushedFilters: [IsNotNull(publish_time)" in plan
+    assert q.count() == 1

@@ -111,9 +111,17 @@ def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: st
 def register_topic_table(spark: SparkSession, name: str, table_dir: str) -> None:
     """``CREATE TABLE IF NOT EXISTS`` over a topic table folder, partitioned by ``log_date``.
 
+    With a schema record the table is declared with the evolved schema (all columns, also
+    those only newer files carry); otherwise the schema is inferred from the files.
     Partition folders written later are picked up with ``ALTER TABLE … RECOVER PARTITIONS``.
     """
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{table_dir}'")
+    schema = topic_table_schema(spark, table_dir)
+    if schema is not None:
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY (log_date) "
+                  f"LOCATION '{table_dir}'")
+    else:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{table_dir}'")
     if "log_date" in spark.table(name).columns:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 

@@ -213,3 +213,19 @@ def test_topic_tables_prune_partitions_and_push_filters(spark):
     plan = buf.getvalue()
     assert "PartitionFilters: [isnotnull(log_date" in plan and "PushedFilters: [IsNotNull(publish_time)" in plan
     assert q.count() == 1
+
+
+def test_register_topic_table_uses_the_evolved_schema(spark):
+    from flighttables.operators.ingest import ingest_envelopes
+    schema = ("mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+              "schema_name string, payload string")
+    lake = new_output_dir(spark, "test-k3")
+    b1 = spark.createDataFrame([("2024-02-01-a", dt.date(2024, 2, 1), "imu_0", 1, 1, 0, "i", '{"ax": 1.0}')], schema)
+    b2 = spark.createDataFrame([("2024-02-02-b", dt.date(2024, 2, 2), "imu_0", 1, 1, 0, "i", '{"ax": 2.0, "ay": 3.0}')],
+                               schema)
+    ingest_envelopes(spark, b1, {"imu": "ax double"}, lake)
+    ingest_envelopes(spark, b2, {"imu": "ax double, ay double"}, lake)
+    LK.register_topic_table(spark, "imu_k3", f"{lake}/imu")
+    t = spark.table("imu_k3")
+    assert "ay" in t.columns
+    assert sorted(rows(t, "mcap_id", "ay")) == [("2024-02-01-a", None), ("2024-02-02-b", 3.0)]

@@ -75,19 +75,32 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
 
 
 def open_lake(spark: SparkSession, lake_dir: str) -> list[str]:
-    """Attach a lake written by the ingest job: every topic table becomes a view, plus the
-    ``format_duration`` SQL function and the curated views whose inputs exist.
+    """Attach a lake: every topic table becomes a view, plus the ``format_duration`` SQL
+    function and the curated views whose inputs exist.
 
-    Topics are found from the tables' ingest manifests (a distributed listing, no data read).
-    Returns the registered topic names.
+    Two layouts are recognised: one folder per topic (the ingest job; topics found from the
+    tables' manifests by a distributed listing) and the single-pass fan-out of ``write_lake``
+    (``base_topic=<t>`` partitions; topics from the lake's manifest).  Returns the topics.
     """
     from ..operators.curated import register_curated_views
     from ..functions.time import register_sql_functions
+    from ..sinks.lake import MANIFEST, read_topic
     root = lake_dir.rstrip("/")
-    listing = spark.read.format("binaryFile").load(f"{root}/*/_ingested/*.parquet").select("path")
-    topics = sorted(r["t"] for r in listing.select(
-        F.regexp_extract("path", r"/([^/]+)/_ingested/[^/]+$", 1).alias("t")).distinct().collect())
-    register_lake(spark, root, topics)
+    try:
+        fanout = spark.read.parquet(f"{root}/{MANIFEST}")
+    except Exception as e:  # noqa: BLE001 - no root manifest: one folder per topic
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        fanout = None
+    if fanout is not None and "base_topic" in fanout.columns:
+        topics = sorted(r["base_topic"] for r in fanout.select("base_topic").distinct().collect())
+        for t in topics:
+            read_topic(spark, root, t).drop("base_topic").createOrReplaceTempView(t)
+    else:
+        listing = spark.read.format("binaryFile").load(f"{root}/*/{MANIFEST}/*.parquet").select("path")
+        topics = sorted(r["t"] for r in listing.select(
+            F.regexp_extract("path", rf"/([^/]+)/{MANIFEST}/[^/]+$", 1).alias("t")).distinct().collect())
+        register_lake(spark, root, topics)
     register_sql_functions(spark)
     views = [v for v, needs in (("error_counts", {"logged_messages"}),
                                 ("flights", {"vehicle_status", "logged_messages"}),

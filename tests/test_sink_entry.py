@@ -229,3 +229,11 @@ def test_register_topic_table_uses_the_evolved_schema(spark):
     t = spark.table("imu_k3")
     assert "ay" in t.columns
     assert sorted(rows(t, "mcap_id", "ay")) == [("2024-02-01-a", None), ("2024-02-02-b", 3.0)]
+
+
+def test_open_lake_fanout_layout(spark):
+    from flighttables.sources.tables import open_lake
+    lake = new_output_dir(spark, "test-open-fanout")
+    LK.write_lake(spark, msgs(spark, "2024-03-01-q", 1), lake)
+    assert open_lake(spark, lake) == ["gps", "sensor_baro"]
+    assert spark.sql("SELECT count(*) FROM sensor_baro").first()[0] == 2

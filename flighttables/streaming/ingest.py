@@ -23,11 +23,12 @@ from ..session import shared_dir
 
 def ingest_stream(spark: SparkSession, envelope_dir: str, envelope_schema: T.StructType | str, lake_dir: str,
                   schemas: dict[str, T.StructType | str], name: str = "flighttables_ingest",
-                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  available_now: bool = True, max_files_per_trigger: int | None = None,
+                  processing_time: str = "30 seconds") -> StreamingQuery:
     """Start a stream that ingests new envelope files into the lake's topic tables.
 
     ``available_now=True`` processes everything present and stops (catch-up);
-    ``False`` keeps running and picks up files as they land.
+    ``False`` keeps running and picks up files as they land, every ``processing_time``.
     """
     reader = spark.readStream.schema(envelope_schema)
     if max_files_per_trigger:
@@ -42,5 +43,5 @@ def ingest_stream(spark: SparkSession, envelope_dir: str, envelope_schema: T.Str
         root = root[len("file:"):]
     checkpoint = os.path.join(root, "flighttables", "streams", name)
     writer = source.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).queryName(name)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

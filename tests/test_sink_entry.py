@@ -237,3 +237,33 @@ def test_open_lake_fanout_layout(spark):
     LK.write_lake(spark, msgs(spark, "2024-03-01-q", 1), lake)
     assert open_lake(spark, lake) == ["gps", "sensor_baro"]
     assert spark.sql("SELECT count(*) FROM sensor_baro").first()[0] == 2
+
+
+def test_ingest_stream_continuous_picks_up_new_files(spark):
+    from flighttables.streaming.ingest import ingest_stream
+    schema = ("mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+              "schema_name string, payload string")
+    src, lake = new_output_dir(spark, "test-cont-src"), new_output_dir(spark, "test-cont-lake")
+    first = spark.createDataFrame([("2024-04-01-a", dt.date(2024, 4, 1), "gps", 1, 1, 0, "g", '{"lat": 1.0}')], schema)
+    first.write.parquet(f"{src}/f1")
+    q = ingest_stream(spark, f"{src}/*", first.schema, lake, {"gps": "lat double"},
+                      name=f"c{abs(hash(lake)) % 10**8}", available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        spark.createDataFrame([("2024-04-02-b", dt.date(2024, 4, 2), "gps", 1, 1, 0, "g", '{"lat": 2.0}')],
+                              schema).write.parquet(f"{src}/f2")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(rows(spark.read.parquet(f"{lake}/gps"), "mcap_id", "lat")) == [("2024-04-01-a", 1.0),
+                                                                               ("2024-04-02-b", 2.0)]
+
+
+def test_write_topic_table_overwrite(spark):
+    table = new_output_dir(spark, "test-topic-overwrite")
+    LK.write_topic_table(spark, msgs(spark, "2024-05-01-a", 1).where(F.col("base_topic") == "gps").drop("base_topic"),
+                         table)
+    LK.write_topic_table(spark, msgs(spark, "2024-05-02-b", 2).where(F.col("base_topic") == "gps").drop("base_topic"),
+                         table, mode="overwrite")
+    assert rows(spark.read.parquet(table).select("mcap_id").distinct()) == [("2024-05-02-b",)]
+    assert rows(spark.read.parquet(f"{table}/_ingested").select("mcap_id").distinct()) == [("2024-05-02-b",)]

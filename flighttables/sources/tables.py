@@ -84,14 +84,9 @@ def open_lake(spark: SparkSession, lake_dir: str) -> list[str]:
     """
     from ..operators.curated import register_curated_views
     from ..functions.time import register_sql_functions
-    from ..sinks.lake import MANIFEST, read_topic
+    from ..sinks.lake import MANIFEST, _read_or_none, read_topic
     root = lake_dir.rstrip("/")
-    try:
-        fanout = spark.read.parquet(f"{root}/{MANIFEST}")
-    except Exception as e:  # noqa: BLE001 - no root manifest: one folder per topic
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        fanout = None
+    fanout = _read_or_none(spark, f"{root}/{MANIFEST}")      # None: one folder per topic
     if fanout is not None and "base_topic" in fanout.columns:
         topics = sorted(r["base_topic"] for r in fanout.select("base_topic").distinct().collect())
         for t in topics:

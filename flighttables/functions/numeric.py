@@ -24,7 +24,3 @@ def size_ratio(out_bytes, in_bytes) -> Column:
     """Output bytes / input bytes (NULL when no input bytes)."""
     i = as_col(in_bytes).cast("double")
     return F.when(i != 0, as_col(out_bytes).cast("double") / i)
-
-
-def negate(c) -> Column:
-    return -as_col(c)

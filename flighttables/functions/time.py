@@ -54,11 +54,6 @@ def micros_to_nanos(us) -> Column:
     return as_col(us).cast("bigint") * F.lit(NANOS_PER_MICRO)
 
 
-def timestamp_to_micros(ts) -> Column:
-    """Microseconds since the epoch of a ``TIMESTAMP_NTZ`` (UTC wall clock)."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), as_col(ts))
-
-
 def format_duration(duration) -> Column:
     """Duration text: ``<m>m<s>s`` above one minute, else ``<s>s``; NULL stays NULL.
 

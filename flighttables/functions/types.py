@@ -116,12 +116,6 @@ def evolved_name(name: str, field_type: T.DataType, table_columns: dict) -> str:
     return name
 
 
-def evolved_name_col(name, field_type, first_type) -> Column:
-    """Column form of :func:`evolved_name` given the column's first-writer type name."""
-    n, t, f = as_col(name), as_col(field_type), as_col(first_type)
-    return F.when(f.isNull() | (t == f), n).otherwise(F.concat(n, F.lit("__as_"), type_suffix_col(t)))
-
-
 def widen(col, dt: T.DataType) -> Column:
     """Widen a value to its table type: ints -> bigint, floats -> double, u64 wraps."""
     c = as_col(col)

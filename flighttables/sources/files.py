@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.names import file_name, file_stem, log_date_from_name, mcap_id_from_path
+from ..functions.names import file_name, log_date_from_name, mcap_id_from_path
 
 
 def list_files(spark: SparkSession, root: str, suffix: str, recursive: bool = True) -> DataFrame:
@@ -30,7 +30,3 @@ def message_file_manifest(files: DataFrame) -> DataFrame:
 def count_files(files: DataFrame) -> DataFrame:
     """One-row count of held files."""
     return files.agg(F.count(F.lit(1)).alias("n_files"))
-
-
-def stems(files: DataFrame) -> DataFrame:
-    return files.select(file_stem(F.col("path")).alias("stem"))

@@ -60,3 +60,18 @@ def test_parse_compose_identity(spark, names, ids):
     df = spark.createDataFrame(pairs, "n string, m int").select("n", "m", N.compose_topic("n", "m").alias("t"))
     for n, m, base, mid in rows(df.select("n", "m", N.topic_base("t"), N.topic_multi_id("t"))):
         assert (base, mid) == (n, m)
+
+
+@SETTINGS
+@given(us=st.lists(st.integers(0, 3 * 86400 * 10**6), min_size=1, max_size=30))
+def test_format_duration_matches_part_rule(spark, us):
+    from flighttables.functions.time import format_duration
+
+    def model(t):
+        secs = (t // 10**6) % 60
+        return f"{(t // (60 * 10**6)) % 60}m{secs}s" if t > 60 * 10**6 else f"{secs}s"
+
+    df = spark.createDataFrame([(u,) for u in us], "us long").select(
+        "us", F.make_dt_interval(secs=F.col("us") / F.lit(10**6)).alias("d"))
+    got = [(r["us"], r["t"]) for r in df.select("us", format_duration("d").alias("t")).collect()]
+    assert got == [(u, model(u)) for u in us]

@@ -75,3 +75,21 @@ def test_format_duration_matches_part_rule(spark, us):
         "us", F.make_dt_interval(secs=F.col("us") / F.lit(10**6)).alias("d"))
     got = [(r["us"], r["t"]) for r in df.select("us", format_duration("d").alias("t")).collect()]
     assert got == [(u, model(u)) for u in us]
+
+
+@SETTINGS
+@given(topics=st.lists(st.text(alphabet="ab_+0129", min_size=0, max_size=9), min_size=1, max_size=30))
+def test_topic_split_matches_u8_rule(spark, topics):
+    import re
+
+    def model(t):
+        if "_" not in t:
+            return t, 0
+        base, suffix = t.rsplit("_", 1)
+        if re.fullmatch(r"\+?[0-9]+", suffix) and int(suffix) <= 255:
+            return base, int(suffix)
+        return t, 0
+
+    df = spark.createDataFrame([(t,) for t in topics], "t string")
+    got = [(r[0], r[1]) for r in df.select(N.topic_base("t"), N.topic_multi_id("t")).collect()]
+    assert got == [model(t) for t in topics]

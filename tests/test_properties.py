@@ -93,3 +93,21 @@ def test_topic_split_matches_u8_rule(spark, topics):
     df = spark.createDataFrame([(t,) for t in topics], "t string")
     got = [(r[0], r[1]) for r in df.select(N.topic_base("t"), N.topic_multi_id("t")).collect()]
     assert got == [model(t) for t in topics]
+
+
+@SETTINGS
+@given(us=st.lists(st.integers(-10**15, 10**15), min_size=1, max_size=30),
+       stems=st.lists(st.text(alphabet="2024-01x_", min_size=0, max_size=14), min_size=1, max_size=30))
+def test_sec_nsec_and_log_id_match_python(spark, us, stems):
+    import re
+    from flighttables.functions.time import micros_to_sec_nsec
+    df = spark.createDataFrame([(u,) for u in us], "us long").select(micros_to_sec_nsec("us").alias("t"))
+    assert [(r["t"]["sec"], r["t"]["nsec"]) for r in df.collect()] == \
+        [(divmod(u, 10**6)[0], divmod(u, 10**6)[1] * 1000) for u in us]
+
+    def model(s):
+        m = re.match(r"[0-9]{4}-[0-9]{2}-[0-9]{2}-(.+)", s)
+        return m.group(1) if m else s
+
+    sd = spark.createDataFrame([(s,) for s in stems], "s string")
+    assert [r[0] for r in sd.select(N.log_id_from_stem("s")).collect()] == [model(s) for s in stems]

@@ -111,3 +111,19 @@ def test_sec_nsec_and_log_id_match_python(spark, us, stems):
 
     sd = spark.createDataFrame([(s,) for s in stems], "s string")
     assert [r[0] for r in sd.select(N.log_id_from_stem("s")).collect()] == [model(s) for s in stems]
+
+
+@SETTINGS
+@given(logs=st.lists(st.tuples(st.integers(0, 4), st.sampled_from([3, 7, 9])), min_size=1, max_size=40))
+def test_tagged_merge_matches_heap_merge(spark, logs):
+    import heapq
+    from flighttables.operators import logs as LG
+    streams = {}
+    for ordinal, (ts, tag) in enumerate(logs):                      # dict keeps first-appearance order
+        streams.setdefault(tag, []).append((ts, ordinal))
+    ordered = [sorted(s, key=lambda x: x[0]) for s in streams.values()]   # stable per tag
+    expected = [o for _, o in heapq.merge(*ordered, key=lambda x: x[0])]
+    df = spark.createDataFrame([("f", ts, i, tag, "INFO", "m") for i, (ts, tag) in enumerate(logs)],
+                               "mcap_id string, ts_us long, ordinal long, tag int, level_name string, message string")
+    got = [r["ordinal"] for r in LG.merge_tagged(df).orderBy("seq").collect()]
+    assert got == expected

@@ -127,3 +127,46 @@ def test_tagged_merge_matches_heap_merge(spark, logs):
                                "mcap_id string, ts_us long, ordinal long, tag int, level_name string, message string")
     got = [r["ordinal"] for r in LG.merge_tagged(df).orderBy("seq").collect()]
     assert got == expected
+
+
+@SETTINGS
+@given(samples=st.lists(st.tuples(st.sampled_from(["f", "g"]), st.sampled_from([0, 0, 1]), st.integers(0, 50),
+                                  st.sampled_from([1.0, -2.5, float("nan")]), st.sampled_from([0.5, 3.0])),
+                        min_size=1, max_size=30))
+def test_trajectory_matches_model(spark, samples):
+    import math
+    from flighttables.operators import trajectory as TJ
+    rows_in = [(f, m, ts, i, x, 2.0 * i, z) for i, (f, m, ts, x, z) in enumerate(samples)]
+    df = spark.createDataFrame(rows_in, "mcap_id string, multi_id int, timestamp long, ordinal long, "
+                                        "x double, y double, z double")
+    exp = {}
+    for f, m, ts, i, x, y, z in sorted(rows_in, key=lambda r: (r[2], r[3])):
+        if m == 0 and not any(math.isnan(v) for v in (x, y, z)):
+            exp.setdefault(f, []).append((ts, y, x, -z))
+    got = {}
+    for r in TJ.trajectory_points(df).orderBy("mcap_id", "point_idx").collect():
+        got.setdefault(r["mcap_id"], []).append((r["timestamp"], r["x"], r["y"], r["z"]))
+    assert got == exp
+    summary = {r["mcap_id"]: (r["first_ts"], r["n_points"]) for r in TJ.trajectory_summary(df).collect()}
+    assert summary == {f: (pts[0][0], len(pts)) for f, pts in exp.items()}
+
+
+@SETTINGS
+@given(values=st.lists(st.tuples(st.sampled_from(["f", "g"]), st.integers(0, 2)), min_size=1, max_size=30))
+def test_state_segments_match_model(spark, values):
+    import datetime as dt
+    from flighttables.operators import series as SE
+    t0 = dt.datetime(2024, 1, 1)
+    rows_in = [(f, 0, t0 + dt.timedelta(seconds=i), i, v, 1, False) for i, (f, v) in enumerate(values)]
+    df = spark.createDataFrame(rows_in, "mcap_id string, multi_id int, log_time timestamp_ntz, ordinal long, "
+                                        "nav_state long, arming_state long, failsafe boolean")
+    exp = []
+    for f in sorted({r[0] for r in rows_in}):
+        mine = [r for r in rows_in if r[0] == f]
+        starts = [r for k, r in enumerate(mine) if k == 0 or r[4] != mine[k - 1][4]]
+        for k, r in enumerate(starts):
+            end = starts[k + 1][2] if k + 1 < len(starts) else None
+            exp.append((f, k + 1, str(r[4]), r[2], end))
+    got = [(r["mcap_id"], r["segment"], r["value"], r["start_time"], r["end_time"])
+           for r in SE.state_transitions(df).where("state = 'nav_state'").orderBy("mcap_id", "segment").collect()]
+    assert got == exp

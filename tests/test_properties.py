@@ -170,3 +170,27 @@ def test_state_segments_match_model(spark, values):
     got = [(r["mcap_id"], r["segment"], r["value"], r["start_time"], r["end_time"])
            for r in SE.state_transitions(df).where("state = 'nav_state'").orderBy("mcap_id", "segment").collect()]
     assert got == exp
+
+
+@SETTINGS
+@given(batches=st.lists(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]),
+                                           st.sampled_from(["int", "bigint", "double", "float", "string", "boolean"])),
+                                 min_size=1, max_size=4, unique_by=lambda t: t[0]),
+                        min_size=1, max_size=4))
+def test_evolution_matches_model(spark, batches):
+    widen = {"int": "bigint", "bigint": "bigint", "double": "double", "float": "double", "string": "string",
+             "boolean": "boolean"}
+    suffix = {"bigint": "i64", "double": "f64", "string": "str", "boolean": "bool"}
+    sources = [f"s{k}" for k in range(len(batches))]
+    cols = {}
+    for src, fields in sorted(zip(sources, batches)):
+        for name, typ in fields:
+            t = widen[typ]
+            col = name if cols.get(name, t) == t else f"{name}__as_{suffix[t]}"
+            cols.setdefault(col, t)
+    dfs = []
+    for src, fields in zip(sources, batches):
+        ddl = ", ".join(["id long"] + [f"{n} {t}" for n, t in fields])
+        dfs.append((src, spark.createDataFrame([], ddl)))
+    out = SC.evolve_union(spark, "t", list(reversed(dfs)), keep=["id"])
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema.fields[1:]] == list(cols.items())

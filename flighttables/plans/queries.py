@@ -379,7 +379,8 @@ def catalog_tables(spark, root):
     S.logged_messages(spark, root).createOrReplaceTempView("logged_messages")
     S.battery_status(spark, root).createOrReplaceTempView("battery_status")
     CU.register_curated_views(spark)
-    return TB.catalog_tables(spark)
+    return TB.catalog_tables(spark, names=[*TB.DRIVER_TABLES, "vehicle_status", "logged_messages", "battery_status",
+                                           "error_counts", "flights", "battery"])
 
 
 @query("catalog_json")

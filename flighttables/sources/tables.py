@@ -54,13 +54,16 @@ def register_lake(spark: SparkSession, lake_dir: str, topics: list[str]) -> None
         read_topic_table(spark, f"{lake_dir.rstrip('/')}/{t}").createOrReplaceTempView(t)
 
 
-def catalog_tables(spark: SparkSession) -> DataFrame:
+def catalog_tables(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
     """``SHOW ALL TABLES``: registered tables and views with column and row counts.
 
     The listing is catalog metadata; the row counts are one distributed count per table.
+    ``names`` restricts the listing to those tables.
     """
     out = None
     for t in spark.catalog.listTables():
+        if names is not None and t.name not in names:
+            continue
         tbl = spark.table(t.name)
         part = tbl.agg(F.count(F.lit(1)).alias("n_rows")).select(
             F.lit(t.name).alias("name"), F.lit(t.tableType).alias("table_type"),

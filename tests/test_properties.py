@@ -194,3 +194,28 @@ def test_evolution_matches_model(spark, batches):
         dfs.append((src, spark.createDataFrame([], ddl)))
     out = SC.evolve_union(spark, "t", list(reversed(dfs)), keep=["id"])
     assert [(f.name, f.dataType.simpleString()) for f in out.schema.fields[1:]] == list(cols.items())
+
+
+@SETTINGS
+@given(spec=st.lists(st.tuples(st.sampled_from(["m", "gps.fix", "name"]), st.integers(1, 4)), min_size=1,
+                     max_size=3, unique_by=lambda t: t[0]),
+       seed=st.integers(0, 10**6))
+def test_pack_flat_columns_matches_model(spark, spec, seed):
+    import random
+    from flighttables.operators import unflatten as U
+    rnd = random.Random(seed)
+    cols, values = ["ts"], [7]
+    for base, n in spec:                       # element columns of each base, in order
+        for i in range(n):
+            cols.append(f"{base}[{i}]")
+            values.append(rnd.choice([0, 104, 105]) if base == "name" else rnd.randint(-5, 5))
+    ddl = ", ".join(f"`{c}` int" for c in cols)
+    df = spark.createDataFrame([tuple(values)], ddl)
+    out = U.pack_flat_columns(df, text_bases=("name",))
+    exp_cols, exp_vals = ["ts"], [7]
+    for base, n in spec:
+        vals = [values[cols.index(f"{base}[{i}]")] for i in range(n)]
+        exp_cols.append(base.replace(".", "_"))
+        exp_vals.append(bytes(vals).split(b"\x00", 1)[0].decode() if base == "name" else vals)
+    assert out.columns == exp_cols
+    assert list(out.first()) == exp_vals

@@ -219,3 +219,16 @@ def test_pack_flat_columns_matches_model(spark, spec, seed):
         exp_vals.append(bytes(vals).split(b"\x00", 1)[0].decode() if base == "name" else vals)
     assert out.columns == exp_cols
     assert list(out.first()) == exp_vals
+
+
+@SETTINGS
+@given(ds=st.lists(st.tuples(st.sampled_from(["motors", "sensor_baro"]), st.integers(0, 3),
+                             st.lists(st.integers(0, 10**6), min_size=0, max_size=6)), min_size=1, max_size=5))
+def test_samples_to_rows_matches_model(spark, ds):
+    from flighttables.operators import unflatten as U
+    data = [(name, mid, ts, [t * 0.5 for t in ts], [-t for t in ts]) for name, mid, ts in ds]
+    df = spark.createDataFrame(data, "topic_name string, multi_id int, timestamp array<long>, "
+                                     "`control[0]` array<double>, `control[1]` array<long>")
+    got = [tuple(r) for r in U.samples_to_rows(df, ["control[0]", "control[1]"]).collect()]
+    exp = [(f"{name}_{mid}", t, t * 0.5, -t) for name, mid, ts, _, _ in data for t in ts]
+    assert sorted(got) == sorted(exp)

@@ -232,3 +232,22 @@ def test_samples_to_rows_matches_model(spark, ds):
     got = [tuple(r) for r in U.samples_to_rows(df, ["control[0]", "control[1]"]).collect()]
     exp = [(f"{name}_{mid}", t, t * 0.5, -t) for name, mid, ts, _, _ in data for t in ts]
     assert sorted(got) == sorted(exp)
+
+
+@SETTINGS
+@given(n=st.integers(1, 4), leaves=st.lists(st.sampled_from(["rpm", "temp", "x.y"]), min_size=1, max_size=3,
+                                              unique=True))
+def test_struct_array_packing_matches_model(spark, n, leaves):
+    from flighttables.operators import unflatten as U
+    cols = [f"esc[{i}].{leaf}" for leaf in leaves for i in range(n)]
+    vals = list(range(len(cols)))
+    df = spark.createDataFrame([tuple(vals)], ", ".join(f"`{c}` int" for c in cols))
+    out = U.pack_struct_array_columns(df)
+    expected = {f"esc__{leaf}" for leaf in leaves if "." not in leaf}
+    packed = {c: v for c, v in zip(out.columns, out.first())}
+    for leaf in leaves:
+        if "." in leaf:                                   # deeper than one struct level: left as is
+            assert all(f"esc[{i}].{leaf}" in packed for i in range(n))
+        else:
+            assert packed[f"esc__{leaf}"] == [vals[cols.index(f"esc[{i}].{leaf}")] for i in range(n)]
+    assert expected <= set(out.columns)

@@ -251,3 +251,17 @@ def test_struct_array_packing_matches_model(spark, n, leaves):
         else:
             assert packed[f"esc__{leaf}"] == [vals[cols.index(f"esc[{i}].{leaf}")] for i in range(n)]
     assert expected <= set(out.columns)
+
+
+@SETTINGS
+@given(kv=st.lists(st.tuples(st.sampled_from(["f1", "f2", "f3"]), st.sampled_from(["ver_sw", "sys_name", "hw"]),
+                             st.integers(0, 99)), min_size=1, max_size=20, unique_by=lambda t: (t[0], t[1])))
+def test_metadata_maps_match_model(spark, kv):
+    from flighttables.operators import logs as LG
+    df = spark.createDataFrame(kv, "mcap_id string, key string, value int")
+    got = {r["mcap_id"]: (dict(r["metadata"]), r["ver"])
+           for r in LG.metadata_lookup(LG.metadata_maps(df), "ver_sw", "unknown", "ver").collect()}
+    exp = {}
+    for f, k, v in kv:
+        exp.setdefault(f, {})[k] = str(v)
+    assert got == {f: (m, m.get("ver_sw", "unknown")) for f, m in exp.items()}

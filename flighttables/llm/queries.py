@@ -8,9 +8,23 @@ from pyspark.sql import functions as F
 
 from flighttables.llm._common import table
 from flighttables.llm.decontamination import find_contamination
+from flighttables.llm.mixing import TARGETS, mixing_rates
+from flighttables.llm.near_dedup import near_classes
 from flighttables.llm.quality_classifier import quality_scores
 from flighttables.llm.quality_rules import quality_rules
 from flighttables.llm.token_counts import token_counts
+from flighttables.llm.token_files import read_token_files, write_token_files
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rates.select("doc_id", "n_words", *[F.col("posterior")[i].alias(f"p_{k}") for i, k in enumerate(TARGETS)],
+                        "rate", "copies")
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,5 +46,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op4_decontamination, op6_quality_rules, op8_token_counts, op9_quality_classifier)}
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_mixing, op10_near_dedup, op4_decontamination, op6_quality_rules, op8_token_counts, op9_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {}

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from flighttables.llm._common import table
 from flighttables.llm.decontamination import find_contamination
+from flighttables.llm.html_text import extract_text
+from flighttables.llm.lm_scoring import lm_scores
 from flighttables.llm.mixing import TARGETS, mixing_rates
 from flighttables.llm.near_dedup import near_classes
 from flighttables.llm.quality_classifier import quality_scores
 from flighttables.llm.quality_rules import quality_rules
+from flighttables.llm.substring_dedup import drop_repeats
 from flighttables.llm.token_counts import token_counts
 from flighttables.llm.token_files import read_token_files, write_token_files
 
@@ -27,6 +30,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "rate", "copies")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -34,10 +41,18 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"), F.col("longest").alias("longest_words"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -50,5 +65,5 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_mixing, op10_near_dedup, op4_decontamination, op6_quality_rules, op8_token_counts, op9_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_mixing, op3_html_text, op10_near_dedup, op4_decontamination, op5_substring_dedup, op6_quality_rules, op7_lm_scoring, op8_token_counts, op9_quality_classifier)}
 ORACLE_SQL: dict[str, str] = {}

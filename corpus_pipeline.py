@@ -9,13 +9,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flighttables.llm._common import staged, table
 from flighttables.llm.decontamination import find_contamination
 from flighttables.llm.mixing import mixing_rates
 from flighttables.llm.near_dedup import near_classes
-from flighttables.llm.quality_classifier import THRESHOLD, quality_scores
+from flighttables.llm.quality_classifier import quality_scores
 from flighttables.llm.token_files import read_token_files, write_token_files
 
 ORACLE_SQL = None
@@ -23,8 +22,7 @@ ORACLE_SQL = None
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    scored = quality_scores(docs, table(spark, sf_dir, "labels"), keep=True)
-    return scored.where(F.col("_quality") >= THRESHOLD).select(*docs.columns)
+    return quality_scores(docs, table(spark, sf_dir, "labels"), keep=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of the benchmark."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=True)
-    return found.where("_n_hit = 0").select(*docs.columns)
+    return find_contamination(docs, table(spark, sf_dir, "benchmark"), keep=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +46,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture encoded, compressed, written and read back: a row per document taken."""
     path = write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_token_files(spark, path, with_ids=False)
 
 
 STAGES = [("quality_classifier", quality_classifier), ("near_dedup", near_dedup), ("decontamination", decontamination),

@@ -188,7 +188,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window.
     Returns per document id, ``n_words``, ``n_hit`` (words inside an occurrence of a window), ``spans``
     (``[start, end)`` in words, merged), ``items`` (found item ids as strings, sorted), ``longest`` (words of the
-    longest verbatim match); with ``keep`` all columns of ``docs`` and these under ``_hit_*``.  Null and empty
+    longest verbatim match); with ``keep`` the rows of ``docs`` without a hit, all columns as they were.  Null and empty
     texts have no words; null items, items without words and items without id are no items; items of the same
     text are all found.  An empty benchmark hits nothing.  Repeated rows are judged one by one.
     """
@@ -204,14 +204,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         had = True
     if not had:
         out = _searched(out, [], window, types, found, span_type, False)
-    hit = F.aggregate("_hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    out = out.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(given)], F.col("_hit_n").alias("_n_words"),
-                     hit.alias("_n_hit"), F.col("_hit_spans").alias("_spans"),
-                     F.array_sort(F.array_distinct("_hit_items")).alias("_items"), F.col("_hit_longest").alias("_longest"))
     if keep:
-        return out
-    return out.select(id_col, F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"), F.col("_spans").alias("spans"),
-                      F.col("_items").alias("items"), F.col("_longest").alias("longest"))
+        return out.where(F.size("_hit_spans") == 0).select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(given)])
+    hit = F.aggregate("_hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(F.col("_c0").alias(id_col), F.col("_hit_n").alias("n_words"), hit.alias("n_hit"), F.col("_hit_spans").alias("spans"),
+                      F.array_sort(F.array_distinct("_hit_items")).alias("items"), F.col("_hit_longest").alias("longest"))
 
 
 def _searched(rows: DataFrame, block, window, types, found, span_type, had: bool) -> DataFrame:

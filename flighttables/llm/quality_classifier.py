@@ -122,7 +122,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", m
     """Score every document; learn only from ids outside the held-out fold.
 
     Returns id, ``held_out``, ``score`` (probability of label 1), ``predicted`` (1 from ``threshold`` on); with
-    ``keep`` all columns of ``docs`` and ``score`` under the name ``_quality``.  Inputs are the text and the
+    ``keep`` the rows of ``docs`` with ``predicted`` 1, all columns as they were.  Inputs are the text and the
     column ``n_chars`` (its length where absent or null); a null text counts as empty and gets a score too.
     A null id is not held out.  Without labels every score is 0.5.  Repeated rows get equal scores; other
     columns are not read.
@@ -131,20 +131,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", m
                 N_STATS + (1 << bits), rank)
     shared = docs.sparkSession.sparkContext.broadcast((model.b, model.w, model.v))  # (rank + 1) * 2^bits floats
 
-    def scored(b: pa.RecordBatch, features: TextFeatures, m: FactorisationMachine) -> pa.Array:
-        got = [features(t, n)[:2] for t, n in zip(b.column("_text").to_pylist(), b.column("_n").to_pylist())]
-        return pa.array(m.scores(*csr(got)).astype(np.float64), pa.float64())
+    given = docs.columns if keep else [id_col]
+    rows = docs.select(docs[text_col].alias("_text"), _n_chars(docs).alias("_n"), *[docs[c].alias(f"_c{i}") for i, c in enumerate(given)])
+    types = [f.dataType.simpleString() for f in rows.schema.fields[2:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, m = TextFeatures(bits), FactorisationMachine(*shared.value)
         for b in blocks(batches, "_text"):
-            yield pa.RecordBatch.from_arrays([*b.columns[2:], scored(b, features, m)], names=[*b.schema.names[2:], "_quality"])
+            got = [features(t, n)[:2] for t, n in zip(b.column("_text").to_pylist(), b.column("_n").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(m.scores(*csr(got)).astype(np.float64))],
+                                             names=[*b.schema.names[2:], "_score"])
 
-    given = [F.col(f"`{c}`") for c in docs.columns] if keep else [docs[id_col].alias(id_col)]
-    rows = docs.select(docs[text_col].alias("_text"), _n_chars(docs).alias("_n"), *given)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
-    out = in_arrow(rows, run, f"{kept}, _quality double")
+    out = in_arrow(rows, run, ", ".join([*(f"_c{i} {t}" for i, t in enumerate(types)), "_score double"]))
     if keep:
-        return out
-    return out.select(id_col, F.coalesce(crc_remainder(id_col, FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
-                      F.col("_quality").alias("score"), (F.col("_quality") >= threshold).cast("int").alias("predicted"))
+        return out.where(F.col("_score") >= threshold).select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(given)])
+    return out.select(F.col("_c0").alias(id_col), F.coalesce(crc_remainder("_c0", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
+                      F.col("_score").alias("score"), (F.col("_score") >= threshold).cast("int").alias("predicted"))

@@ -21,7 +21,7 @@ from flighttables.llm.token_files import read_token_files, write_token_files
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_token_files(spark, path, with_ids=False)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,9 +21,12 @@ symbols        uint32: the compressed sequence
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +34,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flighttables.llm._common import blocks, in_arrow, new_output_dir, starts_of, words
+from flighttables.llm._common import blocks, in_arrow, new_output_dir, starts_of
 
 END_ID = 1
-_MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
+_SLOT_BITS = 16
 
 
 @lru_cache(maxsize=2)
@@ -48,20 +51,47 @@ def _tokenizer(path: str):
     parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [spec.get("pre_tokenizer") or {}]
     # Spaces separate for certain where the pattern drops them and no added token holds or takes in a space.
     apart = any(p.get("type") == "Split" and p.get("behavior") == "Removed" and p.get("invert")
-                and "[^\\s" in str(p.get("pattern")) for p in parts)
-    apart &= not any(a["lstrip"] or a["rstrip"] or a["single_word"] or " " in a["content"] for a in spec.get("added_tokens", []))
-    return tok, apart
+                and r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in str((p.get("pattern") or {}).get("Regex")) for p in parts)
+    apart &= not any(a["lstrip"] or a["rstrip"] or a["single_word"] or set(a["content"]) & set(" .,") or a["content"] != a["content"].lower()
+                     for a in spec.get("added_tokens", []))
+    steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    lowers = "Lowercase" in steps
+    # Then a word of lower-case Latin letters goes to the library's model as it is, in the alphabet of bytes.
+    plain = apart and set(steps) <= {"NFC", "Replace", "Lowercase"} and [p.get("type") for p in parts] == ["Split", "ByteLevel"] \
+        and not parts[-1].get("add_prefix_space") and not any(a["content"].isalpha() for a in spec.get("added_tokens", []))
+    return tok, apart, lowers, plain
+
+
+def _byte_alphabet() -> dict[int, int]:
+    """The printable character of each byte in byte-level vocabularies: itself, or the next one from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {**{b: b for b in shown}, **{b: 256 + i for i, b in enumerate(rest)}}
+
+
+_ALPHABET = _byte_alphabet()
+
+
+#: A full stop or comma that ends a word after a letter or digit: the pattern makes it a token part of its own.
+_STOP = re.compile(rb"(?<=[A-Za-z0-9])[.,](?=[\x20\x09-\x0D]|\Z)")
+
+
+def _latin(word: str) -> bool:
+    """Whether the word has only lower-case Latin letters (below U+0250) that normalising leaves as they are."""
+    return word.isalpha() and max(word) < "\u0250" and word.lower() == word and unicodedata.is_normalized("NFC", word)
 
 
 class Encoder:
     """Token ids of texts, exactly as the library gives them without special tokens.
 
     Where spaces separate tokens for certain, the ids of a text are those of its words in order, so each
-    distinct word is encoded once by the library and kept (at most ``limit`` words per task).
+    distinct word is encoded once by the library and kept (at most about ``limit`` words in a Python worker).
+    A stop that ends a word counts as a word, and case does not tell words apart where the tokenizer
+    lowers it and both forms of the text are in normal form C, which makes the order of the two steps all one.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
-        self.tok, self.apart = _tokenizer(path)
+    def __init__(self, path: str, limit: int = 1_000_000):
+        self.tok, self.apart, self.lowers, self.plain = _tokenizer(path)
         self.limit = limit
         self._clear()
 
@@ -75,7 +105,17 @@ class Encoder:
     def _learn(self, new: list[bytes]):
         for at in range(0, len(new), 20_000):
             some = new[at:at + 20_000]
-            got = [e.ids for e in self.tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)]
+            got: list = [None] * len(some)
+            other, tokenize = [], self.tok.model.tokenize
+            for i, w in enumerate(some):
+                if self.plain and w.isalpha() and w.islower():  # a-z
+                    got[i] = [x.id for x in tokenize(w.decode())]
+                elif self.plain and _latin(t := w.decode()):
+                    got[i] = [x.id for x in tokenize(w.decode("latin-1").translate(_ALPHABET))]
+                else:
+                    other.append(i)
+            for i, e in zip(other, self.tok.encode_batch_fast([some[i].decode() for i in other], add_special_tokens=False)):
+                got[i] = e.ids
             flat = np.array([i for g in got for i in g], np.uint32)
             size = np.array([len(g) for g in got], np.int64)
             n = len(self.place)
@@ -87,19 +127,30 @@ class Encoder:
             self.used += len(flat)
             self.place.update(zip(some, range(n, n + len(some))))
 
+    def _words(self, text: str | None) -> list[bytes]:
+        if not text:
+            return []
+        raw = text.encode()
+        if self.lowers:
+            low = raw.lower()
+            if text.isascii() or (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low.decode())):
+                raw = low
+        return _STOP.sub(rb" \g<0>", raw).split()
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, lengths)`` of the texts one after another, each closed by :data:`END_ID`."""
         if not self.apart:
             got = [self.tok.encode(t or "", add_special_tokens=False).ids + [END_ID] for t in texts]
             return np.array([i for g in got for i in g], np.uint32), np.array([len(g) for g in got], np.int64)
-        tokens = [words(t) for t in texts]
+        tokens = [self._words(t) for t in texts]
         if len(self.place) > self.limit:
             self._clear()
-        if not self.place:
-            self._learn([])
-        self._learn(list(dict.fromkeys(w for t in tokens for w in t if w not in self.place)))
-        get = self.place.__getitem__
-        at = np.fromiter((get(w) for t in tokens for w in t), np.int64)
+        flat = [w for t in tokens for w in t]
+        at = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(map(flat.__getitem__, missing))))
+            at[missing] = list(map(self.place.__getitem__, map(flat.__getitem__, missing)))
         n_words = np.array([len(t) for t in tokens], np.int64)
         size = self.size[at]
         text_of = np.repeat(np.arange(len(texts)), n_words)
@@ -112,28 +163,39 @@ class Encoder:
         return out, lengths
 
 
+@lru_cache(maxsize=1)
+def _worker_encoder(path: str) -> Encoder:
+    """One encoder for all tasks that a Python worker runs."""
+    return Encoder(path)
+
+
 def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if len(a) >= n else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
 
 
-def compress(ids: np.ndarray, lengths: np.ndarray, base: int, min_count: int = 16, rounds: int = 8,
-             per_round: int = 1 << 14) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, lengths: np.ndarray, base: int, min_count: int = 8, rounds: int = 4,
+             per_round: int = 1 << 13) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair of one shard: ``(rules, rule_lengths, symbols)``.
 
     ``ids`` are below ``base``; ``lengths`` are the documents' sizes.  A round replaces at most ``per_round``
     pairs, the most frequent ones first; pairs left over have their turn in a later round.
     """
-    seq = ids.astype(np.uint64)
+    present = np.flatnonzero(np.bincount(ids, minlength=base)) if len(ids) else np.zeros(0, np.int64)
+    dense = np.zeros(base, np.int64)
+    dense[present] = np.arange(len(present))
+    n_dense, n_rules = len(present), 0  # symbols in use: the ids that occur, then the rules
+    half = 16 if n_dense + rounds * per_round <= 1 << 16 else 32  # bits of a symbol in a pair
+    kind = np.uint32 if half == 16 else np.uint64
+    multiply, drop = (np.uint32(0x9E3779B1), kind(32 - _SLOT_BITS)) if half == 16 else (np.uint64(0x9E3779B97F4A7C15), kind(64 - _SLOT_BITS))
+    seq = dense[ids].astype(kind)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(lengths[lengths > 0]) - 1] = True
     rules: list[np.ndarray] = []
-    size = np.ones(0, np.int64)
-    n_rules = 0
-    bits = 17
+    size = np.ones(n_dense, np.int64)
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        key = (seq[:-1] << np.uint64(32)) | seq[1:]
+        key = (seq[:-1] << kind(half)) | seq[1:]
         inside = ~last[:-1]
         found = np.sort(key[inside])
         if not len(found):
@@ -146,15 +208,15 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int, min_count: int = 1
         if len(often) > per_round:
             often = often[np.argpartition(-count[often], per_round)[:per_round]]
         often = often[np.argsort(count[often], kind="stable")]
-        pairs, count = found[head[often]], count[often]
+        pairs = found[head[often]]
         # A table by hash finds the pair of every place; of pairs that share a slot the most frequent is in.
-        slot = ((pairs * _MULTIPLY) >> np.uint64(64 - bits)).astype(np.int64)
-        holds, score = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+        slot = (pairs * multiply) >> drop
+        holds, score = np.zeros(1 << _SLOT_BITS, kind), np.zeros(1 << _SLOT_BITS, np.int32)
         holds[slot] = pairs
         score[slot] = np.arange(1, len(pairs) + 1)  # by rising count
-        at = ((key * _MULTIPLY) >> np.uint64(64 - bits)).astype(np.int64)
-        points = np.where((holds[at] == key) & inside, score[at], 0)
-        points = np.concatenate(([0], points, [0]))
+        at = (key * multiply) >> drop
+        points = np.zeros(len(key) + 2, np.int32)
+        points[1:-1] = np.where((holds[at] == key) & inside, score[at], 0)
         take = np.flatnonzero((points[1:-1] > points[:-2]) & (points[1:-1] >= points[2:]))
         which = points[1 + take] - 1
         enough = np.bincount(which, minlength=len(pairs)) >= max(2, min_count // 2)
@@ -162,19 +224,20 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int, min_count: int = 1
         if not len(take):
             break
         used = np.flatnonzero(enough)
-        number = np.zeros(len(pairs), np.int64)
-        number[used] = base + n_rules + np.arange(len(used))
-        left, right = pairs[used] >> np.uint64(32), pairs[used] & np.uint64(0xFFFFFFFF)
-        length_of = lambda s: np.where(s < base, 1, size[np.maximum(s.astype(np.int64) - base, 0)] if n_rules else 1)  # noqa: B023, E731
-        size = np.concatenate((size, length_of(left) + length_of(right)))
-        rules.append(np.stack((left, right), axis=1).astype(np.uint32))
+        number = np.zeros(len(pairs), kind)
+        number[used] = n_dense + n_rules + np.arange(len(used))
+        left, right = (pairs[used] >> kind(half)).astype(np.int64), (pairs[used] & kind((1 << half) - 1)).astype(np.int64)
+        size = np.concatenate((size, size[left] + size[right]))
+        rules.append(np.stack((left, right), axis=1))
         n_rules += len(used)
-        seq[take] = number[which].astype(np.uint64)
+        seq[take] = number[which]
         last[take] = last[take + 1]
         stay = np.ones(len(seq), bool)
         stay[take + 1] = False
         seq, last = seq[stay], last[stay]
-    return (np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)), size.astype(np.uint32), seq.astype(np.uint32)
+    symbol = np.concatenate((present, base + np.arange(n_rules)))
+    out = symbol[np.concatenate(rules)] if rules else np.zeros((0, 2), np.int64)
+    return out.astype(np.uint32), size[n_dense:].astype(np.uint32), symbol[seq.astype(np.int64)].astype(np.uint32)
 
 
 class Shard:
@@ -234,7 +297,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, shard_tokens: int =
             .repartitionByRange("id").sortWithinPartitions("id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = _worker_encoder(tokenizer_path)
         base = encoder.tok.get_vocab_size()
         part, shard, start = TaskContext.get().partitionId(), 0, 0
         names, ids, sizes, held = [], [], [], 0
@@ -275,9 +338,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, shard_tokens: int =
     return path
 
 
-def read_token_files(spark, path: str, id_col: str = "doc_id") -> DataFrame:
+def read_token_files(spark, path: str, id_col: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """One row per document from the files: id, ``start`` (ids of all documents before it), ``n_tokens``,
-    ``ids_crc32`` and ``ids`` (little-endian uint32)."""
+    ``ids_crc32`` and, if asked for, ``ids`` (all little-endian uint32)."""
     shards = spark.read.parquet(path)
     totals = sorted(shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())  # a row per range partition
     before, offsets = 0, []
@@ -297,10 +360,12 @@ def read_token_files(spark, path: str, id_col: str = "doc_id") -> DataFrame:
                 raw = shard.ids().astype("<u4").tobytes()
                 begin = starts_of(lengths)
                 first = b.column("start")[0].as_py() + b.column("before")[0].as_py()
-                parts = [raw[4 * s:4 * (s + n)] for s, n in zip(begin.tolist(), lengths.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_ids").flatten(), pa.array(first + begin), pa.array(lengths),
-                     pa.array(list(map(zlib.crc32, parts)), pa.int64()), pa.array(parts, pa.binary())],
-                    names=[id_col, "start", "n_tokens", "ids_crc32", "ids"])
-
-    return in_arrow(shards, run, f"`{id_col}` {id_type}, start long, n_tokens long, ids_crc32 long, ids binary")
+                view = memoryview(raw)
+                parts = [view[4 * s:4 * (s + n)] for s, n in zip(begin.tolist(), lengths.tolist())]
+                out = [b.column("doc_ids").flatten(), pa.array(first + begin), pa.array(lengths),
+                       pa.array(list(map(zlib.crc32, parts)), pa.int64())]
+                if with_ids:
+                    out.append(pa.array(list(map(bytes, parts)), pa.binary()))
+                yield pa.RecordBatch.from_arrays(out, names=[id_col, "start", "n_tokens", "ids_crc32", "ids"][:len(out)])
+
+    return in_arrow(shards, run, f"`{id_col}` {id_type}, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)

@@ -4,9 +4,13 @@
    a shingle weighs its count in the document times ``ln(1 + all / bucket)``.
 2. ICWS draws ``bands * rows`` samples per document; two documents agree in one with the probability
    of their weighted Jaccard similarity.  The draws of a shingle come from tables picked by its hash.
-3. Documents that agree in all samples of a band share a bucket.  The least id of a bucket is compared with all
-   others; those it does not match go on with the next least ones, compared with all others in turn, until
-   none is left, so every member was matched or was itself a centre.
+3. Documents that agree in all samples of a band share a bucket.  Its hub, the member that meets most others over
+   all its buckets, is compared with all others.  A bucket is open while a member neither matches its hub nor is in its
+   class by other links.  Open buckets of bounded size are settled in one task each: the open members against all
+   members, by products of sparse blocks.  Larger ones draw new samples for sharper bands (more rows, more bands: ``LEVELS``), so
+   that documents that are alike, but not enough, fall apart while links still meet; on the last level hubs follow one
+   another until every bucket is settled.  On each level two documents of similarity 0.8 share a bucket with a
+   probability of over 0.998.
 4. A pair is a link if the weighted Jaccard similarity of the two texts, computed from all their shingles, is at
    least ``threshold``.  Classes are the connected components of the links, found by rounds of joins.
 
@@ -29,7 +33,10 @@ from flighttables.llm._common import WordHashes, blocks, in_arrow, lower_ascii,
 SHINGLE = 5
 THRESHOLD = 0.8
 DF_BITS = 16
-BANDS, ROWS = 12, 3
+#: Bands and rows of the samples on each level.
+LEVELS = ((12, 3), (32, 6), (64, 10))
+#: Members and characters of an open bucket that one task settles.
+MEMBERS, CHARACTERS = 3_000, 8_000_000
 _TABLE_BITS = 16
 
 
@@ -69,18 +76,19 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return r.astype(np.float32), (1 / r).astype(np.float32), np.log(c).astype(np.float32), beta.astype(np.float32)
 
 
-def icws(hashed: np.ndarray, weight: np.ndarray, sizes: np.ndarray, samples: int) -> np.ndarray:
+def icws(hashed: np.ndarray, weight: np.ndarray, sizes: np.ndarray, samples: int, skip: int = 0) -> np.ndarray:
     """Samples (documents x ``samples``, uint64) of documents whose elements lie one after another, each sorted by hash.
 
     For an element: ``t = floor(ln w / r + beta)``, ``ln a = ln c - r (t - beta + 1)``; a sample is the element of least
-    ``a`` (of several the one of least hash) with its ``t``.  Every document here has an element.
+    ``a`` (of several the one of least hash) with its ``t``.  Every document here has an element.  ``skip`` samples are left to other levels.
     """
     r, over, ln_c, beta = _draws()
     ln_w = np.log(weight).astype(np.float32)
     starts = starts_of(sizes)
     out = np.empty((len(sizes), samples), np.uint64)
     for k in range(samples):
-        at = ((hashed ^ np.uint64((0xD6E8FEB86659FD93 * (k + 1)) & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0xFF51AFD7ED558CCD)
+        seed = np.uint64((0xD6E8FEB86659FD93 * (skip + k + 1)) & 0xFFFFFFFFFFFFFFFF)
+        at = ((hashed ^ seed) * np.uint64(0xFF51AFD7ED558CCD)
               >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)
         b = beta[at]
         t = np.floor(ln_w * over[at] + b)
@@ -116,7 +124,7 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return small / whole if whole else 0.0
 
 
-def signatures(docs: DataFrame, idf, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
+def signatures(docs: DataFrame, idf, id_col: str, text_col: str, bands: int, rows: int, skip: int = 0) -> DataFrame:
     """Per document: id, key of its words (null if none) and the hash of each band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +135,7 @@ def signatures(docs: DataFrame, idf, id_col: str, text_col: str, bands: int, row
             marks = [None] * b.num_rows
             if len(some):
                 w = count * table[(h >> np.uint64(64 - DF_BITS)).astype(np.int64)]
-                got = icws(h, w, sizes[some], bands * rows).reshape(len(some), bands, rows)
+                got = icws(h, w, sizes[some], bands * rows, skip).reshape(len(some), bands, rows)
                 one = np.zeros((len(some), bands), np.uint64)
                 for j in range(rows):
                     one = mix64(one * np.uint64(31) + got[:, :, j])
@@ -165,25 +173,115 @@ def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
     return in_arrow(rows, run, f"a {types['a']}, b {types['b']}, ok boolean")
 
 
-def links(buckets: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """Verified links (a, b), a < b, between the members (bucket, id) of buckets."""
-    open_, done = buckets, None
+def shared_buckets(nodes: DataFrame) -> DataFrame:
+    """``(bucket, id, degree)`` of ``nodes`` (id, bands) in buckets of two or more; degree: members of all the id's buckets."""
+    members = nodes.select("id", F.posexplode("bands").alias("band", "mark")).select(F.xxhash64("band", "mark").alias("bucket"), "id")
+    size = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    met = staged(members.join(size, "bucket"), "near-met")
+    return staged(met.join(met.groupBy("id").agg(F.sum("n").alias("degree")), "id").select("bucket", "id", "degree"), "near-members")
+
+
+def settle(found: list, open_: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links between documents ``found`` (hashes and weights of distinct shingles, shingle counts), a tree for each class.
+
+    ``open_`` marks the documents to compare with all.  A shingle that occurs n times in a document stands for n elements
+    of its weight, so the smaller weights of two documents add up to the weight of their common elements.
+    """
+    keys, weights = [], []
+    for h, w, n in found:
+        copy = np.arange(int(n.sum())) - np.repeat(starts_of(n), n)
+        keys.append(mix64(np.repeat(h, n) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        weights.append(np.repeat(w, n))
+    owner = np.repeat(np.arange(len(found)), [len(k) for k in keys])
+    element, place, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    weight = np.zeros(len(element))
+    weight[place] = np.concatenate(weights)
+    whole = np.bincount(owner, weight[place], len(found))
+    shared = np.flatnonzero(count > 1)
+    rank = np.full(len(element), -1)
+    rank[shared] = np.arange(len(shared))
+    rows = np.flatnonzero(open_)
+    common = np.zeros((len(rows), len(found)), np.float32)
+    column = rank[place]
+    by = np.argsort(column, kind="stable")
+    by = by[np.searchsorted(column[by], 0):]
+    for at in range(0, len(shared), 2048):
+        some = by[np.searchsorted(column[by], at):np.searchsorted(column[by], at + 2048)]
+        block = np.zeros((len(found), 2048), np.float32)
+        block[owner[some], column[some] - at] = np.sqrt(weight[shared[column[some]]])
+        common += block[rows] @ block.T
+    near = common >= threshold * (whole[rows][:, None] + whole[None, :] - common) - 1e-4 * whole[rows][:, None]
+    root = list(range(len(found)))
+
+    def top(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    links = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+        a, b = top(int(rows[i])), top(j)
+        if a != b and weighted_jaccard(found[rows[i]][:1] + (found[rows[i]][1] * found[rows[i]][2],),
+                                       found[j][:1] + (found[j][1] * found[j][2],)) >= threshold:
+            root[max(a, b)] = min(a, b)
+            links.append((int(rows[i]), j))
+    return links
+
+
+def settled(buckets: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links (a, b, ok) of open buckets ``(bucket, id, open)`` of bounded size, a task for each."""
+    types = dict(texts.dtypes)
+
+    def run(key, t):
+        table, hashes = idf.value, WordHashes()
+        ids = t["id"].to_pylist()
+        owner, h, n, sizes, _ = shingles(t["text"].to_pylist(), hashes)
+        w = table[(h >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+        cut = np.cumsum(sizes)[:-1]
+        got = settle(list(zip(np.split(h, cut), np.split(w, cut), np.split(n, cut))), np.array(t["open"].to_pylist(), bool), threshold)
+        pairs = [tuple(sorted((ids[i], ids[j]))) for i, j in got]
+        kind = t.schema.field("id").type
+        return pa.table({"a": pa.array([p[0] for p in pairs], kind), "b": pa.array([p[1] for p in pairs], kind),
+                         "ok": pa.array([True] * len(pairs), pa.bool_())})
+
+    return buckets.join(texts, "id").groupBy("bucket").applyInArrow(run, f"a {types['id']}, b {types['id']}, ok boolean")
+
+
+def links(buckets: DataFrame, texts: DataFrame, idf, threshold: float, levels=LEVELS) -> DataFrame:
+    """Verified links (a, b), a < b, from the buckets of the first level; ``texts`` (id, text) has all their members."""
+    done, skip, level = None, 0, 0
+    members = open_ = buckets
     while True:
-        # 1, 2, 4, ... centres a round, picked by partial aggregates over hashed parts of each bucket
-        spread = 1 if done is None else spread * 2
-        centres = open_.groupBy("bucket", F.pmod(F.hash("id"), F.lit(spread)).alias("part")).agg(F.min("id").alias("centre"))
-        met = staged(centres.select("bucket", "centre").join(buckets, "bucket").where("centre <> id"), "near-met")
-        pair = [F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")]
-        new = met.select(*pair).distinct()
+        centres = open_.groupBy("bucket").agg(F.min_by("id", F.struct(-F.col("degree"), "id")).alias("centre"))
+        met = open_.join(centres, "bucket").where("centre <> id")
+        met = staged(met.select("bucket", "id", "degree", "centre", F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")), "near-met")
+        new = met.select("a", "b").distinct()
         if done is not None:
-            new = new.join(done, ["a", "b"], "left_anti")
+            new = new.join(done.select("a", "b"), ["a", "b"], "left_anti")
         new = staged(verify(new, texts, idf, threshold), "near-verified")
         done = new if done is None else done.unionByName(new)
-        matched = met.select("bucket", "id", *pair).join(done.where("ok"), ["a", "b"]).select("bucket", "id")
-        gone = matched.unionByName(centres.select("bucket", F.col("centre").alias("id"))).distinct()
-        open_ = staged(open_.join(gone, ["bucket", "id"], "left_anti"), "near-open")
-        if open_.isEmpty():
-            return done.where("ok").select("a", "b")
+        of = components(done.where("ok").select("a", "b"))
+        own, hub = of.withColumnRenamed("class_id", "own"), of.select(F.col("id").alias("centre"), F.col("class_id").alias("hub"))
+        open_ = staged(met.join(own, "id", "left").join(hub, "centre", "left").where(F.coalesce("own", "id") != F.coalesce("hub", "centre"))
+                       .select("bucket", "id", "degree"), "near-open")
+        size = (members.join(open_.select("bucket").distinct(), "bucket", "left_semi").join(texts.select("id", F.length("text").alias("n")), "id")
+                .groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("chars")))
+        size = staged(size.where("size > 2"), "near-sizes")  # of two members, the hub was compared with the other
+        bounded = (F.col("size") <= MEMBERS) & (F.col("chars") <= CHARACTERS)
+        small, large = size.where(bounded).select("bucket"), size.where(~bounded).select("bucket")
+        mine = members.join(small, "bucket", "left_semi").join(open_.select("bucket", "id", F.lit(True).alias("open")), ["bucket", "id"], "left")
+        done = done.unionByName(staged(settled(mine.select("bucket", "id", F.coalesce("open", F.lit(False)).alias("open")), texts, idf, threshold), "near-settled"))
+        if large.isEmpty():
+            return done.where("ok").select("a", "b").distinct()
+        level += 1
+        if level < len(levels):
+            skip += levels[level - 1][0] * levels[level - 1][1]
+            again = texts.join(members.join(large, "bucket", "left_semi").select("id").distinct(), "id", "left_semi")
+            members = open_ = shared_buckets(staged(signatures(again, idf, "id", "text", *levels[level], skip), "near-marks"))
+        else:
+            open_ = open_.join(large, "bucket", "left_semi")
+            members = open_
 
 
 def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
@@ -214,8 +312,8 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD, levels=LEVELS, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``class_id`` (least id of its class), ``n_links`` (verified links of its text).
 
     Texts of the same words are one node and always in one class.  Null, empty and blank texts have no shingles:
@@ -223,24 +321,19 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     is left out of classes (its class is null).  Other columns are ignored.
     """
     spark = docs.sparkSession
+    bands, rows = levels[0]
     idf = spark.sparkContext.broadcast(idf_table(docs.select(docs[text_col].alias("text")), "text"))  # 2^DF_BITS doubles
     marks = staged(signatures(docs, idf, id_col, text_col, bands, rows), "near-marks")
-    nodes = (marks.where("key is not null and id is not null").groupBy("key")
-             .agg(F.min("id").alias("node"), F.first("bands").alias("bands")))
-    nodes = staged(nodes, "near-nodes")
-    members = nodes.select(F.col("node").alias("id"), F.posexplode("bands").alias("band", "mark")) \
-        .select(F.xxhash64("band", "mark").alias("bucket"), "id")
-    several = members.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
-    buckets = staged(members.join(several.select("bucket"), "bucket", "left_semi"), "near-buckets")
-    wanted = buckets.select("id").distinct()
-    texts = staged(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(wanted, "id", "left_semi")
-                   .groupBy("id").agg(F.min("text").alias("text")), "near-texts")
-    found = staged(links(buckets, texts, idf, threshold), "near-links")
+    nodes = staged(marks.where("key is not null and id is not null").groupBy("key")
+                   .agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "near-nodes")
+    buckets = shared_buckets(nodes)
+    texts = staged(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+                   .join(buckets.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
+    found = staged(links(buckets, texts, idf, threshold, levels), "near-links")
     of = components(found)
-    degree = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).groupBy("node") \
-        .agg(F.count("*").alias("n_links"))
-    known = (nodes.select("key", "node").join(of.withColumnRenamed("id", "node"), "node", "left").join(degree, "node", "left")
-             .select("key", F.coalesce("class_id", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    degree = found.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
+    known = (nodes.select("key", "id").join(of, "id", "left").join(degree, "id", "left")
+             .select("key", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
     return (marks.select("id", "key").join(known, "key", "left")
             .select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))

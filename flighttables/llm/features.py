@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from operator import eq
 
 import numpy as np
 
@@ -50,8 +51,7 @@ class TextFeatures:
         raw = np.frombuffer(text.encode(), np.uint8)
         by = np.bincount(raw, minlength=128) if len(raw) else np.zeros(128, np.int64)
         lines = [x for x in text.split("\n") if x.strip()]
-        codes = list(map(hash, tokens))
-        same = sum(a == b for a, b in zip(codes, codes[1:]))
+        same = sum(map(eq, tokens, tokens[1:]))
         symbols = int(sum(by[ord(c)] for c in SYMBOLS))
         capitals, digits = int(by[65:91].sum()), int(by[48:58].sum())
         return np.array([

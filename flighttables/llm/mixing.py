@@ -2,9 +2,9 @@
 
 1. A softmax classifier over hashed words and structure statistics, fitted on a bounded sample of the
    documents that the label table names, predicts each document's domain posterior ``p`` (soft membership).
-2. Rates ``x_d >= 0`` minimise ``1/2 sum_k w_k (sum_d t_d p_dk x_d - T_k)^2`` with ``t_d`` the tokens (words) of a
+2. Rates ``0 <= x_d <= most`` minimise ``1/2 sum_k w_k (sum_d t_d p_dk x_d - T_k)^2`` with ``t_d`` the tokens (words) of a
    document and ``T_k`` the target token total of domain k, by projected gradient from ``x = 1``.  The step
-   of a document is scaled by ``1 / t_d``, so ``x_d <- max(0, x_d - step * p_d . g)`` with one vector ``g`` of
+   of a document is scaled by ``1 / t_d``, so ``x_d <- clip(x_d - step * p_d . g)`` with one vector ``g`` of
    domains per iteration: an iteration is one aggregate of as many sums as there are domains, and
    the rates follow from the list of past ``g`` alone.
 3. A document is taken ``floor(rate)`` times, once more with the probability of the remainder (by a hash of its
@@ -25,9 +25,11 @@ from flighttables.llm.features import N_STATS, TextFeatures, csr
 from flighttables.llm.quality_classifier import training_rows
 
 #: Domain of a labelled document, as SQL over the label table, and the weight each domain shall have.
-DOMAIN = "case when toxic = 1 then 'toxic' when quality = 0 then 'poor' when quality = 1 then 'clean' end"
-TARGETS = {"clean": 0.985, "poor": 0.01, "toxic": 0.005}
+DOMAIN = "case when toxic = 1 then 'toxic' when toxic = 0 then 'clean' end"
+TARGETS = {"clean": 0.995, "toxic": 0.005}
 ANCHOR = "clean"
+#: A document is taken twice at most: what a domain lacks beyond that cannot be had from its documents.
+MOST = 2.0
 
 
 def fit_softmax(rows, n_classes: int, size: int, epochs: int = 15, batch: int = 64, rate: float = 0.15, seed: int = 11):
@@ -88,16 +90,17 @@ def with_posteriors(docs: DataFrame, labels: DataFrame, domains: list[str], doma
     return in_arrow(rows, run, ", ".join([*(f"_c{i} {t}" for i, t in enumerate(types)), "_t long", "_u double", "_p array<double>"]))
 
 
-def _rate(history: list[list[float]]) -> F.Column:
+def _rate(history: list[list[float]], most: float) -> F.Column:
     """The rate of a document after the steps in ``history`` (each already scaled by the step)."""
     if not history:
         return F.lit(1.0)
     steps = F.array(*[F.array(*[F.lit(float(g)) for g in step]) for step in history])
-    return F.aggregate(steps, F.lit(1.0), lambda x, g: F.greatest(
-        F.lit(0.0), x - F.aggregate(F.zip_with("_p", g, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)))
+    return F.aggregate(steps, F.lit(1.0), lambda x, g: F.least(F.lit(float(most)), F.greatest(
+        F.lit(0.0), x - F.aggregate(F.zip_with("_p", g, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))))
 
 
-def fit_rates(rows: DataFrame, weights: np.ndarray, anchor: int | None, total: float | None, tolerance: float, iterations: int):
+def fit_rates(rows: DataFrame, weights: np.ndarray, anchor: int | None, total: float | None, tolerance: float, iterations: int,
+              most: float = MOST):
     """Steps of the projected gradient and ``(iteration, totals)`` reached; ``rows`` has ``_t`` and ``_p``."""
     k = len(weights)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
@@ -112,7 +115,7 @@ def fit_rates(rows: DataFrame, weights: np.ndarray, anchor: int | None, total: f
     if total is None:  # the anchor domain keeps its total, or the whole does
         total = have[anchor] / weights[anchor] if anchor is not None and weights[anchor] else have.sum()
     target = total * weights
-    scale = 1 / np.maximum(np.diag(h), 1e-9 * have.sum())
+    scale = 1 / np.maximum(np.maximum(np.diag(h), target), 1e-9 * have.sum())  # a domain with little moves no faster than its target
     step = 1 / max(np.linalg.eigvalsh(np.sqrt(np.outer(scale, scale)) * h)[-1], 1e-12)
     history: list[list[float]] = []
     for _ in range(iterations):
@@ -120,7 +123,7 @@ def fit_rates(rows: DataFrame, weights: np.ndarray, anchor: int | None, total: f
         if np.all(np.abs(gap) <= tolerance * np.maximum(target, 0.01 * total)):
             break
         history.append((step * scale * gap).tolist())
-        got = rows.agg(*[F.sum(F.col("_t") * F.col("_p")[i] * _rate(history)).alias(f"a{i}") for i in range(k)]).first()
+        got = rows.agg(*[F.sum(F.col("_t") * F.col("_p")[i] * _rate(history, most)).alias(f"a{i}") for i in range(k)]).first()
         now = np.array([got[f"a{i}"] or 0.0 for i in range(k)])
         if np.allclose(now, have, rtol=1e-6, atol=0):
             have = now
@@ -131,7 +134,7 @@ def fit_rates(rows: DataFrame, weights: np.ndarray, anchor: int | None, total: f
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: str = DOMAIN,
                  anchor: str | None = ANCHOR, total: float | None = None, max_train: int = 6000, bits: int = 14,
-                 tolerance: float = 1e-3, iterations: int = 30, snap: float = 0.1, id_col: str = "doc_id",
+                 tolerance: float = 1e-3, iterations: int = 30, snap: float = 0.1, most: float = MOST, id_col: str = "doc_id",
                  text_col: str = "text", keep: bool = False) -> DataFrame:
     """Rate and copies of every document so that the expected domain totals come as near to the targets as they can.
 
@@ -147,8 +150,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
     weights = weights / weights.sum()
     given = docs.columns if keep else [id_col]
     rows = staged(with_posteriors(docs, labels, domains, domain, max_train, bits, id_col, text_col, keep), "mixing")
-    history, _, _ = fit_rates(rows, weights, domains.index(anchor) if anchor in domains else None, total, tolerance, iterations)
-    rate = _rate(history)
+    history, _, _ = fit_rates(rows, weights, domains.index(anchor) if anchor in domains else None, total, tolerance, iterations, most)
+    rate = _rate(history, most)
     near = F.round("_rate")
     copies = F.when(F.abs(F.col("_rate") - near) <= snap, near).otherwise(F.floor(F.col("_rate") + F.col("_u"))).cast("int")
     out = rows.withColumn("_rate", rate).withColumn("_copies", copies)

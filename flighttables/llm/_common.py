@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -77,7 +79,7 @@ class WordCodes:
 
 
 class WordHashes:
-    """64-bit hashes of words, cached over the words of one task (at most ``limit`` entries)."""
+    """64-bit hashes of words, cached (at most about ``limit`` words; 0 is taken for a word not yet seen)."""
 
     def __init__(self, limit: int = 500_000):
         import xxhash
@@ -87,13 +89,20 @@ class WordHashes:
         cache = self.cache
         if len(cache) > self.limit:
             cache.clear()
-        get, out, missing = cache.get, [], self.fn
-        for w in tokens:
-            h = get(w)
-            if h is None:
-                h = cache[w] = missing(w)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
+        out = np.fromiter(map(cache.get, tokens, repeat(0)), np.uint64, len(tokens))
+        missing = np.flatnonzero(out == 0)
+        if len(missing):
+            new = [tokens[i] for i in missing.tolist()]
+            fn = self.fn
+            cache.update((w, fn(w)) for w in dict.fromkeys(new))
+            out[missing] = np.fromiter(map(cache.__getitem__, new), np.uint64, len(new))
+        return out
+
+
+@lru_cache(maxsize=1)
+def worker_hashes() -> WordHashes:
+    """One cache for all tasks that a Python worker runs."""
+    return WordHashes()
 
 
 def starts_of(lengths: np.ndarray) -> np.ndarray:

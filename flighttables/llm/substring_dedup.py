@@ -7,7 +7,7 @@ the window's anchor, so equal windows have equal anchors.
 2. Of the anchors that occur twice or more each chunk cuts the passages: the words of the windows that have the
    anchor.  Within a chunk equal passages are one, with the first place.  The windows of an anchor with more than
    ``hot`` occurrences are passages of their own, so that one frequent anchor does not make one large group.
-3. Passages are dealt to shards by anchor (those of hot anchors by their words).  A shard builds a compressed
+3. Passages are dealt to shards by anchor (those of hot anchors by their words), packed by chunk.  A shard builds a compressed
    FM-index of its distinct passages and streams their words through it: backward search gives the matching
    statistics; where they reach the threshold the interval of rows gives all places of the window, so the first.
 4. A window is dropped if its first place is an earlier one; passages that are not the first of their words are dropped
@@ -25,14 +25,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flighttables.llm._common import WordHashes, in_arrow, mix64, ship_package, staged, starts_of
-from flighttables.llm.chunks import pack, unpack
+from flighttables.llm._common import in_arrow, mix64, ship_package, staged, starts_of, worker_hashes
+from flighttables.llm.chunks import pack, pack_arrays, unpack, unpack_arrays
 from flighttables.llm.fm_index import FMIndex
 
 WINDOW, GRAM = 20, 10
 HOT = 20_000
-#: Words of a shard, about.
-SHARD_WORDS = 1_000_000
 
 
 def anchors(hashes: np.ndarray, lengths: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,7 +70,7 @@ def count_anchors(chunks: DataFrame, window: int, gram: int) -> DataFrame:
     """``(hash, chunk, n)``: anchors of each chunk with their occurrences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = worker_hashes()
         for batch in batches:
             for i in range(batch.num_rows):
                 tokens = [t.split() for t in unpack(batch.column("texts")[i].as_py())]
@@ -87,98 +85,120 @@ def count_anchors(chunks: DataFrame, window: int, gram: int) -> DataFrame:
     return in_arrow(chunks.select("chunk", "texts"), run, "hash long, chunk long, n long")
 
 
-def cut_passages(chunk: int, ids: list, texts: list[bytes], repeated: np.ndarray, hot: np.ndarray, window: int, gram: int):
+def cut_passages(ids: list, texts: list[bytes], repeated: np.ndarray, hot: np.ndarray, shards: int, window: int, gram: int):
     """Passages of one chunk.
 
-    Returns ``(passages, places)``: passages ``(route, key, document, first window in it, words)`` that are distinct in the
+    Returns ``(passages, places)``: passages ``(shard, document, first window in it, words)`` that are distinct in the
     chunk, at their first place by id and order; places ``(document, first window, windows, passage)`` of all of them.
     """
     tokens = [t.split() for t in texts]
     lengths = np.array([len(t) for t in tokens], np.int64)
     flat = [w for t in tokens for w in t]
-    h, first, n = anchors(WordHashes().encode(flat), lengths, window, gram)
-    repeated = np.sort(repeated)
-    at = np.searchsorted(repeated, h) if len(repeated) else np.zeros(len(h), np.int64)
-    some = np.flatnonzero(repeated[np.minimum(at, len(repeated) - 1)] == h) if len(repeated) else np.zeros(0, np.int64)
+    h, first, n = anchors(worker_hashes().encode(flat), lengths, window, gram)
+    some = np.isin(h, repeated)
     h, first, n = h[some], first[some], n[some]
     split = np.isin(h, hot)
-    if split.any():  # one passage a window
-        whole = ~split
-        each = np.repeat(first[split] - starts_of(n[split]), n[split]) + np.arange(int(n[split].sum()))
-        first = np.concatenate((first[whole], each))
-        route = np.concatenate((h[whole], np.zeros(len(each), np.uint64)))
-        n = np.concatenate((n[whole], np.ones(len(each), np.int64)))
-    else:
-        route = h
+    each = np.repeat(first[split] - starts_of(n[split]), n[split]) + np.arange(int(n[split].sum()))  # a passage a window
+    route = np.concatenate((h[~split], np.zeros(len(each), np.uint64)))
+    first = np.concatenate((first[~split], each))
+    n = np.concatenate((n[~split], np.ones(len(each), np.int64)))
     begin = starts_of(lengths)
-    doc = np.repeat(np.arange(len(lengths)), lengths)[first] if len(first) else first
-    order = np.lexsort((first, _order(ids)[doc])) if len(first) else first
+    doc = np.repeat(np.arange(len(lengths)), lengths)[first]
+    order = np.lexsort((first, _order(ids)[doc]))
     number: dict[bytes, int] = {}
     passages, of = [], np.zeros(len(first), np.int64)
-    for i in order.tolist():
-        a = int(first[i])
-        text = b" ".join(flat[a:a + int(n[i]) + window - 1])
-        key = xxhash.xxh3_128_digest(text)
-        p = number.get(key)
+    for i, a, k, d, r in zip(order.tolist(), first[order].tolist(), n[order].tolist(), doc[order].tolist(), route[order].tolist()):
+        text = b" ".join(flat[a:a + k + window - 1])
+        p = number.get(text)
         if p is None:
-            p = number[key] = len(passages)
-            r = int(route[i]) or int.from_bytes(key[:8], "little")
-            passages.append((r & 0x7FFFFFFFFFFFFFFF, key, int(doc[i]), a - int(begin[doc[i]]), text))
+            p = number[text] = len(passages)
+            passages.append(((r or xxhash.xxh3_64_intdigest(text)) % shards, d, a - int(begin[d]), text))
         of[i] = p
-    return passages, (doc, first - begin[doc] if len(first) else first, n, of)
+    return passages, (doc, first - begin[doc], n, of)
 
 
-def search_shard(rows: list[tuple], window: int) -> list[tuple[int, bytes, bytes]]:
-    """Verdicts on a shard's passages: ``(chunk, key, windows to drop)`` of those at the first place of their words.
+def pack_passages(passages: list[tuple]) -> dict[int, tuple[list[int], bytes]]:
+    """By shard: the documents and one blob of the passages' numbers, documents, first windows and words."""
+    by: dict[int, list[int]] = {}
+    for p, row in enumerate(passages):
+        by.setdefault(row[0], []).append(p)
+    out = {}
+    for shard, mine in by.items():
+        rows = [passages[p] for p in mine]
+        out[shard] = ([r[1] for r in rows], pack_arrays(np.array(mine, np.int32), np.array([r[1] for r in rows], np.int32),
+                                                       np.array([r[2] for r in rows], np.int32),
+                                                       np.frombuffer(b"\n".join(r[3] for r in rows), np.uint8)))
+    return out
 
-    ``rows``: ``(chunk, key, id, document, first window, words)``.  The FM-index holds each distinct passage once, and
+
+def unpack_passages(chunk: int, ids: list, blob: bytes) -> list[tuple]:
+    """``(chunk, number, id, document, first window, words)``."""
+    number, doc, first, raw = unpack_arrays(blob, np.int32, np.int32, np.int32, np.uint8)
+    return [(chunk, *row) for row in zip(number.tolist(), ids, doc.tolist(), first.tolist(), raw.tobytes().split(b"\n"))]
+
+
+def search_shard(rows: list[tuple], window: int) -> dict[int, list[tuple[int, np.ndarray]]]:
+    """Verdicts on a shard's passages: by chunk ``(number, which windows to drop)`` of those at the first place of their words.
+
+    ``rows``: ``(chunk, number, id, document, first window, words)``.  The FM-index holds each distinct passage once, and
     the windows of all of them are searched in it.
     """
-    order_of = lambda r: (r[2] is not None, r[2] if r[2] is not None else 0, r[0], r[3], r[4])
-    rows = sorted(rows, key=order_of)
+    rows = sorted(rows, key=lambda r: (r[2] is not None, r[2] if r[2] is not None else 0, r[0], r[3], r[4]))
     seen: set[bytes] = set()
-    rows = [r for r in rows if not (r[1] in seen or seen.add(r[1]))]
+    rows = [r for r in rows if not (r[5] in seen or seen.add(r[5]))]
     tokens = [r[5].split() for r in rows]
     number: dict[bytes, int] = {}
     lengths = np.array([len(t) for t in tokens], np.int64)
-    text = np.array([x for t in tokens for x in [*(number.setdefault(w, len(number) + 1) for w in t), 0]], np.int64)
+    flat = [number.setdefault(w, len(number) + 1) for t in tokens for w in (*t, b"")]
+    text = np.array(flat, np.int64)
+    text[text == number[b""]] = 0
     index = FMIndex(text, window)
     begin = starts_of(lengths + 1)
     # where each place of the text stands in the corpus: document in order, word in document
     documents: dict[tuple, int] = {}
-    doc = np.array([documents.setdefault(order_of(r)[:4], len(documents)) for r in rows], np.int64)
+    doc = np.array([documents.setdefault((r[0], r[3]), len(documents)) for r in rows], np.int64)
     place = np.repeat((doc << 32) + np.array([r[4] for r in rows], np.int64) - begin, lengths + 1) + np.arange(len(text))
     n = lengths - window + 1
     starts = np.repeat(begin - starts_of(n), n) + np.arange(int(n.sum()))
     length, lo, hi = index.statistics(text, starts + window, window)
     found = np.flatnonzero(length >= window)  # every window is found, at its own place at least
+    # equal windows have one interval, others have disjoint ones
+    rows_from, which = np.unique(lo[found], return_inverse=True)
+    rows_to = np.zeros(len(rows_from), np.int64)
+    rows_to[which] = hi[found]
     least = np.minimum.reduceat(np.append(place[index.order], np.iinfo(np.int64).max),
-                                np.stack((lo[found], hi[found]), axis=1).reshape(-1))[::2]
+                                np.stack((rows_from, rows_to), axis=1).reshape(-1))[::2]
     drop = np.zeros(len(starts), bool)
-    drop[found] = least < place[starts[found]]
-    cut = np.cumsum(n)[:-1]
-    return [(r[0], r[1], np.packbits(d).tobytes()) for r, d in zip(rows, np.split(drop, cut))]
+    drop[found] = least[which] < place[starts[found]]
+    out: dict[int, list[tuple[int, np.ndarray]]] = {}
+    for r, a, b in zip(rows, starts_of(n).tolist(), np.cumsum(n).tolist()):
+        out.setdefault(r[0], []).append((r[1], drop[a:b]))
+    return out
 
 
-def remove_words(ids, texts: list[bytes], places, verdicts: dict[int, bytes], window: int):
-    """Per document of a chunk: words, removed words and the sha256 of the kept words joined by a space."""
-    doc, first, n, of = places
+def remove_words(texts: list[bytes], places: np.ndarray, verdicts: dict[int, np.ndarray], window: int):
+    """Per document of a chunk: words, removed words and the sha256 of the kept words joined by a space.
+
+    ``places`` are in order; the first of a passage goes by its verdict, if it has one, the others are dropped whole.
+    """
     tokens = [t.split() for t in texts]
     lengths = np.array([len(t) for t in tokens], np.int64)
     begin = starts_of(lengths)
     total = int(lengths.sum())
+    doc, first, n, of = places
+    at = begin[doc] + first
+    judged = np.zeros(len(of), bool)
+    heads, where = np.unique(of, return_index=True)
+    for p, i in zip(heads.tolist(), where.tolist()):
+        judged[i] = p in verdicts
     edge = np.zeros(total + 1, np.int64)
-    seen: set[int] = set()
-    for d, a, k, p in zip(doc.tolist(), first.tolist(), n.tolist(), of.tolist()):
-        at = int(begin[d]) + a
-        if p in verdicts and p not in seen:  # the first place of these words: as its windows were judged
-            seen.add(p)
-            for j in np.flatnonzero(np.unpackbits(np.frombuffer(verdicts[p], np.uint8), count=k)).tolist():
-                edge[at + j] += 1
-                edge[at + j + window] -= 1
-        else:
-            edge[at] += 1
-            edge[at + k + window - 1] -= 1
+    np.add.at(edge, at[~judged], 1)
+    np.add.at(edge, at[~judged] + n[~judged] + window - 1, -1)
+    single = [a + np.flatnonzero(verdicts[p]) for a, p in zip(at[judged].tolist(), of[judged].tolist())]
+    if single:
+        gone = np.concatenate(single)
+        np.add.at(edge, gone, 1)
+        np.add.at(edge, gone + window, -1)
     gone = np.cumsum(edge)[:total] > 0
     removed = np.bincount(np.repeat(np.arange(len(lengths)), lengths)[gone], minlength=len(lengths)).astype(np.int64)
     digests = []
@@ -206,52 +226,48 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: i
     total = F.sum("n").over(Window.partitionBy("hash"))  # a chunk has a row per hash: a hot one has a row per chunk
     repeated = counted.withColumn("total", total).where("total > 1").select("chunk", "hash", (F.col("total") > hot).alias("hot"))
 
+    shards = max(1, chunks.count())
+
     def cut(key, left, right):
-        out = {c: [] for c in ("chunk", "route", "key", "id", "doc", "first", "words", "places")}
+        out = {"chunk": [], "shard": [], "ids": [], "blob": []}
         if left.num_rows:
             chunk, ids = left["chunk"][0].as_py(), left["ids"][0].as_py()
             h = right["hash"].to_numpy().view(np.uint64)
-            passages, places = cut_passages(chunk, ids, unpack(left["texts"][0].as_py()), h,
-                                            h[right["hot"].to_numpy().astype(bool)], window, gram)
-            for route, k, doc, first, text in passages:
-                for c, v in zip(out, (chunk, route, k, ids[doc], doc, first, text, None)):
-                    out[c].append(v)
-            for c, v in zip(out, (chunk, None, None, None, None, None, None, np.stack(places).astype("<i8").tobytes())):
-                out[c].append(v)
-            # the keys of the chunk's passages by number, to know the verdicts again
-            for c, v in zip(out, (chunk, -1, b"".join(p[1] for p in passages), None, None, None, None, None)):
-                out[c].append(v)
+            passages, places = cut_passages(ids, unpack(left["texts"][0].as_py()), h, h[right["hot"].to_numpy().astype(bool)],
+                                            shards, window, gram)
+            rows = [(s, [ids[d] for d in docs_of], blob) for s, (docs_of, blob) in pack_passages(passages).items()]
+            rows.append((None, None, pack_arrays(*(p.astype(np.int32) for p in places))))
+            out = {"chunk": [chunk] * len(rows), "shard": [r[0] for r in rows], "ids": [r[1] for r in rows], "blob": [r[2] for r in rows]}
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), (
-            pa.int64(), pa.int64(), pa.binary(), left.schema.field("ids").type.value_type, pa.int64(), pa.int64(), pa.binary(), pa.binary()))})
+            pa.int64(), pa.int64(), pa.list_(left.schema.field("ids").type.value_type), pa.binary()))})
 
     parts = staged(chunks.groupBy("chunk").cogroup(repeated.groupBy("chunk")).applyInArrow(
-        cut, f"chunk long, route long, key binary, id {id_type}, doc long, first long, words binary, places binary"), "passages")
-    passages = parts.where("words is not null")
-    size = passages.agg(F.coalesce(F.sum(F.length("words")), F.lit(0)).alias("n")).first()["n"]
-    shards = max(1, -(-int(size) // (6 * SHARD_WORDS)))
+        cut, f"chunk long, shard long, ids array<{id_type}>, blob binary"), "passages")
 
     def search(key, t):
-        rows = list(zip(*(t[c].to_pylist() for c in ("chunk", "key", "id", "doc", "first", "words"))))
+        rows = [row for c, ids, blob in zip(*(t[c].to_pylist() for c in ("chunk", "ids", "blob"))) for row in unpack_passages(c, ids, blob)]
         got = search_shard(rows, window)
-        return pa.table({"chunk": pa.array([g[0] for g in got], pa.int64()), "key": pa.array([g[1] for g in got], pa.binary()),
-                         "drop": pa.array([g[2] for g in got], pa.binary())})
+        blobs = [pack_arrays(np.array([p for p, _ in v], np.int32), np.array([len(d) for _, d in v], np.int32),
+                             np.concatenate([d for _, d in v]).astype(np.uint8)) for v in got.values()]
+        return pa.table({"chunk": pa.array(list(got), pa.int64()), "drop": pa.array(blobs, pa.binary())})
 
-    verdicts = (passages.withColumn("shard", F.pmod("route", F.lit(shards))).groupBy("shard")
-                .applyInArrow(search, "chunk long, key binary, drop binary"))
-    side = (parts.where("words is null").select("chunk", "key", F.lit(None).cast("binary").alias("drop"), "places")
-            .unionByName(verdicts.select("chunk", "key", "drop", F.lit(None).cast("binary").alias("places"))))
+    verdicts = parts.where("shard is not null").groupBy("shard").applyInArrow(search, "chunk long, drop binary")
+    none = F.lit(None).cast("binary")
+    side = (parts.where("shard is null").select("chunk", none.alias("drop"), F.col("blob").alias("places"))
+            .unionByName(verdicts.select("chunk", "drop", none.alias("places"))))
 
     def remove(key, left, right):
         ids, n_words, n_removed, digests = [], [], [], []
         if left.num_rows:
             ids = left["ids"][0].as_py()
-            keys, drop, places = (right[c].to_pylist() for c in ("key", "drop", "places"))
-            at = np.frombuffer(next(p for p in places if p is not None), "<i8").reshape(4, -1)
-            known = next(k for k, d, p in zip(keys, drop, places) if p is None and d is None)
-            number = {known[i:i + 16]: i // 16 for i in range(0, len(known), 16)}
-            verdict = {number[k]: d for k, d in zip(keys, drop) if d is not None}
-            by = np.lexsort((at[1], _order(ids)[at[0]])) if at.size else np.zeros(0, np.int64)
-            n_words, n_removed, digests = remove_words(ids, unpack(left["texts"][0].as_py()), at[:, by], verdict, window)
+            at = np.stack(unpack_arrays(next(p for p in right["places"].to_pylist() if p is not None), *[np.int32] * 4)).astype(np.int64)
+            verdict = {}
+            for blob in right["drop"].to_pylist():
+                if blob is not None:
+                    number, size, drop = unpack_arrays(blob, np.int32, np.int32, np.uint8)
+                    verdict.update(zip(number.tolist(), np.split(drop, np.cumsum(size)[:-1])))
+            by = np.lexsort((at[1], _order(ids)[at[0]]))
+            n_words, n_removed, digests = remove_words(unpack(left["texts"][0].as_py()), at[:, by], verdict, window)
         return pa.table({id_col: pa.array(ids, left.schema.field("ids").type.value_type), "n_words": pa.array(n_words, pa.int64()),
                          "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string())})
 

@@ -142,14 +142,19 @@ def test_projected_gradient_equals_a_plain_one(spark):
     rng = np.random.default_rng(0)
     t, p = rng.integers(1, 50, 40), rng.dirichlet([0.3, 0.3, 0.3], 40)
     rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(t, p)], "_t long, _p array<double>")
-    weights = np.array([0.9, 0.1, 0.0])
-    history, have, target = mixing.fit_rates(rows, weights, None, None, 1e-6, 12)
+    weights = np.array([0.45, 0.3, 0.25])
+    history, have, target = mixing.fit_rates(rows, weights, None, None, 1e-6, 25)
     x = np.ones(40)
     for step in history:
         x = np.clip(x - p @ np.array(step), 0, mixing.MOST)
     assert have == pytest.approx((t * x) @ p, rel=1e-9)
     before, after = (t @ p - target), (t * x) @ p - target
-    assert (after ** 2).sum() < 0.2 * (before ** 2).sum()
+    assert (after ** 2).sum() < 0.01 * (before ** 2).sum()
+    lopsided, have, target = mixing.fit_rates(rows, np.array([0.98, 0.02, 0.0]), None, None, 1e-6, 8)  # out of reach
+    x = np.ones(40)
+    for step in lopsided:
+        x = np.clip(x - p @ np.array(step), 0, mixing.MOST)
+    assert x.max() == mixing.MOST and x.min() == 0 and have == pytest.approx((t * x) @ p, rel=1e-9)
 
 
 def test_mixing_edge_rows(spark, docs, rows):

@@ -20,21 +20,25 @@ from flighttables.llm.token_files import read_token_files, write_token_files
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, compressed, written, and read back from the files."""
     path = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return read_token_files(spark, path, with_ids=False)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain posteriors, rate and copies of every document."""
     rates = mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rates.select("doc_id", "n_words", *[F.col("posterior")[i].alias(f"p_{k}") for i, k in enumerate(TARGETS)],
                         "rate", "copies")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
     return extract_text(table(spark, sf_dir, "pages"))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
@@ -42,26 +46,32 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that repeat from an earlier place, in every document."""
     return drop_repeats(table(spark, sf_dir, "documents"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the rule cascade for every document."""
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and maximum-entropy score of every document."""
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
     return near_classes(table(spark, sf_dir, "documents"))
 
 

@@ -327,8 +327,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, levels=LEVELS, i
     nodes = staged(marks.where("key is not null and id is not null").groupBy("key")
                    .agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "near-nodes")
     buckets = shared_buckets(nodes)
+    # a merge join at any size: the ids grow with the documents, and so does what is dealt out by them
     texts = staged(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-                   .join(buckets.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
+                   .join(buckets.select("id").distinct().hint("merge"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "near-texts")
     found = staged(links(buckets, texts, idf, threshold, levels), "near-links")
     of = components(found)
     degree = found.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))

@@ -27,8 +27,8 @@ def offset_us(time_ns) -> Column:
 
 
 def _div(c: Column, n: int) -> Column:
-    # Exact integral division truncating toward zero; decimal keeps all 64 bits exact.
-    return (c.cast("decimal(38,0)") / F.lit(n)).cast("bigint")
+    # Integral division truncating toward zero, exact in 64 bits.
+    return F.call_function("div", c, F.lit(n).cast("bigint"))
 
 
 def anchor_time(log_date, time_ns) -> Column:

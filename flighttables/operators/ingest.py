@@ -1,90 +1,119 @@
 """Message envelopes -> topic tables (S3, A8, P1, W2, U2, K1-K4): the ingest job.
 
-Input envelope rows: ``mcap_id, log_date, topic, log_time_ns, publish_time_ns, sequence,
-schema_name, payload`` (payload = JSON text).  Steps:
-
-1. descriptor check: every instance of a base topic carries one descriptor (fails fast);
-2. stage the envelopes once, partitioned by base topic (one pass, a written table in the
-   shared folder), so each topic's job reads only its own folder (partition pruning);
-3. per base topic: decode the payload with that topic's schema (FAILFAST), widen ints and
-   floats, keep supported columns, read fields missing from a payload as their type's zero
-   value (they are in the writer's schema, just not on the wire), evolve the table's payload schema (first writer wins;
-   a field arriving with another type goes to ``<name>__as_<suffix>``; new fields append),
-   add the standard columns, and append to the topic table (``log_date`` partitions, rows
-   sorted by publish time).  Readers use the recorded schema (``read_topic_table``): older
-   files simply lack the newer columns, which read as NULL.
-
-The loop in step 3 runs over the topic list (metadata); each iteration is a distributed
-job over that topic's rows only.
+Input envelope rows: ``mcap_id, log_date, topic, log_time_ns, publish_time_ns, sequence, schema_name, payload`` (payload =
+JSON text) and, optionally, ``source``, the file a row came from.  Steps:
+
+1. descriptor check: every instance of a base topic of a flight carries one descriptor (fails fast);
+2. stage the envelopes once, by base topic and day (one shuffle, a written table in the shared folder, removed at the end),
+   so each topic's job reads only its own folder and needs no shuffle of its own;
+3. per base topic: each descriptor's rows are decoded with that descriptor's schema (fail fast, also on a field outside
+   it).  Fields that the descriptor has but a payload leaves out read as their type's zero value; columns that the
+   descriptor lacks are NULL.  The table's payload schema is evolved over all descriptors of the batch and recorded
+   (first writer wins; a field arriving with another type goes to ``<name>__as_<suffix>``; new fields append), then
+   the rows are appended to the topic table as one batch.
+
+The loop in step 3 runs over the topic list (metadata); each iteration is a distributed job over that topic's rows only.
 """
 
 from __future__ import annotations
 
-import os
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from ..functions.types import evolved_name, is_supported, table_type_of, widen, zero_value
-from ..session import new_output_dir
-from ..sinks.lake import read_table_schema, write_table_schema, write_topic_table
+from ..functions.types import is_supported, widen, zero_value
+from ..session import new_output_dir, remove_dir
+from ..sinks.lake import new_batch_id, read_table_schema, write_table_schema, write_topic_table
 from ..sources.messages import decode_payload
 from .messages import descriptor_check, standard_columns, with_topic_parts
+from .schema import evolved_columns
 
 ENVELOPE_COLS = ["mcap_id", "log_date", "topic", "log_time_ns", "publish_time_ns", "sequence", "schema_name", "payload"]
+_KEYS = ["mcap_id", "source", "log_date", "base_topic", "multi_id", "log_time_ns", "publish_time_ns", "sequence"]
+
 
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
-def _evolve(existing: T.StructType | None, payload: T.StructType) -> tuple[T.StructType, list]:
-    """Evolved payload schema of a table and the batch's column expressions (renamed, widened)."""
-    cols = {f.name: f.dataType for f in (existing.fields if existing else [])}
-    out = []
-    for f in payload.fields:
-        if not is_supported(f.dataType):
-            continue
-        t = table_type_of(f.dataType)
-        name = evolved_name(f.name, t, cols)
-        cols.setdefault(name, t)
-        value = widen(F.col(f"`{f.name}`"), f.dataType).cast(t)
-        out.append(F.coalesce(value, zero_value(t)).alias(name))
-    return T.StructType([T.StructField(n, t, True) for n, t in cols.items()]), out
+
+def _by_descriptor(given, found: list[str | None]) -> dict[str | None, T.StructType]:
+    """Schema of each descriptor: given one by one, or one for all of the topic."""
+    if not isinstance(given, dict):
+        return {d: _struct(given) for d in found}
+    missing = [d for d in found if d not in given]
+    if missing:
+        raise ValueError(f"no payload schema for descriptors {missing}")
+    return {d: _struct(given[d]) for d in found}
 
 
-def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict[str, T.StructType | str],
-                     lake_dir: str, on_existing: str = "error", parallel_topics: int = 4) -> list[str]:
+def _only_known_fields(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows as they are; a payload with a field that its descriptor lacks fails the job."""
+    known = F.array(*[F.lit(f) for f in schema.fieldNames()]).cast("array<string>")
+    extra = F.array_except(F.json_object_keys("payload"), known)
+    ok = F.coalesce(F.size(extra) <= 0, F.lit(True))
+    said = F.concat(F.lit("payload fields outside the descriptor's schema: "), F.array_join(F.coalesce(extra, F.array()), ", "))
+    return rows.where(F.assert_true(ok, said).isNull())
+
+
+def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict, lake_dir: str, on_existing: str = "error",
+                     parallel_topics: int = 4, batch_id: str | None = None) -> list[str]:
     """Write every base topic of ``envelopes`` to ``<lake_dir>/<base_topic>``; returns the topics.
 
-    Topic jobs are independent (own table, manifest and schema record) and are submitted
-    from ``parallel_topics`` driver threads, so many small topics keep the cluster busy.
+    ``schemas`` has a payload schema per base topic, or per base topic a dictionary of schemas by descriptor name.
+    ``batch_id`` names the run: run again, it replaces what a failed run left and skips the topics it committed.  Topic
+    jobs are independent (own table, manifest and schema record) and are submitted from ``parallel_topics`` driver
+    threads, so many small topics keep the cluster busy.
     """
-    env = with_topic_parts(envelopes.select(*ENVELOPE_COLS))
-    # One job: the descriptor check (fails fast) and the batch's topic list (one row per topic).
-    topics = sorted(r["base_topic"] for r in
-                    descriptor_check(env).select("base_topic").distinct().collect())
-    missing = [t for t in topics if t not in schemas]
+    batch_id = batch_id or new_batch_id()
+    source = F.col("source") if "source" in envelopes.columns else F.col("mcap_id")
+    env = with_topic_parts(envelopes.select(*ENVELOPE_COLS, source.cast("string").alias("source")))
+    staged = new_output_dir(spark, "ingest-staging")
+    # rebalance: rows of a topic and day gather in few tasks (AQE splits a hot one), so the staged table has about
+    # size/advisory files per topic and day instead of one per task.
+    (env.withColumn("_day", F.col("log_date").cast("date")).hint("rebalance", "base_topic", "_day")
+     .write.partitionBy("base_topic", "_day").parquet(staged))
+    whole = spark.read.schema(T.StructType([*env.schema.fields, T.StructField("_day", T.DateType())])).parquet(staged)
+    # The descriptor check and the batch's list of (topic, descriptor), in the order of their first source file.
+    descriptor_check(whole).agg(F.count(F.lit(1))).collect()
+    listed: dict[str, list[str | None]] = {}
+    for r in (whole.groupBy("base_topic", "schema_name").agg(F.min("source").alias("s")).orderBy("s", "schema_name").collect()):
+        listed.setdefault(r["base_topic"], []).append(r["schema_name"])
+    missing = sorted(t for t in listed if t not in schemas)
     if missing:
+        remove_dir(spark, staged)
         raise ValueError(f"no payload schema for topics {missing}")
-    staged = new_output_dir(spark, "ingest-staging")
-    # rebalance: rows of a topic gather in few tasks (AQE splits a hot topic), so the staged
-    # table has about size/advisory files per topic instead of one per task and topic.
-    env.hint("rebalance", "base_topic").write.partitionBy("base_topic").parquet(staged)
 
     def one(topic: str) -> str:
-        schema = schemas[topic]
-        rows = spark.read.parquet(os.path.join(staged, f"base_topic={topic}")).withColumn("base_topic", F.lit(topic))
-        st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-        decoded = decode_payload(rows, st, payload_col="payload",
-                                 keep=["mcap_id", "log_date", "topic", "base_topic", "multi_id", "log_time_ns",
-                                       "publish_time_ns", "sequence"])
-        table_dir = os.path.join(lake_dir, topic)
-        evolved, payload_cols = _evolve(read_table_schema(spark, table_dir), st)
-        typed = decoded.select("mcap_id", "log_date", "base_topic", "multi_id", "log_time_ns", "publish_time_ns",
-                               "sequence", *payload_cols)
-        table = standard_columns(typed, payload_cols=[c for c in typed.columns if c not in (
-            "mcap_id", "log_date", "base_topic", "multi_id", "log_time_ns", "publish_time_ns", "sequence")])
-        write_topic_table(spark, table.drop("base_topic"), table_dir, on_existing=on_existing)
-        write_table_schema(spark, table_dir, evolved)
+        rows = whole.where(F.col("base_topic") == topic)
+        variants = _by_descriptor(schemas[topic], listed[topic])
+        table_dir = f"{lake_dir.rstrip('/')}/{topic}"
+        columns, mapping = evolved_columns(spark, topic, [(f"{i:09d}", [(f.name, f.dataType) for f in s.fields if is_supported(f.dataType)])
+                                                          for i, s in enumerate(variants.values())], read_table_schema(spark, table_dir))
+        out = None
+        for i, (descriptor, schema) in enumerate(variants.items()):
+            mine = _only_known_fields(rows.where(F.col("schema_name").eqNullSafe(F.lit(descriptor))), schema)
+            parsed = decode_payload(mine, schema, payload_col="payload", keep=_KEYS, into="_payload")
+            names = mapping.get(f"{i:09d}", {})
+            types = {f.name: f.dataType for f in schema.fields}
+            at = {column: field for field, column in names.items()}
+            payload = []
+            for column, t in columns.items():
+                dtype = T.StructType.fromDDL(f"c {t}")[0].dataType
+                if column in at:
+                    value = widen(F.col("_payload")[at[column]], types[at[column]]).cast(dtype)
+                    payload.append(F.coalesce(value, zero_value(dtype)).alias(column))
+                else:
+                    payload.append(F.lit(None).cast(dtype).alias(column))
+            part = parsed.select(*_KEYS, *payload)
+            out = part if out is None else out.unionByName(part)
+        evolved = T.StructType([T.StructField(c, T.StructType.fromDDL(f"c {t}")[0].dataType, True) for c, t in columns.items()])
+        write_table_schema(spark, table_dir, evolved)  # before the data: no row is ever in a column that is not recorded
+        table = standard_columns(out, payload_cols=[*columns, "source"]).drop("base_topic")
+        write_topic_table(spark, table, table_dir, on_existing=on_existing, batch_id=batch_id, rebalance=False)
         return topic
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_topics)) as pool:
-        return list(pool.map(one, topics))
+        done = list(pool.map(one, sorted(listed)))
+    remove_dir(spark, staged)
+    return done

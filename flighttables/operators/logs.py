@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.levels import remap_level
 from ..functions.time import micros_to_sec_nsec
-from .ordered import ordered_within
+from .ordered import TIME_WIDTH_US, ordered_within
 
 INT_TEXT_RE = r"^[+-]?[0-9]+$"
 
@@ -46,7 +46,8 @@ def merge_tagged(logs: DataFrame) -> DataFrame:
     cond = (F.col("l.mcap_id") == F.col("f.mcap_id")) & F.col("l.tag").eqNullSafe(F.col("f.tag"))
     keyed = logs.alias("l").join(firsts, on=cond, how="inner").select("l.*", "f.tag_first")
     recs = log_records(keyed, tagged=True, keep=("tag_first",))
-    return ordered_within(recs, ["mcap_id"], ["ts_us", "tag_first", "ordinal"], seq_col="seq").drop("tag_first")
+    return ordered_within(recs, ["mcap_id"], ["ts_us", "tag_first", "ordinal"], seq_col="seq",
+                          width=TIME_WIDTH_US).drop("tag_first")
 
 
 def parameter_changes(params: DataFrame, value_col: str = "value", kind_col: str | None = None) -> DataFrame:
@@ -69,15 +70,32 @@ def with_table_defaults(changes: DataFrame) -> DataFrame:
                                 "float_value": F.coalesce("float_value", F.lit(0.0))})
 
 
-def metadata_maps(kv: DataFrame, group_col: str = "mcap_id", key_col: str = "key",
-                  value_col: str = "value") -> DataFrame:
+def metadata_maps(kv: DataFrame, group_col: str = "mcap_id", key_col: str = "key", value_col: str = "value",
+                  ordinal_col: str | None = None) -> DataFrame:
     """One ``map<string,string>`` per log from its metadata key/value rows (keys, values as text).
 
-    A log's metadata has one row per distinct key of its header, so each collected group
-    is bounded by the header size, not by the data volume.
+    A key that a log repeats keeps its last value: the one of the greatest ``ordinal_col``, or without one the
+    greatest value.  A collected group is bounded by the keys of a header, not by the data volume.
     """
-    entry = F.struct(F.col(key_col).cast("string").alias("key"), F.col(value_col).cast("string").alias("value"))
-    return kv.groupBy(group_col).agg(F.map_from_entries(F.collect_list(entry)).alias("metadata"))
+    value = F.col(value_col).cast("string")
+    last = F.max_by(F.struct(value.alias("v")), F.col(ordinal_col)) if ordinal_col else F.max(F.struct(value.alias("v")))
+    one = kv.groupBy(group_col, F.col(key_col).cast("string").alias("_key")).agg(last.alias("_last"))
+    entry = F.struct(F.col("_key").alias("key"), F.col("_last.v").alias("value"))
+    return one.where("_key is not null").groupBy(group_col).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("metadata"))
+
+
+#: The metadata a log is written with: general information, initial parameters, default parameters.
+METADATA_NAMES = ("info", "initial_parameters", "default_parameters")
+
+
+def named_metadata(kv: DataFrame, group_col: str = "mcap_id", name_col: str = "name", key_col: str = "key",
+                   value_col: str = "value", ordinal_col: str | None = None) -> DataFrame:
+    """One row per log with the three named metadata maps (empty where the log has no row of a name)."""
+    maps = metadata_maps(kv.select(F.struct(group_col, name_col).alias("_g"), key_col, value_col, *([ordinal_col] if ordinal_col else [])),
+                         "_g", key_col, value_col, ordinal_col)
+    empty = F.create_map().cast("map<string,string>")
+    return (maps.groupBy(F.col(f"_g.{group_col}").alias(group_col))
+            .agg(*[F.coalesce(F.max_by("metadata", F.when(F.col(f"_g.{name_col}") == n, F.lit(1))), empty).alias(n) for n in METADATA_NAMES]))
 
 
 def metadata_lookup(maps: DataFrame, key: str, default: str, out: str, map_col: str = "metadata") -> DataFrame:

@@ -5,8 +5,8 @@ trajectory — become one envelope ``(mcap_id, topic, ts_us, payload)`` in time
 Equal times keep stream order (the order of the ``streams`` list, then ``sub_ord`` inside
 a stream such as the topic's position), then input order (``row_ord``).
 
-The total order is produced per flight by the skew-safe ``ordered_within`` (range
-partitioning), never by a single global sort into one partition or by one task per flight.
+The total order is produced per flight by the skew-safe ``ordered_within`` (buckets of ten minutes),
+never by a single global sort into one partition or by one task per flight.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.time import micros_to_nanos
-from .ordered import ordered_within
+from .ordered import TIME_WIDTH_US, ordered_within
 
 ENVELOPE = ["mcap_id", "topic", "ts_us", "row_ord", "payload"]
 
@@ -38,7 +38,7 @@ def merge_streams(streams: list[DataFrame]) -> DataFrame:
     for i, s in enumerate(streams):
         e = envelope(s, i)
         u = e if u is None else u.unionByName(e)
-    seq = ordered_within(u, ["mcap_id"], ["ts_us", "stream", "sub_ord", "row_ord"], seq_col="seq")
+    seq = ordered_within(u, ["mcap_id"], ["ts_us", "stream", "sub_ord", "row_ord"], seq_col="seq", width=TIME_WIDTH_US)
     return seq.select("mcap_id", "seq", "ts_us", "topic", "stream", "sub_ord", "row_ord", "payload",
                       micros_to_nanos(F.col("ts_us")).alias("log_time_ns"),
                       micros_to_nanos(F.col("ts_us")).alias("publish_time_ns"))

@@ -1,216 +1,86 @@
 """Skew-safe ordered computations within groups: sequence number, previous and next row.
 
-``Window.partitionBy(flight).orderBy(time)`` sends every row of one flight to one task, so
-a flight holding a third of all rows would be sorted and scanned by a single task.  Here
-the rows are range-partitioned on ``(group, order)`` instead, which splits a hot group
-across many partitions by its order keys.  Each partition is sorted and scanned once by a
-vectorised Arrow step that computes the partition-local sequence, previous and next
-values; only the key, lag and lead columns are inspected, every other column passes
-through the step untouched.  Groups that cross a partition border are then fixed with a
-small border table: only the first and last group of each partition can cross, so that
-table holds at most ``2 * num_partitions`` rows and is broadcast with a proven size bound.
-
-Requirements: ``order_cols`` must order the rows of a group totally (end with a unique
-ordinal); then results are deterministic, also when tasks are re-executed.  The range
-shuffle uses an explicit partition count, which AQE never coalesces, so the partition
-index seen by the Arrow step equals the range-partition index.  Both consumers of the
-Arrow step read one (reused) range shuffle; with exchange reuse switched off the sorted
-input is first pinned by a reliable checkpoint in the shared checkpoint folder.
+``Window.partitionBy(flight).orderBy(time)`` sends every row of one flight to one task, so a flight holding a third
+of all rows would be sorted by a single task.  Here the first order column is cut into buckets of a fixed width:
+
+1. rows are numbered, and look back and ahead, inside their ``(group, bucket)``: a window over the bucket;
+2. a partial aggregate counts each ``(group, bucket)`` and keeps its first and last values: one small row a bucket;
+3. running sums over the buckets of a group give each bucket its offset, its neighbours the values across its border;
+4. both are joined by the bucket's key, by which the rows are already dealt.
+
+Nothing depends on how rows are partitioned, so the result may be unioned, coalesced or ordered again.  The width
+bounds a task by the rows that a group has within it (rows of one equal first order value always share a bucket); the
+buckets of a group are counted by its extent over the width.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from ..session import ship_package
-
-_P, _LOC, _N, _EDGE = "_op_part", "_op_local", "_op_n", "_op_edge"
-
-
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def range_sorted(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                 num_partitions: int | None = None) -> DataFrame:
-    """Range-partition on group + order keys and sort each partition by them."""
-    keys = [*group_cols, *order_cols]
-    n = _partitions(df, num_partitions)
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-
+#: Default widths: ten minutes for times, 100,000 for numbers.
+TIME_WIDTH_US = 600_000_000
+NUMBER_WIDTH = 100_000
 
-def _same_as_previous(batch: pa.RecordBatch, cols: Sequence[str]) -> np.ndarray:
-    """Row-wise: the group key equals the previous row's (nulls equal nulls); row 0 is False."""
-    n = batch.num_rows
-    same = np.ones(n, dtype=bool)
-    same[0] = False
-    if n > 1:
-        for c in cols:
-            a = batch.column(c)
-            cur, prev = a.slice(1), a.slice(0, n - 1)
-            eq = pc.or_(pc.fill_null(pc.equal(cur, prev), False), pc.and_(pc.is_null(cur), pc.is_null(prev)))
-            same[1:] &= eq.to_numpy(zero_copy_only=False)
-    return same
+_KEY, _GROUP, _BUCKET, _LOCAL = "_ow_key", "_ow_group", "_ow_bucket", "_ow_local"
 
 
-def _key(batch: pa.RecordBatch, cols: Sequence[str], i: int) -> tuple:
-    return tuple(batch.column(c)[i].as_py() for c in cols)
-
-
-def _local_scan(group_cols, lag_cols, lead_cols, edges_only: bool = False):
-    """Per partition: local 1-based sequence, previous and next values inside the group.
-
-    Also marks the three *edge* rows that the border table needs: the partition's first
-    row, the last row of the partition's first group, and the partition's last row.  A
-    group crossing a border is the last group of the earlier partition and the first group
-    of the later one, so these rows carry every count and value the fix-up uses.
-    With ``edges_only`` the scan returns just those rows and the columns the border table
-    reads: ``_P, <group>, _LOC, <lag>, <lead>``.
-    """
-    value_cols = list(dict.fromkeys([*lag_cols, *lead_cols]))
-
-    def emit(pending) -> pa.RecordBatch:
-        batch, extra, edge, nexts = pending
-        if edges_only:
-            keep = pa.array(np.flatnonzero(edge))
-            arrays = [extra[0], *[batch.column(c) for c in group_cols], extra[1], *[batch.column(c) for c in value_cols]]
-            names = [_P, *group_cols, _LOC, *value_cols]
-            return pa.RecordBatch.from_arrays([pc.take(a, keep) for a in arrays], names=names)
-        arrays = list(batch.columns) + extra + [pa.array(edge)] + [nexts[c] for c in lead_cols]
-        names = (list(batch.schema.names) + [_P, _LOC] + [f"_prev_{c}" for c in lag_cols] + [_EDGE]
-                 + [f"_next_{c}" for c in lead_cols])
-        return pa.RecordBatch.from_arrays(arrays, names=names)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        carry_key, carry_n, carry_last = None, 0, {}
-        pending = None
-        first_group_open = True          # still inside the partition's first group
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            same_prev = _same_as_previous(batch, group_cols)
-            continues = carry_key is not None and _key(batch, group_cols, 0) == carry_key
-            gid = np.cumsum(~same_prev)
-            starts = np.flatnonzero(~same_prev)
-            local = np.arange(n) - starts[gid - 1] + 1
-            if continues:
-                local[gid == 1] += carry_n
-            idx = np.arange(n)
-            extra = [pa.array(np.full(n, part, dtype=np.int32)), pa.array(local.astype(np.int64))]
-            valid_prev = same_prev.copy()
-            valid_prev[0] = continues
-            nexts = {}
-            if not edges_only:
-                for c in lag_cols:
-                    a = batch.column(c)
-                    src = pa.concat_arrays([pa.array([carry_last.get(c)], type=a.type), a])
-                    extra.append(pc.take(src, pa.array(idx, mask=~valid_prev)))
-                same_next = np.append(same_prev[1:], False)
-                nexts = {c: pc.take(batch.column(c), pa.array(np.minimum(idx + 1, n - 1), mask=~same_next))
-                         for c in lead_cols}
-            edge = np.zeros(n, dtype=bool)
-            if carry_key is None:
-                edge[0] = True                                   # partition's first row
-            if pending is not None:
-                if continues and not edges_only:
-                    # The previous batch's last row continues into this batch's first row.
-                    pnexts = pending[3]
-                    for c in lead_cols:
-                        arr = pnexts[c]
-                        pnexts[c] = pa.concat_arrays([arr.slice(0, len(arr) - 1), batch.column(c).slice(0, 1)])
-                elif not continues and first_group_open:
-                    pending[2][-1] = True                        # first group ended there
-                    first_group_open = False
-                yield emit(pending)
-            if first_group_open and gid[-1] > 1:
-                edge[int(np.sum(gid == 1)) - 1] = True            # first group ends here
-                first_group_open = False
-            carry_key = _key(batch, group_cols, n - 1)
-            carry_n = int(local[-1])
-            carry_last = {c: batch.column(c)[n - 1].as_py() for c in lag_cols}
-            pending = (batch, extra, edge, nexts)
-        if pending is not None:
-            pending[2][-1] = True                                # partition's last row
-            yield emit(pending)
-
-    return scan
+def bucket_of(col: str, dtype: T.DataType, width: int | None) -> Column:
+    """The bucket of an order value: times by microseconds, numbers as they are; a null has a bucket of its own."""
+    c = F.col(col)
+    if isinstance(dtype, T.TimestampNTZType):
+        c = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    elif isinstance(dtype, T.TimestampType):
+        c = F.unix_micros(c)
+    elif not isinstance(dtype, T.NumericType):
+        raise TypeError(f"the first order column {col!r} must be a time or a number, not {dtype.simpleString()}")
+    timed = isinstance(dtype, (T.TimestampNTZType, T.TimestampType))
+    return F.floor(c / F.lit(width or (TIME_WIDTH_US if timed else NUMBER_WIDTH))).cast("bigint")
 
 
 def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], *,
                    seq_col: str | None = "seq", lag_cols: Sequence[str] = (), lead_cols: Sequence[str] = (),
-                   num_partitions: int | None = None) -> DataFrame:
+                   width: int | None = None) -> DataFrame:
     """Add ``seq_col`` (1-based order inside the group), ``prev_<c>`` and ``next_<c>`` columns.
 
-    Equivalent to ``row_number() / lag(c) / lead(c) OVER (PARTITION BY group ORDER BY order)``
-    but without sending a whole group to one task.
+    Equal to ``row_number() / lag(c) / lead(c) OVER (PARTITION BY group ORDER BY order)`` (nulls first; null group
+    values form a group).  ``order_cols`` must order the rows of a group totally (end with a unique ordinal), and the first
+    must be a time or a number; ``width`` is the width of its buckets (microseconds for times).
     """
-    group_cols, order_cols = list(group_cols), list(order_cols)
-    lag_cols, lead_cols = list(lag_cols), list(lead_cols)
-    ship_package(df.sparkSession)          # the Arrow scan runs library code on the workers
-    base = range_sorted(df, group_cols, order_cols, num_partitions)
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Both branches below must see one range partitioning; without exchange reuse,
-        # pin it with a reliable checkpoint in the shared checkpoint folder.
-        base = base.checkpoint(eager=True)
-
-    types = {f.name: f.dataType for f in base.schema.fields}
-    fields = list(base.schema.fields) + [T.StructField(_P, T.IntegerType(), False),
-                                          T.StructField(_LOC, T.LongType(), False)]
-    fields += [T.StructField(f"_prev_{c}", types[c], True) for c in lag_cols]
-    fields += [T.StructField(_EDGE, T.BooleanType(), False)]
-    fields += [T.StructField(f"_next_{c}", types[c], True) for c in lead_cols]
-    local = base.mapInArrow(_local_scan(group_cols, lag_cols, lead_cols), T.StructType(fields))
-
-    # Border table: per (partition, group) its size, first and last row; partition-crossing
-    # groups only.  Its edge rows come from the same scan over ``base``: an Arrow step
-    # consumes every input column, so this branch's range shuffle is the identical sub-plan
-    # and is reused (one sampling, one set of range bounds).  Deriving it from a pruned
-    # projection would plan a second, independently sampled range shuffle whose partition
-    # borders differ.  The scan returns only the <= 3 edge rows per partition.
-    value_cols = list(dict.fromkeys([*lag_cols, *lead_cols]))
-    edge_fields = [T.StructField(_P, T.IntegerType(), False), *[base.schema[g] for g in group_cols],
-                   T.StructField(_LOC, T.LongType(), False), *[base.schema[c] for c in value_cols]]
-    edges = base.mapInArrow(_local_scan(group_cols, lag_cols, lead_cols, edges_only=True), T.StructType(edge_fields))
-    loc = F.col(_LOC)
-    aggs = [F.max(loc).alias(_N)]
+    group_cols, order_cols, lag_cols, lead_cols = map(list, (group_cols, order_cols, lag_cols, lead_cols))
+    group, order = F.struct(*[F.col(g) for g in group_cols]), F.struct(*[F.col(c) for c in order_cols])
+    # Keys are structs: never null as a whole, and equal where their fields are equal or both null.
+    bucket = bucket_of(order_cols[0], df.schema[order_cols[0]].dataType, width)
+    keyed = df.withColumn(_KEY, F.struct(*[F.col(g) for g in group_cols], bucket.alias(_BUCKET)))
+
+    inside = Window.partitionBy(_KEY).orderBy(*order_cols)
+    local = {_LOCAL: F.row_number().over(inside)}
+    local |= {f"_ow_prev_{c}": F.lag(F.struct(c)).over(inside) for c in lag_cols}
+    local |= {f"_ow_next_{c}": F.lead(F.struct(c)).over(inside) for c in lead_cols}
+    rows = keyed.withColumns(local)
+
+    needed = list(dict.fromkeys([*group_cols, *order_cols, *lag_cols, *lead_cols]))
+    aggs = [F.count(F.lit(1)).alias("_ow_n")]
+    if lag_cols:
+        aggs.append(F.max_by(F.struct(*lag_cols), order).alias("_ow_last"))
     if lead_cols:
-        aggs.append(F.min_by(F.struct(*[F.col(c) for c in lead_cols]), loc).alias("_first"))
+        aggs.append(F.min_by(F.struct(*lead_cols), order).alias("_ow_first"))
+    sizes = (df.select(*needed).withColumn(_KEY, F.struct(*[F.col(g) for g in group_cols], bucket.alias(_BUCKET)))
+             .withColumn(_GROUP, group).groupBy(_KEY, _GROUP).agg(*aggs))
+    along = Window.partitionBy(_GROUP).orderBy(F.col(f"{_KEY}.{_BUCKET}"))
+    border = {"_ow_offset": F.coalesce(F.sum("_ow_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}
     if lag_cols:
-        aggs.append(F.max_by(F.struct(*[F.col(c) for c in lag_cols]), loc).alias("_last"))
-    per_part = edges.groupBy(_P, *group_cols).agg(*aggs)
-    w = Window.partitionBy(*group_cols).orderBy(_P)
-    border = per_part.select(
-        _P, *group_cols, _N,
-        F.coalesce(F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        *([F.lag("_last").over(w).alias("_prev_last")] if lag_cols else []),
-        *([F.lead("_first").over(w).alias("_next_first")] if lead_cols else []),
-        F.count(F.lit(1)).over(Window.partitionBy(*group_cols)).alias("_parts"))
-    border = border.where(F.col("_parts") > 1).drop("_parts")
-
-    b = border.alias("b")
-    cond = [F.col(f"l.{_P}") == F.col(f"b.{_P}")] + \
-           [F.col(f"l.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group_cols]
-    joined = local.alias("l").join(F.broadcast(b), on=cond, how="left")
-
-    out = [F.col(f"l.{c}") for c in df.columns]
-    crossing = F.col(f"b.{_N}").isNotNull()
+        border["_ow_before"] = F.lag("_ow_last").over(along)
+    if lead_cols:
+        border["_ow_after"] = F.lead("_ow_first").over(along)
+    borders = sizes.withColumns(border).select(F.col(_KEY), *border)
+
+    joined = rows.join(borders, on=_KEY, how="inner")
+    out = [F.col(c) for c in df.columns]
     if seq_col:
-        out.append((F.col(f"l.{_LOC}") + F.coalesce(F.col("b._offset"), F.lit(0))).cast("bigint").alias(seq_col))
-    for c in lag_cols:
-        out.append(F.when(crossing & (F.col(f"l.{_LOC}") == 1), F.col(f"b._prev_last.{c}"))
-                   .otherwise(F.col(f"l._prev_{c}")).alias(f"prev_{c}"))
-    for c in lead_cols:
-        out.append(F.when(crossing & (F.col(f"l.{_LOC}") == F.col(f"b.{_N}")), F.col(f"b._next_first.{c}"))
-                   .otherwise(F.col(f"l._next_{c}")).alias(f"next_{c}"))
+        out.append((F.col(_LOCAL) + F.col("_ow_offset")).cast("bigint").alias(seq_col))
+    out += [F.coalesce(F.col(f"_ow_prev_{c}"), F.struct(F.col("_ow_before")[c].alias(c)))[c].alias(f"prev_{c}") for c in lag_cols]
+    out += [F.coalesce(F.col(f"_ow_next_{c}"), F.struct(F.col("_ow_after")[c].alias(c)))[c].alias(f"next_{c}") for c in lead_cols]
     return joined.select(*out)

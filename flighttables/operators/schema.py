@@ -71,6 +71,23 @@ def table_schema(resolved_rows: list) -> "OrderedDict[str, str]":
     return out
 
 
+def evolved_columns(spark: SparkSession, topic: str, sources: list[tuple[str, list[tuple]]], existing=None):
+    """Evolve a topic table by the fields of ``sources``: ``(source, [(field, data type)])`` pairs.
+
+    ``existing`` (a payload schema) comes before all sources.  Returns (column -> type name in column order,
+    source -> {field -> column}).  The one evolution routine: it runs :func:`resolve_columns` over field rows (metadata only).
+    """
+    rows = [(topic, "", i, f.name, f.dataType.simpleString()) for i, f in enumerate(existing.fields if existing else [])]
+    for source, fields in sources:
+        rows += [(topic, f"_{source}", i, name, table_type_of(t).simpleString()) for i, (name, t) in enumerate(fields)]
+    resolved = resolve_columns(spark.createDataFrame(rows, FIELDS_SCHEMA)).collect()
+    mapping: dict[str, dict[str, str]] = {}
+    for r in resolved:
+        if r["source"]:
+            mapping.setdefault(r["source"][1:], {})[r["field"]] = r["column"]
+    return table_schema(resolved), mapping
+
+
 def evolve_union(spark: SparkSession, topic: str, batches: list[tuple[str, DataFrame]],
                  keep: list[str] | None = None) -> DataFrame:
     """Union schema batches of one topic into its evolved table schema.
@@ -81,15 +98,9 @@ def evolve_union(spark: SparkSession, topic: str, batches: list[tuple[str, DataF
     the batches' field rows (metadata only); the data is never collected.
     """
     keep = keep or []
-    rows = []
-    for source, df in batches:
-        payload = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in keep])
-        rows += fields_of(topic, source, payload)
-    resolved = resolve_columns(spark.createDataFrame(rows, FIELDS_SCHEMA)).collect()
-    schema = table_schema(resolved)
-    by_source = {}
-    for r in resolved:
-        by_source.setdefault(r["source"], {})[r["field"]] = r["column"]
+    schema, by_source = evolved_columns(spark, topic, [
+        (source, [(f.name, f.dataType) for f in df.schema.fields if f.name not in keep and is_supported(f.dataType)])
+        for source, df in batches])
     out = None
     for source, df in batches:
         mapping = by_source.get(source, {})

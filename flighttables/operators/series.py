@@ -45,32 +45,35 @@ def battery_series(battery_status: DataFrame, instance: int = 0) -> DataFrame:
         (F.col("cell_count") * F.lit(LOW_VOLTAGE_PER_CELL)).alias("low_voltage_v"))
 
 
-def _state_rows(vehicle_status: DataFrame) -> DataFrame:
-    """Long form: one row per (sample, state) with the value as text and its label."""
-    nav = F.struct(F.lit("nav_state").alias("state"), F.col("nav_state").cast("string").alias("value"),
-                   enum_label(F.col("nav_state"), NAV_STATE_LABELS).alias("label"))
-    arm = F.struct(F.lit("arming_state").alias("state"), F.col("arming_state").cast("string").alias("value"),
-                   enum_label(F.col("arming_state"), ARMING_STATE_LABELS).alias("label"))
-    fs_text = F.lower(F.col("failsafe").cast("string"))
-    fs = F.struct(F.lit("failsafe").alias("state"), fs_text.alias("value"),
-                  enum_label(fs_text, FAILSAFE_LABELS).alias("label"))
-    return vehicle_status.select("mcap_id", "multi_id", "log_time", "ordinal",
-                                 F.inline(F.array(nav, arm, fs)))
+STATES = ("nav_state", "arming_state", "failsafe")
+
+
+def _labelled(state: str, value):
+    if state == "failsafe":
+        text = F.lower(value.cast("string"))
+        return text, enum_label(text, FAILSAFE_LABELS)
+    return value.cast("string"), enum_label(value, NAV_STATE_LABELS if state == "nav_state" else ARMING_STATE_LABELS)
 
 
 def state_transitions(vehicle_status: DataFrame) -> DataFrame:
     """Segments ``(mcap_id, multi_id, state, segment, value, label, start_time, end_time, rel_start_us)``.
 
-    ``rel_start_us`` is the segment start in microseconds after the flight's first sample.
+    ``rel_start_us`` is the segment start in microseconds after the flight's first sample.  One ordered pass over the
+    samples looks back at all three states; only changes are expanded to a row per state and numbered.
     """
-    rows = _state_rows(vehicle_status)
+    samples = vehicle_status.select("mcap_id", "multi_id", "log_time", "ordinal", *STATES)
+    with_prev = ordered_within(samples, ["mcap_id", "multi_id"], ["log_time", "ordinal"], seq_col="sample_seq",
+                               lag_cols=list(STATES))
+    changed = []
+    for s in STATES:
+        value, label = _labelled(s, F.col(s))
+        before, _ = _labelled(s, F.col(f"prev_{s}"))
+        new = (F.col("sample_seq") == 1) | ~value.eqNullSafe(before)
+        changed.append(F.when(new, F.struct(F.lit(s).alias("state"), value.alias("value"), label.alias("label"))))
+    rows = with_prev.select("mcap_id", "multi_id", "log_time", "ordinal", F.inline(F.array_compact(F.array(*changed))))
     keys = ["mcap_id", "multi_id", "state"]
-    with_prev = ordered_within(rows, keys, ["log_time", "ordinal"], seq_col="sample_seq", lag_cols=["value"])
-    changes = with_prev.where((F.col("sample_seq") == 1) | ~F.col("value").eqNullSafe(F.col("prev_value")))
-    seg = ordered_within(changes.drop("prev_value"), keys, ["log_time", "ordinal"], seq_col="segment",
-                         lead_cols=["log_time"])
-    # A plain partial aggregate over the samples; deriving it from ``changes`` instead would
-    # make Spark recompute the first ordered pass for this second consumer.
+    seg = ordered_within(rows, keys, ["log_time", "ordinal"], seq_col="segment", lead_cols=["log_time"])
+    # A plain partial aggregate over the samples; deriving it from the changes would repeat the ordered pass.
     starts = vehicle_status.groupBy("mcap_id", "multi_id").agg(F.min("log_time").alias("_t0"))
     return (seg.join(starts, on=["mcap_id", "multi_id"], how="inner")
             .select(*keys, "segment", "value", "label", F.col("log_time").alias("start_time"),

@@ -47,16 +47,15 @@ def valid_points(samples: DataFrame) -> DataFrame:
 
 
 def trajectory_points(samples: DataFrame) -> DataFrame:
-    """``(mcap_id, point_idx, timestamp, x, y, z)`` in ENU, ``point_idx`` in sample order."""
+    """``(mcap_id, point_idx, timestamp, x, y, z)`` in ENU, ``point_idx`` in sample order (``ordinal``), whatever the times."""
     pts = valid_points(samples).select("mcap_id", "timestamp", "ordinal",
                                        ned_to_enu("x", "y", "z").alias("p"))
-    seq = ordered_within(pts, ["mcap_id"], ["timestamp", "ordinal"], seq_col="point_idx")
+    seq = ordered_within(pts, ["mcap_id"], ["ordinal"], seq_col="point_idx")
     return seq.select("mcap_id", "point_idx", "timestamp", "p.x", "p.y", "p.z")
 
 
 def trajectory_summary(samples: DataFrame) -> DataFrame:
     """One row per flight with valid points: first valid sample time, count, scene constants."""
     pts = valid_points(samples)
-    # Sample order is (timestamp, ordinal), so the first valid sample's time is min(timestamp).
-    g = pts.groupBy("mcap_id").agg(F.min("timestamp").alias("first_ts"), F.count(F.lit(1)).alias("n_points"))
+    g = pts.groupBy("mcap_id").agg(F.min_by("timestamp", "ordinal").alias("first_ts"), F.count(F.lit(1)).alias("n_points"))
     return g.select("mcap_id", "first_ts", "n_points", *[F.lit(v).alias(k) for k, v in SCENE.items()])

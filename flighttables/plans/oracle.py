@@ -165,7 +165,7 @@ SELECT ordinal, topic, {sql_topic_base('topic')} AS base_topic, {sql_multi_id('t
 
 _PATHS = """
     SELECT o_orderkey AS ordinal,
-           's3://mcap/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-L-' || CAST(o_orderkey AS VARCHAR)
+           'store://logs/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '-L-' || CAST(o_orderkey AS VARCHAR)
            || CASE WHEN o_orderstatus = 'O' THEN '.mcap.mcap' ELSE '.mcap' END AS path
     FROM orders"""
 _MCAP_ID = "regexp_replace(regexp_extract(path, '[^/]*$'), '(\\.mcap)+$', '')"

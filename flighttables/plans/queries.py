@@ -104,8 +104,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from ..functions import levels as L, names as N, time as TM  # noqa: E402
 from ..operators import messages as M  # noqa: E402
 
-# Navigation state labels of the dashboard's state panel.
-NAV_STATE_LABELS = {0: "MANUAL", 1: "ALTCTL", 2: "POSCTL", 3: "AUTO_MISSION", 4: "AUTO_LOITER", 5: "AUTO_RTL"}
+from ..operators.series import NAV_STATE_LABELS  # noqa: E402
 
 
 @query("topic_split")
@@ -357,7 +356,7 @@ def _write_sample_lake(spark, root, name):
 def partitioned_append(spark, root):
     """Write topic tables (two appends), read the whole lake back."""
     lake = _write_sample_lake(spark, root, "partitioned_append")
-    return spark.read.parquet(lake)
+    return LK.read_lake(spark, lake)
 
 
 @query("file_manifest")
@@ -470,9 +469,7 @@ def stream_lake_flights(spark, root):
     S.telemetry_envelopes(spark, root).write.parquet(env_dir)
     q = ingest_stream(spark, env_dir, spark.read.parquet(env_dir).schema, lake, S.TELEMETRY_SCHEMAS,
                       name=os.path.basename(lake))
-    if not q.awaitTermination(1800):
-        q.stop()
-        raise TimeoutError("ingest stream did not finish within 30 minutes")
+    q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"ingest stream failed: {q.exception()}")
     TB.open_lake(spark, lake)

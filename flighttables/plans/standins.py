@@ -17,7 +17,7 @@ from ..sources.tables import read_table
 
 
 def _t(spark: SparkSession, root: str, name: str, spread: bool = False) -> DataFrame:
-    return read_table(spark, root, name, spread_to_cores=spread)
+    return read_table(spark, root, name, spread_to=spark.sparkContext.defaultParallelism if spread else None)
 
 
 def flight_id() -> F.Column:
@@ -128,7 +128,7 @@ def message_file_paths(spark, root) -> DataFrame:
     o = _t(spark, root, "orders")
     name = F.concat(F.col("o_orderdate").cast("date").cast("string"), F.lit("-L-"), F.col("o_orderkey").cast("string"))
     suffix = F.when(F.col("o_orderstatus") == "O", F.lit(".mcap.mcap")).otherwise(F.lit(".mcap"))
-    return o.select(F.col("o_orderkey").alias("ordinal"), F.concat(F.lit("s3://mcap/"), name, suffix).alias("path"))
+    return o.select(F.col("o_orderkey").alias("ordinal"), F.concat(F.lit("store://logs/"), name, suffix).alias("path"))
 
 
 def log_file_stems(spark, root) -> DataFrame:

@@ -49,17 +49,19 @@ def get_session(master: str | None = None, app: str = "flighttables",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-shared folder for checkpoints and written intermediate tables.
+    """The cluster-shared folder for checkpoints and written intermediate tables, with its URI scheme.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only when the
-    session names none (unit tests, a bare local session) a fresh local folder is created
-    and registered, so ``DataFrame.checkpoint()`` and our written tables share one root.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Only with a local master, where driver and
+    executors are one process, a session that names none gets a fresh local folder, registered so that
+    ``DataFrame.checkpoint()`` and our written tables share one root; elsewhere that is an error.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a session without a local context (Spark Connect)
         root = spark.conf.get("spark.checkpoint.dir", None)
-        return root or tempfile.mkdtemp(prefix="flighttables-ckpt-")
+        if not root:
+            raise RuntimeError(NO_SHARED_DIR) from None
+        return root.rstrip("/")
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         current = sc.getCheckpointDir()
@@ -67,20 +69,37 @@ def shared_dir(spark: SparkSession) -> str:
             # getCheckpointDir() adds a per-application child folder; its parent is shared.
             root = current.rsplit("/", 1)[0]
     if not root:
+        if not is_local(sc.master):
+            raise RuntimeError(NO_SHARED_DIR)
         root = tempfile.mkdtemp(prefix="flighttables-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
-    return root
+    return root.rstrip("/")
+
+
+NO_SHARED_DIR = "set spark.checkpoint.dir to a folder that the driver and all executors share"
+
+
+def is_local(master: str) -> bool:
+    """Whether the master runs everything in one process (``local``, ``local[n]``), unlike ``local-cluster[...]``."""
+    return master == "local" or master.startswith("local[")
 
 
 def new_output_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared root for one written table set."""
-    root = shared_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, "flighttables", f"{name}-{uuid.uuid4().hex[:12]}")
-    return path
+    return f"{shared_dir(spark)}/flighttables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is on (nothing happens if there is none)."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 _SHIPPED: set[str] = set()
@@ -89,7 +108,7 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``flighttables`` importable on the executors' Python workers (like ``--py-files``).
 
-    Needed wherever a task runs library Python code (the Arrow scan of ``ordered_within``).
+    Needed wherever a task runs library Python code.
     The package is zipped once per application and added with ``addPyFile``; Spark's file
     server distributes it to every executor.  The zip is built under the shared folder when
     that is a local path, otherwise in a driver-side folder (an artifact the driver ships,
@@ -110,7 +129,7 @@ def ship_package(spark: SparkSession) -> None:
     digest = hashlib.sha1(b"".join(open(f, "rb").read() for f in files)).hexdigest()[:12]
     root = shared_dir(spark)
     if root.startswith("file:"):
-        root = root[len("file:"):]
+        root = "/" + root[len("file:"):].lstrip("/")
     if "://" in root:
         root = tempfile.gettempdir()
     target = os.path.join(root, "flighttables", f"flighttables-{digest}.zip")
@@ -131,7 +150,6 @@ def ship_package(spark: SparkSession) -> None:
 # Target bytes per task: large enough to amortise task overhead, small enough that a
 # partition's sort / hash buffers fit an executor core's share of memory without heavy spill.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 200_000
 
 
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
@@ -151,10 +169,9 @@ def scale_conf(total_input_bytes: int, target_partition_bytes: int = TARGET_PART
     Scan splits and shuffle partitions are sized to ``target_partition_bytes`` (shuffle
     partitions from the input size, which bounds what most jobs here shuffle); AQE then
     coalesces small shuffle partitions towards its advisory size and splits skewed ones
-    above five times the median.  ``ordered_within`` takes its range partition count from
-    ``spark.sql.shuffle.partitions``, so it follows the same sizing.
+    above five times the median.
     """
-    n = max(1, min(MAX_SHUFFLE_PARTITIONS, -(-int(total_input_bytes) // int(target_partition_bytes))))
+    n = max(1, -(-int(total_input_bytes) // int(target_partition_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(n),

@@ -1,143 +1,220 @@
 """Topic-table sink (K1-K4, K7, O3, §2.13.16 re-ingest policy).
 
-Every base topic is one Parquet table folder ``<lake>/base_topic=<t>/log_date=YYYY-MM-DD/``
-with zstd files whose rows are sorted by ``publish_time``.  The write is one pass over the
-messages: a ``rebalance`` on ``(base_topic, log_date)`` lets AQE split a hot (topic, day)
-across several tasks and merge small ones, then each task sorts its rows by publish time.
-
-Which flights a table or lake holds is kept in a small manifest ``<root>/_ingested``
-(hidden from partition discovery by its leading underscore), so the re-ingest check and the
-returned topic list never scan the data itself.  The manifest is appended after the data
-commit; a crash in between leaves those flights unlisted, and they are ingested again.
+A topic table is a folder ``<lake>/<topic>/batch_id=<id>/log_date=YYYY-MM-DD/`` of zstd files whose rows are sorted by
+``publish_time``; the single-pass fan-out adds ``base_topic=<t>`` between.  A batch is written in three steps:
+
+1. the evolved payload schema is recorded (by the ingest job);
+2. the data go to the folder of the batch's id, replacing what a failed run of the same batch left there;
+3. the batch's manifest rows ``(mcap_id, source, log_date[, base_topic])`` go to ``_ingested/batch_id=<id>``.
+
+Only batches with manifest rows count: readers take their data, whatever else lies in the table.  So a batch that failed
+before step 3 shows nothing and loses nothing when it is run again, with the same id or a new one, and a batch that
+is run again after step 3 is skipped.  What was ingested is told by (flight, source file), so a flight whose rows lie in
+several files may arrive in several batches.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from ..operators.messages import sort_for_write
-from ..session import new_output_dir
+from ..session import new_output_dir, path_exists, remove_dir
 
 COMPRESSION = "zstd"
 ZSTD_LEVEL = "3"
 MANIFEST = "_ingested"
+FANOUT_MANIFEST = "_ingested_topics"
 TABLE_SCHEMA = "_table_schema"
 POLICIES = ("error", "skip", "append")
+_MANIFEST_SCHEMA = "mcap_id string, source string, log_date date, batch_id string"
+_FANOUT_SCHEMA = "mcap_id string, source string, base_topic string, log_date date, batch_id string"
+
+
+def new_batch_id() -> str:
+    return uuid.uuid4().hex
+
+
+def read_manifest(spark: SparkSession, root: str, name: str = MANIFEST) -> DataFrame | None:
+    """Committed ``(mcap_id, source[, base_topic], log_date, batch_id)`` of a table or lake; ``None`` if it has none yet."""
+    path = f"{root.rstrip('/')}/{name}"
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(_FANOUT_SCHEMA if name == FANOUT_MANIFEST else _MANIFEST_SCHEMA).parquet(path)
+
 
+def committed_batches(spark: SparkSession, root: str, name: str = MANIFEST) -> list[str]:
+    """Ids of the committed batches (one per ingest run; metadata)."""
+    manifest = read_manifest(spark, root, name)
+    return [] if manifest is None else sorted(r[0] for r in manifest.select("batch_id").distinct().collect())
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001 - a missing folder is the only expected case
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
 
+def _with_source(messages: DataFrame) -> DataFrame:
+    """Messages without a ``source`` column are told by their flight."""
+    return messages if "source" in messages.columns else messages.withColumn("source", F.col("mcap_id").cast("string"))
 
-def _stage_and_check(spark: SparkSession, messages: DataFrame, root: str, keys: list[str], mode: str,
-                     on_existing: str) -> tuple[DataFrame, DataFrame, str]:
+
+def _stage_and_check(spark: SparkSession, messages: DataFrame, root: str, keys: list[str], name: str, mode: str, on_existing: str,
+                     batch_id: str | None) -> tuple[DataFrame, DataFrame, str, str] | None:
     """Stage the batch's manifest rows and apply the re-ingest policy.
 
-    ``error``: fail if a flight of the batch is already listed; ``skip``: drop those flights
-    from the batch; ``append``: no check.  Returns (messages, batch manifest, manifest dir).
+    ``error``: fail if a (flight, source) of the batch is already listed; ``skip``: drop those rows from the batch;
+    ``append``: no check.  Returns (messages, manifest rows, staged folder, batch id), or ``None`` if the batch is committed.
     """
     if on_existing not in POLICIES:
         raise ValueError(f"unknown on_existing policy {on_existing!r}")
-    manifest_dir = f"{root.rstrip('/')}/{MANIFEST}"
-    # Staged outside the table: an overwrite write clears the table folder.
-    staged_dir = new_output_dir(spark, "ingest-batch")
+    if batch_id is not None and not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+        raise ValueError(f"a batch id is made of letters, digits and ._- only: {batch_id!r}")
+    if mode == "overwrite":
+        remove_dir(spark, root)
+    batch_id = batch_id or new_batch_id()
+    done = read_manifest(spark, root, name)
+    if done is not None and not done.where(F.col("batch_id") == batch_id).isEmpty():
+        return None
+    messages = _with_source(messages)
     # One pass over a few pruned columns; the result is written, never collected.
+    staged_dir = new_output_dir(spark, "ingest-batch")
     messages.select(*keys).distinct().write.parquet(staged_dir)
-    batch = spark.read.parquet(staged_dir)
-    if mode == "append" and on_existing != "append":
-        done = _read_or_none(spark, manifest_dir)
-        if done is not None:
-            already = (batch.select("mcap_id").distinct()
-                       .join(done.select("mcap_id").distinct(), on="mcap_id", how="left_semi"))
-            if on_existing == "skip":
-                messages = messages.join(already, on="mcap_id", how="left_anti")
-                batch = batch.join(already, on="mcap_id", how="left_anti")
-            else:
-                dup = already.limit(1).collect()
-                if dup:
-                    raise ValueError(f"flight {dup[0]['mcap_id']} is already ingested into {root}")
-    return messages, batch, manifest_dir
-
-
-def _parquet(df: DataFrame, mode: str, partition_cols: list[str]):
-    return (df.write.mode(mode).partitionBy(*partition_cols)
-            .option("compression", COMPRESSION)
-            .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL))
-
-
-def write_topic_table(spark: SparkSession, rows: DataFrame, table_dir: str, mode: str = "append",
-                      on_existing: str = "error") -> None:
-    """Append (or overwrite) one topic's rows, partitioned by ``log_date``, sorted by publish time."""
-    rows, batch, manifest_dir = _stage_and_check(spark, rows, table_dir, ["mcap_id", "log_date"], mode, on_existing)
-    _parquet(sort_for_write(rows.hint("rebalance", "log_date"), ["log_date"]), mode, ["log_date"]).parquet(table_dir)
-    batch.write.mode(mode).parquet(manifest_dir)
-
-
-def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: str = "append",
-               on_existing: str = "error", metrics: dict | None = None) -> list[str]:
+    batch = spark.read.schema(messages.select(*keys).schema).parquet(staged_dir)
+    if done is not None and on_existing != "append":
+        pair = ["mcap_id", "source"]
+        already = batch.select(*pair).distinct().join(done.select(*pair).distinct(), on=pair, how="left_semi")
+        if on_existing == "skip":
+            messages = messages.join(already, on=pair, how="left_anti")
+            batch = batch.join(already, on=pair, how="left_anti")
+        else:
+            dup = already.limit(1).collect()
+            if dup:
+                raise ValueError(f"flight {dup[0]['mcap_id']} is already ingested into {root}")
+    return messages, batch, staged_dir, batch_id
+
+
+def _write_data(df: DataFrame, path: str, partition_cols: list[str]) -> None:
+    (df.drop("source").write.mode("overwrite").partitionBy(*partition_cols).option("compression", COMPRESSION)
+     .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).parquet(path))
+
+
+def _commit(batch: DataFrame, root: str, name: str, batch_id: str) -> None:
+    batch.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/batch_id={batch_id}")
+
+
+def write_topic_table(spark: SparkSession, rows: DataFrame, table_dir: str, mode: str = "append", on_existing: str = "error",
+                      batch_id: str | None = None, rebalance: bool = True) -> None:
+    """Append (or overwrite) one topic's rows, partitioned by ``log_date``, sorted by publish time.
+
+    ``batch_id`` names the write: the same batch again replaces what a failed run left, and does nothing once it is
+    committed.  ``source`` in ``rows`` is the file a row came from (default: its flight); it is not stored.
+    ``rebalance=False`` is for rows that already lie together by day.
+    """
+    root = table_dir.rstrip("/")
+    checked = _stage_and_check(spark, rows, root, ["mcap_id", "source", "log_date"], MANIFEST, mode, on_existing, batch_id)
+    if checked is None:
+        return
+    rows, batch, staged, batch_id = checked
+    rows = rows.hint("rebalance", "log_date") if rebalance else rows
+    _write_data(sort_for_write(rows, ["log_date"]), f"{root}/batch_id={batch_id}", ["log_date"])
+    _commit(batch, root, MANIFEST, batch_id)
+    remove_dir(spark, staged)
+
+
+def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: str = "append", on_existing: str = "error",
+               metrics: dict | None = None, batch_id: str | None = None) -> list[str]:
     """Fan out standard-column messages (with ``base_topic``) to one table per base topic.
 
-    Single pass: ``partitionBy("base_topic", "log_date")`` writes every topic's folder at once.
-    ``mode="overwrite"`` resets the lake and its manifest (K7); it is only ever applied to the
-    caller's folder.  Returns the lake's topics (from the manifest).  ``messages`` is read
-    twice (its flight list for the re-ingest check, then the rows), so pass a written or cheap
-    DataFrame rather than a long computation (the ingest job stages its input).  When ``metrics`` is a
-    dict it receives the rows and flights written, counted by an ``Observation`` during the
-    write itself (no extra pass).
+    Single pass: ``partitionBy("base_topic", "log_date")`` writes every topic's folder at once.  ``mode="overwrite"``
+    resets the lake (K7); it is only ever applied to the caller's folder.  Returns the lake's topics (from the manifest).
+    ``messages`` is read twice (its flight list for the re-ingest check, then the rows), so pass a written or cheap
+    DataFrame rather than a long computation.  When ``metrics`` is a dict it receives the rows and flights written,
+    counted by an ``Observation`` during the write itself (no extra pass).
     """
-    messages, batch, manifest_dir = _stage_and_check(spark, messages, lake_dir,
-                                                     ["mcap_id", "base_topic", "log_date"], mode, on_existing)
-    obs = None
-    if metrics is not None:
-        obs = Observation("lake_write")
-        messages = messages.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-    out = sort_for_write(messages.hint("rebalance", "base_topic", "log_date"), ["base_topic", "log_date"])
-    _parquet(out, mode, ["base_topic", "log_date"]).parquet(lake_dir)
-    batch.write.mode(mode).parquet(manifest_dir)
-    if obs is not None:
-        metrics.update(obs.get)
-        metrics["flights_written"] = batch.select("mcap_id").distinct().count()
-    return sorted(r["base_topic"] for r in spark.read.parquet(manifest_dir).select("base_topic").distinct().collect())
+    root = lake_dir.rstrip("/")
+    checked = _stage_and_check(spark, messages, root, ["mcap_id", "source", "base_topic", "log_date"], FANOUT_MANIFEST, mode,
+                               on_existing, batch_id)
+    if checked is not None:
+        messages, batch, staged, batch_id = checked
+        obs = None
+        if metrics is not None:
+            obs = Observation("lake_write")
+            messages = messages.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+        out = sort_for_write(messages.hint("rebalance", "base_topic", "log_date"), ["base_topic", "log_date"])
+        _write_data(out, f"{root}/batch_id={batch_id}", ["base_topic", "log_date"])
+        _commit(batch, root, FANOUT_MANIFEST, batch_id)
+        if obs is not None:
+            metrics.update(obs.get)
+            metrics["flights_written"] = batch.select("mcap_id").distinct().count()
+        remove_dir(spark, staged)
+    manifest = read_manifest(spark, root, FANOUT_MANIFEST)
+    return [] if manifest is None else sorted(r["base_topic"] for r in manifest.select("base_topic").distinct().collect())
+
+
+def _committed(df: DataFrame, batches: list[str]) -> DataFrame:
+    return df.where(F.col("batch_id").isin(batches)).drop("batch_id")
+
+
+def _read(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    batches = committed_batches(spark, root, name)
+    if not batches:
+        raise ValueError(f"no committed batch in {root}")
+    reader = spark.read.option("mergeSchema", "true") if schema is None else \
+        spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())]))
+    return _committed(reader.parquet(root), batches)
+
+
+def read_lake(spark: SparkSession, lake_dir: str) -> DataFrame:
+    """All committed rows of a lake written by :func:`write_lake`, with ``base_topic``."""
+    return _read(spark, lake_dir.rstrip("/"), FANOUT_MANIFEST)
+
+
+def read_topic(spark: SparkSession, lake_dir: str, base_topic: str) -> DataFrame:
+    """One topic table of a lake written by :func:`write_lake` (partition pruning on the topic)."""
+    return read_lake(spark, lake_dir).where(F.col("base_topic") == base_topic)
 
 
 def register_topic_table(spark: SparkSession, name: str, table_dir: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` over a topic table folder, partitioned by ``log_date``.
+    """``CREATE TABLE IF NOT EXISTS`` over a topic table folder, partitioned by batch and ``log_date``.
 
-    With a schema record the table is declared with the evolved schema (all columns, also
-    those only newer files carry); otherwise the schema is inferred from the files.
-    Partition folders written later are picked up with ``ALTER TABLE … RECOVER PARTITIONS``.
+    With a schema record the table is declared with the evolved schema (all columns, also those only newer files
+    carry); otherwise the schema is inferred from the files.  Partitions of batches that are not committed are left
+    out; call it again to take in batches committed later.
     """
     schema = topic_table_schema(spark, table_dir)
-    if schema is not None:
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY (log_date) "
-                  f"LOCATION '{table_dir}'")
-    else:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{table_dir}'")
-    if "log_date" in spark.table(name).columns:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if schema is None:
+        schema = _read(spark, table_dir.rstrip("/"), MANIFEST).schema
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*schema.fields, T.StructField("batch_id", T.StringType())])
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet PARTITIONED BY (batch_id, log_date) LOCATION '{table_dir}'")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    batches = set(committed_batches(spark, table_dir))
+    found = {re.search(r"batch_id=([^/]+)", r[0])[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    for b in sorted(found - batches):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id = '{b}')")
 
 
 def read_table_schema(spark: SparkSession, table_dir: str) -> T.StructType | None:
     """The evolved payload schema recorded for a topic table, or ``None`` for a new table."""
-    rec = _read_or_none(spark, f"{table_dir.rstrip('/')}/{TABLE_SCHEMA}")
-    if rec is None:
+    path = f"{table_dir.rstrip('/')}/{TABLE_SCHEMA}"
+    if not path_exists(spark, path):
         return None
-    return T.StructType.fromJson(json.loads(rec.first()["schema"]))
+    records = spark.read.schema("version long, schema string").json(path)
+    last = records.orderBy(F.desc("version")).first()
+    return None if last is None else T.StructType.fromJson(json.loads(last["schema"]))
 
 
 def write_table_schema(spark: SparkSession, table_dir: str, schema: T.StructType) -> None:
-    """Record a topic table's evolved payload schema (one small row, replaced on each ingest)."""
-    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1) \
-        .write.mode("overwrite").parquet(f"{table_dir.rstrip('/')}/{TABLE_SCHEMA}")
+    """Record a topic table's evolved payload schema: one small record more, the latest counts.
+
+    Records are added, never replaced, so a failed write leaves the one before.
+    """
+    path = f"{table_dir.rstrip('/')}/{TABLE_SCHEMA}"
+    if read_table_schema(spark, table_dir) == schema:
+        return
+    version = 0
+    if path_exists(spark, path):
+        version = 1 + (spark.read.schema("version long, schema string").json(path).agg(F.max("version")).first()[0] or 0)
+    spark.createDataFrame([(version, schema.json())], "version long, schema string").coalesce(1).write.mode("append").json(path)
 
 
 def topic_table_schema(spark: SparkSession, table_dir: str) -> T.StructType | None:
@@ -152,14 +229,6 @@ def topic_table_schema(spark: SparkSession, table_dir: str) -> T.StructType | No
 
 
 def read_topic_table(spark: SparkSession, table_dir: str) -> DataFrame:
-    """A topic table written by the ingest job.  With a schema record the read schema is
-    given explicitly (no footer scan of every file; files that predate a column read it as
-    NULL); without one the file schemas are merged."""
-    schema = topic_table_schema(spark, table_dir)
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
-    return reader.parquet(table_dir)
-
-
-def read_topic(spark: SparkSession, lake_dir: str, base_topic: str) -> DataFrame:
-    """One topic table of a lake written by ``write_lake`` (partition pruning on the topic)."""
-    return spark.read.parquet(lake_dir).where(F.col("base_topic") == base_topic)
+    """Committed rows of a topic table.  With a schema record the read schema is given explicitly (no footer scan of
+    every file; files that predate a column read it as NULL); without one the file schemas are merged."""
+    return _read(spark, table_dir.rstrip("/"), MANIFEST, topic_table_schema(spark, table_dir))

@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 
 
 def decode_payload(messages: DataFrame, schema: T.StructType | str, payload_col: str = "payload",
-                   keep: list[str] | None = None) -> DataFrame:
-    """Parse ``payload_col`` with ``schema`` (fail fast) and flatten its fields next to ``keep``."""
+                   keep: list[str] | None = None, into: str | None = None) -> DataFrame:
+    """Parse ``payload_col`` with ``schema`` (fail fast); its fields stand next to ``keep``, or as one struct ``into``."""
     parsed = F.from_json(F.col(payload_col), schema, {"mode": "FAILFAST"})
     keep = keep if keep is not None else [c for c in messages.columns if c != payload_col]
+    if into:
+        return messages.select(*keep, parsed.alias(into))
     return messages.select(*keep, parsed.alias("_payload")).select(*keep, "_payload.*")
 
 

@@ -9,31 +9,19 @@ DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
                  "conversations"]
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when it yields fewer input partitions than cores.
-
-    A small file with one row group is read by one task, and every narrow step after it
-    (explode, pattern matching, byte text) would run in that task too.  Such scans are
-    round-robin repartitioned to the default parallelism; scans that already have enough
-    input splits — any large input — are returned unchanged, without a shuffle.  Apply it to
-    a scan: counting the partitions of a plan with shuffles would make AQE run them.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access keep the scan as is
-        return df
-    return df.repartition(target) if n < target else df
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Deal a scan's rows round-robin to ``partitions`` tasks.
 
+    For a small file with one row group, which one task reads, when heavy per-row work (explode, pattern matching, byte
+    text) follows; a large input has input splits enough and needs no such shuffle.
+    """
+    return df.repartition(partitions)
 
-def read_table(spark: SparkSession, root: str, name: str, spread_to_cores: bool = False) -> DataFrame:
-    """Parquet table ``<root>/<name>.parquet`` (or a partitioned folder of that name).
 
-    ``spread_to_cores`` applies :func:`spread` — worth it only when heavy per-row work
-    follows the scan; an aggregation right after it is better served by its partial phase.
-    """
+def read_table(spark: SparkSession, root: str, name: str, spread_to: int | None = None) -> DataFrame:
+    """Parquet table ``<root>/<name>.parquet`` (or a partitioned folder of that name), dealt by :func:`spread` if asked for."""
     df = spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_to_cores else df
+    return spread(df, spread_to) if spread_to else df
 
 
 def register_tables(spark: SparkSession, root: str, names=DRIVER_TABLES) -> list[str]:
@@ -87,17 +75,17 @@ def open_lake(spark: SparkSession, lake_dir: str) -> list[str]:
     """
     from ..operators.curated import register_curated_views
     from ..functions.time import register_sql_functions
-    from ..sinks.lake import MANIFEST, _read_or_none, read_topic
+    from ..sinks.lake import FANOUT_MANIFEST, MANIFEST, read_manifest, read_topic
     root = lake_dir.rstrip("/")
-    fanout = _read_or_none(spark, f"{root}/{MANIFEST}")      # None: one folder per topic
-    if fanout is not None and "base_topic" in fanout.columns:
+    fanout = read_manifest(spark, root, FANOUT_MANIFEST)      # None: one folder per topic
+    if fanout is not None:
         topics = sorted(r["base_topic"] for r in fanout.select("base_topic").distinct().collect())
         for t in topics:
             read_topic(spark, root, t).drop("base_topic").createOrReplaceTempView(t)
     else:
-        listing = spark.read.format("binaryFile").load(f"{root}/*/{MANIFEST}/*.parquet").select("path")
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/*/{MANIFEST}").select("path")
         topics = sorted(r["t"] for r in listing.select(
-            F.regexp_extract("path", rf"/([^/]+)/{MANIFEST}/[^/]+$", 1).alias("t")).distinct().collect())
+            F.regexp_extract("path", rf"/([^/]+)/{MANIFEST}/", 1).alias("t")).distinct().collect())
         register_lake(spark, root, topics)
     register_sql_functions(spark)
     views = [v for v, needs in (("error_counts", {"logged_messages"}),

@@ -1,19 +1,18 @@
 """Incremental ingest with Structured Streaming.
 
-The batch ingest job is the source of truth; this only runs it on each new set of envelope
-files: ``readStream`` over a folder of Parquet envelope files, then ``ingest_envelopes``
-inside ``foreachBatch`` (payload decode, schema evolution, topic tables, manifests).  The
-streaming checkpoint (offsets and commits) lives under the shared checkpoint folder, so a
-restarted query resumes where it stopped; the ``skip`` re-ingest policy makes a replayed
-micro-batch a no-op for flights it already wrote.  Files are never split across
-micro-batches, so a flight written as one file is ingested whole.
+The batch ingest job is the source of truth; this only runs it on each new set of envelope files: ``readStream`` over a
+folder of Parquet envelope files, then ``ingest_envelopes`` inside ``foreachBatch`` (payload decode, schema evolution, topic
+tables, manifests).  The streaming checkpoint (offsets and commits) lives under the shared checkpoint folder, so a
+restarted query resumes where it stopped.  Each micro-batch is one ingest batch named by the query and its epoch: a
+replay replaces what a failed run left and does nothing for topics that were committed.  Rows are told by (flight, source
+file), so a flight may be spread over files that arrive in different micro-batches.
 """
 
 from __future__ import annotations
 
-import os
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,9 +20,8 @@ from ..operators.ingest import ENVELOPE_COLS, ingest_envelopes
 from ..session import shared_dir
 
 
-def ingest_stream(spark: SparkSession, envelope_dir: str, envelope_schema: T.StructType | str, lake_dir: str,
-                  schemas: dict[str, T.StructType | str], name: str = "flighttables_ingest",
-                  available_now: bool = True, max_files_per_trigger: int | None = None,
+def ingest_stream(spark: SparkSession, envelope_dir: str, envelope_schema: T.StructType | str, lake_dir: str, schemas: dict,
+                  name: str = "flighttables_ingest", available_now: bool = True, max_files_per_trigger: int | None = None,
                   processing_time: str = "30 seconds") -> StreamingQuery:
     """Start a stream that ingests new envelope files into the lake's topic tables.
 
@@ -33,15 +31,13 @@ def ingest_stream(spark: SparkSession, envelope_dir: str, envelope_schema: T.Str
     reader = spark.readStream.schema(envelope_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    source = reader.parquet(envelope_dir).select(*ENVELOPE_COLS)
+    source = reader.parquet(envelope_dir).select(*ENVELOPE_COLS, F.col("_metadata.file_path").alias("source"))
 
     def commit(batch: DataFrame, epoch_id: int) -> None:
-        ingest_envelopes(batch.sparkSession, batch, schemas, lake_dir, on_existing="skip")
+        run = re.sub(r"[^A-Za-z0-9._-]", "-", f"{name}-{epoch_id}")
+        ingest_envelopes(batch.sparkSession, batch, schemas, lake_dir, on_existing="skip", batch_id=run)
 
-    root = shared_dir(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    checkpoint = os.path.join(root, "flighttables", "streams", name)
+    checkpoint = f"{shared_dir(spark)}/flighttables/streams/{name}"
     writer = source.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

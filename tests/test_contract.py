@@ -14,7 +14,8 @@ def test_registry_is_consistent():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert all(fn.__doc__ for fn in qs.values())
-    assert len(qs) >= 50 and set(qs) - set(sqls) == {"catalog_tables", "file_manifest"}
+    own = {k for k in qs if k != "pipeline" and not k.startswith("op")}
+    assert len(own) >= 50 and own <= set(sqls)
 
 
 def test_bench_prints_one_json_line(tmp_path):

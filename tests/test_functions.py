@@ -24,7 +24,7 @@ def test_compose_then_parse_is_identity(spark):
 
 
 def test_file_names(spark):
-    df = spark.createDataFrame([("s3://mcap/2026-06-24-abc.mcap.mcap",), ("x/2024-01-02-q-1",)], "p string")
+    df = spark.createDataFrame([("store://logs/2026-06-24-abc.mcap.mcap",), ("x/2024-01-02-q-1",)], "p string")
     got = rows(df.select(N.mcap_id_from_path("p"), N.log_id_from_stem(N.file_stem("p")),
                          N.log_date_from_name(N.file_name("p"))))
     assert got == [("2026-06-24-abc", "abc.mcap", datetime.date(2026, 6, 24)),

@@ -3,8 +3,8 @@ import random
 
 from pyspark.sql import Window, functions as F
 
-from flighttables.operators import merge as MG, series as SE, trajectory as TJ
-from flighttables.operators.ordered import ordered_within, range_sorted
+from flighttables.operators import logs as LG, merge as MG, series as SE, trajectory as TJ
+from flighttables.operators.ordered import ordered_within
 from tests.conftest import rows
 
 
@@ -13,7 +13,7 @@ def test_ordered_within_matches_window_on_a_hot_group(spark):
     data = [("hot" if i % 4 else random.choice(["a", "b", None]), i, random.randint(0, 3),
              None if i % 11 == 0 else float(i), i * 10**12) for i in range(300)]
     df = spark.createDataFrame(data, "g string, o long, s long, v double, big long")
-    got = ordered_within(df, ["g"], ["o"], lag_cols=["s", "v", "big"], lead_cols=["s", "big"], num_partitions=6)
+    got = ordered_within(df, ["g"], ["o"], lag_cols=["s", "v", "big"], lead_cols=["s", "big"], width=6)
     w = Window.partitionBy("g").orderBy("o")
     exp = df.select("*", F.row_number().over(w).cast("bigint").alias("seq"), F.lag("s").over(w).alias("prev_s"),
                     F.lag("v").over(w).alias("prev_v"), F.lag("big").over(w).alias("prev_big"),
@@ -64,7 +64,7 @@ def test_ordered_within_without_exchange_reuse(spark):
     try:
         data = [("hot" if i % 5 else "x", i % 7, i) for i in range(120)]
         df = spark.createDataFrame(data, "g string, t int, ord long")
-        got = ordered_within(df, ["g"], ["t", "ord"], lag_cols=["t"], num_partitions=5)
+        got = ordered_within(df, ["g"], ["t", "ord"], lag_cols=["t"], width=5)
         w = Window.partitionBy("g").orderBy("t", "ord")
         exp = df.select("*", F.row_number().over(w).cast("bigint").alias("seq"), F.lag("t").over(w).alias("prev_t"))
         assert sorted(rows(got.select(exp.columns)), key=str) == sorted(rows(exp), key=str)
@@ -72,23 +72,54 @@ def test_ordered_within_without_exchange_reuse(spark):
         spark.conf.set("spark.sql.exchange.reuse", "true")
 
 
-def test_hot_group_is_split_across_partitions(spark):
+def test_hot_group_is_split_into_buckets(spark):
     # 95% of the rows belong to one flight; a flight-keyed window would put them in one task.
     n = 4000
     df = spark.range(n).select(F.when(F.col("id") % 20 == 0, F.concat(F.lit("f"), F.col("id").cast("string")))
                                .otherwise(F.lit("hot")).alias("g"), F.col("id").alias("o"))
-    sizes = [r["n"] for r in range_sorted(df, ["g"], ["o"], 8).groupBy(F.spark_partition_id().alias("p"))
-             .agg(F.count(F.lit(1)).alias("n")).collect()]
-    assert len(sizes) >= 6 and max(sizes) < 0.35 * n
-    got = ordered_within(df, ["g"], ["o"], num_partitions=8).where("g = 'hot'")
-    assert rows(got.agg(F.min("seq"), F.max("seq"), F.count(F.lit(1)))) == [(1, 3800, 3800)]
-    seqs = sorted(r[0] for r in rows(got.select("seq")))
+    got = ordered_within(df, ["g"], ["o"], width=100)
+    sizes = [r["n"] for r in got.groupBy("g", F.floor(F.col("o") / 100)).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(sizes) <= 100
+    seqs = sorted(r[0] for r in rows(got.where("g = 'hot'").select("seq")))
     assert seqs == list(range(1, 3801))
 
 
+def test_ordered_results_may_be_unioned_coalesced_and_ordered_again(spark):
+    df = spark.range(5000).select(F.lit("f").alias("g"), ((F.col("id") * 7919) % 5000).alias("o"))
+    got = ordered_within(df, ["g"], ["o"], lag_cols=["o"], lead_cols=["o"], width=300)
+    want = sorted((i, i + 1, i - 1 if i else None, i + 1 if i < 4999 else None) for i in range(5000))
+    key = lambda r: (r[0], r[1])
+    assert sorted(rows(got.coalesce(2), "o", "seq", "prev_o", "next_o"), key=key) == want
+    other = spark.range(10).select(F.lit("x").alias("g"), F.col("id").alias("o"), F.col("id").alias("seq"),
+                                   F.col("id").alias("prev_o"), F.col("id").alias("next_o"))
+    both = other.unionByName(got).where("g = 'f'")
+    assert sorted(rows(both, "o", "seq", "prev_o", "next_o"), key=key) == want
+    again = ordered_within(both.drop("prev_o", "next_o"), ["g"], ["seq"], seq_col="again", width=70)
+    assert again.where("again <> seq").count() == 0 and again.count() == 5000
+
+
+def test_merged_stream_inside_a_merge(spark):
+    logs = spark.range(3000).select(F.lit("f").alias("mcap_id"), (F.col("id") * 1_000_000).alias("ts_us"), F.lit("INFO").alias("level_name"),
+                                    F.lit("m").alias("message"), (F.col("id") % 3).alias("tag"), F.col("id").alias("ordinal"))
+    merged = LG.merge_tagged(logs)
+    stream = merged.select("mcap_id", F.lit("logged").alias("topic"), "ts_us", F.col("seq").alias("row_ord"), F.lit("").alias("payload"))
+    out = MG.merge_streams([stream, stream.where("row_ord % 2 = 0")])
+    assert out.count() == 4500
+    assert rows(out.agg(F.min("seq"), F.max("seq"), F.countDistinct("seq"))) == [(1, 4500, 4500)]
+    first = out.where("stream = 0").select("ts_us", "row_ord")
+    assert first.where("ts_us <> (row_ord - 1) * 1000000").count() == 0
+
+
+def test_trajectory_follows_sample_order_not_time(spark):
+    s = spark.createDataFrame([("f", 0, 300, 1, 1.0, 2.0, 3.0), ("f", 0, 100, 2, 4.0, 5.0, 6.0)],
+                              "mcap_id string, multi_id int, timestamp long, ordinal long, x double, y double, z double")
+    assert rows(TJ.trajectory_points(s).orderBy("point_idx"), "point_idx", "timestamp") == [(1, 300), (2, 100)]
+    assert TJ.trajectory_summary(s).first()["first_ts"] == 300
+
+
 def test_ordered_within_empty_and_single_row(spark):
     empty = spark.createDataFrame([], "g string, o long, v long")
-    assert ordered_within(empty, ["g"], ["o"], lag_cols=["v"], lead_cols=["v"], num_partitions=4).count() == 0
+    assert ordered_within(empty, ["g"], ["o"], lag_cols=["v"], lead_cols=["v"], width=4).count() == 0
     one = spark.createDataFrame([("a", 1, 7)], "g string, o long, v long")
-    assert rows(ordered_within(one, ["g"], ["o"], lag_cols=["v"], lead_cols=["v"], num_partitions=4)) == \
+    assert rows(ordered_within(one, ["g"], ["o"], lag_cols=["v"], lead_cols=["v"], width=4)) == \
         [("a", 1, 7, 1, None, None)]

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -37,7 +38,72 @@ def test_write_lake_append_and_reingest(spark):
     with pytest.raises(ValueError, match="already ingested"):
         LK.write_lake(spark, msgs(spark, "2024-01-02-b", 2), lake)
     LK.write_lake(spark, msgs(spark, "2024-01-02-b", 2), lake, on_existing="skip")
-    assert spark.read.parquet(lake).count() == 6
+    assert LK.read_lake(spark, lake).count() == 6
+
+
+def failing_commit(monkeypatch, times=1):
+    """Make the next ``times`` commits fail after the data were written."""
+    real, left = LK._commit, [times]
+
+    def commit(*args):
+        if left[0]:
+            left[0] -= 1
+            raise OSError("lost before the manifest")
+        real(*args)
+    monkeypatch.setattr(LK, "_commit", commit)
+
+
+def test_replay_after_a_failed_commit_writes_rows_once(spark, monkeypatch):
+    for batch_id in (None, "run-7"):  # run again under a new id, and under the same one
+        lake = new_output_dir(spark, "test-replay")
+        failing_commit(monkeypatch)
+        with pytest.raises(OSError):
+            LK.write_lake(spark, msgs(spark, "2024-06-01-a", 1), lake, batch_id=batch_id)
+        LK.write_lake(spark, msgs(spark, "2024-06-01-a", 1), lake, on_existing="skip", batch_id=batch_id)
+        assert LK.read_lake(spark, lake).count() == 3
+        LK.write_lake(spark, msgs(spark, "2024-06-01-a", 1), lake, on_existing="skip", batch_id=batch_id)
+        assert LK.read_lake(spark, lake).count() == 3
+
+
+ENVELOPES = ("mcap_id string, log_date date, topic string, log_time_ns long, publish_time_ns long, sequence long, "
+             "schema_name string, payload string")
+
+
+def test_stream_takes_a_flight_from_several_files_and_batches(spark, monkeypatch):
+    from flighttables.streaming.ingest import ingest_stream
+    src, lake = new_output_dir(spark, "test-split-src"), new_output_dir(spark, "test-split-lake")
+    for f in range(2):
+        spark.createDataFrame([("2024-07-01-a", dt.date(2024, 7, 1), "gps_0", i, i, i, "g", '{"lat": %d.0}' % i)
+                               for i in range(f * 500, f * 500 + 500)], ENVELOPES).coalesce(1).write.parquet(f"{src}/f{f}")
+    name = f"s{abs(hash(lake)) % 10**8}"
+    start = lambda: ingest_stream(spark, f"{src}/*", ENVELOPES, lake, {"gps": "lat double"}, name=name, max_files_per_trigger=1)
+    failing_commit(monkeypatch)
+    with pytest.raises(Exception, match="lost before the manifest"):
+        start().awaitTermination()
+    start().awaitTermination()                       # the failed micro-batch is replayed under its own id
+    got = LK.read_topic_table(spark, f"{lake}/gps")
+    assert got.count() == 1000 and got.select("lat").distinct().count() == 1000
+
+
+def test_two_firmwares_in_one_batch(spark):
+    from flighttables.operators.ingest import ingest_envelopes
+    env = spark.createDataFrame([
+        ("2024-08-01-a", dt.date(2024, 8, 1), "esc_0", 1, 1, 0, "Esc1", '{"temp": 7}'),
+        ("2024-08-02-b", dt.date(2024, 8, 2), "esc_0", 1, 1, 0, "Esc2", '{"temp": 7.5, "rpm": 90}'),
+        ("2024-08-03-c", dt.date(2024, 8, 3), "esc_0", 1, 1, 0, "Esc2", '{"rpm": 91}')], ENVELOPES)
+    lake = new_output_dir(spark, "test-firmwares")
+    schemas = {"esc": {"Esc1": "temp int", "Esc2": "temp double, rpm int"}}
+    ingest_envelopes(spark, env, schemas, lake)
+    got = LK.read_topic_table(spark, f"{lake}/esc").orderBy("mcap_id")
+    assert rows(got, "temp", "temp__as_f64", "rpm") == [(7, None, None), (None, 7.5, 90), (None, 0.0, 91)]
+    bad = env.withColumn("payload", F.lit('{"temp": 7, "new": 1}'))
+    with pytest.raises(Exception, match="outside the descriptor's schema: new"):
+        ingest_envelopes(spark, bad, schemas, new_output_dir(spark, "test-firmwares2"))
+    with pytest.raises(ValueError, match="no payload schema for descriptors"):
+        ingest_envelopes(spark, env, {"esc": {"Esc1": "temp int"}}, new_output_dir(spark, "test-firmwares3"))
+    clash = env.where("schema_name = 'Esc1'").withColumn("payload", F.lit('{"multi_id": 7}'))
+    with pytest.raises(ValueError, match="standard columns"):
+        ingest_envelopes(spark, clash, {"esc": "multi_id int"}, new_output_dir(spark, "test-firmwares4"))
 
 
 def test_descriptor_check_fails_fast(spark):
@@ -140,10 +206,10 @@ def test_lake_reset_with_overwrite(spark):
     lake = new_output_dir(spark, "test-reset")
     LK.write_lake(spark, msgs(spark, "2024-01-10-r", 10), lake)
     LK.write_lake(spark, msgs(spark, "2024-01-11-s", 11), lake)
-    assert spark.read.parquet(lake).select("mcap_id").distinct().count() == 2
+    assert LK.read_lake(spark, lake).select("mcap_id").distinct().count() == 2
     LK.write_lake(spark, msgs(spark, "2024-01-10-r", 10), lake, mode="overwrite")   # reset, then re-ingest
-    assert rows(spark.read.parquet(lake).select("mcap_id").distinct()) == [("2024-01-10-r",)]
-    assert rows(spark.read.parquet(f"{lake}/_ingested").select("mcap_id").distinct()) == [("2024-01-10-r",)]
+    assert rows(LK.read_lake(spark, lake).select("mcap_id").distinct()) == [("2024-01-10-r",)]
+    assert rows(LK.read_manifest(spark, lake, LK.FANOUT_MANIFEST).select("mcap_id").distinct()) == [("2024-01-10-r",)]
 
 
 def test_ingest_missing_fields_read_as_zero_values(spark):
@@ -211,7 +277,7 @@ def test_topic_tables_prune_partitions_and_push_filters(spark):
     with contextlib.redirect_stdout(buf):
         q.explain("formatted")
     plan = buf.getvalue()
-    assert "PartitionFilters: [isnotnull(log_date" in plan and "PushedFilters: [IsNotNull(publish_time)" in plan
+    assert re.search(r"PartitionFilters: \[.*isnotnull\(log_date", plan) and "PushedFilters: [IsNotNull(publish_time)" in plan
     assert q.count() == 1
 
 

@@ -90,16 +90,58 @@ def test_message_file_manifest(spark):
 def test_scale_conf(spark):
     from flighttables.session import input_bytes, scale_conf
     c = scale_conf(100 * 1024 ** 4)                        # 100 TB
-    assert c["spark.sql.shuffle.partitions"] == "200000"      # capped; AQE coalesces further
+    assert c["spark.sql.shuffle.partitions"] == "409600"      # 256 MB a partition, no cap
     assert scale_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "40"   # 10 GB / 256 MB
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "1"
     assert input_bytes(spark, ["/root/testdata/sf0.001"]) > 0
 
 
-def test_spread_only_small_scans(spark):
+def test_spread_deals_a_scan_to_the_given_partitions(spark):
     small = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
-    assert small.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    assert TB.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
-    assert TB.spread(wide) is wide                       # enough splits: unchanged, no shuffle
-    assert TB.spread(small).count() == small.count()
+    assert TB.spread(small, 6).rdd.getNumPartitions() == 6 and TB.spread(small, 6).count() == small.count()
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    import pytest
+    from flighttables import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.new_output_dir(Session(), "x")
+    assert session.is_local("local[4]") and session.is_local("local") and not session.is_local("yarn")
+
+
+def test_new_output_dir_keeps_the_scheme():
+    from flighttables import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {"spark.checkpoint.dir": "hdfs://name/shared/"}
+
+        def getCheckpointDir(self):
+            return "hdfs://name/shared/app"
+
+    class Session:
+        sparkContext = Context()
+
+    assert session.new_output_dir(Session(), "a").startswith("hdfs://name/shared/flighttables/a-")

@@ -50,14 +50,20 @@ def samples_to_rows(datasets: DataFrame, field_cols: list[str], name_col: str =
 
 # ------------------------------------------------------------------ field inventory
 
+def _per_log(df: DataFrame) -> list[str]:
+    """The key of the log, where the rows tell it: topics of different logs have nothing to do with each other."""
+    return ["mcap_id"] if "mcap_id" in df.columns else []
+
+
 def topic_fields(fields: DataFrame) -> DataFrame:
-    """``topic -> [(field, type)]`` in declaration order (one bounded list per topic).
+    """``([mcap_id,] topic) -> [(field, type)]`` in declaration order (a list is bounded by one message definition).
 
     Declaration order is ``(ordinal, field, type)``; equal ordinals break by name, then type.
     """
     ordered = F.array_sort(F.collect_list(F.struct("ordinal", "field", "type")))
-    return (fields.groupBy("topic").agg(ordered.alias("_f"))
-            .select("topic", F.transform("_f", lambda x: F.struct(x["field"].alias("field"),
+    keys = [*_per_log(fields), "topic"]
+    return (fields.groupBy(*keys).agg(ordered.alias("_f"))
+            .select(*keys, F.transform("_f", lambda x: F.struct(x["field"].alias("field"),
                                                                   x["type"].alias("type"))).alias("fields")))
 
 
@@ -67,8 +73,9 @@ def schema_registry(channels: DataFrame, type_col: str = "type_name", topic_col:
     A hash pre-aggregate per (type, channel) runs over all rows; the final step sees one
     row per channel.
     """
-    per_channel = channels.groupBy(type_col, topic_col).agg(F.min("ordinal").alias("_first"))
-    return (per_channel.groupBy(type_col)
+    log = _per_log(channels)
+    per_channel = channels.groupBy(*log, type_col, topic_col).agg(F.min("ordinal").alias("_first"))
+    return (per_channel.groupBy(*log, type_col)
             .agg(F.min_by(F.col(topic_col), F.col("_first")).alias("first_topic"),
                  F.min("_first").alias("first_ordinal"),
                  F.count(F.lit(1)).alias("n_instances")))
@@ -103,7 +110,7 @@ def _classified_rows(fields: DataFrame) -> DataFrame:
             .otherwise(F.lit("scalar")))
     outer = F.when(is_struct, s_idx + 1).when(is_flat & ~is_char, f_idx + 1)
     inner = F.when(is_struct & leaf_is_array, leaf_idx + 1).when(is_flat & is_char, f_idx + 1)
-    return fields.select("topic", "ordinal", "field", "type", base.alias("base"), leaf.alias("leaf"),
+    return fields.select(*_per_log(fields), "topic", "ordinal", "field", "type", base.alias("base"), leaf.alias("leaf"),
                          kind.alias("row_kind"), outer.alias("outer_cand"), inner.alias("inner_cand"),
                          drop.alias("drop_reason"), warn.alias("warn"))
 
@@ -138,7 +145,8 @@ def classify_fields(fields: DataFrame) -> DataFrame:
     kept = F.col("drop_reason").isNull()
     packed = (F.col("ordinal").cast("bigint") * 256 + _code(_TYPE_CODES, F.col("type"), _UNKNOWN_TYPE) * 8
               + _code(KINDS, F.col("row_kind"), 7))
-    g = (rows.groupBy("topic", "base", "leaf")
+    log = _per_log(fields)
+    g = (rows.groupBy(*log, "topic", "base", "leaf")
          .agg(F.min(F.when(kept, packed)).alias("_first"),
               F.coalesce(F.max(F.when(kept, F.col("outer_cand"))), F.lit(1)).alias("outer_len"),
               F.coalesce(F.max(F.when(kept, F.col("inner_cand"))), F.lit(1)).alias("inner_len"))
@@ -150,7 +158,7 @@ def classify_fields(fields: DataFrame) -> DataFrame:
     scalar_table = table_type(wire)
     table = F.when(kind.isin("array", "text_array"), F.concat(F.lit("array<"), scalar_table, F.lit(">"))) \
              .otherwise(scalar_table)
-    return g.select("topic", F.floor(first / 256).cast("bigint").alias("position"),
+    return g.select(*log, "topic", F.floor(first / 256).cast("bigint").alias("position"),
                     column_name(F.col("base"), F.col("leaf")).alias("column_name"),
                     "base", "leaf", kind.alias("kind"), source_type.alias("source_type"),
                     wire.alias("wire_type"), table.alias("table_type"), "outer_len", "inner_len")
@@ -159,7 +167,7 @@ def classify_fields(fields: DataFrame) -> DataFrame:
 def dropped_fields(fields: DataFrame) -> DataFrame:
     """Flat fields that get no column, with the reason and whether a warning is due."""
     rows = _classified_rows(fields).where(F.col("drop_reason").isNotNull())
-    return rows.select("topic", "ordinal", "field", "type", "drop_reason", "warn")
+    return rows.select(*_per_log(fields), "topic", "ordinal", "field", "type", "drop_reason", "warn")
 
 
 # ------------------------------------------------------------------ packing flat columns

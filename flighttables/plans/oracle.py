@@ -273,15 +273,14 @@ FROM z"""
 
 _SOURCE_TYPES_ALL = ("['int8_t','int16_t','int32_t','int64_t','uint8_t','uint16_t','uint32_t','uint64_t','float',"
                      "'double','bool','char']")
-_SOURCE_TYPES = "['int8_t','int16_t','int32_t','int64_t','uint8_t','uint16_t','uint32_t','uint64_t','float','double','bool']"
 
 FIELD_ROWS = f"""
-    SELECT topic, ordinal, field, type FROM (
-        SELECT 'order_' || CAST(l_orderkey AS VARCHAR) AS topic, l_linenumber, CAST(l_linenumber - 1 AS VARCHAR) AS ln,
+    SELECT mcap_id, topic, ordinal, field, type FROM (
+        SELECT 'log-' || CAST(l_orderkey // 40 AS VARCHAR) AS mcap_id, 'order_' || CAST(l_orderkey % 40 AS VARCHAR) AS topic, l_linenumber, CAST(l_linenumber - 1 AS VARCHAR) AS ln,
                l_returnflag AS rf, l_linestatus AS ls, l_partkey, l_suppkey FROM lineitem) b,
     LATERAL (
         SELECT CAST((l_linenumber - 1) * 10 + 0 AS BIGINT) AS ordinal, 'esc[' || ln || '].rpm' AS field,
-               {_SOURCE_TYPES}[l_partkey % 11 + 1] AS type
+               {_SOURCE_TYPES_ALL}[l_partkey % 12 + 1] AS type
         UNION ALL
         SELECT (l_linenumber - 1) * 10 + 1, CASE WHEN rf = 'R' THEN 'name[' || ln || ']' ELSE 'control[' || ln || ']' END,
                CASE WHEN rf = 'R' THEN 'char' ELSE 'float' END
@@ -299,19 +298,19 @@ FIELD_ROWS = f"""
 
 ORACLE_SQL["topic_fields"] = f"""
 WITH f AS ({FIELD_ROWS})
-SELECT topic, string_agg(field || ':' || type, ',' ORDER BY ordinal, field, type) AS fields FROM f GROUP BY topic"""
+SELECT mcap_id, topic, string_agg(field || ':' || type, ',' ORDER BY ordinal, field, type) AS fields FROM f GROUP BY mcap_id, topic"""
 
 ORACLE_SQL["schema_registry"] = """
-WITH c AS (SELECT event_type || '_' || CAST(user_id AS VARCHAR) AS topic, event_type AS type_name, event_id AS ordinal
-           FROM events)
-SELECT type_name, arg_min(topic, ordinal) AS first_topic, min(ordinal) AS first_ordinal,
+WITH c AS (SELECT 'log-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS mcap_id, event_type || '_' || CAST(user_id AS VARCHAR) AS topic,
+                  event_type AS type_name, event_id AS ordinal FROM events)
+SELECT mcap_id, type_name, arg_min(topic, ordinal) AS first_topic, min(ordinal) AS first_ordinal,
        count(DISTINCT topic) AS n_instances
-FROM c GROUP BY type_name"""
+FROM c GROUP BY mcap_id, type_name"""
 
 _SR = "'^(.+?)\\[([0-9]+)\\]\\.(.+)$'"
 _AR = "'^(.*)\\[([0-9]+)\\]$'"
 CLASSIFIED = f"""
-    SELECT topic, ordinal, field, type, is_struct, is_flat,
+    SELECT mcap_id, topic, ordinal, field, type, is_struct, is_flat,
            CASE WHEN is_struct THEN s_base WHEN is_flat THEN f_base ELSE field END AS base,
            CASE WHEN is_struct THEN CASE WHEN leaf_is_array THEN leaf_base ELSE s_leaf END END AS leaf,
            CASE WHEN is_struct AND leaf_is_array THEN 'text_array' WHEN is_struct THEN 'array'
@@ -348,16 +347,16 @@ _TABLE = """CASE w WHEN 'int32' THEN 'bigint' WHEN 'int64' THEN 'bigint' WHEN 'u
 ORACLE_SQL["field_classify"] = f"""
 WITH fr AS ({FIELD_ROWS}), c AS ({CLASSIFIED}),
 g AS (
-    SELECT topic, base, leaf, min(ordinal) AS position,
+    SELECT mcap_id, topic, base, leaf, min(ordinal) AS position,
            first(row_kind ORDER BY ordinal, list_position({_SOURCE_TYPES_ALL}, type),
                  list_position(['scalar', 'array', 'text', 'text_array'], row_kind)) AS kind,
            first(type ORDER BY ordinal, list_position({_SOURCE_TYPES_ALL}, type),
                  list_position(['scalar', 'array', 'text', 'text_array'], row_kind)) AS source_type,
            COALESCE(max(outer_cand), 1) AS outer_len, COALESCE(max(inner_cand), 1) AS inner_len
-    FROM c WHERE drop_reason IS NULL GROUP BY topic, base, leaf),
+    FROM c WHERE drop_reason IS NULL GROUP BY mcap_id, topic, base, leaf),
 w AS (SELECT *, CASE WHEN kind IN ('text', 'text_array') THEN 'string' ELSE {_WIRE.replace('CASE t', 'CASE source_type')} END
               AS wire_type FROM g)
-SELECT topic, position, replace(CASE WHEN leaf IS NULL THEN base ELSE base || '__' || leaf END, '.', '_') AS column_name,
+SELECT mcap_id, topic, position, replace(CASE WHEN leaf IS NULL THEN base ELSE base || '__' || leaf END, '.', '_') AS column_name,
        base, leaf, kind, source_type, wire_type,
        CASE WHEN kind IN ('array', 'text_array') THEN 'array<' || {_TABLE.replace('CASE w', 'CASE wire_type')} || '>'
             ELSE {_TABLE.replace('CASE w', 'CASE wire_type')} END AS table_type,
@@ -366,7 +365,7 @@ FROM w"""
 
 ORACLE_SQL["field_drops"] = f"""
 WITH fr AS ({FIELD_ROWS}), c AS ({CLASSIFIED})
-SELECT topic, ordinal, field, type, drop_reason, warn FROM c WHERE drop_reason IS NOT NULL"""
+SELECT mcap_id, topic, ordinal, field, type, drop_reason, warn FROM c WHERE drop_reason IS NOT NULL"""
 
 ORACLE_SQL["pack_arrays"] = """
 WITH z AS (SELECT l_orderkey, l_linenumber, l_returnflag || l_linestatus AS flag,
@@ -389,21 +388,21 @@ SELECT conv_id, turn, CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lin
 
 POSITION_SAMPLES = """
     SELECT 'flight-' || CAST(label AS VARCHAR) AS mcap_id, CASE WHEN vec_id % 5 = 4 THEN 1 ELSE 0 END AS multi_id,
-           vec_id * 1000 AS timestamp, vec_id AS ordinal,
-           CASE WHEN vec_id % 7 = 0 THEN 'NaN'::DOUBLE ELSE CAST(embedding[1] AS DOUBLE) END AS x,
-           CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z
-    FROM embeddings"""
+           (vec_id * 1000 + i) * 7919 % 100003 * 1000 AS timestamp, vec_id * 1000 + i AS ordinal,
+           CASE WHEN vec_id % 7 = 0 THEN 'NaN'::DOUBLE ELSE CAST(embedding[3 * i + 1] AS DOUBLE) END AS x,
+           CAST(embedding[3 * i + 2] AS DOUBLE) AS y, CAST(embedding[3 * i + 3] AS DOUBLE) AS z
+    FROM (SELECT *, unnest(range((len(embedding) + 2) // 3)) AS i FROM embeddings)"""
 _VALID = "multi_id = 0 AND x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL AND NOT isnan(x) AND NOT isnan(y) AND NOT isnan(z)"
 
 ORACLE_SQL["trajectory_points"] = f"""
 WITH s AS ({POSITION_SAMPLES})
-SELECT mcap_id, row_number() OVER (PARTITION BY mcap_id ORDER BY timestamp, ordinal) AS point_idx, timestamp,
+SELECT mcap_id, row_number() OVER (PARTITION BY mcap_id ORDER BY ordinal) AS point_idx, timestamp,
        y AS x, x AS y, -z AS z
 FROM s WHERE {_VALID}"""
 
 ORACLE_SQL["trajectory_first_ts"] = f"""
 WITH s AS ({POSITION_SAMPLES})
-SELECT mcap_id, arg_min(timestamp, timestamp) AS first_ts, count(*) AS n_points,
+SELECT mcap_id, arg_min(timestamp, ordinal) AS first_ts, count(*) AS n_points,
        'trajectory' AS entity_id, 'local_origin' AS frame_id, 'LINE_STRIP' AS line_type, 2.0::DOUBLE AS thickness,
        true AS scale_invariant, 1.0::DOUBLE AS color_r, 0.55::DOUBLE AS color_g, 0.0::DOUBLE AS color_b,
        1.0::DOUBLE AS color_a, 0 AS lifetime_sec, 0 AS lifetime_nsec, 0.0::DOUBLE AS pose_x, 0.0::DOUBLE AS pose_y,
@@ -417,11 +416,16 @@ WITH u AS (
            date_diff('microsecond', TIMESTAMP '1970-01-01 00:00:00', ts) AS ts_us, 0 AS stream,
            CAST(0 AS BIGINT) AS sub_ord, event_id AS row_ord, props AS payload FROM events
     UNION ALL
-    SELECT 'f' || CAST(conv_id AS VARCHAR), 'logged_messages', turn * 1000000, 1, 0, turn, text FROM conversations
+    SELECT 'f' || CAST(page_id % 500 AS VARCHAR), 'log', page_id * 1000, 1, 0, page_id, url FROM pages
+    UNION ALL
+    SELECT 'f' || CAST(conv_id AS VARCHAR), 'logged_messages', turn * 1000000, 2, 0, turn, text FROM conversations
     UNION ALL
     SELECT 'f' || CAST(o_custkey AS VARCHAR), 'parameter_changes',
-           date_diff('microsecond', TIMESTAMP '1970-01-01 00:00:00', o_orderdate), 2, 0, o_orderkey, o_orderpriority
-    FROM orders)
+           date_diff('microsecond', TIMESTAMP '1970-01-01 00:00:00', o_orderdate), 3, 0, o_orderkey, o_orderpriority
+    FROM orders
+    UNION ALL
+    SELECT 'f' || CAST(label AS VARCHAR), 'trajectory', min(vec_id * 1000), 4, 0, 0, CAST(count(*) AS VARCHAR)
+    FROM embeddings GROUP BY label)
 SELECT mcap_id, row_number() OVER (PARTITION BY mcap_id ORDER BY ts_us, stream, sub_ord, row_ord) AS seq,
        ts_us, topic, stream, sub_ord, row_ord, payload, ts_us * 1000 AS log_time_ns, ts_us * 1000 AS publish_time_ns
 FROM u"""
@@ -489,10 +493,15 @@ FROM s JOIN t0 USING (mcap_id, multi_id)"""
 
 POSITION_FULL = """
     SELECT 'flight-' || CAST(label AS VARCHAR) AS mcap_id, CASE WHEN vec_id % 5 = 4 THEN 1 ELSE 0 END AS multi_id,
-           TIMESTAMP '2024-01-01 00:00:00' + to_seconds(vec_id) AS log_time,
-           CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z,
-           CAST(embedding[4] AS DOUBLE) AS vx, CAST(embedding[5] AS DOUBLE) AS vy, CAST(embedding[6] AS DOUBLE) AS vz
-    FROM embeddings"""
+           TIMESTAMP '2024-01-01 00:00:00' + to_seconds(vec_id * 1000 + i) AS log_time,
+           CAST(embedding[6 * i + 1] AS DOUBLE) AS x, CAST(embedding[6 * i + 2] AS DOUBLE) AS y,
+           CAST(embedding[6 * i + 3] AS DOUBLE) AS z, CAST(embedding[6 * i + 4] AS DOUBLE) AS vx,
+           CAST(embedding[6 * i + 5] AS DOUBLE) AS vy, CAST(embedding[6 * i + 6] AS DOUBLE) AS vz
+    FROM (SELECT *, unnest(range((len(embedding) + 5) // 6)) AS i FROM embeddings)"""
+
+ORACLE_SQL["series_xy"] = f"WITH p AS ({POSITION_FULL}) SELECT mcap_id, log_time, x, y FROM p WHERE multi_id = 0"
+
+ORACLE_SQL["series_height"] = f"WITH p AS ({POSITION_FULL}) SELECT mcap_id, log_time, -z AS height FROM p WHERE multi_id = 0"
 
 ORACLE_SQL["series_xy_height"] = f"""
 WITH p AS ({POSITION_FULL}) SELECT mcap_id, log_time, x, y, -z AS height FROM p WHERE multi_id = 0"""
@@ -552,3 +561,62 @@ ORACLE_SQL["flights_sample"] = f"SELECT * FROM ({ORACLE_SQL['flights_overview']}
 ORACLE_SQL["lake_flights"] = ORACLE_SQL["flights_overview"]
 
 ORACLE_SQL["stream_lake_flights"] = ORACLE_SQL["flights_overview"]
+
+
+ORACLE_SQL["ingest_replay"] = ORACLE_SQL["flights_overview"]
+
+ORACLE_SQL["ingest_split_flight"] = ORACLE_SQL["flights_overview"]
+
+ORACLE_SQL["ingest_two_firmwares"] = f"""
+WITH v AS ({VEHICLE_STATUS}), s AS (SELECT *, log_date >= DATE '2024-01-16' AS new FROM v)
+SELECT mcap_id, log_time, arming_state, CASE WHEN NOT new THEN nav_state END AS nav_state,
+       CASE WHEN new THEN CAST(nav_state AS DOUBLE) + 0.5 END AS nav_state__as_f64,
+       CASE WHEN new THEN failsafe END AS failsafe FROM s"""
+
+ORACLE_SQL["file_manifest"] = f"""
+SELECT base_topic, log_date, CAST(count(*) AS BIGINT) AS n_rows FROM ({ORACLE_SQL['standard_columns']}) GROUP BY 1, 2"""
+
+ORACLE_SQL["lake_reset"] = f"""
+SELECT base_topic, mcap_id, count(*) AS n_rows, count(DISTINCT log_date) AS n_days
+FROM ({ORACLE_SQL['standard_columns']}) WHERE base_topic = 'click' GROUP BY 1, 2"""
+
+ORACLE_SQL["topic_table_sql"] = f"""
+SELECT log_date, count(*) AS n_rows, min(ordinal) AS first_ordinal
+FROM ({ORACLE_SQL['standard_columns']}) WHERE base_topic = 'click' GROUP BY 1"""
+
+ORACLE_SQL["catalog_json_array"] = f"WITH c AS ({LOG_CATALOG}) SELECT log_id, log_date, mav_type, source FROM c"
+
+ORACLE_SQL["catalog_by_log_id"] = f"""
+WITH c AS ({LOG_CATALOG})
+SELECT {CATALOG_COLS} FROM c WHERE replace(log_id, '-', '') IN ('L1', 'L2', 'L33', 'L45', 'L1000') ORDER BY log_date DESC, ordinal"""
+
+ORACLE_SQL["catalog_by_uuid"] = f"""
+WITH c AS ({LOG_CATALOG})
+SELECT {CATALOG_COLS} FROM c WHERE vehicle_uuid IN ('veh-1', 'veh-7', 'VEH-8', 'veh-11') ORDER BY log_date DESC, ordinal"""
+
+ORACLE_SQL["catalog_by_names"] = f"""
+WITH c AS ({LOG_CATALOG})
+SELECT 'vehicle_name' AS by, log_id FROM c WHERE vehicle_name = 'vehicle-7'
+UNION ALL SELECT 'airframe_name', log_id FROM c WHERE airframe_name = 'airframe-1'
+UNION ALL SELECT 'git_hash', log_id FROM c WHERE ver_sw = 'v1996'"""
+
+ORACLE_SQL["held_log_count"] = """
+WITH h AS (SELECT count(*) AS n_files FROM orders WHERE o_orderstatus = 'F')
+SELECT n_files, gate, closed FROM h, (VALUES ('third', true), ('all', true), ('more', false), ('off', false), ('overwrite', false)) g(gate, closed)"""
+
+ORACLE_SQL["metadata_named"] = """
+WITH kv AS (
+    SELECT p_brand AS mcap_id, 'info' AS name, 'type' AS key, p_type AS value, p_partkey AS ordinal FROM part
+    UNION ALL SELECT p_brand, 'initial_parameters', 'SIZE_' || CAST(p_size AS VARCHAR), p_name, p_partkey FROM part
+    UNION ALL SELECT p_brand, 'default_parameters', 'PRICE', CAST(p_retailprice AS VARCHAR), p_partkey FROM part WHERE p_size > 25)
+SELECT mcap_id, name, key, arg_max(value, ordinal) AS value FROM kv GROUP BY 1, 2, 3"""
+
+_VIEWS = {"vehicle_status": (VEHICLE_STATUS, 8), "logged_messages": (LOGGED_MESSAGES, 5), "battery_status": (BATTERY_STATUS, 7),
+          "error_counts": (ORACLE_SQL["error_counts"], 2), "flights": (ORACLE_SQL["flights_overview"], 6),
+          "battery": (ORACLE_SQL["battery_ranges"], 11)}
+_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+           "conversations").split()
+ORACLE_SQL["catalog_tables"] = " UNION ALL ".join(
+    [f"SELECT '{t}' AS name, 'TEMPORARY' AS table_type, true AS is_temporary, "
+     f"(SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE {t})) AS n_columns, (SELECT count(*) FROM {t}) AS n_rows" for t in _TABLES]
+    + [f"SELECT '{k}', 'TEMPORARY', true, {n}, (SELECT count(*) FROM ({sql}))" for k, (sql, n) in _VIEWS.items()])

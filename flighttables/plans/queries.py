@@ -76,6 +76,47 @@ def catalog_matches(spark, root):
     return C.select_logs(S.log_catalog(spark, root), CATALOG_ALL)
 
 
+CATALOG_IDS = C.CatalogQuery(log_id=["L1", "L-2", "-L-33-", "L--4--5", "L-1000"])
+CATALOG_UUIDS = C.CatalogQuery(uuid=["veh-1", "veh-7", "VEH-8", "veh-11"])
+CATALOG_NAMES = C.CatalogQuery(vehicle_name="vehicle-7", airframe_name="airframe-1", git_hash="v1996")
+
+
+@query("catalog_by_log_id")
+def catalog_by_log_id(spark, root):
+    """Logs by id, dashes ignored on both sides."""
+    return C.select_logs(S.log_catalog(spark, root), CATALOG_IDS)
+
+
+@query("catalog_by_uuid")
+def catalog_by_uuid(spark, root):
+    """Logs by exact vehicle uuid."""
+    return C.select_logs(S.log_catalog(spark, root), CATALOG_UUIDS)
+
+
+@query("catalog_by_names")
+def catalog_by_names(spark, root):
+    """Logs by vehicle name, airframe name and firmware hash, each applied alone."""
+    cat, q = S.log_catalog(spark, root), CATALOG_NAMES
+    parts = [("vehicle_name", C.CatalogQuery(vehicle_name=q.vehicle_name)), ("airframe_name", C.CatalogQuery(airframe_name=q.airframe_name)),
+             ("git_hash", C.CatalogQuery(git_hash=q.git_hash))]
+    out = None
+    for name, one in parts:
+        got = C.filter_catalog(cat, one).select(F.lit(name).alias("by"), "log_id")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query("held_log_count")
+def held_log_count(spark, root):
+    """Number of held raw logs and whether the skip gate closes at a third, all and more than all of them."""
+    held = FS.count_files(S.held_log_files(spark, root))
+    n = held.first()["n_files"]
+    gates = [(k, C.skip_gate(n, C.CatalogQuery(skip_if_cached=limit, overwrite=overwrite)))
+             for k, limit, overwrite in (("third", n // 3 + 1, False), ("all", n, False), ("more", n + 1, False),
+                                         ("off", 0, False), ("overwrite", 1, True))]
+    return held.crossJoin(F.broadcast(spark.createDataFrame(gates, "gate string, closed boolean")))
+
+
 @query("catalog_new_only")
 def catalog_new_only(spark, root):
     """Top 500 by date, minus ids of already held raw logs (limit before anti-join)."""
@@ -213,6 +254,17 @@ def metadata_map(spark, root):
     return maps.select("mcap_id", "ver_sw", F.explode("metadata").alias("key", "value"))
 
 
+@query("metadata_named")
+def metadata_named(spark, root):
+    """The three named metadata maps of each log as rows; a repeated key keeps its last value."""
+    maps = LG.named_metadata(S.named_metadata_rows(spark, root), ordinal_col="ordinal")
+    out = None
+    for name in LG.METADATA_NAMES:
+        part = maps.select("mcap_id", F.lit(name).alias("name"), F.explode(name).alias("key", "value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---------------------------------------------------------------- unflattening
 from ..functions import text as TX  # noqa: E402
 from ..operators import unflatten as U  # noqa: E402
@@ -228,7 +280,7 @@ def samples_to_rows(spark, root):
 def topic_fields(spark, root):
     """Each topic's field list in declaration order, as text."""
     tf = U.topic_fields(S.field_rows(spark, root))
-    return tf.select("topic", F.array_join(F.transform("fields", lambda x: F.concat(x["field"], F.lit(":"), x["type"])),
+    return tf.select("mcap_id", "topic", F.array_join(F.transform("fields", lambda x: F.concat(x["field"], F.lit(":"), x["type"])),
                                            ",").alias("fields"))
 
 
@@ -361,12 +413,38 @@ def partitioned_append(spark, root):
 
 @query("file_manifest")
 def file_manifest(spark, root):
-    """Files of a written lake: path, size, topic and day parsed from the path."""
+    """Files of a written lake by the topic and day in their path, with the rows that lie in them."""
     lake = _write_sample_lake(spark, root, "file_manifest")
-    files = FS.list_files(spark, lake, ".parquet")
-    return files.select("path", "length",
-                        F.regexp_extract("path", r"base_topic=([^/]+)", 1).alias("base_topic"),
-                        F.to_date(F.regexp_extract("path", r"log_date=([0-9-]+)", 1)).alias("log_date"))
+    files = FS.list_files(spark, lake, ".parquet").where(~F.col("path").contains(LK.FANOUT_MANIFEST))
+    plain = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")  # noqa: E731 - the two sources write the scheme differently
+    held = spark.read.parquet(lake).groupBy(plain(F.col("_metadata.file_path")).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return (files.withColumn("name", plain(F.col("path"))).join(held, on="name", how="left")
+            .groupBy(F.regexp_extract("path", r"base_topic=([^/]+)", 1).alias("base_topic"),
+                     F.to_date(F.regexp_extract("path", r"log_date=([0-9-]+)", 1)).alias("log_date"))
+            .agg(F.sum("n").alias("n_rows")))
+
+
+@query("lake_reset")
+def lake_reset(spark, root):
+    """A lake reset by an overwrite holds the rows written last, and so does its manifest."""
+    lake = _write_sample_lake(spark, root, "lake_reset")
+    msgs = M.standard_columns(S.message_envelopes(spark, root), payload_cols=["ordinal", "value"])
+    LK.write_lake(spark, msgs.where(F.col("base_topic") == "click"), lake, mode="overwrite")
+    rows = LK.read_lake(spark, lake).groupBy("base_topic", "mcap_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    listed = LK.read_manifest(spark, lake, LK.FANOUT_MANIFEST).groupBy("base_topic", "mcap_id").agg(F.count(F.lit(1)).alias("n_days"))
+    return rows.join(listed, on=["base_topic", "mcap_id"], how="full")
+
+
+@query("topic_table_sql")
+def topic_table_sql(spark, root):
+    """A topic table created with ``CREATE TABLE IF NOT EXISTS`` and queried with SQL."""
+    table = new_output_dir(spark, "topic_table_sql")
+    msgs = M.standard_columns(S.message_envelopes(spark, root), payload_cols=["ordinal", "value"])
+    LK.write_topic_table(spark, msgs.where(F.col("base_topic") == "click").drop("base_topic"), table)
+    name = "click_" + os.path.basename(table).rsplit("-", 1)[-1]
+    LK.register_topic_table(spark, name, table)
+    LK.register_topic_table(spark, name, table)      # does nothing the second time
+    return spark.sql(f"SELECT log_date, count(*) AS n_rows, min(ordinal) AS first_ordinal FROM {name} GROUP BY log_date")
 
 
 @query("catalog_tables")
@@ -382,6 +460,21 @@ def catalog_tables(spark, root):
                                            "error_counts", "flights", "battery"])
 
 
+@query("catalog_json_array")
+def catalog_json_array(spark, root):
+    """The service's catalog form, one JSON array of records a file, read back and printed with sorted keys."""
+    path = new_output_dir(spark, "catalog_json_array")
+    cat = S.log_catalog(spark, root).withColumn("year", F.year("log_date"))
+    record = F.to_json(F.struct(*C.CATALOG_COLUMNS))
+    (cat.groupBy("year").agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("value"))
+     .drop("year").write.option("lineSep", "\n").text(path))          # a file holds the logs of one task's years
+    lines = spark.read.option("lineSep", "]\n").text(path).select(F.concat("value", F.lit("]")).alias("value"))
+    files = new_output_dir(spark, "catalog_json_array")
+    lines.withColumn("part", F.xxhash64("value")).write.partitionBy("part").text(files)
+    read = MS.read_log_catalog(spark, f"{files}/part=*", schema=C.CATALOG_JSON_SCHEMA)
+    return read.select("log_id", "log_date", "mav_type", "source")
+
+
 @query("catalog_json")
 def catalog_json(spark, root):
     """Catalog records written as JSON and read back (dates parsed, nulls omitted)."""
@@ -408,6 +501,18 @@ def series_xy_height(spark, root):
     return SE.xy_series(pos).join(SE.height_series(pos), on=["mcap_id", "log_time"], how="inner")
 
 
+@query("series_xy")
+def series_xy(spark, root):
+    """X-Y position series of instance 0."""
+    return SE.xy_series(S.position_full(spark, root))
+
+
+@query("series_height")
+def series_height(spark, root):
+    """Height series of instance 0."""
+    return SE.height_series(S.position_full(spark, root))
+
+
 @query("series_velocity")
 def series_velocity(spark, root):
     """Directional velocity series of instance 0 (as the dashboard defines them)."""
@@ -474,3 +579,42 @@ def stream_lake_flights(spark, root):
         raise RuntimeError(f"ingest stream failed: {q.exception()}")
     TB.open_lake(spark, lake)
     return spark.sql("SELECT * FROM flights")
+
+
+@query("ingest_replay")
+def ingest_replay(spark, root):
+    """A topic whose manifest rows were lost after its data were written, ingested again, counts once."""
+    from ..operators.ingest import ingest_envelopes
+    from ..session import remove_dir
+    lake = new_output_dir(spark, "ingest_replay")
+    env = S.telemetry_envelopes(spark, root)
+    ingest_envelopes(spark, env, S.TELEMETRY_SCHEMAS, lake)
+    remove_dir(spark, f"{lake}/vehicle_status/{LK.MANIFEST}")
+    ingest_envelopes(spark, env, S.TELEMETRY_SCHEMAS, lake, on_existing="skip")
+    TB.open_lake(spark, lake)
+    return spark.sql("SELECT * FROM flights")
+
+
+@query("ingest_split_flight")
+def ingest_split_flight(spark, root):
+    """Flights spread over several files that arrive in several micro-batches; every row is counted."""
+    from ..streaming.ingest import ingest_stream
+    env_dir, lake = new_output_dir(spark, "split_envelopes"), new_output_dir(spark, "split_lake")
+    S.telemetry_envelopes(spark, root).repartition(4, "log_time_ns").write.parquet(env_dir)
+    q = ingest_stream(spark, env_dir, spark.read.parquet(env_dir).schema, lake, S.TELEMETRY_SCHEMAS,
+                      name=os.path.basename(lake), max_files_per_trigger=2)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"ingest stream failed: {q.exception()}")
+    TB.open_lake(spark, lake)
+    return spark.sql("SELECT * FROM flights")
+
+
+@query("ingest_two_firmwares")
+def ingest_two_firmwares(spark, root):
+    """Two descriptors of a topic in one batch: a type conflict, and NULL where a flight's firmware lacks the field."""
+    from ..operators.ingest import ingest_envelopes
+    lake = new_output_dir(spark, "ingest_two_firmwares")
+    ingest_envelopes(spark, S.firmware_envelopes(spark, root), S.FIRMWARE_SCHEMAS, lake)
+    return LK.read_topic_table(spark, f"{lake}/vehicle_status").select(
+        "mcap_id", "log_time", "arming_state", "nav_state", "nav_state__as_f64", "failsafe")

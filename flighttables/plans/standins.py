@@ -91,6 +91,19 @@ def log_catalog(spark, root) -> DataFrame:
         F.col("o_orderkey").alias("ordinal"))
 
 
+def named_metadata_rows(spark, root) -> DataFrame:
+    """Metadata rows of a log (a brand) under three names; keys repeat, the last part's value counts."""
+    p = _t(spark, root, "part")
+    kv = p.select("p_brand", "p_partkey", F.inline(F.array(
+        F.struct(F.lit("info").alias("name"), F.lit("type").alias("key"), F.col("p_type").alias("value")),
+        F.struct(F.lit("initial_parameters").alias("name"), F.concat(F.lit("SIZE_"), F.col("p_size").cast("string")).alias("key"),
+                 F.col("p_name").alias("value")),
+        F.struct(F.lit("default_parameters").alias("name"), F.lit("PRICE").alias("key"),
+                 F.when(F.col("p_size") > 25, F.col("p_retailprice").cast("string")).alias("value")))))
+    return kv.where(F.col("value").isNotNull()).select(F.col("p_brand").alias("mcap_id"), "name", "key", "value",
+                                                        F.col("p_partkey").alias("ordinal"))
+
+
 def held_log_files(spark, root) -> DataFrame:
     """Paths of raw logs already held: ``{log_date}-{log_id}.ulg`` for orders with status F."""
     o = _t(spark, root, "orders").where(F.col("o_orderstatus") == "F")
@@ -225,11 +238,11 @@ SOURCE_TYPES = ["int8_t", "int16_t", "int32_t", "int64_t", "uint8_t", "uint16_t"
 
 
 def field_rows(spark, root) -> DataFrame:
-    """Flat field lists ``(topic, ordinal, field, type)``: one topic per order, fields per line."""
+    """Flat field lists ``(mcap_id, topic, ordinal, field, type)``: an order is a topic, forty orders a log, lines are fields."""
     li = _t(spark, root, "lineitem", spread=True)     # pattern matching per field row follows
     ln = (F.col("l_linenumber") - 1).cast("string")
-    types = F.array(*[F.lit(t) for t in SOURCE_TYPES[:11]])
-    rpm_type = F.element_at(types, (F.col("l_partkey") % 11 + 1).cast("int"))
+    types = F.array(*[F.lit(t) for t in SOURCE_TYPES])
+    rpm_type = F.element_at(types, (F.col("l_partkey") % 12 + 1).cast("int"))
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     f1 = F.when(rf == "R", F.struct(F.concat(F.lit("name["), ln, F.lit("]")).alias("field"), F.lit("char").alias("type"))) \
           .otherwise(F.struct(F.concat(F.lit("control["), ln, F.lit("]")).alias("field"), F.lit("float").alias("type")))
@@ -244,16 +257,17 @@ def field_rows(spark, root) -> DataFrame:
     f3 = F.when(F.col("l_linenumber") == 1, F.struct(F.lit("timestamp").alias("field"), F.lit("uint64_t").alias("type"))) \
           .otherwise(F.struct(F.concat(F.lit("gps.fix["), ln, F.lit("]")).alias("field"), F.lit("int8_t").alias("type")))
     f0 = F.struct(F.concat(F.lit("esc["), ln, F.lit("].rpm")).alias("field"), rpm_type.alias("type"))
-    rows = li.select(F.concat(F.lit("order_"), F.col("l_orderkey").cast("string")).alias("topic"),
+    rows = li.select(F.concat(F.lit("log-"), F.floor(F.col("l_orderkey") / 40).cast("string")).alias("mcap_id"),
+                     F.concat(F.lit("order_"), (F.col("l_orderkey") % 40).cast("string")).alias("topic"),
                      "l_linenumber", F.posexplode(F.array(f0, f1, f2, f3)).alias("k", "f"))
-    return rows.select("topic", ((F.col("l_linenumber") - 1) * 10 + F.col("k")).cast("bigint").alias("ordinal"),
+    return rows.select("mcap_id", "topic", ((F.col("l_linenumber") - 1) * 10 + F.col("k")).cast("bigint").alias("ordinal"),
                        F.col("f.field").alias("field"), F.col("f.type").alias("type"))
 
 
 def channels(spark, root) -> DataFrame:
-    """Channels ``{type}_{instance}`` with their type name and first-seen ordinal."""
+    """Channels ``{type}_{instance}`` of each log (a day) with their type name and first-seen ordinal."""
     ev = _t(spark, root, "events")
-    return ev.select(F.concat(F.col("event_type"), F.lit("_"), F.col("user_id").cast("string")).alias("topic"),
+    return ev.select(F.concat(F.lit("log-"), F.col("ts").cast("date").cast("string")).alias("mcap_id"), F.concat(F.col("event_type"), F.lit("_"), F.col("user_id").cast("string")).alias("topic"),
                      F.col("event_type").alias("type_name"), F.col("event_id").alias("ordinal"))
 
 
@@ -295,21 +309,29 @@ def char_array_samples(spark, root) -> DataFrame:
         lines, lambda l: F.concat(text_to_signed_bytes(l), F.array(F.lit(0), F.lit(-61)))).alias("chars"))
 
 
-def position_samples(spark, root) -> DataFrame:
-    """Local-position samples from embedding components; some NaN coordinates, some instance 1."""
+def _components(spark, root, n: int) -> DataFrame:
+    """All components of each embedding as rows of ``n`` neighbours ``c`` (null past the end), numbered ``i``."""
     e = _t(spark, root, "embeddings")
+    last = F.ceil(F.size("embedding") / F.lit(n)).cast("int") - 1
+    rows = e.select("vec_id", "label", "embedding", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    return rows.select("vec_id", "label", "i", F.array(*[F.get("embedding", F.col("i") * n + k).cast("double") for k in range(n)]).alias("c"))
+
+
+def position_samples(spark, root) -> DataFrame:
+    """Local-position samples from embedding components; some NaN coordinates, some instance 1, times out of order."""
+    e = _components(spark, root, 3)
     nan = F.lit(float("nan"))
-    x = F.when(F.col("vec_id") % 7 == 0, nan).otherwise(F.col("embedding")[0].cast("double"))
+    x = F.when(F.col("vec_id") % 7 == 0, nan).otherwise(F.col("c")[0])
+    ordinal = F.col("vec_id") * 1000 + F.col("i")
     return e.select(F.concat(F.lit("flight-"), F.col("label").cast("string")).alias("mcap_id"),
                     F.when(F.col("vec_id") % 5 == 4, 1).otherwise(0).alias("multi_id"),
-                    (F.col("vec_id") * 1000).alias("timestamp"), F.col("vec_id").alias("ordinal"),
-                    x.alias("x"), F.col("embedding")[1].cast("double").alias("y"),
-                    F.col("embedding")[2].cast("double").alias("z"))
+                    (ordinal * 7919 % 100003 * 1000).alias("timestamp"), ordinal.alias("ordinal"),
+                    x.alias("x"), F.col("c")[1].alias("y"), F.col("c")[2].alias("z"))
 
 
 def merge_inputs(spark, root) -> list[DataFrame]:
-    """Streams of each flight: topic samples (events), tagged logs (conversations),
-    parameter changes (orders)."""
+    """The five streams of each flight, in their order: topic samples (events), untagged logs (pages), tagged logs
+    (conversations), parameter changes (orders), trajectory (embeddings)."""
     ev = _t(spark, root, "events")
     topics = ev.select(F.concat(F.lit("f"), F.col("user_id").cast("string")).alias("mcap_id"),
                        F.concat(F.col("event_type"), F.lit("_0")).alias("topic"),
@@ -326,7 +348,15 @@ def merge_inputs(spark, root) -> list[DataFrame]:
                        F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                                         F.col("o_orderdate")).alias("ts_us"),
                        F.col("o_orderkey").alias("row_ord"), F.col("o_orderpriority").alias("payload"))
-    return [topics, logs, params]
+    pg = _t(spark, root, "pages")
+    untagged = pg.select(F.concat(F.lit("f"), (F.col("page_id") % 500).cast("string")).alias("mcap_id"),
+                         F.lit("log").alias("topic"), (F.col("page_id") * 1000).alias("ts_us"),
+                         F.col("page_id").alias("row_ord"), F.col("url").alias("payload"))
+    em = _t(spark, root, "embeddings")
+    trajectory = em.groupBy(F.concat(F.lit("f"), F.col("label").cast("string")).alias("mcap_id")).agg(
+        F.min(F.col("vec_id") * 1000).alias("ts_us"), F.count(F.lit(1)).cast("string").alias("payload")).select(
+        "mcap_id", F.lit("trajectory").alias("topic"), "ts_us", F.lit(0).cast("bigint").alias("row_ord"), "payload")
+    return [topics, untagged, logs, params, trajectory]
 
 
 FIRMWARE_SWITCH = "2024-01-16 00:00:00"   # stand-in: payload schema changes from this time on
@@ -374,14 +404,12 @@ def channel_messages(spark, root) -> DataFrame:
 
 def position_full(spark, root) -> DataFrame:
     """Local position with velocities from embedding components (instance 1 on some rows)."""
-    e = _t(spark, root, "embeddings")
-    comp = lambda i: F.col("embedding")[i].cast("double")
+    e = _components(spark, root, 6)
+    names = ("x", "y", "z", "vx", "vy", "vz")
     return e.select(F.concat(F.lit("flight-"), F.col("label").cast("string")).alias("mcap_id"),
                     F.when(F.col("vec_id") % 5 == 4, 1).otherwise(0).alias("multi_id"),
-                    F.timestamp_add("SECOND", F.col("vec_id"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-                    .alias("log_time"),
-                    comp(0).alias("x"), comp(1).alias("y"), comp(2).alias("z"),
-                    comp(3).alias("vx"), comp(4).alias("vy"), comp(5).alias("vz"))
+                    F.timestamp_add("SECOND", F.col("vec_id") * 1000 + F.col("i"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+                    .alias("log_time"), *[F.col("c")[k].alias(n) for k, n in enumerate(names)])
 
 
 def battery_samples(spark, root) -> DataFrame:
@@ -430,3 +458,20 @@ def telemetry_envelopes(spark, root) -> DataFrame:
                      ns.alias("log_time_ns"), ns.alias("publish_time_ns"), F.lit(0).cast("bigint").alias("sequence"),
                      F.when(status, F.lit("vehicle_status")).otherwise(F.lit("Log")).alias("schema_name"),
                      payload.alias("payload"))
+
+
+# Payload schemas of the status message by firmware (its descriptor).
+FIRMWARE_SCHEMAS = {"vehicle_status": {"StatusV1": "arming_state int, nav_state int",
+                                       "StatusV2": "arming_state int, nav_state double, failsafe boolean"}}
+
+
+def firmware_envelopes(spark, root) -> DataFrame:
+    """Status envelopes whose descriptor, and with it the payload's fields, changes at ``FIRMWARE_SWITCH``."""
+    env = telemetry_envelopes(spark, root).where(F.col("topic") == "vehicle_status_0")
+    new = F.col("log_date") >= F.lit(FIRMWARE_SWITCH[:10]).cast("date")
+    was = F.from_json("payload", "arming_state int, nav_state int, failsafe boolean")
+    v1 = F.to_json(F.struct(was["arming_state"].alias("arming_state"), was["nav_state"].alias("nav_state")))
+    v2 = F.to_json(F.struct(was["arming_state"].alias("arming_state"), (was["nav_state"] + F.lit(0.5)).cast("double").alias("nav_state"),
+                            was["failsafe"].alias("failsafe")))
+    return env.withColumns({"payload": F.when(new, v2).otherwise(v1),
+                            "schema_name": F.when(new, F.lit("StatusV2")).otherwise(F.lit("StatusV1"))})

@@ -230,6 +230,46 @@ def pack_struct_array_columns(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def pack_topic(df: DataFrame, fields: list[tuple[str, str]]) -> DataFrame:
+    """Table rows of one topic from its flat sample columns, by its field list ``(field, source type)``.
+
+    Scalars stay, ``base[i]`` becomes an array (of char: a text), ``base[i].leaf`` the array ``base__leaf``, and
+    ``base[i].leaf[j]`` of char an array of texts.  Fields that no table column can hold (numeric arrays inside a struct,
+    deeper nesting) are left out of the rows.  A column stands where its first field stands; columns that are no fields
+    (keys) come first.  An array with a missing element is an error.
+    """
+    types = dict(fields)
+    parts: OrderedDict[tuple, dict] = OrderedDict()
+    for name, kind in fields:
+        struct, flat = re.match(STRUCT_LEAF_RE, name), re.match(ARRAY_RE, name)
+        if struct:
+            base, index, leaf = struct.group(1), int(struct.group(2)), struct.group(3)
+            inner = re.match(ARRAY_RE, leaf)
+            if "." in leaf or (inner and kind != CHAR_TYPE):
+                continue
+            if inner:
+                parts.setdefault(("texts", f"{base}__{inner.group(1)}"), {}).setdefault(index, {})[int(inner.group(2))] = name
+            else:
+                parts.setdefault(("array", f"{base}__{leaf}"), {})[index] = name
+        elif flat:
+            parts.setdefault(("text" if kind == CHAR_TYPE else "array", flat.group(1)), {})[int(flat.group(2))] = name
+        else:
+            parts[("scalar", name)] = {0: name}
+    out = [_q(c) for c in df.columns if c not in types]
+    for (kind, name), of in parts.items():
+        if kind == "scalar":
+            value = _q(of[0])
+        elif kind == "texts":
+            missing = [i for i in range(max(of) + 1) if i not in of]
+            if missing:
+                raise ValueError(f"array of texts {name} is missing elements {missing}")
+            value = F.array(*[_array_of(of[i], True) for i in sorted(of)])
+        else:
+            value = _array_of(of, kind == "text")
+        out.append(value.alias(name.replace(".", "_")))
+    return df.select(*out)
+
+
 def transpose_struct_array(df: DataFrame, col: str) -> DataFrame:
     """``array<struct<a, b>>`` column -> one array column per leaf, named ``<col>__<leaf>``."""
     leaves = df.schema[col].dataType.elementType.fieldNames()

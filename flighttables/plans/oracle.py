@@ -620,3 +620,8 @@ ORACLE_SQL["catalog_tables"] = " UNION ALL ".join(
     [f"SELECT '{t}' AS name, 'TEMPORARY' AS table_type, true AS is_temporary, "
      f"(SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE {t})) AS n_columns, (SELECT count(*) FROM {t}) AS n_rows" for t in _TABLES]
     + [f"SELECT '{k}', 'TEMPORARY', true, {n}, (SELECT count(*) FROM ({sql}))" for k, (sql, n) in _VIEWS.items()])
+
+ORACLE_SQL["pack_topic"] = """
+SELECT l_orderkey, l_linenumber, l_partkey AS time, l_returnflag || l_linestatus || '/' || l_linestatus AS tags,
+       l_quantity AS volt_0, l_tax AS volt_1, l_quantity AS mix_last, l_returnflag || l_returnflag AS unit, 7 AS n_columns
+FROM lineitem"""

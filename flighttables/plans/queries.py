@@ -309,6 +309,15 @@ def pack_arrays(spark, root):
     return packed.select("l_orderkey", "l_linenumber", "flag", F.posexplode("m").alias("pos", "m"))
 
 
+@query("pack_topic")
+def pack_topic(spark, root):
+    """A topic's flat samples packed by its field list: arrays, texts and arrays of texts; other fields left out."""
+    packed = U.pack_topic(S.motor_samples(spark, root), S.MOTOR_FIELDS)
+    return packed.select("l_orderkey", "l_linenumber", "time", F.array_join("motor__tag", "/").alias("tags"),
+                         F.element_at("motor__volt", 1).alias("volt_0"), F.element_at("motor__volt", 2).alias("volt_1"),
+                         F.element_at("mix", -1).alias("mix_last"), "unit", F.lit(len(packed.columns)).alias("n_columns"))
+
+
 @query("struct_array_transpose")
 def struct_array_transpose(spark, root):
     """Struct-array leaves packed and transposed into per-leaf arrays (exploded)."""

@@ -475,3 +475,20 @@ def firmware_envelopes(spark, root) -> DataFrame:
                             was["failsafe"].alias("failsafe")))
     return env.withColumns({"payload": F.when(new, v2).otherwise(v1),
                             "schema_name": F.when(new, F.lit("StatusV2")).otherwise(F.lit("StatusV1"))})
+
+
+# The field list of the motor topic.
+MOTOR_FIELDS = [("time", "uint64_t"), ("motor[0].tag[0]", "char"), ("motor[0].tag[1]", "char"), ("motor[0].volt", "float"),
+                ("motor[0].raw[0]", "float"), ("motor[1].tag[0]", "char"), ("motor[1].tag[1]", "char"), ("motor[1].volt", "float"),
+                ("mix[0]", "float"), ("mix[1]", "float"), ("unit[0]", "char"), ("unit[1]", "char"), ("rig[0].arm.len", "float")]
+
+
+def motor_samples(spark, root) -> DataFrame:
+    """Samples of the motor topic in flat columns, with the order and line they stand for."""
+    li = _t(spark, root, "lineitem")
+    flag, status = F.ascii("l_returnflag"), F.ascii("l_linestatus")
+    return li.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("time"), flag.alias("motor[0].tag[0]"),
+                     status.alias("motor[0].tag[1]"), F.col("l_quantity").alias("motor[0].volt"), F.col("l_tax").alias("motor[0].raw[0]"),
+                     status.alias("motor[1].tag[0]"), F.lit(0).alias("motor[1].tag[1]"), F.col("l_tax").alias("motor[1].volt"),
+                     F.col("l_discount").alias("mix[0]"), F.col("l_quantity").alias("mix[1]"), flag.alias("unit[0]"),
+                     flag.alias("unit[1]"), F.col("l_tax").alias("rig[0].arm.len"))

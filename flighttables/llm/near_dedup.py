@@ -1,7 +1,8 @@
 """Near duplicates by improved consistent weighted sampling (ICWS) over TF-IDF shingles.
 
 1. Document frequencies of all five-word shingles, hashed into ``2 ** DF_BITS`` buckets, over the whole table;
-   a shingle weighs its count in the document times ``ln(1 + all / bucket)``.
+   a shingle weighs its count in the document times ``1 + ln(1 + all / bucket) / ln(1 + all)``, from 1 to 2, so that the
+   similarity of copies falls little when there are thousands of them.
 2. ICWS draws ``bands * rows`` samples per document; two documents agree in one with the probability
    of their weighted Jaccard similarity.  The draws of a shingle come from tables picked by its hash.
 3. Documents that agree in all samples of a band share a bucket.  Its hub, the member that meets most others over
@@ -100,7 +101,7 @@ def icws(hashed: np.ndarray, weight: np.ndarray, sizes: np.ndarray, samples: int
 
 
 def idf_table(docs: DataFrame, text: str) -> np.ndarray:
-    """``ln(1 + all / bucket)`` by bucket; a bucket counts, over all documents, the distinct shingles that fall in it."""
+    """``1 + ln(1 + all / bucket) / ln(1 + all)`` by bucket; a bucket counts, over all documents, the distinct shingles that fall in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, found = WordHashes(), np.zeros(1 << DF_BITS, np.int64)
@@ -113,7 +114,7 @@ def idf_table(docs: DataFrame, text: str) -> np.ndarray:
     got = in_arrow(docs.select(text), run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     n = np.zeros(1 << DF_BITS)  # the result has a row per bucket at most
     n[got["bucket"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
-    return np.log1p(n.sum() / np.maximum(n, 1)) if len(got) else np.ones(1 << DF_BITS)
+    return 1 + np.log1p(n.sum() / np.maximum(n, 1)) / np.log1p(n.sum()) if len(got) else np.ones(1 << DF_BITS)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:

@@ -12,6 +12,7 @@ from flighttables.llm.html_text import extract_text
 from flighttables.llm.lm_scoring import lm_scores
 from flighttables.llm.mixing import TARGETS, mixing_rates
 from flighttables.llm.near_dedup import near_classes
+from flighttables.llm.oracle import ORACLE_SQL  # noqa: F401
 from flighttables.llm.quality_classifier import quality_scores
 from flighttables.llm.quality_rules import quality_rules
 from flighttables.llm.substring_dedup import drop_repeats
@@ -42,7 +43,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"), F.col("longest").alias("longest_words"))
+                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,4 +77,3 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_mixing, op3_html_text, op10_near_dedup, op4_decontamination, op5_substring_dedup, op6_quality_rules, op7_lm_scoring, op8_token_counts, op9_quality_classifier)}
-ORACLE_SQL: dict[str, str] = {}

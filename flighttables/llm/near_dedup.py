@@ -221,12 +221,13 @@ def settle(found: list, open_: np.ndarray, threshold: float) -> list[tuple[int,
         return i
 
     links = []
-    for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
-        a, b = top(int(rows[i])), top(j)
-        if a != b and weighted_jaccard(found[rows[i]][:1] + (found[rows[i]][1] * found[rows[i]][2],),
-                                       found[j][:1] + (found[j][1] * found[j][2],)) >= threshold:
-            root[max(a, b)] = min(a, b)
-            links.append((int(rows[i]), j))
+    side = lambda i: (found[i][0], found[i][1] * found[i][2])
+    for k, i in enumerate(rows.tolist()):
+        for j in np.flatnonzero(near[k]).tolist():
+            a, b = top(i), top(j)
+            if a != b and weighted_jaccard(side(i), side(j)) >= threshold:
+                root[max(a, b)] = min(a, b)
+                links.append((i, j))
     return links
 
 

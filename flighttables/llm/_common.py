@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -99,12 +98,6 @@ class WordHashes:
         return out
 
 
-@lru_cache(maxsize=1)
-def worker_hashes() -> WordHashes:
-    """One cache for all tasks that a Python worker runs."""
-    return WordHashes()
-
-
 def starts_of(lengths: np.ndarray) -> np.ndarray:
     """Exclusive running sum: where each run of ``lengths`` begins in the concatenation."""
     return np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64) if len(lengths) else np.zeros(0, np.int64)

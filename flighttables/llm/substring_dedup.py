@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flighttables.llm._common import in_arrow, mix64, ship_package, staged, starts_of, worker_hashes
+from flighttables.llm._common import SPACES, in_arrow, mix64, ship_package, staged, starts_of
 from flighttables.llm.chunks import pack, pack_arrays, unpack, unpack_arrays
 from flighttables.llm.fm_index import FMIndex
 
@@ -33,6 +34,49 @@ WINDOW, GRAM = 20, 10
 HOT = 20_000
 
 
+_ODD = 0x9E3779B97F4A7C15
+_BLOCK = 1 << 22
+_IS_SPACE = np.array([c in SPACES for c in range(256)])
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2^64, for a block of bytes."""
+    one = np.full(_BLOCK, _ODD, np.uint64), np.full(_BLOCK, pow(_ODD, -1, 1 << 64), np.uint64)
+    for p in one:
+        p[0] = 1
+    return np.cumprod(one[0]), np.cumprod(one[1])
+
+
+def hash_words(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(bytes, starts, ends, hashes, words per text)`` of the words of the texts one after another.
+
+    The hash of a word is a polynomial in its bytes, taken for a whole block of text at once from running sums.  It only
+    picks anchors: equal words have equal hashes, and what other words share a hash is told apart by the words later.
+    A word of more than a block goes by its first block.
+    """
+    raw = b"\n".join(texts) + b"\n"
+    data = np.frombuffer(raw, np.uint8)
+    space = _IS_SPACE[data]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    edge = edge if space[0] else np.concatenate(([0], edge))
+    starts, ends = edge[::2], edge[1::2]
+    out = np.zeros(len(starts), np.uint64)
+    power, inverse = _powers()
+    at = 0
+    while at < len(starts):
+        first = int(starts[at])
+        upto = max(at + 1, int(np.searchsorted(ends, first + _BLOCK, "right")))
+        last = min(int(ends[upto - 1]), first + _BLOCK)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data[first:last].astype(np.uint64) + np.uint64(1)) * power[:last - first])))
+        s, e = starts[at:upto] - first, np.minimum(ends[at:upto], last) - first
+        out[at:upto] = (sums[e] - sums[s]) * inverse[s]
+        at = upto
+    begin = starts_of(np.array([len(t) + 1 for t in texts], np.int64))
+    counts = np.diff(np.append(np.searchsorted(starts, begin), len(starts)))
+    return raw, starts, ends, mix64(out ^ mix64((ends - starts).astype(np.uint64))), counts
+
+
 def anchors(hashes: np.ndarray, lengths: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one anchor: ``(anchor hash, first window, windows)``.
 
@@ -70,12 +114,10 @@ def count_anchors(chunks: DataFrame, window: int, gram: int) -> DataFrame:
     """``(hash, chunk, n)``: anchors of each chunk with their occurrences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = worker_hashes()
         for batch in batches:
             for i in range(batch.num_rows):
-                tokens = [t.split() for t in unpack(batch.column("texts")[i].as_py())]
-                h = hashes.encode([w for t in tokens for w in t])
-                found, n = np.unique(anchors(h, np.array([len(t) for t in tokens], np.int64), window, gram)[0], return_counts=True)
+                _, _, _, h, lengths = hash_words(unpack(batch.column("texts")[i].as_py()))
+                found, n = np.unique(anchors(h, lengths, window, gram)[0], return_counts=True)
                 chunk = np.full(len(found), batch.column("chunk")[i].as_py())
                 for at in range(0, len(found), 100_000):
                     s = slice(at, at + 100_000)
@@ -91,10 +133,8 @@ def cut_passages(ids: list, texts: list[bytes], repeated: np.ndarray, hot: np.nd
     Returns ``(passages, places)``: passages ``(shard, document, first window in it, words)`` that are distinct in the
     chunk, at their first place by id and order; places ``(document, first window, windows, passage)`` of all of them.
     """
-    tokens = [t.split() for t in texts]
-    lengths = np.array([len(t) for t in tokens], np.int64)
-    flat = [w for t in tokens for w in t]
-    h, first, n = anchors(worker_hashes().encode(flat), lengths, window, gram)
+    raw, starts, ends, h, lengths = hash_words(texts)
+    h, first, n = anchors(h, lengths, window, gram)
     some = np.isin(h, repeated)
     h, first, n = h[some], first[some], n[some]
     split = np.isin(h, hot)
@@ -107,8 +147,9 @@ def cut_passages(ids: list, texts: list[bytes], repeated: np.ndarray, hot: np.nd
     order = np.lexsort((first, _order(ids)[doc]))
     number: dict[bytes, int] = {}
     passages, of = [], np.zeros(len(first), np.int64)
-    for i, a, k, d, r in zip(order.tolist(), first[order].tolist(), n[order].tolist(), doc[order].tolist(), route[order].tolist()):
-        text = b" ".join(flat[a:a + k + window - 1])
+    spans = starts[first[order]].tolist(), ends[first[order] + n[order] + window - 2].tolist()
+    for i, s, e, a, d, r in zip(order.tolist(), *spans, first[order].tolist(), doc[order].tolist(), route[order].tolist()):
+        text = b" ".join(raw[s:e].split())
         p = number.get(text)
         if p is None:
             p = number[text] = len(passages)

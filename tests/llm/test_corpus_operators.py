@@ -306,6 +306,17 @@ def test_substring_dedup_equals_brute_force(docs, rows, no_docs):
     assert substring_dedup.drop_repeats(no_docs).count() == 0
 
 
+def test_word_hashes_go_by_the_word(monkeypatch):
+    texts = [b"", b" a bb  a\n", b"\x0b", b"ccc bb " * 50, "é日本 \u00a0x".encode(), b"w" * 300 + b" a"]
+    whole = substring_dedup.hash_words(texts)
+    words = [w for t in texts for w in t.split()]
+    assert [whole[0][s:e] for s, e in zip(whole[1], whole[2])] == words and whole[4].tolist() == [len(t.split()) for t in texts]
+    assert len({(w, h) for w, h in zip(words, whole[3].tolist())}) == len(set(words)) == len(set(whole[3].tolist()))
+    monkeypatch.setattr(substring_dedup, "_BLOCK", 64)
+    assert [h for w, h in zip(words, substring_dedup.hash_words(texts)[3].tolist()) if len(w) < 64] == \
+        [h for w, h in zip(words, whole[3].tolist()) if len(w) < 64]
+
+
 def test_matching_statistics_equal_naive_search():
     from flighttables.llm.fm_index import FMIndex
     rng = np.random.default_rng(9)

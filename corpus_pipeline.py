@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flighttables.llm._common import staged, table
 from flighttables.llm.decontamination import find_contamination
-from flighttables.llm.mixing import mixing_rates
+from flighttables.llm.mixing import CORPUS_DOMAIN, CORPUS_TARGETS, mixing_rates
 from flighttables.llm.near_dedup import near_classes
 from flighttables.llm.quality_classifier import quality_scores
 from flighttables.llm.token_files import read_token_files, write_token_files
@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its rate says."""
-    return mixing_rates(docs, table(spark, sf_dir, "labels"), keep=True)
+    return mixing_rates(docs, table(spark, sf_dir, "labels"), CORPUS_TARGETS, CORPUS_DOMAIN, keep=True)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from flighttables.llm._common import table
 from flighttables.llm.decontamination import find_contamination
 from flighttables.llm.html_text import extract_text
 from flighttables.llm.lm_scoring import lm_scores
-from flighttables.llm.mixing import TARGETS, mixing_rates
+from flighttables.llm.mixing import CORPUS_DOMAIN, CORPUS_TARGETS, mixing_rates
 from flighttables.llm.near_dedup import near_classes
 from flighttables.llm.oracle import ORACLE_SQL  # noqa: F401
 from flighttables.llm.quality_classifier import quality_scores
@@ -28,8 +28,8 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domain posteriors, rate and copies of every document."""
-    rates = mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return rates.select("doc_id", "n_words", *[F.col("posterior")[i].alias(f"p_{k}") for i, k in enumerate(TARGETS)],
+    rates = mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), CORPUS_TARGETS, CORPUS_DOMAIN)
+    return rates.select("doc_id", "n_words", *[F.col("posterior")[i].alias(f"p_{k}") for i, k in enumerate(CORPUS_TARGETS)],
                         "rate", "copies")
 
 

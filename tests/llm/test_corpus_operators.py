@@ -170,6 +170,50 @@ def test_mixing_edge_rows(spark, docs, rows):
     assert all(r["posterior"] == pytest.approx([1 / 2] * 2) for r in nothing)
 
 
+def test_rates_reach_targets_of_rare_domains_without_a_bound(spark):
+    rng = np.random.default_rng(3)
+    n = 4000
+    t, kind = rng.integers(20, 80, n), np.where(np.arange(n) % 1000 == 0, 2, np.where(np.arange(n) % 7 == 0, 1, 0))  # 0.1 % of the third
+    p = np.full((n, 3), 1e-3)
+    p[np.arange(n), kind] = 1 - 2e-3
+    weights = np.array([0.985, 0.01, 0.005])
+
+    def fitted(p):
+        rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(t, p)], "_t long, _p array<double>")
+        history, have, target = mixing.fit_rates(rows, weights, 0, None, 1e-3, 30, None)
+        x = np.ones(n)
+        for step in history:
+            x = np.maximum(x - p @ np.array(step), 0)
+        assert have == pytest.approx((t * x) @ p, rel=1e-9)
+        return have / target, x
+
+    reached, x = fitted(p)
+    assert reached == pytest.approx([1, 1, 1], abs=5e-3) and x.max() > mixing.MOST
+    p[kind == 1] = [1 - 1e-3 - 1e-6, 1e-6, 1e-3]  # nobody is of the second: it falls short, and the others do not pay for it
+    p[kind == 0] = [1 - 1e-3 - 1e-6, 1e-6, 1e-3]
+    p[kind == 2, 1] = 1e-6
+    reached, x = fitted(p / p.sum(axis=1, keepdims=True))
+    assert reached[1] < 1e-3 and reached[[0, 2]] == pytest.approx([1, 1], abs=0.02) and x.sum() < 1.2 * n
+
+
+def test_poor_is_a_domain_of_the_corpus(spark, tmp_path):
+    from flighttables.llm.queries import op2_mixing
+    import corpus_pipeline
+    rng = random.Random(8)
+    texts = [prose(rng, 60) for _ in range(600)]
+    poor, bad = [i % 5 == 1 for i in range(600)], [i % 12 == 2 for i in range(600)]
+    texts = [" ".join(w + "##" for w in t.split()) if j else t.replace(" ", " idiot ") if b else t for t, j, b in zip(texts, poor, bad)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(not poor[i]), int(bad[i])) for i in range(600)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = op2_mixing(spark, str(tmp_path)).collect()
+    totals = np.array([sum(r["n_words"] * r[f"p_{k}"] * r["rate"] for r in got) for k in ("clean", "poor", "toxic")])
+    assert totals / totals.sum() == pytest.approx([0.985, 0.01, 0.005], abs=1e-3)
+    mixed = collections.Counter(r["doc_id"] for r in corpus_pipeline.mixing(spark, docs, str(tmp_path)).collect())
+    only_poor = [i for i in range(600) if poor[i] and not bad[i]]
+    assert sum(mixed[i] for i in only_poor) < 0.2 * len(only_poor)
+
+
 # --- 3 pages
 
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style><script>if (a < b) "</p>";</script></head>

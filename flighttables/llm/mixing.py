@@ -10,7 +10,7 @@
    domain that hardly any document belongs to is not filled with documents of the others; it falls short of its target
    and the log says by how much.
 3. A document is taken ``floor(rate)`` times, once more with the probability of the remainder (by a hash of its
-   id and text); a rate within ``snap`` of a whole number is that number.
+   id and text); only rounding noise (``snap``) is taken for a whole number, so copies realise the rates.
 """
 
 from __future__ import annotations
@@ -155,7 +155,7 @@ def fit_rates(rows: DataFrame, weights: np.ndarray, anchor: int | None, total: f
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: str = DOMAIN,
                  anchor: str | None = ANCHOR, total: float | None = None, max_train: int = 6000, bits: int = 14,
-                 tolerance: float = 1e-3, iterations: int = 30, snap: float = 0.1, most: float | None = None, id_col: str = "doc_id",
+                 tolerance: float = 1e-3, iterations: int = 30, snap: float = 1e-6, most: float | None = None, id_col: str = "doc_id",
                  text_col: str = "text", keep: bool = False) -> DataFrame:
     """Rate and copies of every document so that the expected domain totals come as near to the targets as they can.
 

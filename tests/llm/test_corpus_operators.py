@@ -196,6 +196,18 @@ def test_rates_reach_targets_of_rare_domains_without_a_bound(spark):
     assert reached[1] < 1e-3 and reached[[0, 2]] == pytest.approx([1, 1], abs=0.02) and x.sum() < 1.2 * n
 
 
+def test_copies_realise_the_targets(spark):
+    rng = random.Random(4)
+    texts = [("red " * 8 + prose(rng, 30)) if i % 2 else ("blue " * 8 + prose(rng, 30)) for i in range(4000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "red" if i % 2 else "blue") for i in range(0, 1200)], "doc_id long, colour string")
+    have = sum(len(t.split()) for t in texts)
+    got = mixing.mixing_rates(docs, labels, {"red": 0.95, "blue": 0.05}, domain="colour", total=0.55 * have).collect()  # rates near 1.05 and 0.05
+    taken = np.array([sum(r["n_words"] * r["posterior"][k] * r["copies"] for r in got) for k in range(2)])
+    assert taken == pytest.approx(0.55 * have * np.array([0.95, 0.05]), rel=0.25)
+    assert taken[0] == pytest.approx(0.55 * have * 0.95, rel=0.02)
+
+
 def test_poor_is_a_domain_of_the_corpus(spark, tmp_path):
     from flighttables.llm.queries import op2_mixing
     import corpus_pipeline

@@ -9,8 +9,8 @@
    all its buckets, is compared with all others.  A bucket is open while a member neither matches its hub nor is in its
    class by other links.  Open buckets of bounded size are settled in one task each: the open members against all
    members, by products of sparse blocks.  Larger ones draw new samples for sharper bands (more rows, more bands: ``LEVELS``), so
-   that documents that are alike, but not enough, fall apart while links still meet; on the last level hubs follow one
-   another until every bucket is settled.  On each level two documents of similarity 0.8 share a bucket with a
+   that documents that are alike, but not enough, fall apart while links still meet; on the last level the open members of a
+   larger bucket are compared with all its members block by block, a task for each two blocks.  On each level two documents of similarity 0.8 share a bucket with a
    probability of over 0.998.
 4. A pair is a link if the weighted Jaccard similarity of the two texts, computed from all their shingles, is at
    least ``threshold``.  Classes are the connected components of the links, found by rounds of joins.
@@ -250,6 +250,23 @@ def settled(buckets: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
     return buckets.join(texts, "id").groupBy("bucket").applyInArrow(run, f"a {types['id']}, b {types['id']}, ok boolean")
 
 
+def cells(open_: DataFrame, members: DataFrame) -> DataFrame:
+    """Buckets ``(bucket, id, open)`` of bounded size that hold every open member with every member of its bucket.
+
+    ``members`` (bucket, id, n) and ``open_`` are cut into blocks of about half a bucket's bound by a hash of the id, and each
+    block of open members meets each block of members.
+    """
+    size = lambda rows, name: rows.groupBy("bucket").agg(F.greatest(F.ceil(2 * F.count("*") / MEMBERS), F.ceil(2 * F.sum("n") / CHARACTERS)).alias(name))
+    block = lambda n: F.pmod(F.xxhash64("id", F.lit("cell")), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    opened = members.join(open_.select("bucket", "id"), ["bucket", "id"], "left_semi")
+    cut = size(members, "of").join(size(opened, "open_of"), "bucket").select("bucket", F.greatest("of", F.lit(1).cast("long")).alias("of"),
+                                                                            F.greatest("open_of", F.lit(1).cast("long")).alias("open_of"))
+    rows = members.join(cut, "bucket").select("bucket", "id", block("of").alias("y"), every("open_of").alias("x"), F.lit(False).alias("open"))
+    rows = rows.unionByName(opened.join(cut, "bucket").select("bucket", "id", block("open_of").alias("x"), every("of").alias("y"), F.lit(True).alias("open")))
+    return rows.groupBy(F.xxhash64("bucket", "x", "y").alias("bucket"), "id").agg(F.max("open").alias("open"))
+
+
 def links(buckets: DataFrame, texts: DataFrame, idf, threshold: float, levels=LEVELS) -> DataFrame:
     """Verified links (a, b), a < b, from the buckets of the first level; ``texts`` (id, text) has all their members."""
     done, skip, level = None, 0, 0
@@ -277,13 +294,14 @@ def links(buckets: DataFrame, texts: DataFrame, idf, threshold: float, levels=LE
         if large.isEmpty():
             return done.where("ok").select("a", "b").distinct()
         level += 1
-        if level < len(levels):
-            skip += levels[level - 1][0] * levels[level - 1][1]
-            again = texts.join(members.join(large, "bucket", "left_semi").select("id").distinct(), "id", "left_semi")
-            members = open_ = shared_buckets(staged(signatures(again, idf, "id", "text", *levels[level], skip), "near-marks"))
-        else:
-            open_ = open_.join(large, "bucket", "left_semi")
-            members = open_
+        if level == len(levels):
+            whole = members.join(large, "bucket", "left_semi").join(texts.select("id", F.length("text").alias("n")), "id")
+            rest = staged(cells(open_, staged(whole.select("bucket", "id", "n"), "near-whole")), "near-cells")
+            done = done.unionByName(staged(settled(rest, texts, idf, threshold), "near-settled"))
+            return done.where("ok").select("a", "b").distinct()
+        skip += levels[level - 1][0] * levels[level - 1][1]
+        again = texts.join(members.join(large, "bucket", "left_semi").select("id").distinct(), "id", "left_semi")
+        members = open_ = shared_buckets(staged(signatures(again, idf, "id", "text", *levels[level], skip), "near-marks"))
 
 
 def components(edges: DataFrame, rounds: int = 100) -> DataFrame:

@@ -593,6 +593,30 @@ def test_settling_a_bucket_equals_brute_force():
         assert [[root(i) == root(j) for j in range(60)] for i in range(60)] == [[want[i] == want[j] for j in range(60)] for i in range(60)]
 
 
+@pytest.mark.parametrize("members", [2, 7])
+def test_last_level_compares_open_members_with_all(spark, monkeypatch, members):
+    rng = random.Random(31)
+    base = [f"{w}{i}" for i, w in enumerate(prose(rng, 300).split())]
+
+    def edited(words, name, at):
+        return [f"{name}{k}" if k in at else w for k, w in enumerate(words)]
+
+    rows = [(0, base)] + [(1 + i, edited(base, f"m{i}e", range(7 + i, 300, 80))) for i in range(24)]  # all like the first
+    for i in range(12):  # each like one of those only
+        rows.append((100 + i, edited(rows[1 + i][1], f"x{i}e", range(35 + i, 300, 60))))
+    rows = [(i, " ".join(w)) for i, w in rows]
+    sets = bags(rows)
+    assert all(jaccard(sets[100 + i], sets[1 + i]) > 0.82 and all(jaccard(sets[100 + i], sets[j]) < 0.75 for j in sets if j not in (1 + i, 100 + i))
+               for i in range(12))
+    monkeypatch.setattr(near_dedup, "MEMBERS", members)
+    texts = spark.createDataFrame(rows, "id long, text string")
+    bucket = texts.select(F.lit(1).cast("long").alias("bucket"), "id", F.when(F.col("id") == 0, 99).otherwise(37).cast("long").alias("degree"))
+    idf = spark.sparkContext.broadcast(np.ones(1 << near_dedup.DF_BITS))
+    found = near_dedup.links(bucket, texts, idf, 0.8, levels=((12, 3),)).collect()
+    assert {(1 + i, 100 + i) for i in range(12)} <= {tuple(r) for r in found}
+    assert all(jaccard(sets[r["a"]], sets[r["b"]]) >= 0.8 for r in found)
+
+
 def test_buckets_too_large_for_a_task_go_to_sharper_bands(spark, monkeypatch):
     rng = random.Random(15)
     texts, words = [], prose(rng, 150).split()

@@ -184,38 +184,45 @@ def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if len(a) >= n else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
 
 
-def compress(ids: np.ndarray, lengths: np.ndarray, base: int, min_count: int = 8, rounds: int = 3,
+def compress(ids: np.ndarray, lengths: np.ndarray, base: int, min_count: int = 8, rounds: int | None = None,
              per_round: int = 1 << 13) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair of one shard: ``(rules, rule_lengths, symbols)``.
 
     ``ids`` are below ``base``; ``lengths`` are the documents' sizes.  A round replaces at most ``per_round``
-    pairs, the most frequent ones first; pairs left over have their turn in a later round.
+    pairs, the most frequent ones first; pairs left over have their turn in a later round, until no pair occurs
+    ``min_count`` times (or after ``rounds``).  Each round replaces its most frequent pair wherever it does not overlap
+    itself, so the rounds end.  A pair that is not frequent cannot become so, but for those with a new symbol: a
+    round counts only the places of pairs that were frequent or have a symbol of the round before.
     """
     present = np.flatnonzero(np.bincount(ids, minlength=base)) if len(ids) else np.zeros(0, np.int64)
     dense = np.zeros(base, np.int64)
     dense[present] = np.arange(len(present))
     n_dense, n_rules = len(present), 0  # symbols in use: the ids that occur, then the rules
-    half = 16 if n_dense + rounds * per_round <= 1 << 16 else 32  # bits of a symbol in a pair
-    kind = np.uint32 if half == 16 else np.uint64
-    multiply, drop = (np.uint32(0x9E3779B1), kind(32 - _SLOT_BITS)) if half == 16 else (np.uint64(0x9E3779B97F4A7C15), kind(64 - _SLOT_BITS))
+    half, kind = 16, np.uint32  # bits of a symbol in a pair
     seq = dense[ids].astype(kind)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(lengths[lengths > 0]) - 1] = True
+    live = ~last  # places (left symbols) whose pair may be frequent
     rules: list[np.ndarray] = []
-    size = np.ones(n_dense, np.int64)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        key = (seq[:-1] << kind(half)) | seq[1:]
-        inside = ~last[:-1]
-        found = np.sort(key[inside])
-        if not len(found):
+    sizes = [np.ones(n_dense, np.int64)]
+    done = 0
+    while rounds is None or done < rounds:
+        done += 1
+        if half == 16 and n_dense + n_rules + per_round > 1 << 16:
+            half, kind = 32, np.uint64
+            seq = seq.astype(kind)
+        multiply, drop = (np.uint32(0x9E3779B1), kind(32 - _SLOT_BITS)) if half == 16 else (np.uint64(0x9E3779B97F4A7C15), kind(64 - _SLOT_BITS))
+        place = np.flatnonzero(live)
+        if not len(place):
             break
+        key = (seq[place] << kind(half)) | seq[place + 1]
+        found = np.sort(key)
         head = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
         count = np.diff(np.append(head, len(found)))
         often = np.flatnonzero(count >= min_count)
         if not len(often):
             break
+        frequent = found[head[often]]
         if len(often) > per_round:
             often = often[np.argpartition(-count[often], per_round)[:per_round]]
         often = often[np.argsort(count[often], kind="stable")]
@@ -226,27 +233,41 @@ def compress(ids: np.ndarray, lengths: np.ndarray, base: int, min_count: int = 8
         holds[slot] = pairs
         score[slot] = np.arange(1, len(pairs) + 1)  # by rising count
         at = (key * multiply) >> drop
-        points = np.zeros(len(key) + 2, np.int32)
-        points[1:-1] = np.where((holds[at] == key) & inside, score[at], 0)
-        take = np.flatnonzero((points[1:-1] > points[:-2]) & (points[1:-1] >= points[2:]))
-        which = points[1 + take] - 1
-        enough = np.bincount(which, minlength=len(pairs)) >= max(2, min_count // 2)
+        points = np.where(holds[at] == key, score[at], 0)
+        some = np.flatnonzero(points)
+        where, points = place[some], points[some]
+        # A pair wins over less frequent ones that overlap it; of a pair that overlaps itself every other one is taken.
+        touch = where[1:] == where[:-1] + 1
+        begins = np.concatenate(([True], ~(touch & (points[1:] == points[:-1]))))
+        run = np.flatnonzero(begins)
+        more = np.concatenate(([True], ~touch[run[1:] - 1] | (points[run[1:]] > points[run[1:] - 1])))  # than the run before
+        less = np.concatenate((~touch[run[1:] - 1] | (points[run[1:]] < points[run[1:] - 1]), [True]))  # than the run after
+        of = np.cumsum(begins) - 1
+        win = (more & less)[of] & ((np.arange(len(where)) - run[of]) % 2 == 0)
+        take, which = where[win], points[win] - 1
+        enough = np.bincount(which, minlength=len(pairs)) >= max(1, min_count // 2)
         take, which = take[enough[which]], which[enough[which]]
-        if not len(take):
-            break
         used = np.flatnonzero(enough)
         number = np.zeros(len(pairs), kind)
         number[used] = n_dense + n_rules + np.arange(len(used))
         left, right = (pairs[used] >> kind(half)).astype(np.int64), (pairs[used] & kind((1 << half) - 1)).astype(np.int64)
-        size = np.concatenate((size, size[left] + size[right]))
+        size = np.concatenate(sizes)
+        sizes = [size, size[left] + size[right]]
         rules.append(np.stack((left, right), axis=1))
         n_rules += len(used)
+        keep = np.zeros(1 << _SLOT_BITS, bool)  # by hash: a place that only shares a slot stays for nothing
+        keep[(frequent * multiply) >> drop] = True
+        live[place] = keep[at]
+        live[take] = True
+        live[take[take > 0] - 1] = True
         seq[take] = number[which]
         last[take] = last[take + 1]
         stay = np.ones(len(seq), bool)
         stay[take + 1] = False
-        seq, last = seq[stay], last[stay]
+        seq, last, live = seq[stay], last[stay], live[stay]
+        live &= ~last
     symbol = np.concatenate((present, base + np.arange(n_rules)))
+    size = np.concatenate(sizes)
     out = symbol[np.concatenate(rules)] if rules else np.zeros((0, 2), np.int64)
     return out.astype(np.uint32), size[n_dense:].astype(np.uint32), symbol[seq.astype(np.int64)].astype(np.uint32)
 

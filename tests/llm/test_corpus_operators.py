@@ -121,6 +121,23 @@ def test_tokenizer_without_safe_spaces_encodes_whole_texts():
     assert a[0].tolist() == b[0].tolist() and a[1].tolist() == b[1].tolist()
 
 
+def test_grammar_leaves_no_frequent_pair():
+    rng = np.random.default_rng(6)
+    passage = rng.integers(0, 5000, 400)
+    docs = [np.concatenate((rng.integers(0, 5000, 30), passage, rng.integers(0, 5000, 30))) for _ in range(40)] + [np.full(999, 7), np.zeros(0, int), [3]]
+    docs += [rng.integers(0, 90000, 300) for _ in range(300)]  # more symbols than 16 bits hold
+    ids, lengths = np.concatenate(docs).astype(np.uint32), np.array([len(d) for d in docs])
+    for n in (44, len(docs)):
+        some, of = ids[:lengths[:n].sum()], lengths[:n]
+        rules, sizes, symbols = token_files.compress(some, of, 90000)
+        shard = token_files.Shard(rules, sizes, symbols, 90000)
+        assert shard.ids().tolist() == some.tolist() and shard.ids(500, 900).tolist() == some[500:900].tolist()
+        ends = set(np.cumsum(of).tolist())
+        assert {0, *ends} <= {0, *shard.ends.tolist()}  # no symbol spans documents
+        pairs = collections.Counter((a, b) for a, b, e in zip(symbols.tolist(), symbols[1:].tolist(), shard.ends.tolist()) if e not in ends)
+        assert max(pairs.values()) < 8 and sizes.max() >= 400
+
+
 # --- 2 mixing
 
 def test_mixing_reaches_reachable_targets(spark, no_docs):

@@ -469,18 +469,21 @@ def catalog_tables(spark, root):
                                            "error_counts", "flights", "battery"])
 
 
+#: About so many records are in one array file of the catalog.
+ARRAY_RECORDS = 10_000
+
+
 @query("catalog_json_array")
 def catalog_json_array(spark, root):
-    """The service's catalog form, one JSON array of records a file, read back and printed with sorted keys."""
-    path = new_output_dir(spark, "catalog_json_array")
-    cat = S.log_catalog(spark, root).withColumn("year", F.year("log_date"))
+    """The service's catalog form, one JSON array of bounded size a file, read back."""
+    cat = S.log_catalog(spark, root)
+    parts = -(-cat.count() // ARRAY_RECORDS)
     record = F.to_json(F.struct(*C.CATALOG_COLUMNS))
-    (cat.groupBy("year").agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("value"))
-     .drop("year").write.option("lineSep", "\n").text(path))          # a file holds the logs of one task's years
-    lines = spark.read.option("lineSep", "]\n").text(path).select(F.concat("value", F.lit("]")).alias("value"))
     files = new_output_dir(spark, "catalog_json_array")
-    lines.withColumn("part", F.xxhash64("value")).write.partitionBy("part").text(files)
-    read = MS.read_log_catalog(spark, f"{files}/part=*", schema=C.CATALOG_JSON_SCHEMA)
+    (cat.groupBy(F.pmod(F.xxhash64("ordinal"), F.lit(max(1, parts))).alias("part"))
+     .agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("value"))
+     .write.partitionBy("part").text(files))
+    read = MS.read_log_catalog(spark, files, schema=C.CATALOG_JSON_SCHEMA)
     return read.select("log_id", "log_date", "mav_type", "source")
 
 

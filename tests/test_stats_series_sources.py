@@ -75,6 +75,24 @@ def test_read_log_catalog_json_array(spark):
     assert got == [("a-1", dt.date(2024, 1, 2), "u1"), ("b-2", dt.date(2024, 1, 3), None)]
 
 
+def test_catalog_arrays_are_bounded(spark, monkeypatch):
+    import glob
+    import json
+    from pyspark.sql import functions as F
+    from flighttables.plans import queries as Q
+    one_year = spark.range(25_000).select(
+        F.concat(F.lit("L-"), "id").alias("log_id"), F.lit("2024-01-02").cast("date").alias("log_date"), F.lit("1-URGENT").alias("mav_type"),
+        *[F.lit(None).cast("string").alias(c) for c in ("rating", "vehicle_uuid", "vehicle_name", "airframe_name", "airframe_type", "source", "ver_sw")],
+        F.col("id").alias("ordinal"))
+    monkeypatch.setattr(Q.S, "log_catalog", lambda spark, root: one_year)
+    made = []
+    monkeypatch.setattr(Q, "new_output_dir", lambda spark, name: made.append(new_output_dir(spark, name)) or made[-1])
+    got = Q.catalog_json_array(spark, "")
+    assert sorted(r["log_id"] for r in got.collect()) == sorted(f"L-{i}" for i in range(25_000))
+    sizes = [len(json.load(open(p))) for p in glob.glob(f"{made[-1].removeprefix('file:')}/part=*/*.txt")]
+    assert sum(sizes) == 25_000 and max(sizes) < 12_000
+
+
 def test_message_file_manifest(spark):
     import os
     d = new_output_dir(spark, "test-mcap-files")

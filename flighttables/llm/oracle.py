@@ -54,4 +54,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
            OR (n_lines >= 5 AND 10 * bullets > 9 * n_lines) OR (n_lines >= 5 AND 2 * cut > n_lines)) AS kept
 FROM f"""
 
-ORACLE_SQL = {"op4_decontamination": DECONTAMINATION, "op5_substring_dedup": SUBSTRING_DEDUP, "op6_quality_rules": QUALITY_RULES}
+JACCARD_JOIN = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + 3], ' ')) AS k
+      FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a AS id, a AS other FROM edges UNION SELECT id, b FROM reach JOIN edges ON other = a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT id, min(other) AS least FROM reach GROUP BY 1) c ON c.id = d.doc_id"""
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+r AS (SELECT p.*, other AS negative_id, score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 5"""
+
+ORACLE_SQL = {"op4_decontamination": DECONTAMINATION, "op5_substring_dedup": SUBSTRING_DEDUP, "op6_quality_rules": QUALITY_RULES,
+              "op11_jaccard_join": JACCARD_JOIN, "op12_hard_negatives": HARD_NEGATIVES}

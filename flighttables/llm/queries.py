@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from flighttables.llm._common import table
 from flighttables.llm.decontamination import find_contamination
+from flighttables.llm.hard_negatives import hard_negatives
 from flighttables.llm.html_text import extract_text
+from flighttables.llm.jaccard_join import jaccard_components
 from flighttables.llm.lm_scoring import lm_scores
 from flighttables.llm.mixing import CORPUS_DOMAIN, CORPUS_TARGETS, mixing_rates
 from flighttables.llm.near_dedup import near_classes
@@ -16,6 +18,7 @@ from flighttables.llm.oracle import ORACLE_SQL  # noqa: F401
 from flighttables.llm.quality_classifier import quality_scores
 from flighttables.llm.quality_rules import quality_rules
 from flighttables.llm.substring_dedup import drop_repeats
+from flighttables.llm.token_alignment import align_tokens
 from flighttables.llm.token_counts import token_counts
 from flighttables.llm.token_files import read_token_files, write_token_files
 
@@ -76,4 +79,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_mixing, op3_html_text, op10_near_dedup, op4_decontamination, op5_substring_dedup, op6_quality_rules, op7_lm_scoring, op8_token_counts, op9_quality_classifier)}
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by links of 85 % similar shingle sets."""
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the labels of every seventh are moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers' tokens of every document."""
+    return align_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_mixing, op3_html_text, op10_near_dedup, op4_decontamination, op5_substring_dedup, op6_quality_rules,
+                                   op7_lm_scoring, op8_token_counts, op9_quality_classifier, op11_jaccard_join, op12_hard_negatives, op13_token_alignment)}

@@ -11,14 +11,14 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registry():
-    assert {int(k[2:].split("_")[0]) for k in queries.QUERIES} == set(range(1, 11))
+    assert {int(k[2:].split("_")[0]) for k in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(queries.ORACLE_SQL[name])
     got = queries.QUERIES[name](spark, SF).select(*want.columns)

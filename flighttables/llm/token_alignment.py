@@ -6,6 +6,10 @@ itself, encodes the text.  Both give tokens whose bytes, joined, are the same.
 1. Each side's cumulative byte ends go into a dictionary from end to index.  The ends that both dictionaries hold are
    intersected as hash sets, sorted, and cut both id lists into groups; within a slice the two tokens that end at the
    cut are linked (all pairs of them, should a vocabulary have tokens without bytes).
+   A space after a character that is no white space always starts a token of both sides, if the vocabularies allow it (checked
+   when they are loaded): A's pattern never goes on across it and no piece of B holds a space after another character.
+   Then the tokens of a text are those of its pieces between such spaces, and so are the groups and links; each
+   distinct piece is encoded and aligned once and kept for a while.  Otherwise every text is one piece.
 2. How often a pair of ids is linked is summed over the corpus: first within a chunk of documents, then over chunks.  The totals, and
    whether a pair is the commonest one of its B id, are joined back to the chunks' rows and brought together with the
    chunk's links, so a pair that every document has is a row per chunk, never a row per document or a table in memory.
@@ -16,9 +20,10 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +36,9 @@ from flighttables.llm.chunks import pack_arrays, unpack_arrays
 from flighttables.llm.token_files import _byte_alphabet
 
 SPACE = "▁"
+_SPLIT = re.compile(r"(?<=\S) (?!\Z)")
+#: Pieces that a task keeps, and the longest one (in characters) that it does.
+KEPT, KEPT_CHARS = 400_000, 48
 #: Characters encoded at a time, and characters of a chunk (one document at least).
 BLOCK_CHARS, CHUNK_CHARS = 500_000, 3_000_000
 
@@ -56,20 +64,40 @@ class Tokenizers:
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
         self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
         self.text = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.apart = self._apart(path_a)
 
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and B of each text; none where the joined bytes of either differ from a space and the text."""
-        some = [t for t in texts if t]
-        got = zip([e.ids for e in self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)] if some else [],
-                  self.b.encode(some, num_threads=1) if some else [])
-        for t in texts:
-            if not t:
-                yield [], []
-                continue
-            a, b = next(got)
-            raw = b" " + t.encode()
-            same = b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-            yield (a, b) if same else ([], [])
+    def _apart(self, path_a: str) -> bool:
+        """Whether a space after a character that is no white space always starts a token of both tokenizers."""
+        with open(path_a, encoding="utf-8") as f:
+            spec = json.load(f)
+        pre = spec.get("pre_tokenizer") or {}
+        a = not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        probe = "  a \n\t  b  "  # B leaves white space as it is
+        b = not any(SPACE in self.b.id_to_piece(i).lstrip(SPACE) for i in range(len(self.bytes_b))) and \
+            b"".join(map(self.bytes_b.__getitem__, self.b.encode(probe))) == b" " + probe.encode()
+        return bool(a and b)
+
+    def pieces(self, text: str) -> list[str]:
+        """The text cut at spaces that start a token; each piece lacks the space before it."""
+        return _SPLIT.split(text) if self.apart else [text]
+
+    def encode(self, pieces: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        """Ids of A and of B of a space and each piece, and whether the joined bytes of both are the same."""
+        if not pieces:
+            return [], [], []
+        spaced = [" " + p for p in pieces]
+        a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        b = self.b.encode(pieces, num_threads=1)
+        joined = lambda table, ids: b"".join(map(table.__getitem__, ids))
+        raw = "".join(spaced).encode()
+        if joined(self.bytes_a, chain.from_iterable(a)) == raw == joined(self.bytes_b, chain.from_iterable(b)):
+            if self._sums(self.size_a, a) == [len(p.encode()) for p in spaced] == self._sums(self.size_b, b):
+                return a, b, [True] * len(pieces)
+        return a, b, [joined(self.bytes_a, x) == p.encode() == joined(self.bytes_b, y) for x, y, p in zip(a, b, spaced)]
+
+    @staticmethod
+    def _sums(sizes: list[int], ids: list[list[int]]) -> list[int]:
+        return [sum(map(sizes.__getitem__, x)) for x in ids]
 
 
 @lru_cache(maxsize=1)
@@ -97,8 +125,8 @@ def cuts(sizes_a: list[int], sizes_b: list[int]) -> tuple[list[int], list[int],
     return stop_a, stop_b, links
 
 
-def group_text(a: list[str], b: list[str], stop_a: list[int], stop_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
+def group_texts(a: list[str], b: list[str], stop_a: list[int], stop_b: list[int]) -> list[str]:
+    """``a1,a2|b1,b2``: the ids of each group."""
     out, i, j = [], 0, 0
     for x, y in zip(stop_a, stop_b):
         if x - i == 1 and y - j == 1:
@@ -106,7 +134,85 @@ def group_text(a: list[str], b: list[str], stop_a: list[int], stop_b: list[int])
         else:
             out.append(",".join(a[i:x]) + "|" + ",".join(b[j:y]))
         i, j = x, y
-    return ";".join(out)
+    return out
+
+
+class Pieces:
+    """Aligned pieces: for each its figures (tokens of A and B, groups, links; -1 if not the same bytes), groups as text and link codes."""
+
+    def __init__(self, tok: Tokenizers):
+        self.tok, self.width = tok, len(tok.bytes_b)
+        self.clear()
+
+    def clear(self):
+        self.number: dict[str, int] = {}
+        self.said: list[str] = []
+        self.figures, self.codes = np.zeros((0, 4), np.int64), np.zeros(0, np.int64)
+        self.begin = np.zeros(0, np.int64)
+
+    def learn(self, new: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Figures, groups and link codes of pieces: they are aligned one after another, as their ends are common to both sides."""
+        tok, text = self.tok, self.tok.text
+        ids_a, ids_b, same = tok.encode(new)
+        figures = np.zeros((len(new), 4), np.int64)
+        figures[:, 0], figures[:, 1] = list(map(len, ids_a)), list(map(len, ids_b))
+        good = np.array(same, bool)
+        figures[~good] = (-1, 0, 0, 0)
+        if not good.all():
+            ids_a, ids_b = [x for x, ok in zip(ids_a, same) if ok], [x for x, ok in zip(ids_b, same) if ok]
+        a, b = list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b))
+        stop_a, stop_b, pairs = cuts(list(map(tok.size_a.__getitem__, a)), list(map(tok.size_b.__getitem__, b)))
+        groups = group_texts(list(map(text.__getitem__, a)), list(map(text.__getitem__, b)), stop_a, stop_b)
+        last = np.cumsum(figures[good, 0])
+        until = np.searchsorted(np.array(stop_a, np.int64), last, "right")
+        at = np.array(pairs, np.int64).reshape(-1, 2)
+        figures[good, 2] = np.diff(until, prepend=0)
+        figures[good, 3] = np.diff(np.searchsorted(at[:, 0], last, "left"), prepend=0)
+        said = [""] * len(new)
+        for i, start, stop in zip(np.flatnonzero(good).tolist(), [0, *until.tolist()], until.tolist()):
+            said[i] = ";".join(groups[start:stop])
+        return figures, said, np.array(a, np.int64)[at[:, 0]] * self.width + np.array(b, np.int64)[at[:, 1]]
+
+    def align(self, texts: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Figures and groups of the texts, and their link codes one after another."""
+        if len(self.number) > KEPT:
+            self.clear()
+        parts = [self.tok.pieces(t) if t else [] for t in texts]
+        flat = [p for x in parts for p in x]
+        at = np.fromiter(map(self.number.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(at < 0).tolist()
+        known = len(self.said)
+        if missing:
+            new = list(dict.fromkeys(map(flat.__getitem__, missing)))
+            place = dict(zip(new, range(known, known + len(new))))
+            at[missing] = list(map(place.__getitem__, map(flat.__getitem__, missing)))
+            figures, said, codes = self.learn(new)
+        else:
+            new, place, figures, said, codes = [], {}, np.zeros((0, 4), np.int64), [], np.zeros(0, np.int64)
+        all_figures, all_said = np.concatenate((self.figures, figures)), self.said + said
+        all_codes = np.concatenate((self.codes, codes))
+        all_begin = np.concatenate((self.begin, len(self.codes) + starts_of(figures[:, 3])))
+        n = np.array([len(p) for p in parts], np.int64)
+        owner = np.repeat(np.arange(len(texts)), n)
+        bad = np.bincount(owner, all_figures[at, 0] < 0, len(texts)) > 0
+        keep = ~bad[owner]
+        out = np.stack([np.bincount(owner[keep], all_figures[at[keep], i], len(texts)) for i in range(4)], 1).astype(np.int64)
+        where, groups = at.tolist(), []
+        for i, (start, size) in enumerate(zip(starts_of(n).tolist(), n.tolist())):
+            groups.append("" if bad[i] or not size else ";".join(map(all_said.__getitem__, where[start:start + size])))
+        sizes = all_figures[at[keep], 3]
+        links = all_codes[np.repeat(all_begin[at[keep]] - starts_of(sizes), sizes) + np.arange(int(sizes.sum()))]
+        short = np.array([len(p) <= KEPT_CHARS for p in new], bool)  # longer ones are not kept
+        if short.all():
+            self.number.update(place)
+            self.figures, self.said, self.codes, self.begin = all_figures, all_said, all_codes, all_begin
+        else:
+            stay, rows = np.flatnonzero(short).tolist(), figures[short]
+            self.number.update((new[k], known + i) for i, k in enumerate(stay))
+            self.begin = np.concatenate((self.begin, len(self.codes) + starts_of(rows[:, 3])))
+            self.figures, self.said = np.concatenate((self.figures, rows)), self.said + [said[k] for k in stay]
+            self.codes = np.concatenate((self.codes, codes[np.repeat(short, figures[:, 3])]))
+        return out, groups, links
 
 
 def _aligned(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: str, with_groups: bool) -> DataFrame:
@@ -114,8 +220,7 @@ def _aligned(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: s
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, part, seq = _worker_tokenizers(path_a, path_b), TaskContext.get().partitionId(), 0
-        size_a, size_b, text, width = tok.size_a, tok.size_b, tok.text, len(tok.bytes_b)
+        pieces, part, seq = Pieces(_worker_tokenizers(path_a, path_b)), TaskContext.get().partitionId(), 0
         ids, figures, shas, groups, links, held = [], [], [], [], [], 0
 
         def close():
@@ -134,14 +239,11 @@ def _aligned(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: s
             texts = batch.column("text").to_pylist()
             ids.append(batch.column("id"))
             held += sum(len(t or "") for t in texts)
-            for a, b in tok.encode(texts):
-                stop_a, stop_b, pairs = cuts(list(map(size_a.__getitem__, a)), list(map(size_b.__getitem__, b)))
-                said = group_text(list(map(text.__getitem__, a)), list(map(text.__getitem__, b)), stop_a, stop_b)
-                figures.append((len(a), len(b), len(stop_a), len(pairs)))
-                shas.append(hashlib.sha256(said.encode()).hexdigest() if a else "")
-                groups.append(said if with_groups else None)
-                at = np.array(pairs, np.int64).reshape(-1, 2)
-                links.append(np.array(a, np.int64)[at[:, 0]] * width + np.array(b, np.int64)[at[:, 1]])
+            rows, said, codes = pieces.align(texts)
+            figures += rows.tolist()
+            shas += [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in said]
+            groups += said if with_groups else [None] * len(said)
+            links.append(codes)
             if held >= CHUNK_CHARS:
                 yield close()
         if shas:

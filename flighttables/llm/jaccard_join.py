@@ -33,16 +33,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flighttables.llm._common import WordHashes, blocks, in_arrow, lower_ascii, mix64, staged, starts_of
+from flighttables.llm._common import blocks, in_arrow, lower_ascii, mix64, staged, starts_of
 from flighttables.llm.chunks import pack_arrays, unpack_arrays
 from flighttables.llm.near_dedup import components
+from flighttables.llm.substring_dedup import hash_words
 
 SHINGLE = 4
 PERCENT = 85
 #: Differing elements that a first-level part may hold, and its number of second-level parts.
 K2, N2 = 1, 3
-#: Parts of the domain in which elements are counted.
-CELLS = 64
+#: Parts of the domain in which elements are counted: from CELLS on, twice as many until a part has FULL elements at most.
+CELLS, FULL, MOST_CELLS = 64, 4, 4_096
 #: Members of a bucket that one task compares with as many others.
 MEMBERS = 2_000
 #: Signatures that one task of the second pass holds.
@@ -54,15 +55,20 @@ TESTS = 128
 #: Documents whose texts are fetched by a broadcast of their ids (of eight bytes); more are joined.
 BROADCAST_IDS = 2_000_000
 
+#: Bytes of a word up to which its polynomial hash is taken; longer ones are hashed one by one.
+LONG_WORD = 256
+
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _INDEX_BITS, _SEQ_BITS = 20, 15
 
 
-def word_sets(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def word_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct shingles of all texts, sorted within each, and the number of each text."""
-    tokens = [lower_ascii(t.encode()).split() if t else [] for t in texts]
-    n = np.array([len(t) for t in tokens], np.int64)
-    h = hashes.encode([w for t in tokens for w in t])
+    if not texts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    raw, begin, end, h, n = hash_words([lower_ascii(t.encode()) if t else b"" for t in texts])
+    for i in np.flatnonzero(end - begin > LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(raw[begin[i]:end[i]])
     wide = np.zeros(len(h), np.uint64)
     pad = np.concatenate((h, np.zeros(SHINGLE, np.uint64)))
     place = np.arange(len(h)) - np.repeat(starts_of(n), n)
@@ -70,13 +76,16 @@ def word_sets(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray,
     for j in range(SHINGLE):
         wide = wide * _GOLD + np.where(left > j, pad[j:j + len(h)], np.uint64(0))
     full = (left >= SHINGLE) | (place == 0)
-    owner, wide = np.repeat(np.arange(len(texts)), n)[full], mix64(wide[full])
-    order = np.lexsort((wide, owner))
-    owner, wide = owner[order], wide[order]
+    wide = mix64(wide[full])
+    held = np.maximum(np.minimum(n, 1), n - SHINGLE + 1)
+    start = starts_of(held)
+    for i, j in zip(start.tolist(), (start + held).tolist()):
+        wide[i:j].sort()
     if not len(wide):
         return wide, np.zeros(len(texts), np.int64)
-    head = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (wide[1:] != wide[:-1]))))
-    return wide[head], np.bincount(owner[head], minlength=len(texts))
+    new = np.concatenate(([True], wide[1:] != wide[:-1]))
+    new[start[held > 0]] = True
+    return wide[new], np.bincount(np.repeat(np.arange(len(texts)), held)[new], minlength=len(texts))
 
 
 @lru_cache(maxsize=8)
@@ -125,11 +134,25 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, percent: int = PERCENT,
     return np.concatenate(found), np.concatenate(of)
 
 
-def counts(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Elements of each set by part of the domain (sets x CELLS, at most 255)."""
-    cell = (elements >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    return np.minimum(np.bincount(owner * CELLS + cell, minlength=len(sizes) * CELLS), 255).astype(np.uint8).reshape(-1, CELLS)
+def counts(elements: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Elements of each set (at most 255) by part of the domain, a byte each."""
+    out, at = [], 0
+    for n in sizes.tolist():
+        cells = CELLS
+        while cells < MOST_CELLS and n > FULL * cells:
+            cells *= 2
+        cell = (elements[at:at + n] >> np.uint64(65 - cells.bit_length())).astype(np.int64)
+        out.append(np.minimum(np.bincount(cell, minlength=cells), 255).astype(np.uint8).tobytes())
+        at += n
+    return out
+
+
+def counted(rows: list[bytes]) -> np.ndarray:
+    """Counts of several sets, brought to the fewest parts that any of them has by adding neighbours up."""
+    cells = min(map(len, rows))
+    if max(map(len, rows)) == cells:
+        return np.frombuffer(b"".join(rows), np.uint8).reshape(-1, cells).astype(np.int16)
+    return np.stack([np.frombuffer(r, np.uint8).astype(np.int16).reshape(cells, -1).sum(1, dtype=np.int16) for r in rows])
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -145,12 +168,12 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, percent: int, buckets:
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seq, part = WordHashes(), 0, TaskContext.get().partitionId()
+        seq, part = 0, TaskContext.get().partitionId()
         names = ["bucket", "kind", "chunk", "id", "key", "n", "counts", "data"]
         for b in blocks(batches, "text", 2_000_000):
             chunk = ((part << _SEQ_BITS) | seq) << _INDEX_BITS
             seq += 1
-            elements, sizes = word_sets(b.column("text").to_pylist(), hashes)
+            elements, sizes = word_sets(b.column("text").to_pylist())
             cut = np.concatenate(([0], np.cumsum(sizes)))
             named = b.column("id").is_valid().to_numpy(zero_copy_only=False)
             keys = [xxhash.xxh3_128_digest(elements[cut[i]:cut[i + 1]].tobytes()) if named[i] and sizes[i] else None for i in range(b.num_rows)]
@@ -158,7 +181,7 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, percent: int, buckets:
             yield pa.RecordBatch.from_arrays([
                 pa.array((np.arange(n) + chunk // (1 << _INDEX_BITS)) % buckets, pa.int32()), pa.array(np.zeros(n), pa.int32()),
                 pa.array(chunk + np.arange(n)), b.column("id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                pa.array([c.tobytes() for c in counts(elements, sizes)], pa.binary()), pa.nulls(n, pa.binary())], names=names)
+                pa.array(counts(elements, sizes), pa.binary()), pa.nulls(n, pa.binary())], names=names)
             first = {}
             for i, k in enumerate(keys):
                 if k is not None:
@@ -254,7 +277,7 @@ def _near(groups: Iterator[pa.Table], percent: int, most: int) -> Iterator[tuple
     for t in groups:
         order = np.argsort(t.column("n").to_numpy(), kind="stable")
         n, code, own, side = (t.column(c).to_numpy()[order] for c in ("n", "code", "class_id", "side"))
-        count = np.frombuffer(b"".join(t.column("counts").to_pylist()), np.uint8).reshape(-1, CELLS)[order].astype(np.int16)
+        count = counted(t.column("counts").to_pylist())[order]
         tested = {(int(code[i]), p) for i, ps in enumerate(t.column("tested").take(pa.array(order)).to_pylist()) if ps for p in ps}
         reach = np.searchsorted(n * percent, n * 100, "right")  # partners of the i-th are those after it, up to here
         width = np.maximum(reach - np.arange(len(n)) - 1, 0)
@@ -267,8 +290,9 @@ def _near(groups: Iterator[pa.Table], percent: int, most: int) -> Iterator[tuple
             at = stop
             go = (own[a] != own[b]) & (code[a] != code[b]) & ((side[a] == 0) | (side[a] != side[b]))
             a, b = a[go], b[go]
-            for lo in range(0, len(a), 100_000):
-                x, y = a[lo:lo + 100_000], b[lo:lo + 100_000]
+            step = 1 + 6_400_000 // count.shape[1]
+            for lo in range(0, len(a), step):
+                x, y = a[lo:lo + step], b[lo:lo + step]
                 apart = np.abs(count[x] - count[y]).sum(1, dtype=np.int64)
                 ok = apart * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
                 x, y = code[x[ok]], code[y[ok]]
@@ -334,9 +358,9 @@ def test_pairs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
              .select("v", "part", F.lit(None).cast("long").alias("u"), "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, against = WordHashes(), np.zeros(0, np.uint64)
+        against = np.zeros(0, np.uint64)
         for b in blocks(batches, "text", 1_000_000):
-            elements, sizes = word_sets(b.column("text").to_pylist(), hashes)
+            elements, sizes = word_sets(b.column("text").to_pylist())
             cut = np.concatenate(([0], np.cumsum(sizes)))
             out = []
             for i, (u, v) in enumerate(zip(b.column("u").to_pylist(), b.column("v").to_pylist())):
@@ -361,9 +385,8 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, id_col: str, te
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(ids, "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in blocks(batches, "text", 2_000_000):
-            elements, sizes = word_sets(b.column("text").to_pylist(), hashes)
+            elements, sizes = word_sets(b.column("text").to_pylist())
             cut = np.concatenate(([0], np.cumsum(sizes)))
             keys = [xxhash.xxh3_128_digest(elements[cut[i]:cut[i + 1]].tobytes()) for i in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(keys, pa.binary()), b.column("text")], names=["id", "key", "text"])

@@ -10,7 +10,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from flighttables.llm import hard_negatives as H, jaccard_join as J, token_alignment as A
-from flighttables.llm._common import WordHashes
 from tests.llm.test_corpus_operators import WORDS, corpus, frame, prose
 
 PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -104,14 +103,17 @@ def test_similar_sets_share_a_signature():
                 continue
             sig, of = J.signatures(np.concatenate((a, b)), np.array([len(a), len(b)]))
             assert set(sig[of == 0].tolist()) & set(sig[of == 1].tolist())
-            apart = np.abs(np.diff(J.counts(np.concatenate((a, b)), np.array([len(a), len(b)])).astype(int), axis=0)).sum()
+            apart = np.abs(np.diff(J.counted(J.counts(np.concatenate((a, b)), np.array([len(a), len(b)]))).astype(int), axis=0)).sum()
             assert apart <= len(np.setxor1d(a, b))
 
 
 def test_word_sets():
-    texts = [t for _, t in corpus()]
-    elements, sizes = J.word_sets(texts, WordHashes())
+    long = "v" * 70_000
+    texts = [t for _, t in corpus()] + [long, long + "x", "", None, " ", "Q", long]
+    elements, sizes = J.word_sets(texts)
     assert sizes.tolist() == [len(shingle_set(t)) for t in texts] and len(elements) == sizes.sum()
+    one = [elements[e - 1] for e, t in zip(np.cumsum(sizes).tolist(), texts) if t and t.startswith(long)]
+    assert one[0] == one[2] != one[1]
 
 
 # ------------------------------------------------------------------ hard negatives
@@ -265,6 +267,31 @@ def test_token_alignment_empty(spark):
     assert sorted(map(tuple, got)) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
 
 
+def test_pieces_are_kept_and_cleared(monkeypatch):
+    monkeypatch.setattr(A, "KEPT", 30)
+    monkeypatch.setattr(A, "KEPT_CHARS", 6)
+    tok = A.Tokenizers(*PATHS)
+    assert tok.apart
+    pieces, rng = A.Pieces(tok), random.Random(1)
+    letters = "ab  \n .,'1é日\u00a0\u3000\x1c\x85"
+    for _ in range(60):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(rng.randint(1, 8))] + [None, "longer words stay out of it", "a▁b c"]
+        figures, said, links = pieces.align(texts)
+        want = brute_alignment(texts)
+        assert figures.tolist() == [[len(a), len(b), len(g), len(l)] for a, b, g, l in want]
+        assert said == [";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in g) for _, _, g, _ in want]
+        assert links.tolist() == [a * len(tok.bytes_b) + b for *_, l in want for a, b in l]
+
+
+def test_whole_texts_where_pieces_are_not_safe():
+    tok = A.Tokenizers(*PATHS)
+    texts = [t for _, t in corpus()]
+    apart = A.Pieces(tok).align(texts)
+    tok.apart = False
+    whole = A.Pieces(tok).align(texts)
+    assert (apart[0] == whole[0]).all() and apart[1] == whole[1] and (apart[2] == whole[2]).all()
+
+
 def test_cuts_with_tokens_without_bytes():
     assert A.cuts([2, 1], [1, 2]) == ([2], [2], [(1, 1)])
     assert A.cuts([2, 0, 1], [2, 1]) == ([2, 3], [1, 2], [(0, 0), (1, 0), (2, 1)])

@@ -6,6 +6,7 @@ becomes 64-bit and every float double so firmware width changes never fork a col
 
 from __future__ import annotations
 
+from decimal import Decimal
 from itertools import chain
 
 from pyspark.sql import Column, functions as F
@@ -125,13 +126,34 @@ def widen(col, dt: T.DataType) -> Column:
         return c.cast("bigint")
     if isinstance(dt, T.DecimalType) and dt.scale == 0:
         # unsigned 64-bit values carried as decimal(20,0): two's-complement wrap into bigint
-        return F.when(c >= F.lit(2 ** 63).cast(dt), (c - F.lit(2 ** 64).cast("decimal(21,0)")).cast("bigint")) \
-            .otherwise(c.cast("bigint"))
+        wide = c.cast("decimal(21,0)")
+        low = F.pmod(wide, F.lit(Decimal(2 ** 64)))
+        return F.when(low >= F.lit(Decimal(2 ** 63)), (low - F.lit(Decimal(2 ** 64))).cast("bigint")).otherwise(low.cast("bigint"))
     if isinstance(dt, (T.FloatType, T.DoubleType)):
         return c.cast("double")
     return c
 
 
+_DIGITS = r"^-?[0-9]+$"
+
+
+def variant_value(col, dt: T.DataType) -> Column:
+    """A VARIANT field as its wire type; a value that is not of that type fails the job.
+
+    Integers are whole numbers or texts of digits (as JSON has 64-bit integers), bytes are base64 text; a JSON null is NULL.
+    """
+    c = as_col(col)
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c.cast("array<variant>"), lambda x: variant_value(x, dt.elementType))
+    if isinstance(dt, T.BinaryType):
+        return F.unbase64(c.cast("string"))
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
+        text = c.cast("string")
+        return F.when(text.rlike(_DIGITS) | text.isNull(), text.cast(dt)).otherwise(
+            F.raise_error(F.concat(F.lit("not an integer in a payload: "), text)).cast(dt))
+    return c.cast(dt)
+
+
 def table_type_of(dt: T.DataType) -> T.DataType:
     """The table type a Spark input type widens to (maps and structs are unsupported)."""
     if isinstance(dt, T.ArrayType):

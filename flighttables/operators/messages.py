@@ -43,11 +43,11 @@ def standard_columns(messages: DataFrame, payload_cols: list[str] | None = None)
 def sort_for_write(df: DataFrame, partition_cols: list[str] | None = None, tie_cols: list[str] | None = None) -> DataFrame:
     """Rows ordered by ``publish_time`` (nulls last) inside each output partition (O3, K2).
 
-    Equal publish times keep input order, told by ``tie_cols`` (default: the message ``sequence``, then ``log_time``
-    and ``mcap_id``, as far as the rows have them).  With ``partition_cols`` the sort leads with them, which is the
+    Equal publish times keep input order, told by ``tie_cols`` (default: the file and the row's place in it, ``source`` and
+    ``row_index``, then flight, message ``sequence`` and ``log_time``, as far as the rows have them).  With ``partition_cols`` the sort leads with them, which is the
     order a partitioned file writer requires; it then adds no sort of its own.
     """
-    ties = tie_cols if tie_cols is not None else [c for c in ("mcap_id", "sequence", "log_time") if c in df.columns]
+    ties = tie_cols if tie_cols is not None else [c for c in ("source", "row_index", "mcap_id", "sequence", "log_time") if c in df.columns]
     keys = [F.col(c) for c in (partition_cols or [])] + [F.col("publish_time").asc_nulls_last(), *[F.col(c) for c in ties]]
     return df.sortWithinPartitions(*keys)
 

@@ -2,9 +2,10 @@
 
 Instance 0 of the local-position topic, samples with a NaN (or missing) coordinate
 dropped, converted from North-East-Down to East-North-Up, in sample order.  The
-trajectory is kept in long form (one row per point with its 1-based index) so no flight
-is ever collected into one array or one task; the summary row per flight carries the
-first valid sample time, the point count and the fixed scene attributes of the line.
+trajectory is kept in long form (one row per point with its 1-based index) or as a line of
+segments of a bounded number of points, so no flight is ever collected into one array or one
+task; the summary row per flight carries the first valid sample time, the point count and the
+fixed scene attributes of the line.
 """
 
 from __future__ import annotations
@@ -54,6 +55,19 @@ def trajectory_points(samples: DataFrame) -> DataFrame:
     return seq.select("mcap_id", "point_idx", "timestamp", "p.x", "p.y", "p.z")
 
 
+def polyline(samples: DataFrame, size: int = 1_000) -> DataFrame:
+    """``(mcap_id, segment, first_ts, n_points, points)``: a flight's line in segments of at most ``size`` points.
+
+    ``points`` are in sample order; the segments of a flight, by their number (from 0), follow each other.  ``first_ts`` is the
+    time of a segment's first point.
+    """
+    pts = trajectory_points(samples).withColumn("segment", F.floor((F.col("point_idx") - 1) / F.lit(size)).cast("bigint"))
+    ordered = F.array_sort(F.collect_list(F.struct("point_idx", "timestamp", "x", "y", "z")))
+    held = pts.groupBy("mcap_id", "segment").agg(ordered.alias("_p"))
+    return held.select("mcap_id", "segment", F.col("_p")[0]["timestamp"].alias("first_ts"), F.size("_p").cast("bigint").alias("n_points"),
+                       F.transform("_p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), p["z"].alias("z"))).alias("points"))
+
+
 def trajectory_summary(samples: DataFrame) -> DataFrame:
     """One row per flight with valid points: first valid sample time, count, scene constants."""
     pts = valid_points(samples)

@@ -625,3 +625,108 @@ ORACLE_SQL["pack_topic"] = """
 SELECT l_orderkey, l_linenumber, l_partkey AS time, l_returnflag || l_linestatus || '/' || l_linestatus AS tags,
        l_quantity AS volt_0, l_tax AS volt_1, l_quantity AS mix_last, l_returnflag || l_returnflag AS unit, 7 AS n_columns
 FROM lineitem"""
+
+# ---------------------------------------------------------------- ingest identity, origin, conversion
+
+ORACLE_SQL["ingest_new_checkpoint"] = ORACLE_SQL["flights_overview"]
+
+ORACLE_SQL["ingest_ten_descriptors"] = f"""
+WITH v AS ({VEHICLE_STATUS}), s AS (SELECT *, CAST(right(mcap_id, 1) AS INTEGER) AS k FROM v)
+SELECT mcap_id, log_time, arming_state, CASE WHEN k < 5 THEN nav_state END AS nav_state,
+       CASE WHEN k >= 5 THEN CAST(nav_state AS DOUBLE) + 0.5 END AS nav_state__as_f64, nav_state * 10 + k AS own, 1 AS n_own FROM s"""
+
+ORACLE_SQL["ingest_run_stats"] = """
+SELECT CASE WHEN event_type IN ('click', 'purchase', 'signup') THEN 'vehicle_status' ELSE 'logged_messages' END AS base_topic,
+       count(DISTINCT CAST(ts AS DATE) >= DATE '2024-01-16') AS n_batches, count(*) AS rows_written, (SELECT count(*) FROM events) AS rows_in,
+       true AS bytes_agree, true AS files_agree, true AS input_agrees, true AS timed
+FROM events GROUP BY 1"""
+
+ORACLE_SQL["file_order"] = """
+WITH e AS (SELECT event_id AS event, CAST(ts AS DATE) + to_hours(hour(ts)) AS publish_time FROM events)
+SELECT event, publish_time, lag(event) OVER (PARTITION BY publish_time ORDER BY event DESC) AS event_before FROM e"""
+
+ORACLE_SQL["u64_wrap"] = """
+WITH o AS (SELECT o_orderkey, 9223372036854775806::HUGEINT + o_orderkey % 4 AS c, 18446744073709551613::HUGEINT + o_orderkey % 3 AS m FROM orders)
+SELECT o_orderkey, CAST(CASE WHEN c >= 9223372036854775808 THEN c - 18446744073709551616 ELSE c END AS BIGINT) AS counter, CAST(0 AS BIGINT) AS mark_0,
+       CAST(m - 18446744073709551616 AS BIGINT) AS mark_1, o_orderkey AS plain FROM o"""
+
+ORACLE_SQL["trajectory_polyline"] = f"""
+WITH p AS ({ORACLE_SQL['trajectory_points']}), s AS (SELECT *, (point_idx - 1) // 50 AS segment FROM p)
+SELECT mcap_id, segment, first_value(timestamp) OVER w AS first_ts, count(*) OVER (PARTITION BY mcap_id, segment) AS n_points, point_idx, x, y, z
+FROM s WINDOW w AS (PARTITION BY mcap_id, segment ORDER BY point_idx)"""
+
+
+def _json(*parts: tuple[str, str]) -> str:
+    """Text of a JSON object: keys with the SQL of their values' texts."""
+    return "'{' || " + " || ',' || ".join(f"'\"{k}\":' || {v}" for k, v in parts) + " || '}'"
+
+
+def _text(sql: str) -> str:
+    return f"CAST({sql} AS VARCHAR)"
+
+
+def _quoted(sql: str) -> str:
+    return f"CAST(to_json({sql}) AS VARCHAR)"
+
+
+def _float(sql: str) -> str:
+    return _text(f"CAST(CAST({sql} AS FLOAT) AS DOUBLE)")
+
+
+_LOG_JSON = _json(("ts_sec", _text("ts_us // 1000000")), ("ts_nsec", _text("(ts_us % 1000000) * 1000")), ("level", _quoted("level")),
+                  ("message", _quoted("message")), ("name", _quoted("name")), ("file", "'\"\"'"), ("line", "'0'"))
+_TS_MOTOR = "l_orderkey * 10 + l_linenumber"
+_MOTOR_JSON = _json(("timestamp", _text(_TS_MOTOR)), ("motor__tag", "'[\"' || l_returnflag || l_linestatus || '\",\"' || l_linestatus || '\"]'"),
+                    ("motor__volt", f"'[' || {_float('l_quantity')} || ',' || {_float('l_tax')} || ']'"),
+                    ("mix", f"'[' || {_float('l_discount')} || ',' || {_float('l_quantity')} || ']'"), ("unit", "'\"' || l_returnflag || l_returnflag || '\"'"))
+_STATUS = (("timestamp", _text("event_id * 7")), ("nav_state", _text("CAST(floor(value) % 7 AS BIGINT)")), ("load", _float("floor(value) / 4")))
+_COUNTER = ("counter", _text("CASE WHEN event_id % 3 = 0 THEN 9223372036854775807 ELSE CAST(-9223372036854775808 + (event_id % 3 - 1) AS BIGINT) END"))
+
+ORACLE_SQL["convert_flight"] = f"""
+WITH tagged AS (
+    SELECT 'flight-' || CAST(conv_id % 10 AS VARCHAR) AS mcap_id, CAST(floor(turn / 2) * 1000000 AS BIGINT) AS ts_us, conv_id * 1000 + turn AS ordinal,
+           CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 ELSE 2 END AS tag, text AS message,
+           CASE role WHEN 'system' THEN 'INFO' WHEN 'user' THEN 'INFO' ELSE 'WARNING' END AS level FROM conversations),
+firsts AS (SELECT mcap_id, tag, min(ordinal) AS tag_first FROM tagged GROUP BY 1, 2),
+params AS (
+    SELECT p_partkey, 'P_SIZE' AS name, CAST(p_size AS VARCHAR) AS value, 0 AS k FROM part
+    UNION ALL SELECT p_partkey, 'P_PRICE', CAST(p_retailprice AS VARCHAR), 1 FROM part),
+positions AS (SELECT mcap_id, multi_id, timestamp, ordinal, CASE WHEN isnan(x) THEN x ELSE floor(x * 256) END AS x, floor(y * 256) AS y, floor(z * 256) AS z
+              FROM ({POSITION_SAMPLES})),
+points AS (SELECT mcap_id, row_number() OVER (PARTITION BY mcap_id ORDER BY ordinal) AS i, timestamp, y AS x, x AS y, -z AS z FROM positions WHERE {_VALID}),
+u AS (
+    SELECT 'flight-' || CAST(l_orderkey % 10 AS VARCHAR) AS mcap_id, 'motor_' || CAST(CAST(floor(l_orderkey / 10 % 2) AS INTEGER) AS VARCHAR) AS topic,
+           {_TS_MOTOR} AS ts_us, 0 AS stream, 1 AS sub_ord,
+           l_orderkey * 10 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_discount) - 1 AS row_ord, {_MOTOR_JSON} AS payload FROM lineitem
+    UNION ALL
+    SELECT 'flight-' || CAST(user_id % 10 AS VARCHAR), 'status_0', event_id * 7, 0, 0, event_id,
+           CASE WHEN user_id % 2 = 1 THEN {_json(*_STATUS, _COUNTER)} ELSE {_json(*_STATUS)} END FROM events
+    UNION ALL
+    SELECT 'flight-' || CAST(page_id % 10 AS VARCHAR), 'log', ts_us, 1, 0, page_id, {_LOG_JSON}
+    FROM (SELECT page_id, page_id * 1000 AS ts_us, CASE WHEN page_id % 3 = 0 THEN 'ERROR' ELSE 'INFO' END AS level, url AS message, '' AS name FROM pages)
+    UNION ALL
+    SELECT mcap_id, 'log', ts_us, 2, 0, row_number() OVER (PARTITION BY mcap_id ORDER BY ts_us, tag_first, ordinal), {_LOG_JSON}
+    FROM (SELECT *, CAST(tag AS VARCHAR) AS name FROM tagged JOIN firsts USING (mcap_id, tag))
+    UNION ALL
+    SELECT 'flight-' || CAST(p_partkey % 10 AS VARCHAR), 'parameter_changes', p_partkey, 3, 0, p_partkey * 2 + k,
+           '{{"timestamp":' || CAST(p_partkey AS VARCHAR) || ',"name":"' || name || '",' ||
+           CASE WHEN regexp_matches(value, '^[+-]?[0-9]+$') THEN '"int_value":' || value ELSE '"float_value":' || value END || '}}' FROM params
+    UNION ALL
+    SELECT mcap_id, 'trajectory', min(first), 4, 0, (i - 1) // 50,
+           '{{"points":[' || string_agg('{{"x":' || CAST(x AS VARCHAR) || ',"y":' || CAST(y AS VARCHAR) || ',"z":' || CAST(z AS VARCHAR) || '}}', ',' ORDER BY i) || ']}}'
+    FROM (SELECT *, first_value(timestamp) OVER (PARTITION BY mcap_id ORDER BY i) AS first FROM points) GROUP BY mcap_id, (i - 1) // 50)
+SELECT mcap_id, row_number() OVER (PARTITION BY mcap_id ORDER BY ts_us, stream, sub_ord, row_ord) AS seq, ts_us, topic, stream, payload FROM u"""
+
+_STANDARD_TYPES = [("log_time", "timestamp_ntz"), ("publish_time", "timestamp_ntz"), ("sequence", "bigint"), ("mcap_id", "string"), ("multi_id", "int"),
+                   ("offset_us", "bigint"), ("time_source", "string")]
+_DESCRIBED = {
+    "vehicle_status": [*_STANDARD_TYPES, ("arming_state", "bigint"), ("nav_state", "bigint"), ("failsafe", "boolean"), ("log_date", "date")],
+    "logged_messages": [*_STANDARD_TYPES, ("level", "string"), ("message", "string"), ("log_date", "date")],
+    "error_counts": [("mcap_id", "string"), ("error_count", "bigint")],
+    "flights": [("mcap_id", "string"), ("flight_date", "date"), ("start_time", "timestamp_ntz"), ("duration", "string"), ("armed_duration", "string"),
+                ("error_count", "bigint")],
+}
+ORACLE_SQL["catalog_describe"] = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{t}', '{c}', '{k}')" for t, cols in _DESCRIBED.items() for c, k in cols) + ") d(name, col_name, data_type)"
+
+ORACLE_SQL["lake_metadata"] = ORACLE_SQL["metadata_named"]

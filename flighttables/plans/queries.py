@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 
 from ..operators import curated
 from . import standins as S
@@ -630,3 +631,138 @@ def ingest_two_firmwares(spark, root):
     ingest_envelopes(spark, S.firmware_envelopes(spark, root), S.FIRMWARE_SCHEMAS, lake)
     return LK.read_topic_table(spark, f"{lake}/vehicle_status").select(
         "mcap_id", "log_time", "arming_state", "nav_state", "nav_state__as_f64", "failsafe")
+
+
+@query("ingest_new_checkpoint")
+def ingest_new_checkpoint(spark, root):
+    """Files ingested by a stream, more files ingested by a stream with a fresh checkpoint, then the first stream again: all rows once."""
+    from ..streaming.ingest import ingest_stream
+    env_dir, lake = new_output_dir(spark, "checkpoint_envelopes"), new_output_dir(spark, "checkpoint_lake")
+    env = S.telemetry_envelopes(spark, root)
+    late = F.col("log_date") >= F.lit(S.FIRMWARE_SWITCH[:10]).cast("date")
+    env.where(~late).write.parquet(env_dir)
+    for k, name in enumerate(("first", "fresh", "first")):
+        if k == 1:
+            env.where(late).write.mode("append").parquet(env_dir)
+        q = ingest_stream(spark, env_dir, env.schema, lake, S.TELEMETRY_SCHEMAS, name=f"{os.path.basename(lake)}-{name}")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"ingest stream failed: {q.exception()}")
+    TB.open_lake(spark, lake)
+    return spark.sql("SELECT * FROM flights")
+
+
+@query("ingest_ten_descriptors")
+def ingest_ten_descriptors(spark, root):
+    """Ten descriptors of a topic in one batch, decoded in one pass: a type conflict, and a field of each descriptor's own."""
+    from ..operators.ingest import ingest_envelopes
+    lake = new_output_dir(spark, "ingest_ten_descriptors")
+    env, schemas = S.ten_descriptors(spark, root)
+    ingest_envelopes(spark, env, schemas, lake)
+    own = F.coalesce(*[F.col(f"own_{i}") for i in range(10)])
+    n_own = sum(F.col(f"own_{i}").isNotNull().cast("int") for i in range(10))
+    return LK.read_topic_table(spark, f"{lake}/vehicle_status").select(
+        "mcap_id", "log_time", "arming_state", "nav_state", "nav_state__as_f64", own.alias("own"), n_own.alias("n_own"))
+
+
+@query("ingest_run_stats")
+def ingest_run_stats(spark, root):
+    """The run table of a real ingest of files in two batches against the listing of the lake and the rows in it."""
+    from ..operators.ingest import ingest_envelopes
+    env_dir, lake = new_output_dir(spark, "run_envelopes"), new_output_dir(spark, "run_lake")
+    env = S.telemetry_envelopes(spark, root)
+    late = F.col("log_date") >= F.lit(S.FIRMWARE_SWITCH[:10]).cast("date")
+    in_bytes = 0
+    for part, some in (("a", ~late), ("b", late)):
+        env.where(some).repartition(2, "log_date").write.parquet(f"{env_dir}/{part}")
+        in_bytes += LK.written_files(spark, f"{env_dir}/{part}")[1]
+        ingest_envelopes(spark, MS.read_envelopes(spark, f"{env_dir}/{part}"), S.TELEMETRY_SCHEMAS, lake)
+    files = FS.list_files(spark, lake, ".parquet").withColumn("base_topic", F.regexp_extract("path", r"/([^/]+)/batch_id=[^/]+/log_date=", 1))
+    listed = files.where("base_topic <> ''").groupBy("base_topic").agg(F.sum("length").alias("listed"), F.count(F.lit(1)).alias("listed_files"))
+    runs = LK.read_runs(spark, lake).withColumn("outcome", F.lit("converted"))
+    per_batch = runs.groupBy("batch_id").agg(F.max("in_bytes").alias("b")).agg(F.sum("b").alias("batch_bytes"))
+    stats = ST.conversion_stats(runs, by=["base_topic"]).select("base_topic", "n_converted", "out_bytes", (F.col("transform_mb_s") > 0).alias("timed"))
+    rows = runs.groupBy("base_topic").agg(F.sum("rows_written").alias("rows_written"), F.sum("out_files").alias("out_files"), F.sum("rows_in").alias("rows_in"))
+    got = stats.join(rows, "base_topic").join(listed, "base_topic").withColumn("batch_bytes", F.lit(per_batch.first()["batch_bytes"]))
+    return got.select("base_topic", F.col("n_converted").alias("n_batches"), "rows_written", "rows_in", (F.col("out_bytes") == F.col("listed")).alias("bytes_agree"),
+                      (F.col("out_files") == F.col("listed_files")).alias("files_agree"), (F.col("batch_bytes") == F.lit(in_bytes)).alias("input_agrees"), "timed")
+
+
+@query("file_order")
+def file_order(spark, root):
+    """Rows of equal publish times lie in the written files in the order of the files they came from."""
+    from ..operators.ingest import ingest_envelopes
+    lake = new_output_dir(spark, "file_order")
+    env = S.ordered_files(spark, root, new_output_dir(spark, "ordered_files"))
+    ingest_envelopes(spark, env, {"vehicle_status": "event bigint"}, lake)
+    rows = spark.read.parquet(f"{lake}/vehicle_status/batch_id=*/log_date=*/*.parquet").select(
+        "event", "publish_time", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    before = Window.partitionBy("file").orderBy("place")
+    return rows.select("event", "publish_time", F.when(F.lag("publish_time").over(before) == F.col("publish_time"),
+                                                       F.lag("event").over(before)).alias("event_before"))
+
+
+@query("u64_wrap")
+def u64_wrap(spark, root):
+    """Unsigned 64-bit payload fields, single and in arrays, around 2^63 and 2^64 as table values."""
+    from pyspark.sql import types as T
+    from ..functions.types import variant_value, widen
+    od = S._t(spark, root, "orders")
+    big = lambda n, k: (F.lit(n).cast("decimal(20,0)") + F.col("o_orderkey") % k).cast("decimal(20,0)")
+    rows = od.select("o_orderkey", F.to_json(F.struct(big(Decimal(2 ** 63 - 2), 4).alias("counter"), F.array(
+        F.lit(Decimal(0)).cast("decimal(20,0)"), big(Decimal(2 ** 64 - 3), 3)).alias("marks"), F.col("o_orderkey").alias("plain"))).alias("payload"))
+    fields = MS.parse_fields(F.col("payload"))
+    u64 = T.DecimalType(20, 0)
+    value = lambda name, kind: widen(variant_value(F.try_element_at("f", F.lit(name)), kind), kind)
+    got = rows.select("o_orderkey", fields.alias("f")).select("o_orderkey", value("counter", u64).alias("counter"),
+                                                              value("marks", T.ArrayType(u64)).alias("m"), value("plain", T.LongType()).alias("plain"))
+    return got.select("o_orderkey", "counter", F.col("m")[0].alias("mark_0"), F.col("m")[1].alias("mark_1"), "plain")
+
+
+#: Points of a segment in the registered polyline, few enough that the given flights have several.
+POLYLINE_POINTS = 50
+
+
+@query("trajectory_polyline")
+def trajectory_polyline(spark, root):
+    """Each flight's line as segments of bounded size, taken apart again: segments in order give the line."""
+    lines = TJ.polyline(S.position_samples(spark, root), POLYLINE_POINTS)
+    return lines.select("mcap_id", "segment", "first_ts", "n_points", F.posexplode("points").alias("place", "p")).select(
+        "mcap_id", "segment", "first_ts", "n_points", (F.col("segment") * POLYLINE_POINTS + F.col("place") + 1).alias("point_idx"), "p.x", "p.y", "p.z")
+
+
+@query("convert_flight")
+def convert_flight(spark, root):
+    """Raw logs to ordered messages: field lists and columnar samples packed by definition, merged with the other four streams, written, read back."""
+    from ..operators import convert as CV
+    pages, tagged, parameters, positions = S.converted_streams(spark, root)
+    messages = CV.convert(S.converted_fields(spark, root), S.converted_samples(spark, root), pages, tagged, parameters, positions, segment=POLYLINE_POINTS)
+    return CV.write_messages(spark, messages, new_output_dir(spark, "convert_flight")).select("mcap_id", "seq", "ts_us", "topic", "stream", "payload")
+
+
+@query("catalog_describe")
+def catalog_describe(spark, root):
+    """Columns and types of the topic tables and curated views of an ingested lake, as ``DESCRIBE`` gives them."""
+    from ..operators.ingest import ingest_envelopes
+    lake = new_output_dir(spark, "catalog_describe")
+    ingest_envelopes(spark, S.telemetry_envelopes(spark, root), S.TELEMETRY_SCHEMAS, lake)
+    TB.open_lake(spark, lake)
+    out = None
+    for name in ("vehicle_status", "logged_messages", "error_counts", "flights"):
+        part = TB.describe(spark, name).select(F.lit(name).alias("name"), "col_name", "data_type")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("lake_metadata")
+def lake_metadata(spark, root):
+    """The three metadata maps of each flight, stored with it in one batch (the same batch again adds nothing) and read back from the lake by SQL."""
+    from ..operators.ingest import ingest_envelopes
+    lake = new_output_dir(spark, "lake_metadata")
+    rows = S.named_metadata_rows(spark, root).withColumnRenamed("ordinal", "row_index").withColumns(
+        {"log_date": F.lit("2024-01-05").cast("date"), "source": F.concat(F.lit("/logs/"), F.col("mcap_id")), "stamp": F.lit("1")})
+    env = S.telemetry_envelopes(spark, root).where("log_date < '2024-01-03'")
+    for _ in range(2):
+        ingest_envelopes(spark, env, S.TELEMETRY_SCHEMAS, lake, on_existing="skip", batch_id="flights-1", metadata=rows)
+    TB.open_lake(spark, lake)
+    return spark.sql(" UNION ALL ".join(f"SELECT mcap_id, '{n}' AS name, explode({n}) AS (key, value) FROM {LK.FLIGHT_METADATA}" for n in LG.METADATA_NAMES))

@@ -492,3 +492,93 @@ def motor_samples(spark, root) -> DataFrame:
                      status.alias("motor[1].tag[0]"), F.lit(0).alias("motor[1].tag[1]"), F.col("l_tax").alias("motor[1].volt"),
                      F.col("l_discount").alias("mix[0]"), F.col("l_quantity").alias("mix[1]"), flag.alias("unit[0]"),
                      flag.alias("unit[1]"), F.col("l_tax").alias("rig[0].arm.len"))
+
+
+# ---------------------------------------------------------------- whole conversion, origin of rows
+
+def _flight_of(c) -> F.Column:
+    """One of ten flights, by a number."""
+    return F.concat(F.lit("flight-"), (F.col(c) % 10).cast("string"))
+
+
+# The field lists of the converted topics; flights with an odd number have the later firmware.
+CONVERTED_FIELDS = {
+    "motor": [("timestamp", "uint64_t"), *MOTOR_FIELDS[1:]],
+    "status": [("timestamp", "uint64_t"), ("nav_state", "uint8_t"), ("load", "float")],
+    "status_later": [("timestamp", "uint64_t"), ("nav_state", "uint8_t"), ("load", "float"), ("counter", "uint64_t")],
+}
+
+
+def converted_fields(spark, root) -> DataFrame:
+    """Field lists of the topic types of every flight that has samples."""
+    flights = _t(spark, root, "lineitem").select(_flight_of("l_orderkey").alias("mcap_id")).union(
+        _t(spark, root, "events").select(_flight_of("user_id"))).distinct()
+    rows = [(name, i, f, t) for name, fields in CONVERTED_FIELDS.items() for i, (f, t) in enumerate(fields)]
+    lists = spark.createDataFrame(rows, "list string, ordinal bigint, field string, type string")
+    later = F.col("mcap_id").rlike("[13579]$")
+    held = flights.withColumn("list", F.explode(F.array(F.lit("motor"), F.when(later, F.lit("status_later")).otherwise(F.lit("status")))))
+    return held.join(F.broadcast(lists), "list").select("mcap_id", F.regexp_replace("list", "_later$", "").alias("topic"), "ordinal", "field", "type")
+
+
+def converted_samples(spark, root) -> DataFrame:
+    """Columnar parts: an order's lines are a part of the motor dataset of its flight, an event is one of the status dataset."""
+    li = motor_samples(spark, root)
+    names = [f for f, _ in CONVERTED_FIELDS["motor"][1:]]
+    line = F.struct("l_linenumber", "time", F.col("`motor[0].volt`").alias("volt"), F.col("`mix[0]`").alias("mix"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ts"), *[F.col(f"`{n}`").cast("string").alias(n) for n in names])
+    parts = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))  # an order has a few lines
+    values = lambda n: F.transform("lines", lambda x: x[n])
+    motor = parts.select(_flight_of("l_orderkey").alias("mcap_id"), F.lit("motor").alias("topic_name"),
+                         F.floor(F.col("l_orderkey") / 10 % 2).cast("int").alias("multi_id"), F.lit(1).alias("topic_ord"),
+                         (F.col("l_orderkey") * 10).alias("first"), F.transform("lines", lambda x: x["ts"]).alias("timestamp"),
+                         F.create_map(*[c for n in names for c in (F.lit(n), values(n))]).alias("data"))
+    ev = _t(spark, root, "events")
+    one = lambda c: F.array(c.cast("string"))
+    counter = F.when(F.col("user_id") % 2 == 1, F.lit(2 ** 63 - 1).cast("decimal(20,0)") + F.col("event_id") % 3)
+    status = ev.select(_flight_of("user_id").alias("mcap_id"), F.lit("status"), F.lit(0), F.lit(0), F.col("event_id"),
+                       F.array(F.col("event_id") * 7), F.create_map(F.lit("nav_state"), one(F.floor(F.col("value")) % 7),
+                                                                   F.lit("load"), one(F.floor(F.col("value")) / 4), F.lit("counter"), one(counter)))
+    return motor.union(status)
+
+
+def converted_streams(spark, root) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Untagged logs (pages), tagged logs (conversations), parameter changes (parts) and positions (embeddings) of the ten flights."""
+    pages = _t(spark, root, "pages").select(_flight_of("page_id").alias("mcap_id"), (F.col("page_id") * 1000).alias("ts_us"),
+                                            F.col("page_id").alias("ordinal"), F.col("url").alias("message"),
+                                            F.when(F.col("page_id") % 3 == 0, "ERROR").otherwise("INFO").alias("level_name"))
+    tagged = conversation_logs(spark, root).withColumn("conv", F.regexp_extract("mcap_id", "([0-9]+)$", 1).cast("bigint"))
+    tagged = tagged.withColumns({"mcap_id": _flight_of("conv"), "ordinal": F.col("conv") * 1000 + F.col("ordinal")}).drop("conv")
+    parameters = parameter_rows(spark, root).withColumn("ordinal", F.col("timestamp") * 2 + F.when(F.col("name") == "P_SIZE", 0).otherwise(1))
+    parameters = parameters.withColumn("mcap_id", _flight_of("timestamp"))
+    positions = position_samples(spark, root)
+    whole = lambda c: F.floor(F.col(c) * 256).cast("double")
+    positions = positions.withColumns({c: F.when(F.isnan(c), F.col(c)).otherwise(whole(c)) for c in ("x", "y", "z")})
+    return pages, tagged, parameters, positions
+
+
+def ordered_files(spark, root, path: str) -> DataFrame:
+    """Status envelopes with many equal publish times, written as files in the order of falling event ids, and read with their origin."""
+    from ..sources.messages import read_envelopes
+    ev = _t(spark, root, "events")
+    day = F.col("ts").cast("date")
+    ns = F.lit(3_600_000_000_000) * F.hour("ts")
+    env = ev.select(flight_id().alias("mcap_id"), day.alias("log_date"), F.lit("vehicle_status_0").alias("topic"), ns.alias("log_time_ns"),
+                    ns.alias("publish_time_ns"), F.lit(0).cast("bigint").alias("sequence"), F.lit("Status").alias("schema_name"),
+                    F.to_json(F.struct(F.col("event_id").alias("event"))).alias("payload"))
+    env.withColumn("_o", F.get_json_object("payload", "$.event").cast("bigint")).repartitionByRange(4, F.desc("_o")) \
+        .sortWithinPartitions(F.desc("_o")).drop("_o").write.parquet(path)
+    return read_envelopes(spark, path)
+
+
+def ten_descriptors(spark, root) -> tuple[DataFrame, dict]:
+    """Status envelopes of ten firmwares (by user), each with an own field, and their payload schemas."""
+    env = telemetry_envelopes(spark, root).where(F.col("topic") == "vehicle_status_0")
+    was = F.from_json("payload", "arming_state int, nav_state int, failsafe boolean")
+    k = F.regexp_extract("mcap_id", "([0-9])$", 1).cast("int")
+    payload = F.lit(None).cast("string")
+    schemas = {}
+    for i in range(10):
+        nav = was["nav_state"] if i < 5 else (was["nav_state"] + F.lit(0.5)).cast("double")
+        one = F.to_json(F.struct(was["arming_state"].alias("arming_state"), nav.alias("nav_state"), (was["nav_state"] * 10 + i).alias(f"own_{i}")))
+        payload = F.when(k == i, one).otherwise(payload)
+        schemas[f"StatusV{i}"] = f"arming_state int, nav_state {'int' if i < 5 else 'double'}, own_{i} bigint"
+    return env.withColumns({"payload": payload, "schema_name": F.concat(F.lit("StatusV"), k.cast("string"))}), {"vehicle_status": schemas}

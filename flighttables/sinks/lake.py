@@ -5,12 +5,13 @@ A topic table is a folder ``<lake>/<topic>/batch_id=<id>/log_date=YYYY-MM-DD/``
 
 1. the evolved payload schema is recorded (by the ingest job);
 2. the data go to the folder of the batch's id, replacing what a failed run of the same batch left there;
-3. the batch's manifest rows ``(mcap_id, source, log_date[, base_topic])`` go to ``_ingested/batch_id=<id>``.
+3. the batch's manifest rows ``(mcap_id, source, stamp, log_date[, base_topic])`` go to ``_ingested/batch_id=<id>``.
 
 Only batches with manifest rows count: readers take their data, whatever else lies in the table.  So a batch that failed
 before step 3 shows nothing and loses nothing when it is run again, with the same id or a new one, and a batch that
 is run again after step 3 is skipped.  What was ingested is told by (flight, source file), so a flight whose rows lie in
-several files may arrive in several batches.
+several files may arrive in several batches.  ``stamp`` tells versions of a file apart: a file that has changed since it
+was ingested is an error, never taken for the one that is held.
 """
 
 from __future__ import annotations
@@ -31,8 +32,13 @@ MANIFEST = "_ingested"
 FANOUT_MANIFEST = "_ingested_topics"
 TABLE_SCHEMA = "_table_schema"
 POLICIES = ("error", "skip", "append")
-_MANIFEST_SCHEMA = "mcap_id string, source string, log_date date, batch_id string"
-_FANOUT_SCHEMA = "mcap_id string, source string, base_topic string, log_date date, batch_id string"
+_MANIFEST_SCHEMA = "mcap_id string, source string, stamp string, log_date date, batch_id string"
+_FANOUT_SCHEMA = "mcap_id string, source string, stamp string, base_topic string, log_date date, batch_id string"
+#: Columns of a batch that tell where a row came from; they order the rows and go to the manifest, not to the table.
+_ORIGIN = ("source", "stamp", "row_index")
+RUNS = "_runs"
+_RUN_SCHEMA = ("base_topic string, n_files bigint, in_bytes bigint, rows_in bigint, out_files bigint, out_bytes bigint, rows_written bigint, "
+               "read_seconds double, transform_seconds double, write_seconds double, batch_id string")
 
 
 def new_batch_id() -> str:
@@ -54,16 +60,17 @@ def committed_batches(spark: SparkSession, root: str, name: str = MANIFEST) -> l
 
 
 def _with_source(messages: DataFrame) -> DataFrame:
-    """Messages without a ``source`` column are told by their flight."""
-    return messages if "source" in messages.columns else messages.withColumn("source", F.col("mcap_id").cast("string"))
+    """Messages without a ``source`` column are told by their flight, and without ``stamp`` by the source alone."""
+    rows = messages if "source" in messages.columns else messages.withColumn("source", F.col("mcap_id").cast("string"))
+    return rows if "stamp" in rows.columns else rows.withColumn("stamp", F.lit(None).cast("string"))
 
 
 def _stage_and_check(spark: SparkSession, messages: DataFrame, root: str, keys: list[str], name: str, mode: str, on_existing: str,
-                     batch_id: str | None) -> tuple[DataFrame, DataFrame, str, str] | None:
+                     batch_id: str | None, listing: DataFrame | None = None) -> tuple[DataFrame, DataFrame, str, str] | None:
     """Stage the batch's manifest rows and apply the re-ingest policy.
 
     ``error``: fail if a (flight, source) of the batch is already listed; ``skip``: drop those rows from the batch;
-    ``append``: no check.  Returns (messages, manifest rows, staged folder, batch id), or ``None`` if the batch is committed.
+    ``append``: no check.  ``listing`` has the key columns of all messages, where they can be read more cheaply.  Returns (messages, manifest rows, staged folder, batch id), or ``None`` if the batch is committed.
     """
     if on_existing not in POLICIES:
         raise ValueError(f"unknown on_existing policy {on_existing!r}")
@@ -78,11 +85,16 @@ def _stage_and_check(spark: SparkSession, messages: DataFrame, root: str, keys:
     messages = _with_source(messages)
     # One pass over a few pruned columns; the result is written, never collected.
     staged_dir = new_output_dir(spark, "ingest-batch")
-    messages.select(*keys).distinct().write.parquet(staged_dir)
+    (messages if listing is None else listing).select(*keys).distinct().write.parquet(staged_dir)
     batch = spark.read.schema(messages.select(*keys).schema).parquet(staged_dir)
     if done is not None and on_existing != "append":
         pair = ["mcap_id", "source"]
-        already = batch.select(*pair).distinct().join(done.select(*pair).distinct(), on=pair, how="left_semi")
+        held = done.groupBy(*pair).agg(F.max("stamp").alias("held_stamp"))
+        already = batch.select(*pair, "stamp").distinct().join(held, on=pair)
+        changed = already.where(F.col("stamp") != F.col("held_stamp")).limit(1).collect()
+        if changed:
+            raise ValueError(f"{changed[0]['source']} has changed since it was ingested into {root}")
+        already = already.select(*pair)
         if on_existing == "skip":
             messages = messages.join(already, on=pair, how="left_anti")
             batch = batch.join(already, on=pair, how="left_anti")
@@ -94,31 +106,89 @@ def _stage_and_check(spark: SparkSession, messages: DataFrame, root: str, keys:
 
 
 def _write_data(df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    (df.drop("source").write.mode("overwrite").partitionBy(*partition_cols).option("compression", COMPRESSION)
+    (df.drop(*_ORIGIN).write.mode("overwrite").partitionBy(*partition_cols).option("compression", COMPRESSION)
      .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL).parquet(path))
 
 
 def _commit(batch: DataFrame, root: str, name: str, batch_id: str) -> None:
-    batch.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/batch_id={batch_id}")
+    batch.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/batch_id={batch_id}")
 
 
 def write_topic_table(spark: SparkSession, rows: DataFrame, table_dir: str, mode: str = "append", on_existing: str = "error",
-                      batch_id: str | None = None, rebalance: bool = True) -> None:
+                      batch_id: str | None = None, rebalance: bool = True, listing: DataFrame | None = None,
+                      counted: Observation | None = None) -> bool:
     """Append (or overwrite) one topic's rows, partitioned by ``log_date``, sorted by publish time.
 
     ``batch_id`` names the write: the same batch again replaces what a failed run left, and does nothing once it is
     committed.  ``source`` in ``rows`` is the file a row came from (default: its flight); it is not stored.
-    ``rebalance=False`` is for rows that already lie together by day.
+    ``rebalance=False`` is for rows that already lie together by day; ``listing`` has the rows' key columns, read more cheaply than
+    from ``rows``; ``counted`` gets the number of ``rows`` written.  Returns whether anything was written.
     """
     root = table_dir.rstrip("/")
-    checked = _stage_and_check(spark, rows, root, ["mcap_id", "source", "log_date"], MANIFEST, mode, on_existing, batch_id)
+    checked = _stage_and_check(spark, rows, root, ["mcap_id", "source", "stamp", "log_date"], MANIFEST, mode, on_existing, batch_id, listing)
     if checked is None:
-        return
+        return False
     rows, batch, staged, batch_id = checked
+    if counted is not None:
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     rows = rows.hint("rebalance", "log_date") if rebalance else rows
     _write_data(sort_for_write(rows, ["log_date"]), f"{root}/batch_id={batch_id}", ["log_date"])
     _commit(batch, root, MANIFEST, batch_id)
     remove_dir(spark, staged)
+    return True
+
+
+#: The side table with the metadata that a flight was logged with.
+FLIGHT_METADATA = "flight_metadata"
+
+
+def write_flight_metadata(spark: SparkSession, entries: DataFrame, lake_dir: str, on_existing: str = "error", batch_id: str | None = None) -> bool:
+    """Add flights' metadata to the lake's side table, a row per flight with its three named maps.
+
+    ``entries (mcap_id, log_date, name, key, value, source, stamp, row_index)`` are the metadata records of the files; of a key that a flight
+    repeats the last one by file and place counts.  The table has a manifest like a topic table, so a batch adds all of its flights or none.
+    """
+    from ..operators.logs import named_metadata
+    root = f"{lake_dir.rstrip('/')}/{FLIGHT_METADATA}"
+    placed = _with_source(entries).withColumn("place", F.struct("source", "row_index"))
+    listing = placed.select("mcap_id", "source", "stamp", F.col("log_date").cast("date").alias("log_date"))
+    checked = _stage_and_check(spark, placed, root, ["mcap_id", "source", "stamp", "log_date"], MANIFEST, "append", on_existing, batch_id, listing)
+    if checked is None:
+        return False
+    placed, batch, staged, batch_id = checked
+    maps = named_metadata(placed, ordinal_col="place")
+    days = placed.groupBy("mcap_id").agg(F.min(F.col("log_date").cast("date")).alias("log_date"))
+    rows = maps.join(days, "mcap_id").hint("rebalance", "log_date")
+    _write_data(rows.sortWithinPartitions("log_date", "mcap_id"), f"{root}/batch_id={batch_id}", ["log_date"])
+    _commit(batch, root, MANIFEST, batch_id)
+    remove_dir(spark, staged)
+    return True
+
+
+def written_files(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of the data files under ``path``, by a distributed listing."""
+    if not path_exists(spark, path):
+        return 0, 0
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    r = listing.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("size")).first()
+    return r["n"], r["size"]
+
+
+def write_run(spark: SparkSession, lake_dir: str, batch_id: str, topics: list[dict]) -> None:
+    """Add what an ingest run did, a row per topic (metadata), to the lake's run table; a batch that is run again adds its figures again
+    only for the topics that it wrote."""
+    rows = [t for t in topics if t["out_files"]]
+    if rows:
+        schema = T.StructType.fromDDL(_RUN_SCHEMA)
+        data = [tuple(batch_id if f.name == "batch_id" else t[f.name] for f in schema.fields) for t in rows]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").partitionBy("batch_id").parquet(f"{lake_dir.rstrip('/')}/{RUNS}")
+
+
+def read_runs(spark: SparkSession, lake_dir: str) -> DataFrame:
+    """The lake's run table: per batch and topic the files, bytes and rows read, files, bytes and rows written, and seconds by phase
+    (``read_seconds``: staging of the whole batch; files and bytes read are the batch's too)."""
+    path = f"{lake_dir.rstrip('/')}/{RUNS}"
+    return spark.read.schema(_RUN_SCHEMA).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], _RUN_SCHEMA)
 
 
 def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: str = "append", on_existing: str = "error",
@@ -132,7 +202,7 @@ def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: st
     counted by an ``Observation`` during the write itself (no extra pass).
     """
     root = lake_dir.rstrip("/")
-    checked = _stage_and_check(spark, messages, root, ["mcap_id", "source", "base_topic", "log_date"], FANOUT_MANIFEST, mode,
+    checked = _stage_and_check(spark, messages, root, ["mcap_id", "source", "stamp", "base_topic", "log_date"], FANOUT_MANIFEST, mode,
                                on_existing, batch_id)
     if checked is not None:
         messages, batch, staged, batch_id = checked
@@ -151,17 +221,13 @@ def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: st
     return [] if manifest is None else sorted(r["base_topic"] for r in manifest.select("base_topic").distinct().collect())
 
 
-def _committed(df: DataFrame, batches: list[str]) -> DataFrame:
-    return df.where(F.col("batch_id").isin(batches)).drop("batch_id")
-
-
 def _read(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
-    batches = committed_batches(spark, root, name)
-    if not batches:
+    manifest = read_manifest(spark, root, name)
+    if manifest is None or manifest.isEmpty():
         raise ValueError(f"no committed batch in {root}")
     reader = spark.read.option("mergeSchema", "true") if schema is None else \
         spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())]))
-    return _committed(reader.parquet(root), batches)
+    return reader.parquet(root).join(manifest.select("batch_id").distinct(), on="batch_id", how="left_semi").drop("batch_id")
 
 
 def read_lake(spark: SparkSession, lake_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ Payloads are self-described JSON text; they are decoded against the topic's sche
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 
@@ -20,6 +20,26 @@ def decode_payload(messages: DataFrame, schema: T.StructType | str, payload_col:
     return messages.select(*keep, parsed.alias("_payload")).select(*keep, "_payload.*")
 
 
+def parse_fields(payload) -> Column:
+    """The fields of a JSON payload by name, each a VARIANT: one parse, whatever types they turn out to have (fail fast; NULL for an empty text)."""
+    return F.from_json(payload, "map<string,variant>", {"mode": "FAILFAST"})
+
+
+def with_origin(envelopes: DataFrame) -> DataFrame:
+    """Envelopes read from Parquet files with where each row came from: ``source`` (path), ``stamp`` (size and modification time of the
+    file), ``file_size`` and ``row_index`` (place in the file).  Works on batch and streaming reads."""
+    m = lambda c: F.col(f"_metadata.{c}")
+    stamp = F.concat_ws("-", m("file_size").cast("string"), F.unix_millis(m("file_modification_time")).cast("string"))
+    return envelopes.select("*", m("file_path").alias("source"), stamp.alias("stamp"), m("file_size").alias("file_size"),
+                            m("row_index").alias("row_index"))
+
+
+def read_envelopes(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Envelope files (Parquet) under ``path`` with their rows' origin."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return with_origin(reader.parquet(path))
+
+
 def read_log_catalog(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                      multi_line: bool = True) -> DataFrame:
     """Log catalog records, ``log_date`` as DATE.

@@ -17,6 +17,7 @@ itself, encodes the text.  Both give tokens whose bytes, joined, are the same.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
@@ -235,6 +236,7 @@ def _aligned(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: s
             seq, ids, figures, shas, groups, links, held = seq + 1, [], [], [], [], [], 0
             return row
 
+        gc.disable()  # nothing here refers to itself, and the collector would walk the kept pieces again and again
         for batch in blocks(batches, "text", BLOCK_CHARS):
             texts = batch.column("text").to_pylist()
             ids.append(batch.column("id"))
@@ -248,6 +250,7 @@ def _aligned(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: s
                 yield close()
         if shas:
             yield close()
+        gc.enable()
 
     return in_arrow(docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")), run,
                     f"chunk long, ids array<{kind}>, figures array<array<long>>, shas array<string>, groups array<string>, pairs binary, links binary")

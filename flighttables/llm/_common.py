@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,12 @@ def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def carried(docs: DataFrame, columns: list[str], text_col: str) -> tuple[list[F.Column], str]:
+    """``columns`` of ``docs`` as ``_c0``..., and the name of the text among them: each column goes to Python once."""
+    out = [docs[c].alias(f"_c{i}") for i, c in enumerate(columns)]
+    return (out, f"_c{columns.index(text_col)}") if text_col in columns else ([*out, docs[text_col].alias("_text")], "_text")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back (cuts the lineage)."""
     spark = df.sparkSession
@@ -59,22 +65,30 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Longest word (in bytes) that a cache of words keeps; longer ones are looked up anew.
+KEPT_WORD = 64
+
+
 class WordCodes:
-    """Distinct words of what one task has read so far, numbered; bounded by ``limit`` entries.
+    """Distinct words of what one task has read so far, numbered; bounded by ``limit`` entries and ``most`` bytes of words.
 
     When the dictionary is full it is emptied, so codes are comparable only between the words of one
     :meth:`encode` call.
     """
 
-    def __init__(self, limit: int = 1_000_000):
-        self.limit = limit
+    def __init__(self, limit: int = 1_000_000, most: int = 32_000_000):
+        self.limit, self.most, self.held = limit, most, 0
         self.ids: dict[bytes, int] = {}
 
     def encode(self, tokens: Iterable[bytes]) -> np.ndarray:
         ids = self.ids
-        if len(ids) > self.limit:
+        if len(ids) > self.limit or self.held > self.most:
             ids.clear()
-        return np.fromiter((ids.setdefault(w, len(ids)) for w in tokens), np.int64)
+            self.held = 0
+        known = len(ids)
+        out = np.fromiter((ids.setdefault(w, len(ids)) for w in tokens), np.int64)
+        self.held += sum(map(len, islice(reversed(ids), len(ids) - known)))
+        return out
 
 
 class WordHashes:
@@ -93,8 +107,9 @@ class WordHashes:
         if len(missing):
             new = [tokens[i] for i in missing.tolist()]
             fn = self.fn
-            cache.update((w, fn(w)) for w in dict.fromkeys(new))
-            out[missing] = np.fromiter(map(cache.__getitem__, new), np.uint64, len(new))
+            found = {w: fn(w) for w in dict.fromkeys(new)}
+            cache.update((w, h) for w, h in found.items() if len(w) <= KEPT_WORD)
+            out[missing] = np.fromiter(map(found.__getitem__, new), np.uint64, len(new))
         return out
 
 

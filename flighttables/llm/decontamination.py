@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flighttables.llm._common import blocks, in_arrow, lower_ascii, starts_of
+from flighttables.llm._common import blocks, carried, in_arrow, lower_ascii, starts_of
 
 #: Bytes that separate words: the ASCII characters outside 0-9, A-Z, a-z (see ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``).
 _SEPARATE = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
@@ -193,17 +193,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     text are all found.  An empty benchmark hits nothing.  Repeated rows are judged one by one.
     """
     given = docs.columns if keep else [id_col]
-    rows = docs.select(docs[text_col].alias("_text"), *[docs[c].alias(f"_c{i}") for i, c in enumerate(given)])
-    types = [f.dataType.simpleString() for f in rows.schema.fields[1:]]
+    columns, text = carried(docs, given, text_col)
+    rows = docs.select(*columns)
+    types = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields]
     found = "_hit_n long, _hit_spans array<struct<start:long,end:long>>, _hit_items array<string>, _hit_longest long"
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     out = rows
     had = False
     for block in read_items(benchmark, item_col, text_col, block_bytes) if benchmark is not None else ():
-        out = _searched(out, block, window, types, found, span_type, had)
+        out = _searched(out, block, window, text, types, found, span_type, had)
         had = True
     if not had:
-        out = _searched(out, [], window, types, found, span_type, False)
+        out = _searched(out, [], window, text, types, found, span_type, False)
     if keep:
         return out.where(F.size("_hit_spans") == 0).select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(given)])
     hit = F.aggregate("_hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -211,15 +212,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                       F.array_sort(F.array_distinct("_hit_items")).alias("items"), F.col("_hit_longest").alias("longest"))
 
 
-def _searched(rows: DataFrame, block, window, types, found, span_type, had: bool) -> DataFrame:
+def _searched(rows: DataFrame, block, window, text, types, found, span_type, had: bool) -> DataFrame:
     """``rows`` with what ``block`` hits; with ``had`` the columns of an earlier block are there and are merged."""
     tests = rows.sparkSession.sparkContext.broadcast(block)  # at most block_bytes of text
-    n = 1 + len(types)
+    n = len(types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = TestItems(tests.value, window)
-        for b in blocks(batches, "_text", 8_000_000):
-            tokens = [item_words(t) for t in b.column("_text").to_pylist()]
+        for b in blocks(batches, text, 8_000_000):
+            tokens = [item_words(t) for t in b.column(text).to_pylist()]
             spans, names, longest = search_block(tokens, items)
             names = [list(x) for x in names]
             if had:
@@ -233,8 +234,7 @@ def _searched(rows: DataFrame, block, window, types, found, span_type, had: bool
                  pa.array(names, pa.list_(pa.string())), pa.array(longest, pa.int64())],
                 names=[*b.schema.names[:n], "_hit_n", "_hit_spans", "_hit_items", "_hit_longest"])
 
-    schema = ", ".join(["_text string", *(f"_c{i} {t}" for i, t in enumerate(types)), found])
-    return in_arrow(rows, run, schema)
+    return in_arrow(rows, run, ", ".join([*types, found]))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -8,7 +8,7 @@ from operator import eq
 
 import numpy as np
 
-from flighttables.llm._common import n_spaces, words
+from flighttables.llm._common import KEPT_WORD, n_spaces, words
 
 SYMBOLS = "#*$%&|<>"
 #: Structure statistics and metadata come first, then the hashed words.
@@ -36,7 +36,9 @@ class TextFeatures:
         for w in counts:
             b = cache.get(w)
             if b is None:
-                b = cache[w] = N_STATS + (zlib.crc32(w.lower()) & mask)
+                b = N_STATS + (zlib.crc32(w.lower()) & mask)
+                if len(w) <= KEPT_WORD:
+                    cache[w] = b
             buckets.append(b)
         at = np.unique(np.array(buckets, np.int64)) if buckets else np.zeros(0, np.int64)
         index = np.concatenate((np.arange(N_STATS), at))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flighttables.llm._common import blocks, in_arrow, staged
+from flighttables.llm._common import blocks, carried, in_arrow, staged
 from flighttables.llm.features import N_STATS, TextFeatures, csr
 from flighttables.llm.quality_classifier import training_rows
 
@@ -82,20 +82,20 @@ def with_posteriors(docs: DataFrame, labels: DataFrame, domains: list[str], doma
     shared = docs.sparkSession.sparkContext.broadcast((w, b))  # domains * 2^bits floats
     given = docs.columns if keep else [id_col]
     n_chars = docs["n_chars"].cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    rows = docs.select(docs[text_col].alias("_text"), n_chars.alias("_n"), F.pmod(F.xxhash64(docs[id_col], docs[text_col], F.lit("mix")),
-                       F.lit(1 << 30)).alias("_h"), *[docs[c].alias(f"_c{i}") for i, c in enumerate(given)])
-    types = [f.dataType.simpleString() for f in rows.schema.fields[3:]]
+    columns, text = carried(docs, given, text_col)
+    rows = docs.select(*columns, n_chars.alias("_n"), F.pmod(F.xxhash64(docs[id_col], docs[text_col], F.lit("mix")), F.lit(1 << 30)).alias("_h"))
+    types = [f.dataType.simpleString() for f in rows.schema.fields[:len(given)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, (w, b) = TextFeatures(bits), shared.value
-        for batch in blocks(batches, "_text"):
-            got = [features(t, n) for t, n in zip(batch.column("_text").to_pylist(), batch.column("_n").to_pylist())]
+        for batch in blocks(batches, text):
+            got = [features(t, n) for t, n in zip(batch.column(text).to_pylist(), batch.column("_n").to_pylist())]
             p = posteriors(w, b, *csr([g[:2] for g in got]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[3:], pa.array([g[2] for g in got], pa.int64()),
+                [*batch.columns[:len(types)], pa.array([g[2] for g in got], pa.int64()),
                  pa.array(np.array(batch.column("_h").to_pylist(), np.float64) / (1 << 30)),
                  pa.array(p.astype(np.float64).tolist(), pa.list_(pa.float64()))],
-                names=[*batch.schema.names[3:], "_t", "_u", "_p"])
+                names=[*batch.schema.names[:len(types)], "_t", "_u", "_p"])
 
     return in_arrow(rows, run, ", ".join([*(f"_c{i} {t}" for i, t in enumerate(types)), "_t long", "_u double", "_p array<double>"]))
 

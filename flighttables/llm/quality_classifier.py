@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flighttables.llm._common import blocks, crc_remainder, in_arrow
+from flighttables.llm._common import blocks, carried, crc_remainder, in_arrow
 from flighttables.llm.features import N_STATS, TextFeatures, csr
 
 #: Labels are learned from ids whose crc32 (of the id as text) modulo FOLDS is not HELD_OUT.
@@ -132,15 +132,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", m
     shared = docs.sparkSession.sparkContext.broadcast((model.b, model.w, model.v))  # (rank + 1) * 2^bits floats
 
     given = docs.columns if keep else [id_col]
-    rows = docs.select(docs[text_col].alias("_text"), _n_chars(docs).alias("_n"), *[docs[c].alias(f"_c{i}") for i, c in enumerate(given)])
-    types = [f.dataType.simpleString() for f in rows.schema.fields[2:]]
+    columns, text = carried(docs, given, text_col)
+    rows = docs.select(*columns, _n_chars(docs).alias("_n"))
+    types = [f.dataType.simpleString() for f in rows.schema.fields[:len(given)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, m = TextFeatures(bits), FactorisationMachine(*shared.value)
-        for b in blocks(batches, "_text"):
-            got = [features(t, n)[:2] for t, n in zip(b.column("_text").to_pylist(), b.column("_n").to_pylist())]
-            yield pa.RecordBatch.from_arrays([*b.columns[2:], pa.array(m.scores(*csr(got)).astype(np.float64))],
-                                             names=[*b.schema.names[2:], "_score"])
+        for b in blocks(batches, text):
+            got = [features(t, n)[:2] for t, n in zip(b.column(text).to_pylist(), b.column("_n").to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(types)], pa.array(m.scores(*csr(got)).astype(np.float64))],
+                                             names=[*b.schema.names[:len(types)], "_score"])
 
     out = in_arrow(rows, run, ", ".join([*(f"_c{i} {t}" for i, t in enumerate(types)), "_score double"]))
     if keep:

@@ -96,14 +96,15 @@ class Encoder:
     """Token ids of texts, exactly as the library gives them without special tokens.
 
     Where spaces separate tokens for certain, the ids of a text are those of its words in order, so each
-    distinct word is encoded once by the library and kept (at most about ``limit`` words in a Python worker).
+    distinct word is encoded once by the library and kept (at most about ``limit`` words, and ``most`` bytes of words and ids, in a
+    Python worker).
     A stop that ends a word counts as a word, and case does not tell words apart where the tokenizer
     lowers it and both forms of the text are in normal form C, which makes the order of the two steps all one.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 1_000_000, most: int = 48_000_000):
         self.tok, self.apart, self.lowers, self.plain = _tokenizer(path)
-        self.limit = limit
+        self.limit, self.most = limit, most
         self._clear()
 
     def _clear(self):
@@ -111,7 +112,7 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.used = self.held = 0
 
     def _learn(self, new: list[bytes]):
         for at in range(0, len(new), 20_000):
@@ -136,6 +137,7 @@ class Encoder:
             self.begin[n:n + len(some)] = self.used + starts_of(size)
             self.size[n:n + len(some)] = size
             self.used += len(flat)
+            self.held += sum(map(len, some)) + 4 * len(flat)
             self.place.update(zip(some, range(n, n + len(some))))
 
     def _lowered(self, text: str | None) -> bytes:
@@ -154,7 +156,7 @@ class Encoder:
             got = [self.tok.encode(t or "", add_special_tokens=False).ids + [END_ID] for t in texts]
             return np.array([i for g in got for i in g], np.uint32), np.array([len(g) for g in got], np.int64)
         tokens = [t.split() for t in part_stops([self._lowered(t) for t in texts])]
-        if len(self.place) > self.limit:
+        if len(self.place) > self.limit or self.held > self.most:
             self._clear()
         flat = [w for t in tokens for w in t]
         at = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from flighttables.llm.mixing import mixing_rates
 from tests.llm.test_corpus_operators import WORDS, bags, contamination, jaccard, prose
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -70,8 +71,22 @@ def test_stages(spark, sf_dir):
     mixed = P.mixing(spark, start, path)
     n = {r["doc_id"]: r["n"] for r in mixed.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     assert mixed.columns == start.columns
-    assert sum(n.get(i, 0) == 1 + (i == 0) for i in range(420) if not toxic[i]) >= 0.98 * toxic.count(0)
-    assert sum(n.get(i, 0) for i in range(420) if toxic[i]) <= 0.3 * sum(toxic)
+    # the words of each domain, expected by the rates and realised by the copies, against the target weights (clean keeps its total)
+    rates = mixing_rates(start, P.table(spark, path, "labels"), P.CORPUS_TARGETS, P.CORPUS_DOMAIN).collect()
+    expected = dict.fromkeys(P.CORPUS_TARGETS, 0.0)
+    for r in rates:
+        for k, p in zip(P.CORPUS_TARGETS, r["posterior"]):
+            expected[k] += r["rate"] * r["n_words"] * p
+    weight = {k: v / sum(P.CORPUS_TARGETS.values()) for k, v in P.CORPUS_TARGETS.items()}
+    assert all(expected[k] == pytest.approx(weight[k] * sum(expected.values()), rel=0.02) for k in expected)
+    domain = ["toxic" if toxic[i] else "clean" if quality[i] else "poor" for i in range(420)]
+    had, got = dict.fromkeys(expected, 0), dict.fromkeys(expected, 0)
+    for i in range(420):
+        had[domain[i]] += len(docs[i][1].split()) * (1 + (i == 0))
+        got[domain[i]] += len(docs[i][1].split()) * n.get(i, 0)
+    assert got["clean"] == pytest.approx(had["clean"], rel=0.05)
+    for k in ("poor", "toxic"):  # copies are whole, so a small target is met within a few documents
+        assert abs(got[k] - weight[k] * sum(got.values())) <= 0.02 * sum(had.values()) and got[k] <= 0.4 * had[k]
 
     from tokenizers import Tokenizer
     tok, at, want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), 0, []
@@ -95,6 +110,16 @@ def test_run_chains_the_stages(spark, sf_dir):
     assert sorted(r["doc_id"] for r in rows.collect()) == sorted(got)
 
 
+def test_near_dedup_keeps_unlike_rows_of_an_id(spark, sf_dir):
+    path = sf_dir[0]
+    rng = random.Random(4)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    rows = [(1, a), (1, b), (1, a), (2, a + " x"), (3, b), (3, c), (None, a), (None, a), (4, None), (4, ""), (0, c + " y")]
+    docs = spark.createDataFrame([(d, t, "xx", "s", None) for d, t in rows], COLUMNS).repartition(3)
+    got = sorted(((r["doc_id"], r["text"]) for r in P.near_dedup(spark, docs, path).collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (0, c + " y"), (None, a), (None, a), (4, None), (4, "")], key=str)
+
+
 def test_empty_tables(spark, tmp_path):
     for name, schema in (("documents", COLUMNS), ("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flighttables.llm._common import staged, table
 from flighttables.llm.decontamination import find_contamination
@@ -26,11 +27,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each class of near duplicates (and rows without id)."""
-    classes = near_classes(docs)
-    first = classes.where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    """The row of least id of each class of near duplicates, and all rows without id.
+
+    Each row is a document, also where rows repeat an id: only rows whose texts are alike are in one class.  Null, empty and blank
+    texts are alike with nothing and stay.
+    """
+    row = "_near_row"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
+    classes = near_classes(rows, id_col=row)
+    first = (classes.join(rows.where("doc_id is not null").select(row, "doc_id"), row).groupBy("class_id")
+             .agg(F.min(F.struct("doc_id", row)).alias("first")).select(F.col(f"first.{row}").alias(row)))
+    kept = rows.join(first, row, "left_semi")
+    return kept.unionByName(rows.where("doc_id is null")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import islice, repeat
@@ -24,9 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` with the library shipped to the executors."""
+    """``mapInArrow`` with the library shipped to the executors; a task that ends gives its free memory back to the system."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+def release_memory() -> None:
+    """Give memory that a worker has freed back to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def carried(docs: DataFrame, columns: list[str], text_col: str) -> tuple[list[F.Column], str]:

@@ -97,12 +97,12 @@ class Encoder:
 
     Where spaces separate tokens for certain, the ids of a text are those of its words in order, so each
     distinct word is encoded once by the library and kept (at most about ``limit`` words, and ``most`` bytes of words and ids, in a
-    Python worker).
+    Python worker; when they are too many, those that were met again since the last time stay, at most half of the limit).
     A stop that ends a word counts as a word, and case does not tell words apart where the tokenizer
     lowers it and both forms of the text are in normal form C, which makes the order of the two steps all one.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000, most: int = 48_000_000):
+    def __init__(self, path: str, limit: int = 800_000, most: int = 48_000_000):
         self.tok, self.apart, self.lowers, self.plain = _tokenizer(path)
         self.limit, self.most = limit, most
         self._clear()
@@ -112,8 +112,28 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.begin = np.zeros(1 << 16, np.int64)
         self.size = np.zeros(1 << 16, np.int64)
+        self.met = np.zeros(1 << 16, np.int64)
         self.used = self.held = 0
 
+    def _forget(self):
+        """Keep the words met again since the last time, the most frequent ones if they are many."""
+        n = len(self.place)
+        stay = np.flatnonzero(self.met[:n] > 1)
+        if len(stay) > self.limit // 2:
+            stay = np.sort(stay[np.argsort(-self.met[stay], kind="stable")[:self.limit // 2]])
+        known = list(self.place)  # in the order of their numbers
+        kept = list(map(known.__getitem__, stay.tolist()))
+        begin, size, ids = self.begin[stay], self.size[stay], self.ids
+        held = sum(map(len, kept)) + 4 * int(size.sum())
+        self._clear()
+        if held > self.most // 2:  # a few words take it all
+            return
+        self.place = dict(zip(kept, range(len(kept))))
+        self.used, self.held = int(size.sum()), held
+        self.ids = _room(ids[np.repeat(begin - starts_of(size), size) + np.arange(self.used)], 1 << 16)
+        self.begin, self.size = _room(starts_of(size), 1 << 16), _room(size, 1 << 16)
+        self.met = np.zeros(len(self.begin), np.int64)
+
     def _learn(self, new: list[bytes]):
         for at in range(0, len(new), 20_000):
             some = new[at:at + 20_000]
@@ -157,13 +177,15 @@ class Encoder:
             return np.array([i for g in got for i in g], np.uint32), np.array([len(g) for g in got], np.int64)
         tokens = [t.split() for t in part_stops([self._lowered(t) for t in texts])]
         if len(self.place) > self.limit or self.held > self.most:
-            self._clear()
+            self._forget()
         flat = [w for t in tokens for w in t]
         at = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
         missing = np.flatnonzero(at < 0).tolist()
         if missing:
             self._learn(list(dict.fromkeys(map(flat.__getitem__, missing))))
             at[missing] = list(map(self.place.__getitem__, map(flat.__getitem__, missing)))
+        self.met = _room(self.met, len(self.begin))
+        self.met += np.bincount(at, minlength=len(self.met))
         n_words = np.array([len(t) for t in tokens], np.int64)
         size = self.size[at]
         text_of = np.repeat(np.arange(len(texts)), n_words)

@@ -40,6 +40,18 @@ def test_encoder_is_bounded_in_bytes():
             assert (ids == plain.encode([text, None])[0]).all()
 
 
+def test_encoder_forgets_rare_words():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, plain = Encoder(path, limit=60), Encoder(path)
+    rng = np.random.default_rng(3)
+    common = [f"word{i}" for i in range(20)]
+    for k in range(60):
+        texts = [" ".join([*rng.choice(common, 30), *(f"rare{k}x{i}" for i in range(int(rng.integers(0, 25))))]) + "." for _ in range(3)]
+        got, want = encoder.encode(texts), plain.encode(texts)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all() and len(encoder.place) <= 60 + 80
+    assert {w.encode() for w in common} <= set(encoder.place) and list(encoder.place.values()) == list(range(len(encoder.place)))
+
+
 def test_the_sample_of_rule_costs_stays_in_the_tasks(spark):
     docs = spark.range(0, 20_000, 1, 50).select(F.col("id").alias("doc_id"), F.concat(F.lit("a few words and a number "), F.col("id").cast("string"),
                                                                                      F.repeat(F.lit(" more of them"), 30)).alias("text"))

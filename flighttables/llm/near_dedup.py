@@ -1,8 +1,9 @@
 """Near duplicates by improved consistent weighted sampling (ICWS) over TF-IDF shingles.
 
-1. Document frequencies of all five-word shingles, hashed into ``2 ** DF_BITS`` buckets, over the whole table;
-   a shingle weighs its count in the document times ``1 + ln(1 + all / bucket) / ln(1 + all)``, from 1 to 2, so that the
-   similarity of copies falls little when there are thousands of them.
+1. Document frequencies of all five-word shingles, counted exactly over the whole table; a shingle in ``df`` documents of a table
+   of ``all`` characters weighs its count in the document times ``1 + ln(1 + min(all / df, RARE)) / ln(1 + RARE)``, from 1 to 2, so that the
+   similarity of copies falls little when there are thousands of them.  Only shingles in ``all / RARE`` documents or more need
+   an entry in the table of weights, and there are fewer than ``RARE`` of these however large the table is.
 2. ICWS draws ``bands * rows`` samples per document; two documents agree in one with the probability
    of their weighted Jaccard similarity.  The draws of a shingle come from tables picked by its hash.
 3. Documents that agree in all samples of a band share a bucket.  Its hub, the member that meets most others over
@@ -33,7 +34,8 @@ from flighttables.llm._common import WordHashes, blocks, in_arrow, lower_ascii,
 
 SHINGLE = 5
 THRESHOLD = 0.8
-DF_BITS = 16
+#: A shingle in fewer than one document per so many characters of the table weighs 2.
+RARE = 1 << 20
 #: Bands and rows of the samples on each level.
 LEVELS = ((12, 3), (32, 6), (64, 10))
 #: Members and characters of an open bucket that one task settles.
@@ -100,21 +102,49 @@ def icws(hashed: np.ndarray, weight: np.ndarray, sizes: np.ndarray, samples: int
     return out
 
 
-def idf_table(docs: DataFrame, text: str) -> np.ndarray:
-    """``1 + ln(1 + all / bucket) / ln(1 + all)`` by bucket; a bucket counts, over all documents, the distinct shingles that fall in it."""
+class Weights:
+    """Weight of a shingle by its hash: of the known ones (``hashes``, ascending) as given, of all others 2."""
+
+    _BITS = 20
+
+    def __init__(self, hashes: np.ndarray, weights: np.ndarray):
+        self.hashes, self.weights = hashes, weights
+        self.maybe = np.zeros(1 << self._BITS, bool)  # by the first bits of a hash, whether it may be known
+        self.maybe[(hashes >> np.uint64(64 - self._BITS)).astype(np.int64)] = True
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), 2.0)
+        some = np.flatnonzero(self.maybe[(h >> np.uint64(64 - self._BITS)).astype(np.int64)])
+        if len(some):
+            at = np.searchsorted(self.hashes, h[some])
+            at[at == len(self.hashes)] = 0
+            known = self.hashes[at] == h[some]
+            out[some[known]] = self.weights[at[known]]
+        return out
+
+
+def document_frequencies(docs: DataFrame, text: str) -> DataFrame:
+    """``(hash, df)``: in how many rows each shingle occurs.  A block of texts sends each of its shingles once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, found = WordHashes(), np.zeros(1 << DF_BITS, np.int64)
+        hashes = WordHashes()
         for b in blocks(batches, text, 2_000_000):
-            h = shingles(b.column(text).to_pylist(), hashes)[1]
-            found += np.bincount((h >> np.uint64(64 - DF_BITS)).astype(np.int64), minlength=1 << DF_BITS)
-        at = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["bucket", "n"])
+            h, n = np.unique(shingles(b.column(text).to_pylist(), hashes)[1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
 
-    got = in_arrow(docs.select(text), run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(1 << DF_BITS)  # the result has a row per bucket at most
-    n[got["bucket"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
-    return 1 + np.log1p(n.sum() / np.maximum(n, 1)) / np.log1p(n.sum()) if len(got) else np.ones(1 << DF_BITS)
+    return in_arrow(docs.select(text), run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("df"))
+
+
+def shingle_weights(docs: DataFrame, text: str, rare: int = RARE) -> Weights:
+    """Weights of the shingles that occur in ``all / rare`` rows or more; ``all`` is the number of characters of the table.
+
+    A shingle takes two characters of its row at least, but for a row of one word, so at most ``rare`` are that frequent.
+    """
+    characters = docs.agg(F.sum(F.length(text) + 1).alias("n")).first()["n"] or 1
+    got = document_frequencies(docs, text).where(F.col("df") >= characters / rare).toPandas()  # at most ``rare`` rows
+    h, df = got["hash"].to_numpy(np.int64).view(np.uint64), got["df"].to_numpy(np.float64)
+    order = np.argsort(h)
+    return Weights(h[order], 1 + np.log1p(np.minimum(characters / df[order], rare)) / np.log1p(rare))
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -135,7 +165,7 @@ def signatures(docs: DataFrame, idf, id_col: str, text_col: str, bands: int, row
             some = np.flatnonzero(sizes)
             marks = [None] * b.num_rows
             if len(some):
-                w = count * table[(h >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+                w = count * table.of(h)
                 got = icws(h, w, sizes[some], bands * rows, skip).reshape(len(some), bands, rows)
                 one = np.zeros((len(some), bands), np.uint64)
                 for j in range(rows):
@@ -163,7 +193,7 @@ def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFra
                 texts = batch.column(c).to_pylist()
                 number = {t: i for i, t in enumerate(dict.fromkeys(texts))}  # a centre's text comes with each of its pairs
                 _, h, count, sizes, _ = shingles(list(number), hashes)
-                w = count * table[(h >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+                w = count * table.of(h)
                 cut = np.cumsum(sizes)[:-1]
                 of = list(zip(np.split(h, cut), np.split(w, cut)))
                 sides.append([of[number[t]] for t in texts])
@@ -239,7 +269,7 @@ def settled(buckets: DataFrame, texts: DataFrame, idf, threshold: float) -> Data
         table, hashes = idf.value, WordHashes()
         ids = t["id"].to_pylist()
         owner, h, n, sizes, _ = shingles(t["text"].to_pylist(), hashes)
-        w = table[(h >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+        w = table.of(h)
         cut = np.cumsum(sizes)[:-1]
         got = settle(list(zip(np.split(h, cut), np.split(w, cut), np.split(n, cut))), np.array(t["open"].to_pylist(), bool), threshold)
         pairs = [tuple(sorted((ids[i], ids[j]))) for i, j in got]
@@ -342,7 +372,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD, levels=LEVELS, i
     """
     spark = docs.sparkSession
     bands, rows = levels[0]
-    idf = spark.sparkContext.broadcast(idf_table(docs.select(docs[text_col].alias("text")), "text"))  # 2^DF_BITS doubles
+    idf = spark.sparkContext.broadcast(shingle_weights(docs.select(docs[text_col].alias("text")), "text"))  # RARE entries at most
     marks = staged(signatures(docs, idf, id_col, text_col, bands, rows), "near-marks")
     nodes = staged(marks.where("key is not null and id is not null").groupBy("key")
                    .agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "near-nodes")

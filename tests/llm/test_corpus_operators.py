@@ -570,6 +570,49 @@ def test_near_classes(docs, rows, no_docs):
     assert near_dedup.near_classes(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("rare", [1 << 20, 60])
+def test_document_frequencies_are_exact(spark, docs, rows, rare):
+    texts = [(t,) for _, t in rows] + [("every row has these words",)] * 300
+    df = spark.createDataFrame(texts, "text string").repartition(5)
+    hashes = near_dedup.WordHashes()
+    count = collections.Counter(h for (t,) in texts for h in near_dedup.shingles([t], hashes)[1].tolist())
+    characters = sum(len(t) + 1 for (t,) in texts if t is not None)
+    want = {h: 1 + math.log1p(min(characters / n, rare)) / math.log1p(rare) for h, n in count.items() if n >= characters / rare}
+    got = near_dedup.shingle_weights(df, "text", rare)
+    assert got.hashes.tolist() == sorted(want) and len(want) <= rare and (rare > 60) == (len(want) == len(count))
+    every = np.array([*count, 5, 2 ** 64 - 1], np.uint64)
+    assert np.allclose(got.of(every), [want.get(h, 2.0) for h in every.tolist()])
+    none = near_dedup.shingle_weights(df.limit(0), "text")
+    assert none.of(every).tolist() == [2.0] * len(every)
+
+
+def test_recall_at_the_threshold(spark):
+    rng = random.Random(77)
+    rows = []
+    for i in range(0, 900, 3):  # each with a copy of 0.8 to 0.9 or so, and one that is less alike
+        words = prose(rng, 260).split()
+        for k, edits in enumerate((0, rng.randrange(3, 7), rng.randrange(9, 15))):
+            at = set(rng.sample(range(5, 255), edits))
+            rows.append((i + k, " ".join(f"e{i}x{k}" if j in at else w for j, w in enumerate(words))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    weights, hashes = near_dedup.shingle_weights(df, "text"), near_dedup.WordHashes()
+    side = {}
+    for d, t in rows:
+        _, h, n, _, _ = near_dedup.shingles([t], hashes)
+        side[d] = (h, n * weights.of(h))
+    similar = {(a, b): near_dedup.weighted_jaccard(side[a], side[b]) for i in range(0, 900, 3) for a, b in ((i, i + 1), (i, i + 2), (i + 1, i + 2))}
+    of = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(df).collect()}
+    links = [p for p, x in similar.items() if x >= near_dedup.THRESHOLD]
+    edge = [p for p in links if similar[p] < 0.85]
+    caught = lambda pairs: sum(of[a] == of[b] for a, b in pairs) / len(pairs)
+    print(f"recall {caught(links):.4f} of {len(links)} pairs from 0.8 on, {caught(edge):.4f} of {len(edge)} from 0.8 to 0.85")
+    assert len(edge) > 40 and caught(links) >= 0.99 and caught(edge) >= 0.97
+    joined = collections.defaultdict(set)
+    for a, b in links:
+        joined[a].add(b), joined[b].add(a)
+    assert all(of[d] == d or d in joined for d in of)
+
+
 def test_all_links_of_a_large_group(spark):
     rng = random.Random(12)
     base = prose(rng, 200).split()
@@ -628,7 +671,7 @@ def test_last_level_compares_open_members_with_all(spark, monkeypatch, members):
     monkeypatch.setattr(near_dedup, "MEMBERS", members)
     texts = spark.createDataFrame(rows, "id long, text string")
     bucket = texts.select(F.lit(1).cast("long").alias("bucket"), "id", F.when(F.col("id") == 0, 99).otherwise(37).cast("long").alias("degree"))
-    idf = spark.sparkContext.broadcast(np.ones(1 << near_dedup.DF_BITS))
+    idf = spark.sparkContext.broadcast(near_dedup.Weights(np.zeros(0, np.uint64), np.zeros(0)))
     found = near_dedup.links(bucket, texts, idf, 0.8, levels=((12, 3),)).collect()
     assert {(1 + i, 100 + i) for i in range(12)} <= {tuple(r) for r in found}
     assert all(jaccard(sets[r["a"]], sets[r["b"]]) >= 0.8 for r in found)

@@ -3,7 +3,8 @@
 1. Document frequencies of all five-word shingles, counted exactly over the whole table; a shingle in ``df`` documents of a table
    of ``all`` characters weighs its count in the document times ``1 + ln(1 + min(all / df, RARE)) / ln(1 + RARE)``, from 1 to 2, so that the
    similarity of copies falls little when there are thousands of them.  Only shingles in ``all / RARE`` documents or more need
-   an entry in the table of weights, and there are fewer than ``RARE`` of these however large the table is.
+   an entry in the table of weights, and there are fewer than ``RARE`` of these however large the table is.  They are
+   in hash buckets of that many shingles for certain, so only the shingles of such buckets are counted one by one.
 2. ICWS draws ``bands * rows`` samples per document; two documents agree in one with the probability
    of their weighted Jaccard similarity.  The draws of a shingle come from tables picked by its hash.
 3. Documents that agree in all samples of a band share a bucket.  Its hub, the member that meets most others over
@@ -27,6 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: A shingle in fewer than one document per so many characters of the table weighs 2.
 RARE = 1 << 20
+#: Buckets that shingles are counted in before the frequent ones are counted one by one, and tasks whose counters are added up at once.
+BUCKET_BITS, GROUP = 20, 256
 #: Bands and rows of the samples on each level.
 LEVELS = ((12, 3), (32, 6), (64, 10))
 #: Members and characters of an open bucket that one task settles.
@@ -43,15 +47,15 @@ MEMBERS, CHARACTERS = 3_000, 8_000_000
 _TABLE_BITS = 16
 
 
-def shingles(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
-    """``(owner, hash, count)`` of the distinct shingles per text, sorted by owner and hash; sizes; keys of the words.
+def _split(texts: list[str | None]) -> list[list[bytes]]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of each text with A-Z lower-cased."""
+    return [lower_ascii(t.encode()).split() if t else [] for t in texts]
 
-    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a text of fewer than five words, but not none, is one shingle.
-    """
-    tokens = [lower_ascii(t.encode()).split() if t else [] for t in texts]
+
+def _every_shingle(tokens: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """``(owner, hash)`` of all shingles of each text in their order; a text of fewer than five words, but not none, is one shingle."""
     n = np.array([len(t) for t in tokens], np.int64)
     h = hashes.encode([w for t in tokens for w in t])
-    keys = [xxhash.xxh3_128_hexdigest(b" ".join(t)) for t in tokens]
     wide = np.zeros(max(0, len(h)), np.uint64)
     pad = np.concatenate((h, np.zeros(SHINGLE, np.uint64)))
     place = np.arange(len(h)) - np.repeat(starts_of(n), n)
@@ -59,15 +63,25 @@ def shingles(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, n
     for j in range(SHINGLE):
         wide = wide * np.uint64(0x9E3779B97F4A7C15) + np.where(left > j, pad[j:j + len(h)], np.uint64(0))
     full = (left >= SHINGLE) | (place == 0)
-    owner = np.repeat(np.arange(len(texts)), n)[full]
-    wide = mix64(wide[full])
+    return np.repeat(np.arange(len(tokens)), n)[full], mix64(wide[full])
+
+
+def _counted(owner: np.ndarray, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(owner, hash, count)`` of the distinct pairs, sorted."""
     order = np.lexsort((wide, owner))
     owner, wide = owner[order], wide[order]
     if not len(wide):
-        return owner, wide, np.zeros(0, np.int64), np.zeros(len(texts), np.int64), keys
+        return owner, wide, np.zeros(0, np.int64)
     head = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (wide[1:] != wide[:-1]))))
-    count = np.diff(np.append(head, len(wide)))
-    return owner[head], wide[head], count, np.bincount(owner[head], minlength=len(texts)), keys
+    return owner[head], wide[head], np.diff(np.append(head, len(wide)))
+
+
+def shingles(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """``(owner, hash, count)`` of the distinct shingles per text, sorted by owner and hash; sizes; keys of the words."""
+    tokens = _split(texts)
+    keys = [xxhash.xxh3_128_hexdigest(b" ".join(t)) for t in tokens]
+    owner, h, count = _counted(*_every_shingle(tokens, hashes))
+    return owner, h, count, np.bincount(owner, minlength=len(texts)), keys
 
 
 @lru_cache(maxsize=1)
@@ -123,16 +137,57 @@ class Weights:
         return out
 
 
-def document_frequencies(docs: DataFrame, text: str) -> DataFrame:
-    """``(hash, df)``: in how many rows each shingle occurs.  A block of texts sends each of its shingles once."""
+def _summed(rows: DataFrame, by: list[str], finish=None) -> DataFrame:
+    """Rows ``(.., part, width, counts)`` added up by ``by``: counters of unsigned integers of ``width`` bytes, or what ``finish`` makes of them."""
+
+    def run(key, t):
+        total = sum(np.frombuffer(c, f"u{w}").astype(np.int64) for w, c in zip(t["width"].to_pylist(), t["counts"].to_pylist()))
+        out = finish(total) if finish else total.astype(np.uint64)
+        part = t["part"][0].as_py()
+        return pa.table({"part": pa.array([part]), "width": pa.array([out.dtype.itemsize], pa.int32()), "counts": pa.array([out.tobytes()], pa.binary())})
+
+    return rows.groupBy(*by).applyInArrow(run, "part long, width int, counts binary")
+
+
+def frequent_buckets(docs: DataFrame, text: str, least: float) -> np.ndarray:
+    """For each of ``2 ** BUCKET_BITS`` parts of the hashes, whether ``least`` shingles or more of the table fall in it.
+
+    A shingle in ``least`` rows is in such a bucket for certain.  Counters are added up part by part, those of ``GROUP`` tasks first.
+    """
+    size = 1 << BUCKET_BITS - 8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, found = WordHashes(), np.zeros(1 << BUCKET_BITS, np.int64)
+        for b in blocks(batches, text, 2_000_000):
+            h = _every_shingle(_split(b.column(text).to_pylist()), hashes)[1]
+            found += np.bincount((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(found))
+        found = found.astype(np.min_scalar_type(int(found.max())))
+        parts = np.flatnonzero(found.reshape(-1, size).any(1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(parts), pa.array(np.full(len(parts), TaskContext.get().partitionId() // GROUP)), pa.array(np.full(len(parts), found.itemsize, np.int32)),
+             pa.array([found[p * size:(p + 1) * size].tobytes() for p in parts], pa.binary())], names=["part", "tasks", "width", "counts"])
+
+    counts = in_arrow(docs.select(text), run, "part long, tasks long, width int, counts binary")
+    marked = _summed(_summed(counts, ["part", "tasks"]), ["part"], lambda n: np.packbits(n >= least))
+    out = np.zeros((1 << BUCKET_BITS) // size * size, bool)
+    for r in marked.collect():  # a bit for each bucket
+        out[r["part"] * size:(r["part"] + 1) * size] = np.unpackbits(np.frombuffer(r["counts"], np.uint8), count=size)
+    return out
+
+
+def document_frequencies(docs: DataFrame, text: str, least: float) -> DataFrame:
+    """``(hash, df)`` of the shingles that occur in ``least`` rows or more.  A block of texts sends a shingle once."""
+    kept = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent_buckets(docs, text, least)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, maybe = WordHashes(), np.unpackbits(kept.value).astype(bool)
         for b in blocks(batches, text, 2_000_000):
-            h, n = np.unique(shingles(b.column(text).to_pylist(), hashes)[1], return_counts=True)
+            owner, h = _every_shingle(_split(b.column(text).to_pylist()), hashes)
+            some = maybe[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+            h, n = np.unique(_counted(owner[some], h[some])[1], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
 
-    return in_arrow(docs.select(text), run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("df"))
+    return in_arrow(docs.select(text), run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("df")).where(F.col("df") >= least)
 
 
 def shingle_weights(docs: DataFrame, text: str, rare: int = RARE) -> Weights:
@@ -141,7 +196,7 @@ def shingle_weights(docs: DataFrame, text: str, rare: int = RARE) -> Weights:
     A shingle takes two characters of its row at least, but for a row of one word, so at most ``rare`` are that frequent.
     """
     characters = docs.agg(F.sum(F.length(text) + 1).alias("n")).first()["n"] or 1
-    got = document_frequencies(docs, text).where(F.col("df") >= characters / rare).toPandas()  # at most ``rare`` rows
+    got = document_frequencies(docs, text, characters / rare).toPandas()  # at most ``rare`` rows
     h, df = got["hash"].to_numpy(np.int64).view(np.uint64), got["df"].to_numpy(np.float64)
     order = np.argsort(h)
     return Weights(h[order], 1 + np.log1p(np.minimum(characters / df[order], rare)) / np.log1p(rare))

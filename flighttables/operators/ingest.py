@@ -32,6 +32,7 @@ from ..session import new_output_dir, remove_dir
 from ..sinks.lake import new_batch_id, read_table_schema, write_flight_metadata, write_run, write_table_schema, write_topic_table, written_files
 from ..sources.messages import parse_fields
 from .messages import descriptor_check, standard_columns, with_topic_parts
+from .partials import partials_of
 from .schema import evolved_columns
 
 ENVELOPE_COLS = ["mcap_id", "log_date", "topic", "log_time_ns", "publish_time_ns", "sequence", "schema_name", "payload"]
@@ -109,11 +110,12 @@ def decode_topic(rows: DataFrame, schemas: dict[str | None, T.StructType], colum
 
 
 def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict, lake_dir: str, on_existing: str = "error",
-                     parallel_topics: int = 4, batch_id: str | None = None, metadata: DataFrame | None = None) -> list[str]:
+                     parallel_topics: int = 4, batch_id: str | None = None, metadata: DataFrame | None = None,
+                     partials: bool = False) -> list[str]:
     """Write every base topic of ``envelopes`` to ``<lake_dir>/<base_topic>``; returns the topics.
 
     ``metadata`` has the metadata records of the same files (see :func:`flighttables.sinks.lake.write_flight_metadata`); they go to the lake's side
-    table in the same batch.
+    table in the same batch.  ``partials`` keeps the curated views' aggregates of the batch with it (:mod:`flighttables.operators.partials`).
 
     ``schemas`` has a payload schema per base topic, or per base topic a dictionary of schemas by descriptor name.
     ``batch_id`` names the run (default: the digest of the files, where the rows tell them): run again, it replaces what a failed run left and
@@ -156,7 +158,8 @@ def ingest_envelopes(spark: SparkSession, envelopes: DataFrame, schemas: dict, l
             table = standard_columns(decoded, payload_cols=[*columns, "source", "stamp", "row_index"]).drop("base_topic")
             prepared, counted = time.time(), Observation(f"rows of {topic}")
             wrote = write_topic_table(spark, table, table_dir, on_existing=on_existing, batch_id=batch_id, rebalance=False,
-                                      listing=rows.select("mcap_id", "source", "stamp", F.col("_day").alias("log_date")), counted=counted)
+                                      listing=rows.select("mcap_id", "source", "stamp", F.col("_day").alias("log_date")), counted=counted,
+                                      partials=partials_of(topic) if partials else ())
             n, size = written_files(spark, f"{table_dir}/batch_id={batch_id}") if wrote else (0, 0)
             return {"base_topic": topic, "out_files": n, "out_bytes": size, "rows_written": counted.get["rows"] if wrote else 0,
                     "transform_seconds": prepared - begun, "write_seconds": time.time() - prepared}

@@ -629,6 +629,9 @@ FROM lineitem"""
 # ---------------------------------------------------------------- ingest identity, origin, conversion
 
 ORACLE_SQL["ingest_new_checkpoint"] = ORACLE_SQL["flights_overview"]
+ORACLE_SQL["flights_folded"] = ORACLE_SQL["flights_overview"]
+ORACLE_SQL["battery_folded"] = ORACLE_SQL["battery_ranges"]
+ORACLE_SQL["max_altitude_folded"] = ORACLE_SQL["max_altitude"]
 
 ORACLE_SQL["ingest_ten_descriptors"] = f"""
 WITH v AS ({VEHICLE_STATUS}), s AS (SELECT *, CAST(right(mcap_id, 1) AS INTEGER) AS k FROM v)

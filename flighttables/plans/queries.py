@@ -652,6 +652,46 @@ def ingest_new_checkpoint(spark, root):
     return spark.sql("SELECT * FROM flights")
 
 
+@query("flights_folded")
+def flights_folded(spark, root):
+    """``flights`` folded from the partial aggregates of three batches over which every flight is spread, one of them run twice."""
+    from ..operators.ingest import ingest_envelopes
+    lake = new_output_dir(spark, "flights_folded")
+    env = S.in_parts(S.telemetry_envelopes(spark, root), "log_time_ns")
+    for k in (0, 1, 2, 1):
+        ingest_envelopes(spark, env.where(F.col("part") == k), S.TELEMETRY_SCHEMAS, lake, batch_id=f"part-{k}", partials=True)
+    TB.open_lake(spark, lake, folded=True)
+    return spark.sql("SELECT * FROM flights")
+
+
+def _written_in_parts(spark, rows, lake, partial):
+    """A topic table written in three batches, the first without partials, the second twice."""
+    for k, kept in ((0, ()), (1, (partial,)), (2, (partial,)), (1, (partial,))):
+        LK.write_topic_table(spark, rows.where(F.col("part") == k).drop("part"), f"{lake}/{partial.topic}", batch_id=f"part-{k}", partials=kept)
+
+
+@query("battery_folded")
+def battery_folded(spark, root):
+    """``battery`` folded from partial aggregates; a batch that has none is read from its rows."""
+    from ..operators import partials as PA
+    lake = new_output_dir(spark, "battery_folded")
+    rows = S.battery_status(spark, root).withColumns({
+        "log_date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("multi_id")), "publish_time": F.col("voltage_v")})
+    _written_in_parts(spark, S.in_parts(rows, "voltage_v"), lake, PA.BATTERY_RANGES)
+    return PA.battery(spark, lake)
+
+
+@query("max_altitude_folded")
+def max_altitude_folded(spark, root):
+    """``max_altitude`` folded from partial aggregates, those of the first batch added later."""
+    from ..operators import partials as PA
+    lake = new_output_dir(spark, "max_altitude_folded")
+    rows = S.local_position(spark, root).withColumns({"log_date": F.col("log_time").cast("date"), "publish_time": F.col("log_time")})
+    _written_in_parts(spark, S.in_parts(rows, "log_time"), lake, PA.ALTITUDE)
+    PA.add_partials(spark, f"{lake}/{PA.ALTITUDE.topic}", PA.ALTITUDE)
+    return PA.max_altitude(spark, lake)
+
+
 @query("ingest_ten_descriptors")
 def ingest_ten_descriptors(spark, root):
     """Ten descriptors of a topic in one batch, decoded in one pass: a type conflict, and a field of each descriptor's own."""

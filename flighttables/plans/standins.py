@@ -460,6 +460,12 @@ def telemetry_envelopes(spark, root) -> DataFrame:
                      payload.alias("payload"))
 
 
+def in_parts(rows: DataFrame, by: str, n: int = 3) -> DataFrame:
+    """Rows dealt to ``n`` parts by the hash of a column, each flight's rows of a part as from a file of their own."""
+    part = F.pmod(F.xxhash64(by), F.lit(n)).cast("int")
+    return rows.withColumn("part", part).withColumn("source", F.concat_ws("#", "mcap_id", "part"))
+
+
 # Payload schemas of the status message by firmware (its descriptor).
 FIRMWARE_SCHEMAS = {"vehicle_status": {"StatusV1": "arming_state int, nav_state int",
                                        "StatusV2": "arming_state int, nav_state double, failsafe boolean"}}

@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,8 @@ _FANOUT_SCHEMA = "mcap_id string, source string, stamp string, base_topic string
 #: Columns of a batch that tell where a row came from; they order the rows and go to the manifest, not to the table.
 _ORIGIN = ("source", "stamp", "row_index")
 RUNS = "_runs"
+#: Folder of a topic table with the partial aggregates of its batches (:mod:`flighttables.operators.partials`).
+PARTIALS = "_partials"
 _RUN_SCHEMA = ("base_topic string, n_files bigint, in_bytes bigint, rows_in bigint, out_files bigint, out_bytes bigint, rows_written bigint, "
                "read_seconds double, transform_seconds double, write_seconds double, batch_id string")
 
@@ -116,13 +119,14 @@ def _commit(batch: DataFrame, root: str, name: str, batch_id: str) -> None:
 
 def write_topic_table(spark: SparkSession, rows: DataFrame, table_dir: str, mode: str = "append", on_existing: str = "error",
                       batch_id: str | None = None, rebalance: bool = True, listing: DataFrame | None = None,
-                      counted: Observation | None = None) -> bool:
+                      counted: Observation | None = None, partials: Sequence = ()) -> bool:
     """Append (or overwrite) one topic's rows, partitioned by ``log_date``, sorted by publish time.
 
     ``batch_id`` names the write: the same batch again replaces what a failed run left, and does nothing once it is
     committed.  ``source`` in ``rows`` is the file a row came from (default: its flight); it is not stored.
     ``rebalance=False`` is for rows that already lie together by day; ``listing`` has the rows' key columns, read more cheaply than
-    from ``rows``; ``counted`` gets the number of ``rows`` written.  Returns whether anything was written.
+    from ``rows``; ``counted`` gets the number of ``rows`` written.  ``partials`` are aggregates of the batch that are kept with it, made from its
+    written files before it is committed.  Returns whether anything was written.
     """
     root = table_dir.rstrip("/")
     checked = _stage_and_check(spark, rows, root, ["mcap_id", "source", "stamp", "log_date"], MANIFEST, mode, on_existing, batch_id, listing)
@@ -133,6 +137,11 @@ def write_topic_table(spark: SparkSession, rows: DataFrame, table_dir: str, mode
         rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     rows = rows.hint("rebalance", "log_date") if rebalance else rows
     _write_data(sort_for_write(rows, ["log_date"]), f"{root}/batch_id={batch_id}", ["log_date"])
+    if partials:
+        written = spark.read.schema(rows.drop(*_ORIGIN).schema).parquet(f"{root}/batch_id={batch_id}")
+        for p in partials:
+            if p.fits(written):
+                p.of(written).write.mode("overwrite").parquet(f"{root}/{PARTIALS}/{p.name}/batch_id={batch_id}")
     _commit(batch, root, MANIFEST, batch_id)
     remove_dir(spark, staged)
     return True
@@ -221,13 +230,16 @@ def write_lake(spark: SparkSession, messages: DataFrame, lake_dir: str, mode: st
     return [] if manifest is None else sorted(r["base_topic"] for r in manifest.select("base_topic").distinct().collect())
 
 
-def _read(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+def _read(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None, batches: DataFrame | None = None,
+          with_batch: bool = False) -> DataFrame:
     manifest = read_manifest(spark, root, name)
     if manifest is None or manifest.isEmpty():
         raise ValueError(f"no committed batch in {root}")
     reader = spark.read.option("mergeSchema", "true") if schema is None else \
         spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())]))
-    return reader.parquet(root).join(manifest.select("batch_id").distinct(), on="batch_id", how="left_semi").drop("batch_id")
+    wanted = manifest.select("batch_id").distinct() if batches is None else batches
+    rows = reader.parquet(root).join(wanted, on="batch_id", how="left_semi")
+    return rows if with_batch else rows.drop("batch_id")
 
 
 def read_lake(spark: SparkSession, lake_dir: str) -> DataFrame:
@@ -294,7 +306,7 @@ def topic_table_schema(spark: SparkSession, table_dir: str) -> T.StructType | No
     return T.StructType(list(std.fields) + list(payload.fields) + [T.StructField("log_date", T.DateType(), True)])
 
 
-def read_topic_table(spark: SparkSession, table_dir: str) -> DataFrame:
-    """Committed rows of a topic table.  With a schema record the read schema is given explicitly (no footer scan of
+def read_topic_table(spark: SparkSession, table_dir: str, batches: DataFrame | None = None, with_batch: bool = False) -> DataFrame:
+    """Committed rows of a topic table (or those of the committed ``batches`` given by ``batch_id``; ``with_batch`` keeps that column).  With a schema record the read schema is given explicitly (no footer scan of
     every file; files that predate a column read it as NULL); without one the file schemas are merged."""
-    return _read(spark, table_dir.rstrip("/"), MANIFEST, topic_table_schema(spark, table_dir))
+    return _read(spark, table_dir.rstrip("/"), MANIFEST, topic_table_schema(spark, table_dir), batches, with_batch)

@@ -65,15 +65,17 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE {name}")
 
 
-def open_lake(spark: SparkSession, lake_dir: str) -> list[str]:
+def open_lake(spark: SparkSession, lake_dir: str, folded: bool = False) -> list[str]:
     """Attach a lake: every topic table becomes a view, plus the ``format_duration`` SQL
     function and the curated views whose inputs exist.
 
     Two layouts are recognised: one folder per topic (the ingest job; topics found from the
     tables' manifests by a distributed listing) and the single-pass fan-out of ``write_lake``
-    (``base_topic=<t>`` partitions; topics from the lake's manifest).  Returns the topics.
+    (``base_topic=<t>`` partitions; topics from the lake's manifest).  ``folded`` takes the curated views from the partial
+    aggregates that the batches of the first layout keep, and adds ``max_altitude``.  Returns the topics.
     """
     from ..operators.curated import register_curated_views
+    from ..operators.partials import register_folded_views
     from ..functions.time import register_sql_functions
     from ..sinks.lake import FANOUT_MANIFEST, MANIFEST, read_manifest, read_topic
     root = lake_dir.rstrip("/")
@@ -88,6 +90,11 @@ def open_lake(spark: SparkSession, lake_dir: str) -> list[str]:
             F.regexp_extract("path", rf"/([^/]+)/{MANIFEST}/", 1).alias("t")).distinct().collect())
         register_lake(spark, root, topics)
     register_sql_functions(spark)
+    if folded:
+        if fanout is not None:
+            raise ValueError(f"{root} has no partial aggregates: it was written by write_lake")
+        register_folded_views(spark, root, topics)
+        return topics
     views = [v for v, needs in (("error_counts", {"logged_messages"}),
                                 ("flights", {"vehicle_status", "logged_messages"}),
                                 ("battery", {"battery_status"})) if needs <= set(topics)]

@@ -25,12 +25,13 @@ from ..sources.messages import with_origin
 
 def ingest_stream(spark: SparkSession, envelope_dir: str, envelope_schema: T.StructType | str, lake_dir: str, schemas: dict,
                   name: str | None = None, available_now: bool = True, max_files_per_trigger: int | None = None,
-                  processing_time: str = "30 seconds") -> StreamingQuery:
+                  processing_time: str = "30 seconds", partials: bool = False) -> StreamingQuery:
     """Start a stream that ingests new envelope files into the lake's topic tables.
 
     ``available_now=True`` processes everything present and stops (catch-up);
     ``False`` keeps running and picks up files as they land, every ``processing_time``.  ``name`` names the query and its
-    checkpoint (default: a name of its own for each pair of folders, so that two streams never share one).
+    checkpoint (default: a name of its own for each pair of folders, so that two streams never share one).  ``partials`` keeps the curated
+    views' aggregates with each batch.
     """
     name = name or "ingest-" + hashlib.sha256(f"{envelope_dir.rstrip('/')}\n{lake_dir.rstrip('/')}".encode()).hexdigest()[:16]
     reader = spark.readStream.schema(envelope_schema)
@@ -39,7 +40,7 @@ def ingest_stream(spark: SparkSession, envelope_dir: str, envelope_schema: T.Str
     source = with_origin(reader.parquet(envelope_dir)).select(*ENVELOPE_COLS, *ORIGIN)
 
     def commit(batch: DataFrame, epoch_id: int) -> None:
-        ingest_envelopes(batch.sparkSession, batch, schemas, lake_dir, on_existing="skip")
+        ingest_envelopes(batch.sparkSession, batch, schemas, lake_dir, on_existing="skip", partials=partials)
 
     checkpoint = f"{shared_dir(spark)}/flighttables/streams/{name}"
     writer = source.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint).queryName(name)

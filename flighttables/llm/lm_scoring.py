@@ -2,10 +2,16 @@
 
 ``P(w | context) = P(class of w | context) * P(w | class)``.  The first factor is a softmax over classes of the summed
 weights of hashed features of the context: the word before, the two words before, the word before that with a
-skip, and the last bytes of both.  The second is the smoothed relative count within the class.  Classes follow from the counts alone: frequent words
+skip, and the last bytes of both.  The second goes down a binary tree over the words of the class, told apart by the bits of their
+hashes: each node is a logistic decision whose log odds are those of the counts below it plus the weights of the same features, hashed
+with the node.  The words of a leaf share it by their smoothed counts.  With all weights 0 the factor is the smoothed relative count within
+the class.  Classes follow from the counts alone: frequent words
 by bands of equal mass, the others by their last bytes; each class of rare words has one place for all its unseen
 words.  So the probabilities of all words, with one for the unseen words of a class, sum to 1.
 
+The trees' depth goes by the number of distinct words (a tree has about a fourth as many leaves, up to ``MAX_DEPTH`` levels), and their table of weights by the number of
+tokens (``TREE_BITS``); both are as large as what tasks can hold at most, and beyond that words share leaves and features share weights.
+
 The corpus is encoded once into chunks (word numbers of each chunk and its vocabulary); the vocabularies meet in one
 shuffle that counts every word over all training documents and returns to each chunk the counts of its own words.
 Training is one pass over all training documents in ``steps`` parts: in each, the tasks add up the gradients of their
@@ -30,13 +36,16 @@ from flighttables.llm.chunks import pack_arrays, unpack_arrays
 #: Documents whose crc32 of the id as text modulo FOLDS is HELD_OUT are not learned from.
 FOLDS, HELD_OUT = 7, 2
 BITS = 14
+#: Least and greatest size (in bits) of the table of the trees' weights; greatest depth of the trees.
+TREE_BITS, MAX_DEPTH = (16, 20), 13
 FREQUENT, RARE = 16, 16
 CLASSES = FREQUENT + RARE
 STEPS = 4
 SHRINK = 200.0
 _END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
-_BLOCK = 1 << 10
+_BLOCK, _TREE_BLOCK = 1 << 10, 1 << 14
+_NODE, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # odd factors that spread nodes and places
 
 
 def encode_chunks(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int = 6_000_000) -> DataFrame:
@@ -112,13 +121,40 @@ class Classes:
     """Which class a word has, and what each class weighs.
 
     Words counted ``bounds[0]`` times or more are frequent: class k has those counted from ``bounds[-1 - k]`` on and fewer
-    than the class before.  ``mass`` is the sum of ``count + 1`` over the words of a class, its unseen word included.
+    than the class before.  ``mass`` is the sum of ``count + 1`` over the words of a class, its unseen word included, and ``leaves`` the same
+    by class and leaf of its tree.  The leaf of a word is the first ``depth`` bits of its hash; unseen words are in the first one.  ``odds`` has
+    the log odds of the right child of each node, level by level (infinite where one child has no word).
     """
 
     bounds: np.ndarray
     mass: np.ndarray
     tokens: int
     types: int
+    depth: int = 0
+    leaves: np.ndarray | None = None
+    odds: np.ndarray | None = None
+
+    def label(self, total: F.Column, shape: F.Column) -> F.Column:
+        """:meth:`of` as a column."""
+        above = sum((F.when(total >= int(b), 1).otherwise(0) for b in self.bounds), F.lit(0))
+        return F.when(above > 0, len(self.bounds) - above).otherwise(FREQUENT + shape.cast("int"))
+
+    def grow(self, words: DataFrame) -> None:
+        """Fill the leaves of the trees: one row for each leaf that has a word, ``CLASSES << MAX_DEPTH`` at most."""
+        self.depth = min(max(1, (self.types // 8).bit_length()), MAX_DEPTH)
+        self.leaves = np.zeros((CLASSES, 1 << self.depth))
+        got = (words.where("first and total > 0").groupBy(self.label(F.col("total"), F.col("shape")).alias("label"),
+                                                          F.shiftrightunsigned("hash", 64 - self.depth).cast("int").alias("leaf"))
+               .agg(F.sum(F.col("total") + 1).alias("mass")).toArrow())
+        self.leaves[got["label"].to_numpy(), got["leaf"].to_numpy()] = got["mass"].to_numpy()
+        self.leaves[FREQUENT:, 0] += 1  # the unseen
+        below, odds = self.leaves, []
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for _ in range(self.depth):
+                left, right = below[:, ::2], below[:, 1::2]
+                odds.append((np.log(right) - np.log(left)).ravel())
+                below = left + right
+        self.odds = np.nan_to_num(np.concatenate(odds[::-1]), nan=0.0, posinf=np.inf, neginf=-np.inf).astype(np.float32)
 
     def of(self, count: np.ndarray, shape: np.ndarray) -> np.ndarray:
         above = np.searchsorted(self.bounds, count, "right")
@@ -150,6 +186,7 @@ def make_classes(words: DataFrame) -> Classes:
     for r in rows:
         made.mass[made.of(np.array([r["c"]]), np.array([r["shape"]]))[0]] += r["tokens"] + r["types"]
     made.mass[FREQUENT:] += 1  # the unseen
+    made.grow(words)
     return made
 
 
@@ -185,21 +222,36 @@ class Chunk:
         spread = mix64(hashed.astype(np.uint64))
         self.one = (spread >> np.uint64(64 - BITS)).astype(np.int64)
         self.spread, self.shape = spread, shape.astype(np.uint64)
-        self.within = np.log10((count + 1.0) / classes.mass[self.label])  # P(w | class)
+        self.leaf = np.where(count > 0, hashed >> np.uint32(32 - classes.depth), 0).astype(np.int64)
+        self.in_leaf = np.log10((count + 1.0) / classes.leaves[self.label, self.leaf])  # P(w | class, leaf)
 
     def features(self, where: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """The features of the contexts of the tokens at ``where``; ``starts`` is where their documents begin."""
+        """The features of the contexts of the tokens at ``where``, as 64-bit hashes; ``starts`` is where their documents begin."""
         w1, w2 = self.tokens[np.maximum(where - 1, 0)], self.tokens[np.maximum(where - 2, 0)]
         has1, has2 = where > starts, where > starts + 1
         first, second = np.where(has1, self.spread[w1], _BEGIN), np.where(has2, self.spread[w2], _BEGIN)
         shapes = np.where(has1, self.shape[w1], np.uint64(RARE)) * np.uint64(RARE + 1) + np.where(has2, self.shape[w2], np.uint64(RARE))
-        return (np.stack((mix64(first ^ np.uint64(1)), mix64(first * np.uint64(3) + second), mix64(second ^ np.uint64(2)),
-                          mix64(shapes + _BEGIN))) >> np.uint64(64 - BITS)).astype(np.int64)
+        return np.stack((mix64(first ^ np.uint64(1)), mix64(first * np.uint64(3) + second), mix64(second ^ np.uint64(2)), mix64(shapes + _BEGIN)))
+
+
+@dataclass
+class Model:
+    """Weights of the features for the classes (``weights``, with a ``bias`` a class) and for the nodes of the trees (``tree``)."""
+
+    classes: Classes
+    weights: np.ndarray
+    bias: np.ndarray
+    tree: np.ndarray
+
+
+def _buckets(features: np.ndarray) -> np.ndarray:
+    return (features >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def class_probabilities(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    z = weights[features[0]]
-    for f in features[1:]:
+    buckets = _buckets(features)
+    z = weights[buckets[0]]
+    for f in buckets[1:]:
         z += weights[f]
     z += bias
     z -= z.max(axis=1, keepdims=True)
@@ -208,63 +260,115 @@ def class_probabilities(weights: np.ndarray, bias: np.ndarray, features: np.ndar
     return z
 
 
-def gradients(chunk: Chunk, chosen: np.ndarray, weights: np.ndarray, bias: np.ndarray, into: np.ndarray, batch: int = 16_384) -> None:
-    """Add the gradients of the chosen documents' tokens to ``into`` (features x classes, and a column of occurrences)."""
+def decisions(model: Model, features: np.ndarray, label: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """The paths to the leaves, level by level: tokens with a choice there, the places of their weights, whether they go right, its log odds."""
+    known, shift = model.classes, np.uint64(65 - len(model.tree).bit_length())
+    for d in range(known.depth):
+        node = CLASSES * ((1 << d) - 1) + (label << d) + (leaf >> (known.depth - d))
+        odds = known.odds[node]
+        some = np.flatnonzero(np.isfinite(odds))
+        if len(some):
+            places = (((features[:, some] ^ (node[some].astype(np.uint64) * _NODE)) * _PLACE) >> shift).astype(np.int64)
+            z = odds[some] + model.tree[places].sum(axis=0)
+            yield some, places, (leaf[some] >> (known.depth - 1 - d)) & 1 > 0, z
+
+
+def log_leaf(model: Model, features: np.ndarray, label: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """log10 P(leaf | class, context)."""
+    out = np.zeros(len(label))
+    for some, _, right, z in decisions(model, features, label, leaf):
+        out[some] -= np.log1p(np.exp(np.where(right, -z, z)))
+    return out / np.log(10.0)
+
+
+def gradients(chunk: Chunk, chosen: np.ndarray, model: Model, into: np.ndarray, tree: np.ndarray, batch: int = 16_384) -> None:
+    """Add the gradients of the chosen documents' tokens to ``into`` (features x classes, and a column of occurrences) and
+    ``tree`` (a row of gradients and a row of curvatures)."""
     starts = np.repeat(starts_of(chunk.sizes), chunk.sizes)
     where = np.flatnonzero(np.repeat(chosen, chunk.sizes))
+    places, slopes, curves, held = [], [], [], 0
     for at in range(0, len(where), batch):
         some = where[at:at + batch]
         f = chunk.features(some, starts[some])
-        err = class_probabilities(weights, bias, f)
+        words = chunk.tokens[some]
+        err = class_probabilities(model.weights, model.bias, f)
         np.negative(err, out=err)
-        err[np.arange(len(some)), chunk.label[chunk.tokens[some]]] += 1
-        for one in f:
-            order = np.argsort(one)
-            used, head = np.unique(one[order], return_index=True)
-            into[used, :CLASSES] += np.add.reduceat(err[order], head, axis=0)
-            into[used, CLASSES] += np.diff(np.append(head, len(order)))
-
-
-def train(counted: DataFrame, classes: Classes, steps: int = STEPS, rate: float = 0.35, shrink: float = SHRINK) -> tuple[np.ndarray, np.ndarray]:
+        err[np.arange(len(some)), chunk.label[words]] += 1
+        for one in _buckets(f).astype(np.uint16):  # BITS is 16 at most; sorted by radix
+            order = np.argsort(one, kind="stable")
+            key = one[order]
+            head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            into[key[head], :CLASSES] += np.add.reduceat(err[order], head, axis=0)
+            into[key[head], CLASSES] += np.diff(np.append(head, len(order)))
+        for _, p, right, z in decisions(model, f, chunk.label[words], chunk.leaf[words]):
+            share = 1 / (1 + np.exp(-z))
+            places.append(p.ravel())
+            slopes.append(np.tile(right - share, len(p)))
+            curves.append(np.tile(share * (1 - share), len(p)))
+            held += p.size
+        if places and (held > 1 << 20 or at + batch >= len(where)):
+            p = np.concatenate(places)
+            tree[0] += np.bincount(p, np.concatenate(slopes), tree.shape[1])
+            tree[1] += np.bincount(p, np.concatenate(curves), tree.shape[1])
+            places, slopes, curves, held = [], [], [], 0
+
+
+def _short(x: np.ndarray) -> bytes:
+    """The upper halves of floats, rounded: sums of a task lose less than half a percent each."""
+    return ((np.ascontiguousarray(x, np.float32).view(np.uint32) + np.uint32(0x8000)) >> np.uint32(16)).astype(np.uint16).tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    return (np.frombuffer(raw, np.uint16).astype(np.uint32) << np.uint32(16)).view(np.float32)
+
+
+def train(counted: DataFrame, classes: Classes, steps: int = STEPS, rate: float = 0.35, shrink: float = SHRINK) -> Model:
     """Weights of the features and bias of the classes, by ``steps`` distributed updates over all training documents.
 
-    An update moves a feature's weights by its gradient over its occurrences, with ``shrink`` occurrences added that pull to 0.
+    An update moves a feature's weights by its gradient over its occurrences, or in the trees over its curvature, with ``shrink`` occurrences
+    added that pull to 0.
     """
     spark = counted.sparkSession
     prior = np.maximum(classes.mass, 1e-3) / max(classes.mass.sum(), 1e-3)
     bias = np.log(prior).astype(np.float32)
     curve = prior * (1 - prior) + 1e-4  # of the loss, per occurrence
-    weights = np.zeros((1 << BITS, CLASSES), np.float32)
+    bits = min(max(TREE_BITS[0], classes.tokens.bit_length() - 9), TREE_BITS[1])
+    model = Model(classes, np.zeros((1 << BITS, CLASSES), np.float32), bias, np.zeros(1 << bits, np.float32))
+    weights, tree = model.weights, model.tree
     for step in range(steps):
-        shared = spark.sparkContext.broadcast((weights, bias, classes))  # 2^BITS x classes floats
+        shared = spark.sparkContext.broadcast(model)  # 2^BITS x classes and 2^bits floats, and the leaves
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            w, b, known = shared.value  # noqa: B023
-            total = np.zeros((1 << BITS, CLASSES + 1), np.float32)
+            held = shared.value  # noqa: B023
+            total, nodes = np.zeros((1 << BITS, CLASSES + 1), np.float32), np.zeros((2, 1 << bits), np.float32)
             for batch in batches:
                 for i in range(batch.num_rows):
-                    chunk = Chunk(batch.column("vocabulary")[i].as_py(), batch.column("tokens")[i].as_py(), known)
+                    chunk = Chunk(batch.column("vocabulary")[i].as_py(), batch.column("tokens")[i].as_py(), held.classes)
                     turn = (np.arange(len(chunk.sizes)) + batch.column("chunk")[i].as_py()) % steps == step  # noqa: B023
-                    gradients(chunk, turn & ~chunk.held_out, w, b, total)
-            for k in range(0, 1 << BITS, _BLOCK):
-                if total[k:k + _BLOCK, CLASSES].any():
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total[k:k + _BLOCK].tobytes()], pa.binary())],
-                                                     names=["block", "g"])
+                    gradients(chunk, turn & ~chunk.held_out, held, total, nodes)
+            found = [(k, total[k:k + _BLOCK]) for k in range(0, 1 << BITS, _BLOCK) if total[k:k + _BLOCK, CLASSES].any()]
+            found += [((1 << BITS) + k, nodes[:, k:k + _TREE_BLOCK]) for k in range(0, 1 << bits, _TREE_BLOCK) if nodes[1, k:k + _TREE_BLOCK].any()]
+            for k, g in found:
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_short(g)], pa.binary())], names=["block", "g"])
 
         def add(key, t):
-            total = np.zeros((_BLOCK, CLASSES + 1))
-            for g in t["g"]:
-                total += np.frombuffer(g.as_py(), np.float32).reshape(_BLOCK, -1)
+            total = sum(_long(g.as_py()).astype(np.float64) for g in t["g"])
             return pa.table({"block": t["block"].slice(0, 1).cast(pa.int32()), "g": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
         sums = in_arrow(counted.select("chunk", "vocabulary", "tokens"), run, "block int, g binary") \
             .groupBy("block").applyInArrow(add, "block int, g binary").collect()  # as large as the model
         for r in sums:
-            g = np.frombuffer(r["g"], np.float32).reshape(_BLOCK, -1)
-            move = rate * g[:, :CLASSES] / ((g[:, CLASSES:] + shrink) * curve)
-            weights[r["block"]:r["block"] + _BLOCK] += np.clip(move, -2, 2).astype(np.float32)
+            k, g = r["block"], np.frombuffer(r["g"], np.float32)
+            if k < 1 << BITS:
+                g = g.reshape(_BLOCK, -1)
+                move = rate * g[:, :CLASSES] / ((g[:, CLASSES:] + shrink) * curve)
+                weights[k:k + _BLOCK] += np.clip(move, -2, 2).astype(np.float32)
+            else:
+                k, g = k - (1 << BITS), g.reshape(2, -1)
+                tree[k:k + _TREE_BLOCK] += np.clip(rate * g[0] / (g[1] + shrink / 4), -2, 2).astype(np.float32)
         np.clip(weights, -8, 8, out=weights)
-    return weights, bias
+        np.clip(tree, -8, 8, out=tree)
+    return model
 
 
 def lm_scores(docs: DataFrame, steps: int = STEPS, shrink: float = SHRINK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,11 +385,11 @@ def lm_scores(docs: DataFrame, steps: int = STEPS, shrink: float = SHRINK, id_co
     words = count_words(chunks)
     classes = make_classes(words)
     counted = with_counts(chunks, words)
-    weights, bias = train(counted, classes, steps, shrink=shrink)
-    shared = spark.sparkContext.broadcast((weights, bias, classes))
+    shared = spark.sparkContext.broadcast(train(counted, classes, steps, shrink=shrink))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, b, known = shared.value
+        model = shared.value
+        known = model.classes
         size = known.tokens + known.types + 1
         for batch in batches:
             for i in range(batch.num_rows):
@@ -293,11 +397,12 @@ def lm_scores(docs: DataFrame, steps: int = STEPS, shrink: float = SHRINK, id_co
                 n, t = len(chunk.sizes), chunk.tokens
                 doc = np.repeat(np.arange(n), chunk.sizes)
                 starts = starts_of(chunk.sizes)[doc]
-                score = chunk.within[t]
+                score = chunk.in_leaf[t]
                 for at in range(0, len(t), 16_384):
                     s = np.arange(at, min(at + 16_384, len(t)))
-                    p = class_probabilities(w, b, chunk.features(s, starts[s]))
-                    score[s] += np.log10(np.maximum(p[np.arange(len(s)), chunk.label[t[s]]], 1e-30))
+                    f, label = chunk.features(s, starts[s]), chunk.label[t[s]]
+                    p = class_probabilities(model.weights, model.bias, f)
+                    score[s] += np.log10(np.maximum(p[np.arange(len(s)), label], 1e-30)) + log_leaf(model, f, label, chunk.leaf[t[s]])
                 base = np.log10((chunk.count + 1) / size)[t]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("ids").slice(i, 1).flatten(), pa.array(chunk.held_out), pa.array(chunk.sizes.astype(np.int64)),

@@ -466,7 +466,7 @@ def test_lm_probabilities_sum_to_one_and_learn(spark):
     words = lm_scoring.count_words(chunks)
     classes = lm_scoring.make_classes(words)
     counted = lm_scoring.with_counts(chunks, words)
-    weights, bias = lm_scoring.train(counted, classes, shrink=20)
+    model = lm_scoring.train(counted, classes, shrink=20)
     vocabulary = words.where("first").collect()
     size = np.array([r["total"] for r in vocabulary])
     label = classes.of(size, np.array([r["shape"] for r in vocabulary]))
@@ -476,11 +476,67 @@ def test_lm_probabilities_sum_to_one_and_learn(spark):
     row = counted.first()
     chunk = lm_scoring.Chunk(row["vocabulary"], row["tokens"], classes)
     at = np.arange(5)
-    assert lm_scoring.class_probabilities(weights, bias, chunk.features(at, np.zeros(5, np.int64))).sum(axis=1) == pytest.approx(np.ones(5))
+    f = chunk.features(at, np.zeros(5, np.int64))
+    by_class = lm_scoring.class_probabilities(model.weights, model.bias, f)
+    assert by_class.sum(axis=1) == pytest.approx(np.ones(5))
+    assert classes.leaves.sum(axis=1) == pytest.approx(classes.mass) and np.abs(model.tree).max() > 0
+    # all words, and an unseen one of each class of rare words, in each of the five contexts
+    top = np.array([r["hash"] for r in vocabulary]).view(np.uint64) >> np.uint64(64 - classes.depth)
+    label, leaf = label[size > 0], top.astype(np.int64)[size > 0]
+    weight = (size[size > 0] + 1.0) / classes.leaves[label, leaf]
+    unseen = np.arange(lm_scoring.FREQUENT, lm_scoring.CLASSES)
+    label, leaf = np.append(label, unseen), np.append(leaf, np.zeros_like(unseen))
+    weight = np.append(weight, 1 / classes.leaves[unseen, 0])
+    for k in range(5):
+        here = np.repeat(f[:, k:k + 1], len(label), axis=1)
+        p = by_class[k, label] * 10 ** lm_scoring.log_leaf(model, here, label, leaf) * weight
+        assert p.sum() == pytest.approx(1, abs=1e-5)
     scored = lm_scoring.lm_scores(docs, shrink=20).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert scored[0] > 0.98 * scored[1]  # log probabilities: the model is better on held-out documents
 
 
+def test_lm_raises_a_word_over_others_of_its_class(spark):
+    rng = random.Random(9)
+    pairs = [(f"a{i}x", f"b{i}x") for i in range(40)]  # each first word has its own second one, all are about as frequent
+    docs = spark.createDataFrame([(i, " ".join(w for _ in range(40) for w in rng.choice(pairs))) for i in range(400)], "doc_id long, text string").coalesce(1)
+    chunks = lm_scoring.encode_chunks(docs, "doc_id", "text")
+    words = lm_scoring.count_words(chunks)
+    classes = lm_scoring.make_classes(words)
+    counted = lm_scoring.with_counts(chunks, words)
+    model = lm_scoring.train(counted, classes, shrink=20)
+    row = counted.first()
+    chunk = lm_scoring.Chunk(row["vocabulary"], row["tokens"], classes)
+    begin = np.repeat(np.cumsum(chunk.sizes) - chunk.sizes, chunk.sizes)
+    want = []
+    for doc, held in enumerate(chunk.held_out):  # the score by its definition, decision by decision
+        total = 0.0
+        for t in range(begin[chunk.sizes[:doc].sum()], chunk.sizes[:doc + 1].sum()) if held else ():
+            f, w = chunk.features(np.array([t]), begin[t:t + 1])[:, 0], chunk.tokens[t]
+            z = model.bias.astype(float) + sum(model.weights[int(x) >> (64 - lm_scoring.BITS)].astype(float) for x in f)
+            total += z[chunk.label[w]] - math.log(sum(map(math.exp, z)))
+            below, lo, hi = classes.leaves[chunk.label[w]], 0, 1 << classes.depth
+            for d in range(classes.depth):
+                mid = (lo + hi) // 2
+                node = lm_scoring.CLASSES * ((1 << d) - 1) + (int(chunk.label[w]) << d) + (lo * (1 << d) >> classes.depth)
+                left, right = below[lo:mid].sum(), below[mid:hi].sum()
+                go = chunk.leaf[w] >= mid
+                if left and right:
+                    places = [(((int(x) ^ node * int(lm_scoring._NODE) % 2 ** 64) * int(lm_scoring._PLACE)) % 2 ** 64) * len(model.tree) >> 64 for x in f]
+                    z = math.log(right / left) + sum(float(model.tree[p]) for p in places)
+                    total -= math.log1p(math.exp(-z if go else z))
+                lo, hi = (mid, hi) if go else (lo, mid)
+            total += math.log((chunk.count[w] + 1) / below[lo:hi].sum())
+        if held:
+            want.append(total / math.log(10))
+    got = lm_scoring.lm_scores(docs, shrink=20).where("held_out").collect()
+    assert sorted(r["score"] for r in got) == pytest.approx(sorted(want), rel=1e-3)
+    assert sum(r["score"] for r in got) > 0.8 * sum(r["base_score"] for r in got)
+    flat = lm_scoring.Model(classes, model.weights, model.bias, np.zeros_like(model.tree))  # the same without the second factor's features
+    at = np.flatnonzero(np.repeat(chunk.held_out, chunk.sizes))
+    f, w = chunk.features(at, begin[at]), chunk.tokens[at]
+    assert lm_scoring.log_leaf(model, f, chunk.label[w], chunk.leaf[w]).sum() > 0.9 * lm_scoring.log_leaf(flat, f, chunk.label[w], chunk.leaf[w]).sum()
+
+
 # --- 8 token counts
 
 def test_token_counts_equal_the_library(docs, rows, no_docs):

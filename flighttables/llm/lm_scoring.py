@@ -45,7 +45,7 @@ SHRINK = 200.0
 _END = xxhash.xxh3_64_intdigest(b"\n")  # no word holds a line feed
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
 _BLOCK, _TREE_BLOCK = 1 << 10, 1 << 14
-_NODE, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)  # odd factors that spread nodes and places
+_NODE, _PLACE = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)  # odd factors that spread nodes and places
 
 
 def encode_chunks(docs: DataFrame, id_col: str, text_col: str, chunk_chars: int = 6_000_000) -> DataFrame:
@@ -254,22 +254,27 @@ def class_probabilities(weights: np.ndarray, bias: np.ndarray, features: np.ndar
     for f in buckets[1:]:
         z += weights[f]
     z += bias
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
+    np.exp(z, out=z)  # far from overflow: four weights of at most 8 and a logarithm of a share
+    z /= (z @ np.ones(z.shape[1], z.dtype))[:, None]
     return z
 
 
 def decisions(model: Model, features: np.ndarray, label: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
     """The paths to the leaves, level by level: tokens with a choice there, the places of their weights, whether they go right, its log odds."""
-    known, shift = model.classes, np.uint64(65 - len(model.tree).bit_length())
+    known, shift = model.classes, np.uint32(33 - len(model.tree).bit_length())
+    features = (features >> np.uint64(32)).astype(np.uint32)
     for d in range(known.depth):
         node = CLASSES * ((1 << d) - 1) + (label << d) + (leaf >> (known.depth - d))
         odds = known.odds[node]
         some = np.flatnonzero(np.isfinite(odds))
         if len(some):
-            places = (((features[:, some] ^ (node[some].astype(np.uint64) * _NODE)) * _PLACE) >> shift).astype(np.int64)
-            z = odds[some] + model.tree[places].sum(axis=0)
+            places = features[:, some]
+            places ^= node[some].astype(np.uint32) * _NODE
+            places *= _PLACE
+            places = (places >> shift).astype(np.int64)
+            z = odds[some]
+            for p in places:
+                z += model.tree[p]
             yield some, places, (leaf[some] >> (known.depth - 1 - d)) & 1 > 0, z
 
 
@@ -282,8 +287,8 @@ def log_leaf(model: Model, features: np.ndarray, label: np.ndarray, leaf: np.nda
 
 
 def gradients(chunk: Chunk, chosen: np.ndarray, model: Model, into: np.ndarray, tree: np.ndarray, batch: int = 16_384) -> None:
-    """Add the gradients of the chosen documents' tokens to ``into`` (features x classes, and a column of occurrences) and
-    ``tree`` (a row of gradients and a row of curvatures)."""
+    """Add the gradients of the chosen documents' tokens to ``into`` (a row of gradients for each class, and one of occurrences) and
+    ``tree`` (a row of gradients and one of curvatures)."""
     starts = np.repeat(starts_of(chunk.sizes), chunk.sizes)
     where = np.flatnonzero(np.repeat(chosen, chunk.sizes))
     places, slopes, curves, held = [], [], [], 0
@@ -294,22 +299,21 @@ def gradients(chunk: Chunk, chosen: np.ndarray, model: Model, into: np.ndarray,
         err = class_probabilities(model.weights, model.bias, f)
         np.negative(err, out=err)
         err[np.arange(len(some)), chunk.label[words]] += 1
-        for one in _buckets(f).astype(np.uint16):  # BITS is 16 at most; sorted by radix
-            order = np.argsort(one, kind="stable")
-            key = one[order]
-            head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            into[key[head], :CLASSES] += np.add.reduceat(err[order], head, axis=0)
-            into[key[head], CLASSES] += np.diff(np.append(head, len(order)))
+        buckets = _buckets(f)
+        for k, e in enumerate(np.ascontiguousarray(err.T, np.float64)):
+            into[k] += sum(np.bincount(b, e, into.shape[1]) for b in buckets)
+        into[CLASSES] += np.bincount(buckets.ravel(), minlength=into.shape[1])
         for _, p, right, z in decisions(model, f, chunk.label[words], chunk.leaf[words]):
             share = 1 / (1 + np.exp(-z))
-            places.append(p.ravel())
-            slopes.append(np.tile(right - share, len(p)))
-            curves.append(np.tile(share * (1 - share), len(p)))
+            places.append(p)
+            slopes.append(right - share)
+            curves.append(share * (1 - share))
             held += p.size
         if places and (held > 1 << 20 or at + batch >= len(where)):
-            p = np.concatenate(places)
-            tree[0] += np.bincount(p, np.concatenate(slopes), tree.shape[1])
-            tree[1] += np.bincount(p, np.concatenate(curves), tree.shape[1])
+            slope, curve = np.concatenate(slopes).astype(np.float64), np.concatenate(curves).astype(np.float64)
+            for p in np.concatenate(places, axis=1):
+                tree[0] += np.bincount(p, slope, tree.shape[1])
+                tree[1] += np.bincount(p, curve, tree.shape[1])
             places, slopes, curves, held = [], [], [], 0
 
 
@@ -340,13 +344,13 @@ def train(counted: DataFrame, classes: Classes, steps: int = STEPS, rate: float
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = shared.value  # noqa: B023
-            total, nodes = np.zeros((1 << BITS, CLASSES + 1), np.float32), np.zeros((2, 1 << bits), np.float32)
+            total, nodes = np.zeros((CLASSES + 1, 1 << BITS), np.float32), np.zeros((2, 1 << bits), np.float32)
             for batch in batches:
                 for i in range(batch.num_rows):
                     chunk = Chunk(batch.column("vocabulary")[i].as_py(), batch.column("tokens")[i].as_py(), held.classes)
                     turn = (np.arange(len(chunk.sizes)) + batch.column("chunk")[i].as_py()) % steps == step  # noqa: B023
                     gradients(chunk, turn & ~chunk.held_out, held, total, nodes)
-            found = [(k, total[k:k + _BLOCK]) for k in range(0, 1 << BITS, _BLOCK) if total[k:k + _BLOCK, CLASSES].any()]
+            found = [(k, total[:, k:k + _BLOCK]) for k in range(0, 1 << BITS, _BLOCK) if total[CLASSES, k:k + _BLOCK].any()]
             found += [((1 << BITS) + k, nodes[:, k:k + _TREE_BLOCK]) for k in range(0, 1 << bits, _TREE_BLOCK) if nodes[1, k:k + _TREE_BLOCK].any()]
             for k, g in found:
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_short(g)], pa.binary())], names=["block", "g"])
@@ -360,7 +364,7 @@ def train(counted: DataFrame, classes: Classes, steps: int = STEPS, rate: float
         for r in sums:
             k, g = r["block"], np.frombuffer(r["g"], np.float32)
             if k < 1 << BITS:
-                g = g.reshape(_BLOCK, -1)
+                g = g.reshape(-1, _BLOCK).T
                 move = rate * g[:, :CLASSES] / ((g[:, CLASSES:] + shrink) * curve)
                 weights[k:k + _BLOCK] += np.clip(move, -2, 2).astype(np.float32)
             else:

@@ -521,7 +521,7 @@ def test_lm_raises_a_word_over_others_of_its_class(spark):
                 left, right = below[lo:mid].sum(), below[mid:hi].sum()
                 go = chunk.leaf[w] >= mid
                 if left and right:
-                    places = [(((int(x) ^ node * int(lm_scoring._NODE) % 2 ** 64) * int(lm_scoring._PLACE)) % 2 ** 64) * len(model.tree) >> 64 for x in f]
+                    places = [((int(x) >> 32 ^ node * int(lm_scoring._NODE) % 2 ** 32) * int(lm_scoring._PLACE)) % 2 ** 32 * len(model.tree) >> 32 for x in f]
                     z = math.log(right / left) + sum(float(model.tree[p]) for p in places)
                     total -= math.log1p(math.exp(-z if go else z))
                 lo, hi = (mid, hi) if go else (lo, mid)

@@ -13,7 +13,8 @@ A document's set is its distinct shingles of ``SHINGLE`` words (fewer words: the
    documents hold it.  Members of shared signatures come back as rows.
 3. Members of a signature are compared by their counts of elements in ``CELLS`` parts of the domain: the sum of the
    differences is at most the number of differing elements, so no link is dropped.  Buckets are cut into blocks of
-   ``MEMBERS``, a task for each two blocks.  Of what is left a member names its first few partners that are not yet
+   ``MEMBERS``, a task for each two blocks.  Two members meet in many signatures and are compared in the least of them
+   only.  Of what is left a member names its first few partners that are not yet
    in its component; these pairs are tested by the sets themselves, components are joined, and the next round names more
    of them, until no pair of different components is untested.  So the copies in a large group are not all paired.
 
@@ -48,6 +49,8 @@ CELLS, FULL, MOST_CELLS = 64, 4, 4_096
 MEMBERS = 2_000
 #: Signatures that one task of the second pass holds.
 BUCKET_SIGNATURES = 1_500_000
+#: Words of 64 bits in which the signatures of a member are compared at once.
+SIGNATURE_WORDS = 64
 #: Partners that a member names in the first round, and how many times more in each following one.
 FIRST, GROWTH = 1, 8
 #: Members tested with one copy of their partner's text.
@@ -272,13 +275,52 @@ def buckets_of(members: DataFrame, members_most: int = MEMBERS) -> DataFrame:
                        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
 
 
+def _lesser(held: pa.ListArray, sig: int) -> list[np.ndarray]:
+    """For each member of a signature the lesser signatures of its list ``held``, as bits over those that several members have.
+
+    The bits come in blocks (a row a member, ``SIGNATURE_WORDS`` words at most), the most common signatures first.
+    """
+    value = held.flatten().to_numpy(zero_copy_only=False)
+    owner = np.repeat(np.arange(len(held)), held.value_lengths().to_numpy(zero_copy_only=False))
+    value, owner = value[value < sig], owner[value < sig]
+    _, at, n = np.unique(value, return_inverse=True, return_counts=True)
+    by = np.argsort(-n, kind="stable")
+    place = np.empty(len(n), np.int64)
+    place[by] = np.arange(len(n))
+    at, several = place[at], int((n > 1).sum())
+    out = []
+    for low in range(0, several, 64 * SIGNATURE_WORDS):
+        high = min(several, low + 64 * SIGNATURE_WORDS)
+        mine = (at >= low) & (at < high)
+        bits = np.zeros((len(held), -(-(high - low) // 64)), np.uint64)
+        np.bitwise_or.at(bits, (owner[mine], (at[mine] - low) // 64), np.uint64(1) << ((at[mine] - low) % 64).astype(np.uint64))
+        out.append(bits)
+    return out
+
+
+def _meet_first(a: np.ndarray, b: np.ndarray, lesser: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Those pairs of members that have no lesser signature in common."""
+    for bits in lesser:
+        step = 1 + 1_600_000 // bits.shape[1]
+        alone = [np.zeros(0, bool)]
+        for at in range(0, len(a), step):
+            alone.append(~(bits[a[at:at + step]] & bits[b[at:at + step]]).any(1))
+        alone = np.concatenate(alone)
+        a, b = a[alone], b[alone]
+    return a, b
+
+
 def _near(groups: Iterator[pa.Table], percent: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (code, smaller code) of each group that may be linked and are of different components, at most ``most`` for a code."""
+    """Pairs (code, smaller code) of each group that may be linked and are of different components, at most ``most`` for a code.
+
+    A pair belongs to the least signature that both have (``sigs``); other groups leave it out.
+    """
     for t in groups:
         order = np.argsort(t.column("n").to_numpy(), kind="stable")
         n, code, own, side = (t.column(c).to_numpy()[order] for c in ("n", "code", "class_id", "side"))
         count = counted(t.column("counts").to_pylist())[order]
         tested = {(int(code[i]), p) for i, ps in enumerate(t.column("tested").take(pa.array(order)).to_pylist()) if ps for p in ps}
+        lesser = _lesser(t.column("sigs").combine_chunks().take(pa.array(order)), t.column("cell").chunk(0).field("sig")[0].as_py())
         reach = np.searchsorted(n * percent, n * 100, "right")  # partners of the i-th are those after it, up to here
         width = np.maximum(reach - np.arange(len(n)) - 1, 0)
         found = []
@@ -289,7 +331,7 @@ def _near(groups: Iterator[pa.Table], percent: int, most: int) -> Iterator[tuple
             b = a + 1 + np.arange(len(a)) - np.repeat(starts_of(width[at:stop]), width[at:stop])
             at = stop
             go = (own[a] != own[b]) & (code[a] != code[b]) & ((side[a] == 0) | (side[a] != side[b]))
-            a, b = a[go], b[go]
+            a, b = _meet_first(a[go], b[go], lesser)
             step = 1 + 6_400_000 // count.shape[1]
             for lo in range(0, len(a), step):
                 x, y = a[lo:lo + step], b[lo:lo + step]
@@ -332,10 +374,10 @@ def _runs(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Table]:
 
 
 def candidates(cells: DataFrame, nodes: DataFrame, classes: DataFrame, tested: DataFrame, percent: int, most: int) -> DataFrame:
-    """``(cell, u, v)``: partners named in each cell."""
+    """``(cell, u, v)``: partners named in each cell; a pair is named in one cell only.  ``nodes`` have the signatures (``sigs``) of each code."""
     failed = tested.where("not ok").groupBy(F.col("u").alias("code")).agg(F.collect_list("v").alias("tested"))  # those that u has named
-    rows = (cells.join(nodes.select("code", "n", "counts"), "code").join(classes, "code", "left").join(failed, "code", "left")
-            .select("cell", "code", "side", "n", "counts", F.coalesce("class_id", "code").alias("class_id"), "tested"))
+    rows = (cells.join(nodes.select("code", "n", "counts", "sigs"), "code").join(classes, "code", "left").join(failed, "code", "left")
+            .select("cell", "code", "side", "n", "counts", "sigs", F.coalesce("class_id", "code").alias("class_id"), "tested"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, pairs in _near(_runs(batches, "cell"), percent, most):
@@ -415,12 +457,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
                .select("sig", F.coalesce("code", "row").alias("code")).distinct())
     cells = staged(buckets_of(staged(members, "jaccard-shared"), members_most), "jaccard-cells")
 
+    # The signatures of a set that others share: bounded by the signatures of one set.
+    held = cells.select("code", "cell.sig").distinct().groupBy("code").agg(F.sort_array(F.collect_list("sig")).alias("sigs"))
+    compared = staged(nodes.select("code", "n", "counts").join(held, "code"), "jaccard-compared")
+
     classes = nodes.select("code", F.col("code").alias("class_id")).limit(0)
     tested = nodes.select(F.col("code").alias("u"), F.col("code").alias("v"), F.lit(True).alias("ok")).limit(0)
     texts, most = None, FIRST
     while True:
-        named = staged(candidates(cells, nodes, classes, tested, percent, most), "jaccard-named")
-        pairs = staged(named.select("u", "v").distinct(), "jaccard-pairs")
+        named = staged(candidates(cells, compared, classes, tested, percent, most), "jaccard-named")
+        pairs = named.select("u", "v")
         if pairs.isEmpty():
             break
         both = pairs.select(F.explode(F.array("u", "v")).alias("code")).distinct()

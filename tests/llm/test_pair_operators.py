@@ -84,6 +84,27 @@ def test_jaccard_other_threshold_and_large_group(spark):
         assert collections.Counter((r[0], r[1], r[2]) for r in got.collect()) == brute_components(rows, percent)
 
 
+@pytest.mark.parametrize("members", [2_000, 7])
+def test_jaccard_names_a_pair_once(spark, monkeypatch, members):
+    """Near copies share many signatures; a pair of them is compared in one of these only."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, edited(rng, base, rng.randrange(3))) for i in range(40)]
+    staged, named = J.staged, []
+
+    def seen(df, name):
+        out = staged(df, name)
+        if name == "jaccard-named":
+            named.append([(r["u"], r["v"]) for r in out.collect()])
+        return out
+
+    monkeypatch.setattr(J, "staged", seen)
+    monkeypatch.setattr(J, "SIGNATURE_WORDS", 1)
+    got = J.jaccard_components(frame(spark, rows), members_most=members)
+    assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute_components(rows)
+    assert named[0] and all(len(set(some)) == len(some) for some in named)
+
+
 def test_jaccard_empty(spark):
     assert J.jaccard_components(frame(spark, [])).count() == 0
     got = J.jaccard_components(frame(spark, [(1, None), (2, ""), (None, "a b c d e"), (3, "a b c d e")]))

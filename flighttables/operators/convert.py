@@ -127,6 +127,9 @@ def convert(fields: DataFrame, samples: DataFrame, untagged: DataFrame, tagged:
 
 
 def write_messages(spark: SparkSession, messages: DataFrame, path: str) -> DataFrame:
-    """Write ordered messages as Parquet, each file a range of (flight, place in the flight) in that order, and read them back."""
-    messages.repartitionByRange("mcap_id", "seq").sortWithinPartitions("mcap_id", "seq").write.option("compression", "zstd").parquet(path)
+    """Write ordered messages as Parquet, each file a range of (flight, place in the flight) in that order, and read them back.
+
+    :func:`merge.merge_streams` gives them in such ranges, which are written as they lie, without another shuffle.
+    """
+    messages.sortWithinPartitions("mcap_id", "seq").write.option("compression", "zstd").parquet(path)
     return spark.read.schema(messages.schema).parquet(path)

@@ -5,8 +5,9 @@ trajectory — become one envelope ``(mcap_id, topic, ts_us, payload)`` in time
 Equal times keep stream order (the order of the ``streams`` list, then ``sub_ord`` inside
 a stream such as the topic's position), then input order (``row_ord``).
 
-The total order is produced per flight by the skew-safe ``ordered_within`` (buckets of ten minutes),
-never by a single global sort into one partition or by one task per flight.
+The total order is produced per flight by the skew-safe ``ordered_within`` (buckets of ten minutes, or less where these
+hold many messages), never by a single global sort into one partition or by one task per flight.  The messages are written once
+before, so that what they come from is computed once, and whole messages are shuffled once.
 """
 
 from __future__ import annotations
@@ -14,8 +15,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.time import micros_to_nanos
+from ..session import new_output_dir
 from .ordered import TIME_WIDTH_US, ordered_within
 
+#: Messages of a flight that a bucket is to hold, and buckets of all flights, unless ten minutes give more.
+BUCKET_ROWS, MOST_BUCKETS = 200_000, 500_000
+#: Messages that one task orders.
+RANGE_ROWS = 400_000
+
 ENVELOPE = ["mcap_id", "topic", "ts_us", "row_ord", "payload"]
 
 
@@ -28,17 +35,33 @@ def envelope(df: DataFrame, stream_idx: int) -> DataFrame:
                      F.col("payload").cast("string").alias("payload"))
 
 
+def bucket_width(rows: DataFrame) -> tuple[int, int]:
+    """Width of the time buckets by the densest ten minutes of a flight, and the number of messages."""
+    held = rows.groupBy("mcap_id", F.floor(F.col("ts_us") / TIME_WIDTH_US).alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), (F.max("ts_us") - F.min("ts_us") + 1).alias("extent"))
+    r = held.agg(F.sum("n").alias("n"), F.sum("extent").alias("extent"),
+                 F.min(F.when(F.col("n") > BUCKET_ROWS, F.col("extent") * F.lit(float(BUCKET_ROWS)) / F.col("n"))).alias("width")).first()
+    if r["width"] is None:
+        return TIME_WIDTH_US, r["n"] or 0
+    return min(TIME_WIDTH_US, max(1, int(r["width"]), r["extent"] // MOST_BUCKETS)), r["n"]
+
+
 def merge_streams(streams: list[DataFrame]) -> DataFrame:
     """Union the streams (in priority order) and number each flight's messages in merge order.
 
     Output: ``mcap_id, seq, ts_us, topic, stream, sub_ord, row_ord, payload, log_time_ns,
-    publish_time_ns`` (both message times are ``ts_us * 1000``).
+    publish_time_ns`` (both message times are ``ts_us * 1000``).  Each partition is a range of (flight, place in the flight), in that order.
     """
     u = None
     for i, s in enumerate(streams):
         e = envelope(s, i)
         u = e if u is None else u.unionByName(e)
-    seq = ordered_within(u, ["mcap_id"], ["ts_us", "stream", "sub_ord", "row_ord"], seq_col="seq", width=TIME_WIDTH_US)
+    spark, path = u.sparkSession, new_output_dir(u.sparkSession, "merge-streams")
+    u.write.option("compression", "zstd").parquet(path)
+    rows = spark.read.schema(u.schema).parquet(path)
+    width, n = bucket_width(rows)
+    seq = ordered_within(rows, ["mcap_id"], ["ts_us", "stream", "sub_ord", "row_ord"], seq_col="seq", width=width,
+                         ranges=n // RANGE_ROWS + spark.sparkContext.defaultParallelism)
     return seq.select("mcap_id", "seq", "ts_us", "topic", "stream", "sub_ord", "row_ord", "payload",
                       micros_to_nanos(F.col("ts_us")).alias("log_time_ns"),
                       micros_to_nanos(F.col("ts_us")).alias("publish_time_ns"))

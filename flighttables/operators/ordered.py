@@ -42,18 +42,21 @@ def bucket_of(col: str, dtype: T.DataType, width: int | None) -> Column:
 
 def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], *,
                    seq_col: str | None = "seq", lag_cols: Sequence[str] = (), lead_cols: Sequence[str] = (),
-                   width: int | None = None) -> DataFrame:
+                   width: int | None = None, ranges: int | None = None) -> DataFrame:
     """Add ``seq_col`` (1-based order inside the group), ``prev_<c>`` and ``next_<c>`` columns.
 
     Equal to ``row_number() / lag(c) / lead(c) OVER (PARTITION BY group ORDER BY order)`` (nulls first; null group
     values form a group).  ``order_cols`` must order the rows of a group totally (end with a unique ordinal), and the first
-    must be a time or a number; ``width`` is the width of its buckets (microseconds for times).
+    must be a time or a number; ``width`` is the width of its buckets (microseconds for times).  With ``ranges`` rows are dealt to that many
+    ranges of (group, bucket), in which the result stays in order, by the only shuffle of whole rows; the buckets' offsets, a small row each, are broadcast.
     """
     group_cols, order_cols, lag_cols, lead_cols = map(list, (group_cols, order_cols, lag_cols, lead_cols))
     group, order = F.struct(*[F.col(g) for g in group_cols]), F.struct(*[F.col(c) for c in order_cols])
     # Keys are structs: never null as a whole, and equal where their fields are equal or both null.
     bucket = bucket_of(order_cols[0], df.schema[order_cols[0]].dataType, width)
     keyed = df.withColumn(_KEY, F.struct(*[F.col(g) for g in group_cols], bucket.alias(_BUCKET)))
+    if ranges:
+        keyed = keyed.repartitionByRange(ranges, _KEY)
 
     inside = Window.partitionBy(_KEY).orderBy(*order_cols)
     local = {_LOCAL: F.row_number().over(inside)}
@@ -77,7 +80,7 @@ def ordered_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
         border["_ow_after"] = F.lead("_ow_first").over(along)
     borders = sizes.withColumns(border).select(F.col(_KEY), *border)
 
-    joined = rows.join(borders, on=_KEY, how="inner")
+    joined = rows.join(F.broadcast(borders) if ranges else borders, on=_KEY, how="inner")
     out = [F.col(c) for c in df.columns]
     if seq_col:
         out.append((F.col(_LOCAL) + F.col("_ow_offset")).cast("bigint").alias(seq_col))

@@ -123,3 +123,29 @@ def test_ordered_within_empty_and_single_row(spark):
     one = spark.createDataFrame([("a", 1, 7)], "g string, o long, v long")
     assert rows(ordered_within(one, ["g"], ["o"], lag_cols=["v"], lead_cols=["v"], width=4)) == \
         [("a", 1, 7, 1, None, None)]
+
+
+def test_merge_streams_deals_whole_messages_once(spark, monkeypatch):
+    """A dense flight is cut into narrow buckets; whole messages are shuffled once, into ranges that are in order as they lie."""
+    monkeypatch.setattr(MG, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(MG, "RANGE_ROWS", 100)
+    flight = F.when(F.col("id") % 5 == 0, F.lit("b")).otherwise(F.lit("a"))
+    stream = spark.range(1000).select(flight.alias("mcap_id"), F.lit("t").alias("topic"), (F.col("id") * 37 % 400).alias("ts_us"),
+                                      F.col("id").alias("row_ord"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("payload"))
+    out = MG.merge_streams([stream.where("row_ord % 2 = 0"), stream.where("row_ord % 2 = 1")])
+    parts = [[(r["mcap_id"], r["seq"]) for r in p] for p in out.rdd.glom().collect()]
+    assert len([p for p in parts if p]) > 4 and max(map(len, parts)) < 400
+    assert [x for p in parts for x in p] == [("a", i + 1) for i in range(800)] + [("b", i + 1) for i in range(200)]
+    got = [(r["mcap_id"], r["ts_us"], r["stream"], r["row_ord"], r["payload"]) for r in out.collect()]
+    want = sorted(((r["mcap_id"], r["ts_us"], r["row_ord"] % 2, r["row_ord"], r["payload"]) for r in stream.collect()), key=lambda x: x[:4])
+    assert got == want
+
+
+def test_bucket_width_follows_the_densest_flight(spark, monkeypatch):
+    monkeypatch.setattr(MG, "BUCKET_ROWS", 10)
+    dense = spark.range(100).select(F.lit("a").alias("mcap_id"), F.col("id").alias("ts_us"))
+    sparse = spark.range(5).select(F.lit("b").alias("mcap_id"), (F.col("id") * 10 ** 12).alias("ts_us"))
+    assert MG.bucket_width(dense.union(sparse)) == (10, 105)
+    assert MG.bucket_width(sparse) == (MG.TIME_WIDTH_US, 5) and MG.bucket_width(sparse.limit(0)) == (MG.TIME_WIDTH_US, 0)
+    monkeypatch.setattr(MG, "MOST_BUCKETS", 6)
+    assert MG.bucket_width(dense.union(sparse))[0] == 17

@@ -58,11 +58,12 @@ def _per_log(df: DataFrame) -> list[str]:
 def topic_fields(fields: DataFrame) -> DataFrame:
     """``([mcap_id,] topic) -> [(field, type)]`` in declaration order (a list is bounded by one message definition).
 
-    Declaration order is ``(ordinal, field, type)``; equal ordinals break by name, then type.
+    Declaration order is ``(ordinal, field, type)``; equal ordinals break by name, then type.  Rows are dealt by topic before
+    they are collected: lists collected on both sides of a shuffle are sorted in either, and those before it spill.
     """
     ordered = F.array_sort(F.collect_list(F.struct("ordinal", "field", "type")))
     keys = [*_per_log(fields), "topic"]
-    return (fields.groupBy(*keys).agg(ordered.alias("_f"))
+    return (fields.select(*keys, "ordinal", "field", "type").repartition(*keys).groupBy(*keys).agg(ordered.alias("_f"))
             .select(*keys, F.transform("_f", lambda x: F.struct(x["field"].alias("field"),
                                                                   x["type"].alias("type"))).alias("fields")))
 

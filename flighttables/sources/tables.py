@@ -15,7 +15,7 @@ def spread(df: DataFrame, partitions: int) -> DataFrame:
     For a small file with one row group, which one task reads, when heavy per-row work (explode, pattern matching, byte
     text) follows; a large input has input splits enough and needs no such shuffle.
     """
-    return df.repartition(partitions)
+    return df if df.rdd.getNumPartitions() >= partitions else df.repartition(partitions)
 
 
 def read_table(spark: SparkSession, root: str, name: str, spread_to: int | None = None) -> DataFrame:

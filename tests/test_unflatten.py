@@ -103,3 +103,21 @@ def test_samples_to_rows_of_several_datasets(spark):
     ds = spark.createDataFrame([("wind", 2, [5, 8, 9], [0.1, 0.2, 0.3]), ("wind", 0, [], [])],
                                "topic_name string, multi_id int, timestamp array<long>, `v[3]` array<double>")
     assert rows(U.samples_to_rows(ds, ["v[3]"])) == [("wind_2", 5, 0.1), ("wind_2", 8, 0.2), ("wind_2", 9, 0.3)]
+
+
+def test_topic_fields_collects_after_its_shuffle_only(spark):
+    """No list is collected, and sorted by topic, before the rows are dealt by topic."""
+    df = spark.createDataFrame([("l", "t", 1, "b", "float"), ("l", "t", 0, "a", "float"), (None, "t", 0, "c", "char"), ("l", None, 0, "d", "char")],
+                               "mcap_id string, topic string, ordinal long, field string, type string")
+    out = U.topic_fields(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("ObjectHashAggregate") < plan.index("Exchange hashpartitioning") == plan.rindex("Exchange hashpartitioning")
+    assert {(r["mcap_id"], r["topic"]): [f["field"] for f in r["fields"]] for r in out.collect()} == {
+        ("l", "t"): ["a", "b"], (None, "t"): ["c"], ("l", None): ["d"]}
+
+
+def test_spread_leaves_a_scan_of_many_splits(spark):
+    from flighttables.sources.tables import spread
+    df = spark.range(0, 100, 1, 6)
+    plan = lambda n: spread(df, n)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(6) and "Exchange" not in plan(4) and "Exchange" in plan(8) and spread(df, 8).count() == 100

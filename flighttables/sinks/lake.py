@@ -38,6 +38,8 @@ _FANOUT_SCHEMA = "mcap_id string, source string, stamp string, base_topic string
 #: Columns of a batch that tell where a row came from; they order the rows and go to the manifest, not to the table.
 _ORIGIN = ("source", "stamp", "row_index")
 RUNS = "_runs"
+#: Manifest rows of a batch up to which the manifests may be broadcast, which brings them to the driver.
+BROADCAST_ROWS = 50_000
 #: Folder of a topic table with the partial aggregates of its batches (:mod:`flighttables.operators.partials`).
 PARTIALS = "_partials"
 _RUN_SCHEMA = ("base_topic string, n_files bigint, in_bytes bigint, rows_in bigint, out_files bigint, out_bytes bigint, rows_written bigint, "
@@ -92,15 +94,18 @@ def _stage_and_check(spark: SparkSession, messages: DataFrame, root: str, keys:
     batch = spark.read.schema(messages.select(*keys).schema).parquet(staged_dir)
     if done is not None and on_existing != "append":
         pair = ["mcap_id", "source"]
+        many = batch.count() > BROADCAST_ROWS or done.count() > BROADCAST_ROWS  # from the files' footers
+        by_key = lambda d: d.hint("merge") if many else d
         held = done.groupBy(*pair).agg(F.max("stamp").alias("held_stamp"))
-        already = batch.select(*pair, "stamp").distinct().join(held, on=pair)
+        already = batch.select(*pair, "stamp").distinct().join(by_key(held), on=pair)
         changed = already.where(F.col("stamp") != F.col("held_stamp")).limit(1).collect()
         if changed:
             raise ValueError(f"{changed[0]['source']} has changed since it was ingested into {root}")
         already = already.select(*pair)
         if on_existing == "skip":
-            messages = messages.join(already, on=pair, how="left_anti")
-            batch = batch.join(already, on=pair, how="left_anti")
+            messages = messages.join(by_key(already), on=pair, how="left_anti")
+            messages = messages.hint("rebalance", "log_date") if many else messages  # they lie by flight now
+            batch = batch.join(by_key(already), on=pair, how="left_anti")
         else:
             dup = already.limit(1).collect()
             if dup:

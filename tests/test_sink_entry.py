@@ -333,3 +333,24 @@ def test_write_topic_table_overwrite(spark):
                          table, mode="overwrite")
     assert rows(spark.read.parquet(table).select("mcap_id").distinct()) == [("2024-05-02-b",)]
     assert rows(spark.read.parquet(f"{table}/_ingested").select("mcap_id").distinct()) == [("2024-05-02-b",)]
+
+
+def test_many_flights_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """What a table holds, and the view's rows by flight, are joined by shuffles: they don't go through the driver."""
+    from flighttables.operators import curated
+    from flighttables.sinks import lake as LK
+    rows = spark.range(6).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("mcap_id"), F.lit("2024-01-01").cast("date").alias("log_date"),
+                                 F.col("id").alias("publish_time"), F.col("id").alias("v"))
+    path = f"{tmp_path}/t"
+    assert LK.write_topic_table(spark, rows.where("v < 4"), path, batch_id="one")
+    keys = ["mcap_id", "source", "stamp", "log_date"]
+    monkeypatch.setattr(LK, "BROADCAST_ROWS", 3)
+    messages, batch, *_ = LK._stage_and_check(spark, rows, path, keys, LK.MANIFEST, "append", "skip", "two")
+    for df in (messages, batch):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+        assert sorted(r["mcap_id"] for r in df.collect()) == ["f4", "f5"]
+    times = rows.select("mcap_id", "log_date", F.timestamp_seconds("v").cast("timestamp_ntz").alias("log_time"), F.lit(2).alias("arming_state"))
+    view = curated.flights(times, rows.where("v > 2").select("mcap_id", F.lit("ERROR").alias("level")))
+    assert "Broadcast" not in view._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r["mcap_id"], r["error_count"]) for r in view.collect()) == [(f"f{i}", int(i > 2)) for i in range(6)]

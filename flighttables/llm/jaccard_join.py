@@ -12,11 +12,14 @@ A document's set is its distinct shingles of ``SHINGLE`` words (fewer words: the
    share are known to be shared and go by the side with their members, so a chunk sends any signature once, however many
    documents hold it.  Members of shared signatures come back as rows.
 3. Members of a signature are compared by their counts of elements in ``CELLS`` parts of the domain: the sum of the
-   differences is at most the number of differing elements, so no link is dropped.  Buckets are cut into blocks of
-   ``MEMBERS``, a task for each two blocks.  Two members meet in many signatures and are compared in the least of them
-   only.  Of what is left a member names its first few partners that are not yet
-   in its component; these pairs are tested by the sets themselves, components are joined, and the next round names more
-   of them, until no pair of different components is untested.  So the copies in a large group are not all paired.
+   differences is at most the number of differing elements, so no link is dropped.  Two members meet in many signatures
+   and are compared in the least of them only.  Of what is left a member names its first few partners that are not yet
+   in its component; these pairs are tested by the sets themselves, components are joined, and the next round goes on with
+   the members that had more partners to name, until no pair of different components is untested.  So the copies in a
+   large group are not all paired.
+4. Buckets are cut into blocks of ``MEMBERS``.  First each block is compared within itself; in buckets that are still of
+   several components, one block with each other one; then, where that is not enough, the members outside of the bucket's
+   largest component with all others.  So the rows of a bucket grow with its members, but for those that no link joins.
 
 Equal sets count as one until the end, however many there are.
 """
@@ -259,22 +262,63 @@ def _shared(packed: DataFrame) -> DataFrame:
 
 
 def buckets_of(members: DataFrame, members_most: int = MEMBERS) -> DataFrame:
-    """``(cell, code, side)``: members (``sig, code``, distinct) of signatures of two or more, cut into cells.
+    """``(sig, code, blocks)``: members (``sig, code``, distinct) of signatures of two or more, and into how many blocks these are cut.
 
-    Signatures with the same members count once.  The blocks of a larger bucket meet each other in a cell for each two;
-    ``side`` is 0 for all members of a cell that holds one block, else the members of side 1 are to be compared with those of side 2.
+    Signatures with the same members count once.
     """
     print_of = lambda salt: F.bit_xor(F.xxhash64("code", F.lit(salt)))
     size = members.groupBy("sig").agg(F.count("*").alias("n"), print_of(1).alias("x"), print_of(2).alias("y")).where("n > 1")
     one = size.groupBy("n", "x", "y").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("n") / members_most).alias("blocks"))
-    own = F.pmod(F.xxhash64("code", F.lit(3)), F.col("blocks"))
-    rows = (members.join(one, "sig").withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    return rows.select(F.struct("sig", low.alias("low"), high.alias("high")).alias("cell"), "code",
+    return members.join(one, "sig").select("sig", "code", "blocks")
+
+
+def _block(blocks: F.Column) -> F.Column:
+    return F.pmod(F.xxhash64("sig", "code"), blocks)
+
+
+def _cells(rows: DataFrame, own: F.Column, others: F.Column) -> DataFrame:
+    """``(cell, code, side)``: members of the block ``own`` in a cell with each block of ``others``.
+
+    ``side`` is 0 for all members of a cell that holds one block, else the members of side 1 are to be compared with those of side 2.
+    """
+    rows = rows.withColumn("own", own.cast("long")).withColumn("other", F.explode(others))
+    return rows.select(F.struct("sig", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).alias("cell"), "code",
                        F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
 
 
+def _upto(last: F.Column, first: int = 0) -> F.Column:
+    return F.sequence(F.lit(first).cast("long"), last.cast("long"))
+
+
+def cells_within(buckets: DataFrame) -> DataFrame:
+    """Each block of each bucket in a cell of its own."""
+    return _cells(buckets, _block(F.col("blocks")), F.array(F.col("own")))
+
+
+def _of_several(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members, with their component, of the buckets of several blocks and components; ``top`` is the bucket's largest one, ``n`` all members."""
+    rows = (buckets.where("blocks > 1").join(classes, "code", "left")
+            .select("sig", "code", "blocks", F.coalesce("class_id", "code").alias("class_id")))
+    by = (rows.groupBy("sig", "class_id").agg(F.count("*").alias("held")).groupBy("sig")
+          .agg(F.max(F.struct("held", "class_id")).alias("top"), F.sum("held").alias("n"), F.count("*").alias("several")).where("several > 1"))
+    return rows.join(by.select("sig", "top", "n"), "sig")
+
+
+def cells_around_first(buckets: DataFrame, classes: DataFrame, members_most: int) -> DataFrame:
+    """The first block of a bucket in a cell with each other one."""
+    del members_most
+    return _cells(_of_several(buckets, classes), _block(F.col("blocks")),
+                  F.when(F.col("own") == 0, _upto(F.col("blocks") - 1, 1)).otherwise(F.array(F.lit(0).cast("long"))))
+
+
+def cells_of_rest(buckets: DataFrame, classes: DataFrame, members_most: int) -> DataFrame:
+    """Blocks of the members outside of the bucket's largest component, each in a cell with each block of the bucket."""
+    inside = F.col("class_id") == F.col("top.class_id")
+    outer, inner = F.ceil((F.col("n") - F.col("top.held")) / members_most), F.ceil(F.col("top.held") / members_most)
+    return _cells(_of_several(buckets, classes), F.when(inside, outer + _block(inner)).otherwise(_block(outer)),
+                  F.when(inside, _upto(outer - 1)).otherwise(_upto(outer + inner - 1)))
+
+
 def _lesser(held: pa.ListArray, sig: int) -> list[np.ndarray]:
     """For each member of a signature the lesser signatures of its list ``held``, as bits over those that several members have.
 
@@ -310,8 +354,9 @@ def _meet_first(a: np.ndarray, b: np.ndarray, lesser: list[np.ndarray]) -> tuple
     return a, b
 
 
-def _near(groups: Iterator[pa.Table], percent: int, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (code, smaller code) of each group that may be linked and are of different components, at most ``most`` for a code.
+def _near(groups: Iterator[pa.Table], percent: int, most: int) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Pairs (code, smaller code) of each group that may be linked and are of different components, at most ``most`` for a code,
+    and the rows of the members of those that are left.
 
     A pair belongs to the least signature that both have (``sigs``); other groups leave it out.
     """
@@ -346,7 +391,7 @@ def _near(groups: Iterator[pa.Table], percent: int, most: int) -> Iterator[tuple
         u = pairs[:, 0]
         head = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1]))) if len(u) else np.zeros(0, np.int64)
         rank = np.arange(len(u)) - np.repeat(head, np.diff(np.append(head, len(u))))
-        yield t, pairs[rank < most]
+        yield t, pairs[rank < most], np.flatnonzero(np.isin(t.column("code").to_numpy(), pairs[rank >= most]))
 
 
 def _runs(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Table]:
@@ -374,20 +419,27 @@ def _runs(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.Table]:
 
 
 def candidates(cells: DataFrame, nodes: DataFrame, classes: DataFrame, tested: DataFrame, percent: int, most: int) -> DataFrame:
-    """``(cell, u, v)``: partners named in each cell; a pair is named in one cell only.  ``nodes`` have the signatures (``sigs``) of each code."""
+    """``(cell, u, v, side)``: partners named in each cell; a pair is named in one cell only.  ``nodes`` have the signatures (``sigs``) of each code.
+
+    Members of the pairs that were not named, as there were more than ``most``, come back with their ``side`` and without ``v``.
+    """
     failed = tested.where("not ok").groupBy(F.col("u").alias("code")).agg(F.collect_list("v").alias("tested"))  # those that u has named
     rows = (cells.join(nodes.select("code", "n", "counts", "sigs"), "code").join(classes, "code", "left").join(failed, "code", "left")
             .select("cell", "code", "side", "n", "counts", "sigs", F.coalesce("class_id", "code").alias("class_id"), "tested"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, pairs in _near(_runs(batches, "cell"), percent, most):
-            if len(pairs):
+        for t, pairs, left in _near(_runs(batches, "cell"), percent, most):
+            n = len(pairs) + len(left)
+            if n:
                 cell = t.column("cell").slice(0, 1).combine_chunks()
                 cell = cell.chunk(0) if isinstance(cell, pa.ChunkedArray) else cell
-                yield pa.RecordBatch.from_arrays([cell.take(pa.array(np.zeros(len(pairs), np.int64))), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
-                                                 names=["cell", "u", "v"])
+                code, side = (t.column(c).to_numpy()[left] for c in ("code", "side"))
+                yield pa.RecordBatch.from_arrays(
+                    [cell.take(pa.array(np.zeros(n, np.int64))), pa.array(np.concatenate((pairs[:, 0], code))),
+                     pa.concat_arrays([pa.array(pairs[:, 1]), pa.nulls(len(left), pa.int64())]),
+                     pa.concat_arrays([pa.nulls(len(pairs), pa.int32()), pa.array(side, pa.int32())])], names=["cell", "u", "v", "side"])
 
-    return in_arrow(rows.repartition("cell").sortWithinPartitions("cell"), run, "cell struct<sig: long, low: long, high: long>, u long, v long")
+    return in_arrow(rows.repartition("cell").sortWithinPartitions("cell"), run, "cell struct<sig: long, low: long, high: long>, u long, v long, side int")
 
 
 def test_pairs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -455,30 +507,38 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "d
     of = rows.where("key is not null").select("key", F.col("code").alias("row")).join(nodes.select("key", "code"), "key").where("row <> code")
     members = (found.where("sig is not null").select("sig", F.col("code").alias("row")).join(of.select("row", "code"), "row", "left")
                .select("sig", F.coalesce("code", "row").alias("code")).distinct())
-    cells = staged(buckets_of(staged(members, "jaccard-shared"), members_most), "jaccard-cells")
+    buckets = staged(buckets_of(staged(members, "jaccard-shared"), members_most), "jaccard-buckets")
 
     # The signatures of a set that others share: bounded by the signatures of one set.
-    held = cells.select("code", "cell.sig").distinct().groupBy("code").agg(F.sort_array(F.collect_list("sig")).alias("sigs"))
+    held = buckets.groupBy("code").agg(F.sort_array(F.collect_list("sig")).alias("sigs"))
     compared = staged(nodes.select("code", "n", "counts").join(held, "code"), "jaccard-compared")
 
     classes = nodes.select("code", F.col("code").alias("class_id")).limit(0)
     tested = nodes.select(F.col("code").alias("u"), F.col("code").alias("v"), F.lit(True).alias("ok")).limit(0)
-    texts, most = None, FIRST
-    while True:
-        named = staged(candidates(cells, compared, classes, tested, percent, most), "jaccard-named")
-        pairs = named.select("u", "v")
-        if pairs.isEmpty():
+    texts = None
+    for part in (None, cells_around_first, cells_of_rest):
+        if part is None:
+            cells = cells_within(buckets)
+        elif buckets.where("blocks > 1").isEmpty():
             break
-        both = pairs.select(F.explode(F.array("u", "v")).alias("code")).distinct()
-        if texts is not None:
-            both = both.join(texts.select("code"), "code", "left_anti")
-        more = staged(_texts(docs, nodes, both, id_col, text_col), "jaccard-texts")
-        texts = more if texts is None else texts.unionByName(more)
-        done = staged(test_pairs(pairs, texts, percent), "jaccard-tested")
-        tested = tested.unionByName(done)
-        classes = components(tested.where("ok").select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("id", "code")
-        cells = cells.join(named.select("cell").distinct(), "cell", "left_semi")  # where nothing is left, nothing will come
-        most *= GROWTH
+        else:
+            cells = staged(part(buckets, classes, members_most), "jaccard-cells")
+        most = FIRST
+        while not cells.isEmpty():
+            found = staged(candidates(cells, compared, classes, tested, percent, most), "jaccard-found")
+            named = staged(found.where("v is not null").select("u", "v"), "jaccard-named")
+            if named.isEmpty():
+                break
+            both = named.select(F.explode(F.array("u", "v")).alias("code")).distinct()
+            if texts is not None:
+                both = both.join(texts.select("code"), "code", "left_anti")
+            more = staged(_texts(docs, nodes, both, id_col, text_col), "jaccard-texts")
+            texts = more if texts is None else texts.unionByName(more)
+            done = staged(test_pairs(named, texts, percent), "jaccard-tested")
+            tested = tested.unionByName(done)
+            classes = components(tested.where("ok").select(F.col("u").alias("a"), F.col("v").alias("b"))).withColumnRenamed("id", "code")
+            cells = found.where("v is null").select("cell", F.col("u").alias("code"), "side")  # of pairs that were not named
+            most *= GROWTH
 
     degree = tested.where("ok").select(F.explode(F.array("u", "v")).alias("code")).groupBy("code").agg(F.count("*").alias("n_links"))
     label = nodes.join(classes, "code", "left").select("key", "code", "id", F.coalesce("class_id", "code").alias("class_id")).join(degree, "code", "left")

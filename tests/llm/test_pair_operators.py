@@ -105,6 +105,40 @@ def test_jaccard_names_a_pair_once(spark, monkeypatch, members):
     assert named[0] and all(len(set(some)) == len(some) for some in named)
 
 
+def test_jaccard_rows_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    """Blocks of a bucket are not all dealt to each other: what is compared goes by the members that no link has joined yet."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, edited(rng, base, 1)) for i in range(160)] + [(200 + i, edited(rng, base[:60] + [f"o{i}x{j}" for j in range(60)], 1)) for i in range(5)]
+    candidates, seen = J.candidates, []
+
+    def counted(cells, *rest):
+        seen.append((cells.count(), cells.select("code", "cell.sig").distinct().count()))
+        return candidates(cells, *rest)
+
+    monkeypatch.setattr(J, "candidates", counted)
+    got = J.jaccard_components(frame(spark, rows), members_most=10)
+    assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute_components(rows)
+    assert seen[0][0] == seen[0][1] > 1_000  # a member is once in each of its signatures
+    assert sum(n for n, _ in seen) <= 4 * seen[0][0]
+
+
+def test_jaccard_cells_hold_every_pair_of_different_components(spark):
+    """A bucket whose members are in one component is done; else each pair of different ones is in one cell of the last part."""
+    of = {c: 0 if c < 60 else c for c in range(90)}
+    buckets = spark.createDataFrame([(s, c, 9) for s in (7, 8) for c in of if s == 7 or c < 60], "sig long, code long, blocks long")
+    classes = spark.createDataFrame(list(of.items()), "code long, class_id long")
+    held = collections.defaultdict(list)
+    for r in J.cells_of_rest(buckets, classes, 10).collect():
+        held[r["cell"]].append((r["code"], r["side"]))
+    met = collections.Counter(frozenset((a, b)) for some in held.values() for i, (a, s) in enumerate(some) for b, t in some[:i] if s == 0 or s != t)
+    assert {cell["sig"] for cell in held} == {7}
+    assert all(met[frozenset((a, b))] == 1 for a in of for b in range(a) if of[a] != of[b])
+    assert not any(of[a] == of[b] for a, b in met)
+    first = J.cells_around_first(buckets, classes, 10)
+    assert {r[0] for r in first.select("cell.low").collect()} == {0} and first.where("side = 2").select("code").distinct().count() > 60
+
+
 def test_jaccard_empty(spark):
     assert J.jaccard_components(frame(spark, [])).count() == 0
     got = J.jaccard_components(frame(spark, [(1, None), (2, ""), (None, "a b c d e"), (3, "a b c d e")]))

@@ -25,7 +25,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -136,20 +136,23 @@ class Encoder:
 
     def _learn(self, new: list[bytes]):
         for at in range(0, len(new), 20_000):
-            some = new[at:at + 20_000]
-            got: list = [None] * len(some)
-            other, tokenize = [], self.tok.model.tokenize
-            for i, w in enumerate(some):
+            some, other, flat, size, tokenize = [], [], [], [], self.tok.model.tokenize
+            for w in new[at:at + 20_000]:
                 if self.plain and w.isalpha() and w.islower():  # a-z
-                    got[i] = [x.id for x in tokenize(w.decode())]
+                    got = tokenize(w.decode())
                 elif self.plain and _latin(t := w.decode()):
-                    got[i] = [x.id for x in tokenize(w.decode("latin-1").translate(_ALPHABET))]
+                    got = tokenize(w.decode("latin-1").translate(_ALPHABET))
                 else:
-                    other.append(i)
-            for i, e in zip(other, self.tok.encode_batch_fast([some[i].decode() for i in other], add_special_tokens=False)):
-                got[i] = e.ids
-            flat = np.array([i for g in got for i in g], np.uint32)
-            size = np.array([len(g) for g in got], np.int64)
+                    other.append(w)
+                    continue
+                some.append(w)
+                flat += [x.id for x in got]  # no list stays for each word: many of them keep the garbage collector busy
+                size.append(len(got))
+            some += other
+            for e in self.tok.encode_batch_fast([w.decode() for w in other], add_special_tokens=False):
+                flat += e.ids
+                size.append(len(e))
+            flat, size = np.fromiter(flat, np.uint32, len(flat)), np.array(size, np.int64)
             n = len(self.place)
             self.ids = _room(self.ids, self.used + len(flat))
             self.begin, self.size = _room(self.begin, n + len(some)), _room(self.size, n + len(some))
@@ -178,7 +181,7 @@ class Encoder:
         tokens = [t.split() for t in part_stops([self._lowered(t) for t in texts])]
         if len(self.place) > self.limit or self.held > self.most:
             self._forget()
-        flat = [w for t in tokens for w in t]
+        flat = list(chain.from_iterable(tokens))
         at = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
         missing = np.flatnonzero(at < 0).tolist()
         if missing:

@@ -1,5 +1,7 @@
 """Bounds of caches and of what comes to the driver."""
 
+import gc
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -65,3 +67,22 @@ def test_the_sample_of_rule_costs_stays_in_the_tasks(spark):
     assert calls.value == row["rejections"] and 350 <= calls.value <= 650
     none = docs.limit(0)
     assert [r.name for r in quality_rules.order_rules(none, quality_rules.RULES, 500, "doc_id", "text")] == [r.name for r in quality_rules.RULES]
+
+
+def test_encoder_learns_words_without_keeping_the_collector_busy():
+    """No list stays for each word that is learned: tens of thousands of them made the garbage collector run again and again."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    letters = "abcdefghijklmnopqrst"
+    words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters[:4]]
+    words += [w + end for w in words[:2_000] for end in ("é", "7", "中")]
+    encoder, runs = Encoder(path), []
+    count = lambda phase, info: runs.append(phase)
+    gc.collect()
+    gc.callbacks.append(count)
+    try:
+        ids, lengths = encoder.encode([" ".join(words), None])
+    finally:
+        gc.callbacks.remove(count)
+    want = encoder.tok.encode(" ".join(words), add_special_tokens=False).ids
+    assert ids.tolist() == [*want, END_ID, END_ID] and lengths.tolist() == [len(want) + 1, 1]
+    assert runs.count("start") <= 4

@@ -259,30 +259,37 @@ def class_probabilities(weights: np.ndarray, bias: np.ndarray, features: np.ndar
     return z
 
 
-def decisions(model: Model, features: np.ndarray, label: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """The paths to the leaves, level by level: tokens with a choice there, the places of their weights, whether they go right, its log odds."""
+def decisions(model: Model, features: np.ndarray, label: np.ndarray, leaf: np.ndarray) -> Iterator[tuple[np.ndarray | slice, ...]]:
+    """The paths to the leaves, level by level: tokens with a choice there (a slice: all), the places of their weights, whether they go
+    right, its log odds."""
     known, shift = model.classes, np.uint32(33 - len(model.tree).bit_length())
     features = (features >> np.uint64(32)).astype(np.uint32)
     for d in range(known.depth):
         node = CLASSES * ((1 << d) - 1) + (label << d) + (leaf >> (known.depth - d))
-        odds = known.odds[node]
-        some = np.flatnonzero(np.isfinite(odds))
-        if len(some):
-            places = features[:, some]
-            places ^= node[some].astype(np.uint32) * _NODE
-            places *= _PLACE
-            places = (places >> shift).astype(np.int64)
-            z = odds[some]
-            for p in places:
-                z += model.tree[p]
-            yield some, places, (leaf[some] >> (known.depth - 1 - d)) & 1 > 0, z
+        z = known.odds[node]
+        some = np.flatnonzero(np.isfinite(z))
+        if not len(some):
+            continue
+        if len(some) == len(z):
+            some, mine, turn = slice(None), features, leaf
+        else:
+            mine, node, turn, z = features.take(some, 1), node.take(some), leaf.take(some), z.take(some)
+        places = mine ^ (node.astype(np.uint32) * _NODE)
+        places *= _PLACE
+        places >>= shift
+        places = places.astype(np.int64)
+        for p in places:
+            z += model.tree.take(p)
+        yield some, places, (turn >> (known.depth - 1 - d)) & 1 > 0, z
 
 
 def log_leaf(model: Model, features: np.ndarray, label: np.ndarray, leaf: np.ndarray) -> np.ndarray:
     """log10 P(leaf | class, context)."""
     out = np.zeros(len(label))
     for some, _, right, z in decisions(model, features, label, leaf):
-        out[some] -= np.log1p(np.exp(np.where(right, -z, z)))
+        np.negative(z, out=z, where=right)
+        np.exp(z, out=z)
+        out[some] -= np.log1p(z, out=z)
     return out / np.log(10.0)
 
 

@@ -5,9 +5,9 @@ trajectory — become one envelope ``(mcap_id, topic, ts_us, payload)`` in time
 Equal times keep stream order (the order of the ``streams`` list, then ``sub_ord`` inside
 a stream such as the topic's position), then input order (``row_ord``).
 
-The total order is produced per flight by the skew-safe ``ordered_within`` (buckets of ten minutes, or less where these
-hold many messages), never by a single global sort into one partition or by one task per flight.  The messages are written once
-before, so that what they come from is computed once, and whole messages are shuffled once.
+The total order is produced per flight by the skew-safe ``ordered_within`` (a flight of few messages is one bucket, a longer one has
+buckets of ten minutes, or less where these hold many messages), never by a single global sort into one partition or by one task per long
+flight.  The messages are written once before, so that what they come from is computed once, and whole messages are shuffled once.
 """
 
 from __future__ import annotations
@@ -46,6 +46,13 @@ def bucket_width(rows: DataFrame) -> tuple[int, int]:
     return min(TIME_WIDTH_US, max(1, int(r["width"]), r["extent"] // MOST_BUCKETS)), r["n"]
 
 
+def long_flights(rows: DataFrame) -> tuple[list, int]:
+    """Flights of more messages than a bucket is to hold, at most one for each so many messages, and the number of all messages."""
+    sizes = rows.groupBy("mcap_id").agg(F.count(F.lit(1)).alias("n"))
+    r = sizes.agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > BUCKET_ROWS, F.struct("mcap_id"))).alias("long")).first()
+    return [(x["mcap_id"],) for x in r["long"]], r["n"] or 0
+
+
 def merge_streams(streams: list[DataFrame]) -> DataFrame:
     """Union the streams (in priority order) and number each flight's messages in merge order.
 
@@ -59,7 +66,13 @@ def merge_streams(streams: list[DataFrame]) -> DataFrame:
     spark, path = u.sparkSession, new_output_dir(u.sparkSession, "merge-streams")
     u.write.option("compression", "zstd").parquet(path)
     rows = spark.read.schema(u.schema).parquet(path)
-    width, n = bucket_width(rows)
+    flights, n = long_flights(rows)
+    width = F.lit(None).cast("bigint")
+    if flights:
+        long = spark.createDataFrame(flights, "long_id string")
+        is_long = F.col("mcap_id").eqNullSafe(F.col("long_id"))
+        us, _ = bucket_width(rows.join(F.broadcast(long), is_long, "left_semi"))
+        rows, width = rows.join(F.broadcast(long.withColumn("width", F.lit(us))), is_long, "left"), F.col("width")
     seq = ordered_within(rows, ["mcap_id"], ["ts_us", "stream", "sub_ord", "row_ord"], seq_col="seq", width=width,
                          ranges=n // RANGE_ROWS + spark.sparkContext.defaultParallelism)
     return seq.select("mcap_id", "seq", "ts_us", "topic", "stream", "sub_ord", "row_ord", "payload",

@@ -149,3 +149,39 @@ def test_bucket_width_follows_the_densest_flight(spark, monkeypatch):
     assert MG.bucket_width(sparse) == (MG.TIME_WIDTH_US, 5) and MG.bucket_width(sparse.limit(0)) == (MG.TIME_WIDTH_US, 0)
     monkeypatch.setattr(MG, "MOST_BUCKETS", 6)
     assert MG.bucket_width(dense.union(sparse))[0] == 17
+
+
+def test_merge_streams_broadcasts_no_row_per_bucket(spark, monkeypatch):
+    """Messages far apart: nearly every one has a bucket of its own, of which the driver must hold nothing."""
+    monkeypatch.setattr(MG, "BUCKET_ROWS", 40)
+    monkeypatch.setattr(MG, "RANGE_ROWS", 60)
+    held, hint = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: held.append(df.count()) or hint(df))
+    flight = F.when(F.col("id") % 3 == 0, F.lit("long")).when(F.col("id") % 5 > 1, F.concat(F.lit("f"), (F.col("id") % 40).cast("string")))
+    when = F.when(F.col("id") % 17 > 0, (F.col("id") * 37 % 400 - 100) * 2 * MG.TIME_WIDTH_US)
+    stream = spark.range(400).select(flight.alias("mcap_id"), F.lit("t").alias("topic"), when.alias("ts_us"), F.col("id").alias("row_ord"),
+                                     F.concat(F.lit("p"), F.col("id").cast("string")).alias("payload"))
+    out = MG.merge_streams([stream.where("row_ord % 2 = 0"), stream.where("row_ord % 2 = 1")])
+    assert max(held, default=0) <= 2  # the long flights: "long" and the one without a name
+    w = Window.partitionBy("mcap_id").orderBy("ts_us", "stream", "row_ord")
+    want = stream.withColumn("stream", (F.col("row_ord") % 2).cast("int")).withColumn("seq", F.row_number().over(w).cast("bigint"))
+    cols = ["mcap_id", "seq", "ts_us", "stream", "row_ord", "payload"]
+    assert sorted(rows(out, *cols), key=str) == sorted(rows(want, *cols), key=str)
+    short = MG.merge_streams([stream.where("mcap_id <> 'long'")])
+    assert short.count() == 160 and "BroadcastExchange" not in short._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ordered_within_ranges_matches_window(spark):
+    """A column of widths, null where a group is one bucket; border rows are no row's neighbours and not in the result."""
+    random.seed(11)
+    data = [(random.choice(["hot", "hot", "hot", "a", "b", None]), None if i % 13 == 0 else random.randint(-90, 90), i,
+             None if i % 7 == 0 else float(i)) for i in range(300)]
+    df = spark.createDataFrame(data, "g string, t long, o long, v double")
+    w = Window.partitionBy("g").orderBy("t", "o")
+    exp = df.select("*", F.row_number().over(w).cast("bigint").alias("seq"), F.lag("v").over(w).alias("prev_v"),
+                    F.lag("o").over(w).alias("prev_o"), F.lead("v").over(w).alias("next_v"), F.lead("t").over(w).alias("next_t"))
+    for width in (7, F.when(F.coalesce(F.col("g"), F.lit("hot")) == "hot", F.lit(7)), F.lit(None).cast("bigint")):
+        got = ordered_within(df, ["g"], ["t", "o"], lag_cols=["v", "o"], lead_cols=["v", "t"], width=width, ranges=5)
+        assert got.columns == exp.columns
+        assert sorted(rows(got), key=str) == sorted(rows(exp), key=str)
+        assert "BroadcastExchange" not in got._jdf.queryExecution().executedPlan().toString()
